@@ -1,7 +1,9 @@
 """Queries and oracle SQL of the training-data operators."""
 
+from .ngram_jaccard import op3_ngram_jaccard
 from .substring_rlz import op2_substring_rlz
 from .suffix_bpr import op9_suffix_bpr
+from .wu_manber import OP6_SQL, op6_wu_manber
 
-QUERIES = {f.__name__: f for f in (op2_substring_rlz, op9_suffix_bpr)}
-ORACLE = {}
+QUERIES = {f.__name__: f for f in (op2_substring_rlz, op3_ngram_jaccard, op6_wu_manber, op9_suffix_bpr)}
+ORACLE = {"op6_wu_manber": OP6_SQL}
