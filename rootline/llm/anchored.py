@@ -63,8 +63,8 @@ class Reader:
         """
         s = self.spec
         starts = np.flatnonzero(self.valid)
-        if not len(starts):
-            return starts, starts
+        if not len(starts) or not opened.any():
+            return starts[:0], starts[:0]
         own = at[units.own_minimum(self.grams, self.least, at, starts)]
         known = units.covered(self.n, np.maximum(0, done + s.gram - s.window), done + 1)
         keep = opened[own] & ~known[starts]
@@ -79,6 +79,14 @@ class Reader:
         return units.mix(h)
 
 
+    def flags(self, at: np.ndarray, row: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
+        """For anchors ``at`` of texts ``row``: whether the text's list has the anchor's hash."""
+        c1, c2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA24BAED4963EE407)
+        theirs = np.concatenate([x.view(np.uint64) for x in lists]) if lists else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(lists), dtype=np.uint64), [len(x) for x in lists])
+        return np.isin(self.grams[at] * c1 + row.astype(np.uint64) * c2, theirs * c1 + owner * c2)
+
+
 def _first_of_equals(reader: Reader, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Flags: no text of this chunk equals this row's text and has a smaller doc_id (or, of one id, stands before)."""
     whole = reader.hash.span(reader.prefix, reader.bounds[:-1], reader.bounds[1:])
@@ -92,8 +100,25 @@ def _first_of_equals(reader: Reader, ids: np.ndarray, data: np.ndarray, offsets:
     return keep
 
 
+def _two_each(row: np.ndarray, gram: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """Indices, per text and anchor, of the first place and of one more: one with other surroundings if there is any.
+
+    Two places tell all that the index needs of a text, so repetitive texts add no long runs of equal rows.
+    """
+    order = np.lexsort((gram, row))  # stable: places stay in order
+    again = np.concatenate([[False], (row[order][1:] == row[order][:-1]) & (gram[order][1:] == gram[order][:-1])]) if len(order) else np.zeros(0, bool)
+    group = np.cumsum(~again) - 1
+    lead = np.flatnonzero(~again)
+    other = np.flatnonzero(again & (ctx[order] != ctx[order][lead[group]] if len(order) else again))
+    odd_group, odd = np.unique(group[other], return_index=True)
+    size = np.diff(np.concatenate([lead, [len(order)]]))
+    plain = size > 1
+    plain[odd_group] = False
+    return order[np.concatenate([lead, other[odd], lead[plain] + 1])]
+
+
 def anchor_rows(docs: DataFrame, spec: Spec) -> DataFrame:
-    """One row an anchor of each text; of equal texts that one task reads together only the smallest id's."""
+    """Two rows at most for each anchor hash and text; of equal texts that one task reads together only the smallest id's."""
 
     def rows(batches):
         reader = Reader(spec)
@@ -107,8 +132,11 @@ def anchor_rows(docs: DataFrame, spec: Spec) -> DataFrame:
                 row = np.searchsorted(reader.bounds, at, "right") - 1
                 first = _first_of_equals(reader, ids[lo:hi], data, offsets)
                 at, row = at[first[row]], row[first[row]]
+                gram, ctx = reader.grams[at], reader.contexts(at, row)
+                kept = _two_each(row, gram, ctx)
+                at, row = at[kept], row[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (reader.grams[at].view(np.int64), reader.contexts(at, row).view(np.int64), ids[lo:hi][row], (at - reader.bounds[row]).astype(np.int32))],
+                    [pa.array(x) for x in (gram[kept].view(np.int64), ctx[kept].view(np.int64), ids[lo:hi][row], (at - reader.bounds[row]).astype(np.int32))],
                     ["anchor", "ctx", "doc_id", "pos"],
                 )
 
@@ -141,6 +169,11 @@ def equal_texts(docs: DataFrame) -> DataFrame:
     return keyed.join(firsts, "sha").where("doc_id > first_id").select("doc_id")
 
 
+def lists(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
+    """A column of integer arrays, as one numpy array a row."""
+    return [np.asarray(x, np.int64) if x else np.zeros(0, np.int64) for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
 def to_ranges(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted starts as runs [lo, hi] of consecutive numbers."""
     if not len(starts):

@@ -20,15 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .anchored import Reader, Spec, equal_texts, shared_anchors, to_ranges
+from .anchored import Reader, Spec, equal_texts, lists, shared_anchors, to_ranges
 from .shared import IdFilter, documents, one_per_id, parts, store
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,length:int>>"
 
 
-def _ranges(batch, column):
-    col = batch.column(batch.schema.get_field_index(column))
-    return [np.asarray(x, np.int64) if x else np.zeros(0, np.int64) for x in col.to_pylist()]
+def _none(kind: str):
+    return F.expr(f"cast(array() as array<{kind}>)")
 
 
 def factors(n: int, window: int, copied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,109 +41,122 @@ def factors(n: int, window: int, copied: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def boundary_windows(docs: DataFrame, seeds: DataFrame, spec: Spec) -> DataFrame:
-    """(k1, k2, doc_id, start) of the windows whose own phrase stands in differing surroundings."""
+    """(k1, k2, doc_id, lo, hi): windows whose own phrase stands in differing surroundings; runs of equal ones are one row."""
 
     def rows(batches):
         reader, second = Reader(spec), units.Rolling(base=0x165667B19E3779F9, seed=11)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            open_at, done_at = _ranges(batch, "open_at"), _ranges(batch, "anchors")
+            open_at, done_at = lists(batch, "open_at"), lists(batch, "anchors")
             for lo, hi, data, offsets in units.text_chunks(batch, "text", spec.chunk):
                 reader.load(data, offsets)
                 if reader.n < spec.window:
                     continue
                 base = reader.bounds[:-1]
+                at = reader.anchors()
+                row = np.searchsorted(reader.bounds, at, "right") - 1
                 opened = np.zeros(reader.n, bool)
-                for i in range(hi - lo):
-                    opened[open_at[lo + i] + base[i]] = True
-                s, _ = reader.open_windows(reader.anchors(), opened, np.concatenate([done_at[lo + i] + base[i] for i in range(hi - lo)]))
+                opened[at[reader.flags(at, row, open_at[lo:hi])]] = True
+                s, _ = reader.open_windows(at, opened, at[reader.flags(at, row, done_at[lo:hi])])
                 if not len(s):
                     continue
-                row = np.searchsorted(reader.bounds, s, "right") - 1
                 starts, ends, _ = units.words(data, offsets, reader.mask)
                 other = reader.seq.prefix(second.words(data, starts, ends))
+                k1, k2 = reader.hash.span(reader.prefix, s, s + spec.window), reader.seq.span(other, s, s + spec.window)
+                new = np.concatenate([[True], (np.diff(s) > 1) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
+                last = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])]
+                s = s[new]
+                row = np.searchsorted(reader.bounds, s, "right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (reader.hash.span(reader.prefix, s, s + spec.window).view(np.int64), reader.seq.span(other, s, s + spec.window).view(np.int64), ids[lo:hi][row], (s - base[row]).astype(np.int32))],
-                    ["k1", "k2", "doc_id", "start"],
+                    [pa.array(x) for x in (k1[new].view(np.int64), k2[new].view(np.int64), ids[lo:hi][row], (s - base[row]).astype(np.int32), (last - base[row]).astype(np.int32))],
+                    ["k1", "k2", "doc_id", "lo", "hi"],
                 )
 
     wanted = seeds.where(F.size("open_at") > 0)
     texts = IdFilter(wanted).keep(docs)
     joined = texts.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "open_at", "anchors")
-    return joined.mapInArrow(rows, "k1 long, k2 long, doc_id long, start int")
+    return joined.mapInArrow(rows, "k1 long, k2 long, doc_id long, lo int, hi int")
 
 
 def copied_windows(docs: DataFrame, spec: Spec) -> DataFrame:
-    """(doc_id, anchors, starts): settled phrases of earlier blocks and single windows of earlier blocks, by document."""
+    """(doc_id, anchors, lo, hi): hashes of settled phrases of earlier blocks, and runs of single windows of earlier blocks."""
     found = shared_anchors(docs, spec, 0.6)
     seeds = store(
         found.groupBy("doc_id").agg(
-            F.collect_list(F.expr("if(not settled, pos, null)")).alias("open_at"),
-            F.collect_list(F.expr("if(settled and first.doc_id < doc_id, pos, null)")).alias("anchors"),
+            F.collect_set(F.expr("if(not settled, anchor, null)")).alias("open_at"),
+            F.collect_set(F.expr("if(settled and first.doc_id < doc_id, anchor, null)")).alias("anchors"),
         ),
         "rlz-seeds",
     )
     rows = boundary_windows(docs, seeds, spec).repartition(parts(docs, 0.3), "k1", "k2")
     firsts = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    single = rows.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
-    none = F.array().cast("array<int>")
+    single = rows.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
     return (
         seeds.where(F.size("anchors") > 0)
         .select("doc_id", "anchors")
-        .join(single, "doc_id", "full_outer")
-        .select("doc_id", F.coalesce("anchors", none).alias("anchors"), F.coalesce("starts", none).alias("starts"))
+        .join(single.select("doc_id", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")), "doc_id", "full_outer")
+        .select("doc_id", F.coalesce("anchors", _none("bigint")).alias("anchors"), F.coalesce("lo", _none("int")).alias("lo"), F.coalesce("hi", _none("int")).alias("hi"))
     )
 
 
-def remove_copied(docs: DataFrame, window: int = 50, gram: int = 26, chunk: int = 2 << 20) -> DataFrame:
+def remove_copied(docs: DataFrame, window: int = 50, gram: int = 26, chunk: int = 1 << 20) -> DataFrame:
     """One row a document: words, removed words, sha256 of the kept words joined by one space, and the removed spans."""
     if not 1 < gram <= window:
         raise ValueError("gram must lie between 2 and window")
     spec = Spec("word", window, gram, chunk)
     docs = one_per_id(docs)
     copies = equal_texts(docs).withColumn("whole", F.lit(True))
-    none = F.array().cast("array<int>")
-    hits = store(
-        copied_windows(docs, spec)
-        .join(copies, "doc_id", "full_outer")
-        .select("doc_id", F.coalesce("anchors", none).alias("anchors"), F.coalesce("starts", none).alias("starts"), F.coalesce("whole", F.lit(False)).alias("whole")),
-        "rlz-hits",
-    )
+    fill = [F.coalesce("anchors", _none("bigint")).alias("anchors"), F.coalesce("lo", _none("int")).alias("lo"), F.coalesce("hi", _none("int")).alias("hi"), F.coalesce("whole", F.lit(False)).alias("whole")]
+    hits = store(copied_windows(docs, spec).join(copies, "doc_id", "full_outer").select("doc_id", *fill), "rlz-hits")
+
+    def rows_of(ids, texts, spans_of):
+        out = [], [], [], []
+        for i, text in enumerate(texts):
+            found = (text or b"").split()
+            spans = spans_of(i, len(found))
+            kept, last = [], 0
+            for a, b in spans:
+                kept += found[last:a]
+                last = b
+            kept = kept + found[last:] if spans else found
+            for x, y in zip(out, (len(found), len(found) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [{"start": a, "length": b - a} for a, b in spans])):
+                x.append(y)
+        span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+        return pa.RecordBatch.from_arrays([ids, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], span)], ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"])
+
+    def plain(batches):
+        for batch in batches:
+            yield rows_of(batch.column(0), batch.column(1).cast(pa.large_binary()).to_pylist(), lambda i, n: [])
 
     def parse(batches):
+        reader = Reader(spec)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()
-            if batch.num_columns > 2:
-                anchors, starts, whole = _ranges(batch, "anchors"), _ranges(batch, "starts"), batch.column(4).to_pylist()
-            out = [], [], [], []
-            for i, text in enumerate(texts):
-                found = (text or b"").split()
-                n, spans = len(found), []
-                if batch.num_columns > 2 and n >= window:
-                    if whole[i]:
-                        at = np.arange(n - window + 1)
-                    else:
-                        a = anchors[i]
-                        flag = units.covered(n - window + 1, np.maximum(0, a + gram - window), np.minimum(a, n - window) + 1)
-                        flag[starts[i]] = True
-                        at = np.flatnonzero(flag)
-                    spans = list(zip(*(x.tolist() for x in factors(n, window, at))))
-                kept, last = [], 0
-                for a, b in spans:
-                    kept += found[last:a]
-                    last = b
-                kept = kept + found[last:] if spans else found
-                for x, y in zip(out, (n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [{"start": a, "length": b - a} for a, b in spans])):
-                    x.append(y)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2]), pa.array(out[3], pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"],
-            )
+            anchors, los, his, whole = lists(batch, "anchors"), lists(batch, "lo"), lists(batch, "hi"), batch.column(5).to_pylist()
+            for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
+                reader.load(data, offsets)
+                at = reader.anchors()
+                row = np.searchsorted(reader.bounds, at, "right") - 1
+                held = reader.flags(at, row, anchors[lo:hi])
+                at, row = at[held], row[held]
+                edge = np.searchsorted(row, np.arange(hi - lo + 1))
+
+                def spans_of(i, n):
+                    if n < window:
+                        return []
+                    if whole[lo + i]:
+                        return [(0, n)]
+                    a = at[edge[i] : edge[i + 1]] - reader.bounds[i]
+                    first = np.concatenate([np.maximum(0, a + gram - window), los[lo + i]])
+                    copied = units.covered(n - window + 1, first, np.concatenate([np.minimum(a, n - window), his[lo + i]]) + 1)
+                    return list(zip(*(x.tolist() for x in factors(n, window, np.flatnonzero(copied)))))
+
+                raw = data.tobytes()
+                texts = [raw[offsets[i] : offsets[i + 1]] for i in range(hi - lo)]
+                yield rows_of(batch.column(0).slice(lo, hi - lo), texts, spans_of)
 
     held = IdFilter(hits)
-    clean = held.keep(docs, wanted=False).mapInArrow(parse, RESULT)
-    touched = held.keep(docs).join(hits.hint("shuffle_hash"), "doc_id", "left")
-    touched = touched.select("doc_id", "text", F.coalesce("anchors", none).alias("anchors"), F.coalesce("starts", none).alias("starts"), F.coalesce("whole", F.lit(False)).alias("whole"))
+    clean = held.keep(docs, wanted=False).mapInArrow(plain, RESULT)
+    touched = held.keep(docs).join(hits.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", *fill)
     return clean.unionByName(touched.mapInArrow(parse, RESULT))
 
 

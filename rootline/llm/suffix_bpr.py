@@ -19,22 +19,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .anchored import Reader, Spec, equal_texts, shared_anchors
+from .anchored import Reader, Spec, equal_texts, lists, shared_anchors
 from .shared import IdFilter, documents, one_per_id, parts, store
 
 RESULT = "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<struct<start:int,length:int>>"
-SLICE = "anchor long, doc_id long, start int, lead int, body binary"
+SLICE = "anchor long, doc_id long, start int, body binary"
 RANGES = "doc_id long, lo int, hi int"
 
 
-def _lists(batch, column):
-    return [np.asarray(x, np.int64) if x else np.zeros(0, np.int64) for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-
-
 def refine(data: np.ndarray, at: np.ndarray, depth: int, q: int = 8) -> np.ndarray:
     """Bucket identifiers of the suffixes ``at`` of ``data``, sorted to ``depth`` bytes; -1 for one alone in its bucket.
 
@@ -77,16 +74,17 @@ def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) ->
         reader, second = Reader(spec), units.Rolling(base=0x165667B19E3779F9, seed=11)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            open_at, done_at = _lists(batch, column), _lists(batch, "anchors")
+            open_at, done_at = lists(batch, column), lists(batch, "anchors")
             for lo, hi, data, offsets in units.text_chunks(batch, "text", spec.chunk):
                 reader.load(data, offsets)
                 if reader.n < spec.window:
                     continue
                 base = reader.bounds[:-1]
+                at = reader.anchors()
+                row = np.searchsorted(reader.bounds, at, "right") - 1
                 opened = np.zeros(reader.n, bool)
-                for i in range(hi - lo):
-                    opened[open_at[lo + i] + base[i]] = True
-                s, own = reader.open_windows(reader.anchors(), opened, np.concatenate([done_at[lo + i] + base[i] for i in range(hi - lo)]))
+                opened[at[reader.flags(at, row, open_at[lo:hi])]] = True
+                s, own = reader.open_windows(at, opened, at[reader.flags(at, row, done_at[lo:hi])])
                 if not len(s):
                     continue
                 if keyed:
@@ -95,14 +93,14 @@ def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) ->
                     columns = reader.hash.span(reader.prefix, s, s + spec.window).view(np.int64), second.span(other, s, s + spec.window).view(np.int64), ids[lo:hi][row], (s - base[row]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["k1", "k2", "doc_id", "start"])
                     continue
-                new = np.concatenate([[True], (np.diff(s) > 1) | (np.diff(own) != 0)])
+                new = np.concatenate([[True], (np.diff(s) > 1) | (reader.grams[own][1:] != reader.grams[own][:-1])])
                 first = s[new]
                 last = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])]
                 row = np.searchsorted(reader.bounds, first, "right") - 1
                 raw = data.tobytes()
                 body = pa.array([raw[a : b + spec.window] for a, b in zip(first.tolist(), last.tolist())], pa.binary())
-                columns = reader.grams[own[new]].view(np.int64), ids[lo:hi][row], (first - base[row]).astype(np.int32), (own[new] - first).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), body], ["anchor", "doc_id", "start", "lead", "body"])
+                columns = reader.grams[own[new]].view(np.int64), ids[lo:hi][row], (first - base[row]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), body], ["anchor", "doc_id", "start", "body"])
 
     wanted = seeds.where(F.size(column) > 0).select("doc_id", column, "anchors")
     return IdFilter(wanted).keep(docs).join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", column, "anchors").mapInArrow(rows, schema)
@@ -111,32 +109,47 @@ def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) ->
 def _sort_buckets(slices: DataFrame, spec: Spec, count: int) -> DataFrame:
     """(doc_id, lo, hi): starts of strings that also start earlier, from the refined buckets of each task's anchors."""
 
-    def ranges(batches):
-        found = [b for b in batches if b.num_rows]
-        if not found:
-            return
-        table = pa.Table.from_batches(found)
-        body = pa.chunked_array([c.cast(pa.large_binary()) for c in table.column("body").chunks]).combine_chunks()
-        offsets = np.frombuffer(body.buffers()[1], np.int64)[: len(body) + 1]
+    def sort(body: pa.Array, doc: np.ndarray, start: np.ndarray):
+        offsets = np.frombuffer(body.buffers()[1], np.int64)[body.offset : body.offset + len(body) + 1]
         data = np.frombuffer(body.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
         number = np.diff(offsets) - spec.window + 1
         row, step = np.repeat(np.arange(len(number)), number), units.ragged(number)
         bucket = refine(data, offsets[:-1][row] + step, spec.window)
         kept = bucket >= 0
-        row, bucket = row[kept], bucket[kept]
-        doc = table.column("doc_id").to_numpy()[row]
-        start = table.column("start").to_numpy()[row] + step[kept]
+        row, bucket, step = row[kept], bucket[kept], step[kept]
+        doc, start = doc[row], start[row] + step
         order = np.lexsort((start, doc, bucket))
         later = np.concatenate([[False], bucket[order][1:] == bucket[order][:-1]]) if len(order) else np.zeros(0, bool)
         doc, start = doc[order][later], start[order][later]
         order = np.lexsort((start, doc))
         doc, start = doc[order], start[order]
-        if not len(doc):
+        new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(start) > 1)]) if len(doc) else np.zeros(0, bool)
+        last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(doc) - 1]]) if len(doc) else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(start[new].astype(np.int32)), pa.array(start[last].astype(np.int32))], ["doc_id", "lo", "hi"])
+
+    def ranges(batches):
+        found = [b for b in batches if b.num_rows]
+        if not found:
             return
-        new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(start) > 1)])
-        last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(doc) - 1]])
-        yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(start[new].astype(np.int32)), pa.array(start[last].astype(np.int32))], ["doc_id", "lo", "hi"])
+        table = pa.Table.from_batches(found)
+        del found
+        anchor = table.column("anchor").to_numpy()
+        order = np.argsort(anchor, kind="stable")
+        size = pc.binary_length(table.column("body")).to_numpy()[order]
+        edge = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))  # buckets stay whole
+        total = np.concatenate([[0], np.cumsum(size)])
+        lo = 0
+        while lo < len(order):
+            fits = edge[(edge > lo) & (total[edge] <= total[lo] + spec.chunk)]
+            after = edge[edge > lo]
+            hi = int(fits[-1]) if len(fits) else int(after[0]) if len(after) else len(order)
+            if total[-1] <= total[lo] + spec.chunk:
+                hi = len(order)
+            part = table.take(pa.array(order[lo:hi]))
+            body = pa.concat_arrays([c.cast(pa.large_binary()) for c in part.column("body").chunks])
+            yield sort(body, part.column("doc_id").to_numpy(), part.column("start").to_numpy())
+            lo = hi
 
     return slices.repartition(count, "anchor").mapInArrow(ranges, RANGES)
 
@@ -163,9 +176,10 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 28, hot: int
     found = shared_anchors(docs, spec, 1.2)
     seeds = store(
         found.groupBy("doc_id").agg(
-            F.collect_list(F.expr(f"if(not settled and n <= {hot}, pos, null)")).alias("open_at"),
-            F.collect_list(F.expr(f"if(not settled and n > {hot}, pos, null)")).alias("hot_at"),
-            F.collect_list(F.expr("if(settled and (first.doc_id <> doc_id or first.pos <> pos), pos, null)")).alias("anchors"),
+            F.collect_set(F.expr(f"if(not settled and n <= {hot}, anchor, null)")).alias("open_at"),
+            F.collect_set(F.expr(f"if(not settled and n > {hot}, anchor, null)")).alias("hot_at"),
+            F.collect_set(F.expr("if(settled and first.doc_id <> doc_id, anchor, null)")).alias("anchors"),
+            F.collect_set(F.expr("if(settled and first.doc_id = doc_id and first.pos <> pos, anchor, null)")).alias("again"),
         ),
         "bpr-seeds",
     )
@@ -175,36 +189,46 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 28, hot: int
         firsts = keys.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
         later = keys.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("first.doc_id <> doc_id or first.start <> start")
         ranges = ranges.unionByName(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
-    none = F.array().cast("array<int>")
     single = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("r")).select("doc_id", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"))
     copies = equal_texts(docs).withColumn("whole", F.lit(True))
-    fill = [F.coalesce(c, none).alias(c) for c in ("anchors", "lo", "hi")] + [F.coalesce("whole", F.lit(False)).alias("whole")]
-    hits = store(
-        seeds.where(F.size("anchors") > 0).select("doc_id", "anchors").join(single, "doc_id", "full_outer").join(copies, "doc_id", "full_outer").select("doc_id", *fill),
-        "bpr-hits",
-    )
+    none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
+    fill = [F.coalesce(c, none(k)).alias(c) for c, k in (("anchors", "bigint"), ("again", "bigint"), ("lo", "int"), ("hi", "int"))] + [F.coalesce("whole", F.lit(False)).alias("whole")]
+    known = seeds.where(F.size("anchors") + F.size("again") > 0).select("doc_id", "anchors", "again")
+    hits = store(known.join(single, "doc_id", "full_outer").join(copies, "doc_id", "full_outer").select("doc_id", *fill), "bpr-hits")
 
     def cut(batches):
         span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+        reader = Reader(spec)
         for batch in batches:
-            anchors, los, his, whole = _lists(batch, "anchors"), _lists(batch, "lo"), _lists(batch, "hi"), batch.column(5).to_pylist()
-            sizes, removed, digests, spans = [], [], [], []
-            for i, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
-                text = text or b""
-                n, runs = len(text), []
-                if n >= window:
-                    a, lo, hi = anchors[i], los[i], his[i]
-                    runs = [(0, n)] if whole[i] else merged(np.concatenate([np.maximum(0, a + gram - window), lo]), np.concatenate([np.minimum(a + window, n), hi + window]))
-                digest, last = hashlib.sha256(), 0
-                for x, y in runs:
-                    digest.update(text[last:x])
-                    last = y
-                digest.update(text[last:])
-                sizes.append(n)
-                removed.append(sum(y - x for x, y in runs))
-                digests.append(digest.hexdigest())
-                spans.append([{"start": x, "length": y - x} for x, y in runs])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans, span)], ["doc_id", "n_bytes", "n_removed", "kept_sha256", "spans"])
+            anchors, again, los, his, whole = lists(batch, "anchors"), lists(batch, "again"), lists(batch, "lo"), lists(batch, "hi"), batch.column(6).to_pylist()
+            for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
+                reader.load(data, offsets)
+                at = reader.anchors()
+                row = np.searchsorted(reader.bounds, at, "right") - 1
+                own = reader.flags(at, row, again[lo:hi])
+                for i in np.flatnonzero(own):  # in the text where an anchor stands first, all its places but that one
+                    own[i] = bool((reader.grams[at[np.searchsorted(row, row[i]) : i]] == reader.grams[at[i]]).any())
+                held = reader.flags(at, row, anchors[lo:hi]) | own
+                at, row = at[held], row[held]
+                edge = np.searchsorted(row, np.arange(hi - lo + 1))
+                raw = data.tobytes()
+                sizes, removed, digests, spans = [], [], [], []
+                for i in range(hi - lo):
+                    text = raw[offsets[i] : offsets[i + 1]]
+                    n, runs = len(text), []
+                    if n >= window:
+                        a = at[edge[i] : edge[i + 1]] - offsets[i]
+                        runs = [(0, n)] if whole[lo + i] else merged(np.concatenate([np.maximum(0, a + gram - window), los[lo + i]]), np.concatenate([np.minimum(a + window, n), his[lo + i] + window]))
+                    digest, last = hashlib.sha256(), 0
+                    for x, y in runs:
+                        digest.update(text[last:x])
+                        last = y
+                    digest.update(text[last:])
+                    sizes.append(n)
+                    removed.append(sum(y - x for x, y in runs))
+                    digests.append(digest.hexdigest())
+                    spans.append([{"start": x, "length": y - x} for x, y in runs])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans, span)], ["doc_id", "n_bytes", "n_removed", "kept_sha256", "spans"])
 
     held = IdFilter(hits)
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
