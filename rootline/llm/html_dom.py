@@ -18,7 +18,8 @@ TAG_CODE = {t: i for i, t in enumerate(TAG_ORDER)}
 FURNITURE = re.compile(r"nav|menu|foot|head(?!line)|masthead|side|aside|\bads?\b|\bad[-_]|[-_]ads?\b|advert|sponsor|promo|banner|comment|respond|disqus|reply|share|social|relat|recommend|cookie|notice|consent|gdpr|popup|modal|overlay|alert|form|search|login|signup|subscri|newsletter|breadcrumb|crumb|pagin|pager|widget|tool|copyright|legal|\btags?\b|meta|byline|toc|skip|hidden|print|rating|vote")
 CONTENT = re.compile(r"article|content|main|post|entry|story|text|body|prose|page|chapter|blog|read")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^a-zA-Z>][^>]*>?|<!?[a-zA-Z/][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<[!/]?[a-zA-Z][^<>]*\Z", re.S)
+# possessive throughout: a tag that never ends is given up at the next "<", so broken markup costs no backtracking
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^a-zA-Z>][^>]*+>?|<[!/]?[a-zA-Z][^\s/<>\"']*+(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!/]?[a-zA-Z][^<>]*+(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
@@ -62,6 +63,7 @@ class Page:
 
     def _read(self, source: str, seen: dict) -> None:
         stack, names, last, anchors = [0], ["#"], 0, 0
+        opened: dict[str, int] = {}
         stream, parent, end = self.stream, self.parent, self.end
         find = TOKEN.search
         while True:
@@ -83,9 +85,10 @@ class Page:
             if closing:
                 if name not in INLINE:
                     stream.append(None)
-                if name in names:
+                if opened.get(name):
                     while len(stack) > 1:
                         node, top = stack.pop(), names.pop()
+                        opened[top] -= 1
                         end[node] = len(parent)
                         anchors -= top == "a"
                         if top == name:
@@ -94,11 +97,12 @@ class Page:
             block = name not in INLINE
             if block:
                 stream.append(None)
-                if "p" in names and name not in RAW:  # a block ends an open paragraph, with whatever stands open in it
+                if opened.get("p") and name not in RAW:  # a block ends an open paragraph, with whatever stands open in it
                     k = len(names) - 1 - names[::-1].index("p")
                     if not FENCES.intersection(names[k + 1 :]):
                         while len(stack) > k:
                             node, top = stack.pop(), names.pop()
+                            opened[top] -= 1
                             end[node] = len(parent)
                             anchors -= top == "a"
                 if name in CLOSES:
@@ -108,6 +112,7 @@ class Page:
                     while k > 0 and names[k] in CLOSES[name]:
                         while len(stack) > k:
                             node, top = stack.pop(), names.pop()
+                            opened[top] -= 1
                             end[node] = len(parent)
                             anchors -= top == "a"
                         k -= 1
@@ -135,6 +140,7 @@ class Page:
             if name not in VOID and not (token.endswith("/>") and name not in INLINE):
                 stack.append(node)
                 names.append(name)
+                opened[name] = opened.get(name, 0) + 1
                 anchors += name == "a"
         for node in stack:
             end[node] = len(parent)
