@@ -39,8 +39,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def parts(df: DataFrame, per_byte: float = 1.0) -> int:
-    """Partitions for a shuffle of ``per_byte`` times the input's bytes: follows the data, never below the session's setting."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Partitions for a shuffle of ``per_byte`` times the input's bytes: follows the data, never below the session's setting.
+
+    The bytes are those of the plan's sources; a source whose size Spark does not know counts as nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < 1 << 55)
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, int(size * per_byte) // PART_BYTES))
 
 
