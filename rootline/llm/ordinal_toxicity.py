@@ -89,9 +89,9 @@ def _select(texts: DataFrame, toxic: int, most: int) -> np.ndarray:
             bad, n = (np.bincount(inverse, np.concatenate([x[i] for x in found]), len(u)).astype(np.int64) for i in (1, 2))
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(bad), pa.array(n)], ["h", "bad", "n"])
 
-    least = max(3, toxic // 150)
+    least = max(4, toxic // 100)
     rows = texts.select("text", "toxic").mapInArrow(count, "h long, bad long, n long").groupBy("h").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    rows = rows.where(f"bad >= {least} and bad >= 0.5 * n").orderBy(F.expr("bad * bad / n").desc(), "h").limit(most).collect()
+    rows = rows.where(f"bad >= {least} and bad >= 0.6 * (n + 2)").orderBy(F.expr("bad * bad / n").desc(), "h").limit(most).collect()
     return np.array([r.h for r in rows], np.int64).view(np.uint64)
 
 
@@ -105,14 +105,14 @@ def _matrix(texts: DataFrame, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarra
                 n, width = hi - lo, len(lookup.value.hashes)
                 pairs = [lookup.value.find(row, h) for row, h in features.read(data, offsets)]
                 key, times = np.unique(np.concatenate([r * width + c for r, c in pairs]), return_counts=True)
-                edge = np.searchsorted(key, np.arange(n + 1) * width)
-                lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array((key % max(1, width)).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, n), lists, pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(times.astype(np.int32)))], ["toxic", "at", "times"])
-
-    rows = texts.select("text", "toxic").mapInArrow(find, "toxic int, at array<int>, times array<int>").collect()
-    size = [len(r["at"]) for r in rows]
-    flat = lambda name: np.array([x for r in rows for x in r[name]], np.int64)
-    return np.array([r["toxic"] for r in rows]), np.repeat(np.arange(len(rows)), size), flat("at"), flat("times")
+                packed = batch.column(1).slice(lo, n).to_numpy(zero_copy_only=False).astype(np.int8), (key // max(1, width)).astype(np.int32), (key % max(1, width)).astype(np.int32), times.astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["toxic", "row", "at", "times"])
+
+    rows = texts.select("text", "toxic").mapInArrow(find, "toxic binary, row binary, at binary, times binary").collect()
+    flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[name], kind) for r in rows]])
+    size = np.cumsum([0] + [len(r["toxic"]) for r in rows])
+    row = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["row"], np.int32) + first for r, first in zip(rows, size)]])
+    return flat("toxic", np.int8).astype(np.int64), row.astype(np.int64), flat("at", np.int32).astype(np.int64), flat("times", np.int32).astype(np.int64)
 
 
 def fit(y: np.ndarray, row: np.ndarray, col: np.ndarray, x: np.ndarray, width: int, grades: int, steps: int = 1000, l1: float = 0.01, rate: float = 0.05):
