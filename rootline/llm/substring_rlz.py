@@ -41,7 +41,7 @@ def factors(n: int, window: int, copied: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def boundary_windows(docs: DataFrame, seeds: DataFrame, spec: Spec) -> DataFrame:
-    """(k1, k2, doc_id, lo, hi): windows whose own phrase stands in differing surroundings; runs of equal ones are one row."""
+    """(k1, k2, doc_id, lo, hi): windows whose own phrase stands in differing surroundings; a text's equal ones are one row."""
 
     def rows(batches):
         reader, second = Reader(spec), units.Rolling(base=0x165667B19E3779F9, seed=11)
@@ -65,17 +65,19 @@ def boundary_windows(docs: DataFrame, seeds: DataFrame, spec: Spec) -> DataFrame
                 k1, k2 = reader.hash.span(reader.prefix, s, s + spec.window), reader.seq.span(other, s, s + spec.window)
                 new = np.concatenate([[True], (np.diff(s) > 1) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
                 last = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])]
-                s = s[new]
+                s, k1, k2 = s[new], k1[new], k2[new]
                 row = np.searchsorted(reader.bounds, s, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (k1[new].view(np.int64), k2[new].view(np.int64), ids[lo:hi][row], (s - base[row]).astype(np.int32), (last - base[row]).astype(np.int32))],
-                    ["k1", "k2", "doc_id", "lo", "hi"],
-                )
+                order = np.lexsort((s, k2, k1, row))  # equal windows of one text are one row
+                s, last, k1, k2, row = s[order], last[order], k1[order], k2[order], row[order]
+                first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+                edge = pa.array(np.concatenate([first, [len(s)]]).astype(np.int32))
+                places = [pa.ListArray.from_arrays(edge, pa.array((x - base[row]).astype(np.int32))) for x in (s, last)]
+                yield pa.RecordBatch.from_arrays([pa.array(k1[first].view(np.int64)), pa.array(k2[first].view(np.int64)), pa.array(ids[lo:hi][row[first]]), *places], ["k1", "k2", "doc_id", "lo", "hi"])
 
     wanted = seeds.where(F.size("open_at") > 0)
     texts = IdFilter(wanted).keep(docs)
     joined = texts.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "open_at", "anchors")
-    return joined.mapInArrow(rows, "k1 long, k2 long, doc_id long, lo int, hi int")
+    return joined.mapInArrow(rows, "k1 long, k2 long, doc_id long, lo array<int>, hi array<int>")
 
 
 def copied_windows(docs: DataFrame, spec: Spec) -> DataFrame:
@@ -90,11 +92,11 @@ def copied_windows(docs: DataFrame, spec: Spec) -> DataFrame:
     )
     rows = boundary_windows(docs, seeds, spec).repartition(parts(docs, 0.3), "k1", "k2")
     firsts = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    single = rows.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("doc_id > a").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
+    single = rows.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("doc_id > a").groupBy("doc_id").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
     return (
         seeds.where(F.size("anchors") > 0)
         .select("doc_id", "anchors")
-        .join(single.select("doc_id", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")), "doc_id", "full_outer")
+        .join(single, "doc_id", "full_outer")
         .select("doc_id", F.coalesce("anchors", _none("bigint")).alias("anchors"), F.coalesce("lo", _none("int")).alias("lo"), F.coalesce("hi", _none("int")).alias("hi"))
     )
 
