@@ -7,9 +7,9 @@ document, with the number dropped, bounds any overlap it can have.  Documents th
 anyone are out before a single pair exists.
 
 Candidate pairs come from prefixes in rarest-first order, of the documents left and of one document per class of equal
-sets.  In each prefix group everybody is first paired with a leader, the member with most shared n-grams; the overlaps
-of a pair are counted per fragment and summed.  Then members of groups that still lie in different components are
-paired, if their sizes and bounds allow a link.  Pairs inside one component add nothing to the result and are not
+sets.  In each prefix group everybody is first paired with a leader, the member nearest to what the others hold; the
+overlaps of a pair are counted per fragment and summed.  Then members of groups that still lie in different components
+are paired, if their sizes, bounds and the ranks of the common n-gram allow a link.  Pairs inside one component add nothing to the result and are not
 formed, so a group of thousands of near copies costs about one pair a member, and no link between components is lost.
 
 Defined results: null, empty and blank texts have no shingles and are their own component; fewer words than n make one
@@ -27,7 +27,8 @@ from .shared import documents, one_per_id, parts, store
 
 DOC_BITS = 12
 SEGMENTS = "frag int, ids binary, counts binary, low binary, high binary, own_ids binary, own_n binary, own_c binary"
-SHARED = "doc_id long, n int, c1 long, c2 long, grams array<long>, df array<int>"
+HELD = "home int, ids binary, sizes binary, grams binary, df binary, own_ids binary, own_n binary, own_c binary"
+SETS = "doc_id long, n int, c1 long, c2 long, grams array<long>, df array<int>"
 VERIFY_FRAGMENTS = 8
 
 
@@ -91,7 +92,7 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
                     take = np.repeat(first, count) + units.ragged(count)
                     token = key[take] & np.uint64((1 << bits) - 1)
                     low, high = token.astype(np.uint32), (token >> np.uint64(32)).astype(np.uint16)
-                    home = (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(fragments)
+                    home = _home(doc, fragments)
                     home_order = np.argsort(home, kind="stable")
                     home = home[home_order]
                     edge = np.searchsorted(seg_frag, np.arange(fragments + 1))
@@ -110,41 +111,89 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, SEGMENTS)
 
 
-def _fragment(batches):
-    """A fragment's n-grams with two holders or more, by holder, with their document frequency; and sizes and digests."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    join = lambda name, kind: np.frombuffer(b"".join(x for b in got for x in b.column(b.schema.get_field_index(name)).to_pylist()), kind)
-    number = np.concatenate([np.array([len(x) // 4 for x in b.column(3).to_pylist()], np.int64) for b in got])
-    frag = np.concatenate([b.column(0).to_numpy() for b in got]).astype(np.uint64)
-    ids, count = join("ids", np.int64), join("counts", np.uint32).astype(np.int64)
-    gram = join("low", np.uint32).astype(np.uint64)
-    gram |= join("high", np.uint16).astype(np.uint64) << np.uint64(32)
-    gram |= np.repeat(frag & np.uint64(0xFFFF), number) << np.uint64(48)
-    order = np.argsort(gram)
-    ranked = gram[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
-    held = np.diff(np.concatenate([first, [len(ranked)]]))
-    df = np.empty(len(gram), np.int32)
-    df[order] = np.repeat(held, held)
-    del order, ranked
-    kept = df > 1
-    left = np.concatenate([[0], np.cumsum(kept)])
-    edge = np.concatenate([[0], np.cumsum(count)])
-    size = left[edge[1:]] - left[edge[:-1]]
-    some = size > 0
-    offsets = pa.array(np.concatenate([[0], np.cumsum(size[some])]).astype(np.int32))
-    none = pa.nulls(int(some.sum()), pa.int64())
-    names = ["doc_id", "n", "c1", "c2", "grams", "df"]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(ids[some]), none.cast(pa.int32()), none, none, pa.ListArray.from_arrays(offsets, pa.array(gram[kept].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(df[kept]))], names
-    )
-    own, c = join("own_ids", np.int64), join("own_c", np.int64).reshape(-1, 2)
-    empty = pa.array(np.zeros(len(own) + 1, np.int32))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(own), pa.array(join("own_n", np.int32)), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.ListArray.from_arrays(empty, pa.array([], pa.int64())), pa.ListArray.from_arrays(empty, pa.array([], pa.int32()))], names
-    )
+def _home(ids: np.ndarray, fragments: int) -> np.ndarray:
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(fragments)
+
+
+def _joined(batches, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(x for b in batches for x in b.column(b.schema.get_field_index(name)).to_pylist()), kind)
+
+
+def held_twice(fragments: int):
+    """For mapInArrow: a fragment's n-grams with two holders or more, with their document frequency, packed by the
+    holder's home; and the sizes and digests that came for this home."""
+
+    def fragment(batches):
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        number = np.concatenate([np.array([len(x) // 4 for x in b.column(3).to_pylist()], np.int64) for b in got])
+        frag = np.concatenate([b.column(0).to_numpy() for b in got]).astype(np.uint64)
+        ids, count = _joined(got, "ids", np.int64), _joined(got, "counts", np.uint32).astype(np.int64)
+        gram = _joined(got, "low", np.uint32).astype(np.uint64)
+        gram |= _joined(got, "high", np.uint16).astype(np.uint64) << np.uint64(32)
+        gram |= np.repeat(frag & np.uint64(0xFFFF), number) << np.uint64(48)
+        own, own_n, own_c = _joined(got, "own_ids", np.int64), _joined(got, "own_n", np.int32), _joined(got, "own_c", np.int64).reshape(-1, 2)
+        del got
+        order = np.argsort(gram)
+        ranked = gram[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+        held = np.diff(np.concatenate([first, [len(ranked)]]))
+        df = np.empty(len(gram), np.int32)
+        df[order] = np.repeat(held, held)
+        del order, ranked
+        kept = df > 1
+        left = np.concatenate([[0], np.cumsum(kept)])
+        edge = np.concatenate([[0], np.cumsum(count)])
+        start, size = left[edge[:-1]], left[edge[1:]] - left[edge[:-1]]
+        gram, df = gram[kept], df[kept]
+        some = np.flatnonzero(size > 0)
+        home = _home(ids[some], fragments)
+        by_home = np.argsort(home, kind="stable")
+        some, home = some[by_home], home[by_home]
+        ids, start, size = ids[some], start[some], size[some]
+        own_home = _home(own, fragments)
+        by_home = np.argsort(own_home, kind="stable")
+        own, own_n, own_c, own_home = own[by_home], own_n[by_home], own_c[by_home], own_home[by_home]
+        seg, seen = np.searchsorted(home, np.arange(fragments + 1)), np.searchsorted(own_home, np.arange(fragments + 1))
+        token = np.concatenate([[0], np.cumsum(size)])
+        used = np.flatnonzero((np.diff(seg) > 0) | (np.diff(seen) > 0))
+        take = np.repeat(start, size) + units.ragged(size)
+        gram, df, size = gram[take], df[take], size.astype(np.int32)
+        cut = lambda x, e: pa.array([x[e[i] : e[i + 1]].tobytes() for i in used], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), cut(ids, seg), cut(size, seg), cut(gram, token[seg]), cut(df, token[seg]), cut(own, seen), cut(own_n, seen), cut(own_c, seen)],
+            ["home", "ids", "sizes", "grams", "df", "own_ids", "own_n", "own_c"],
+        )
+
+    return fragment
+
+
+def gathered(percent: int):
+    """For mapInArrow: one row a document; its n-grams only if enough of them have another holder for any link."""
+
+    def home(batches):
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        ids, size = _joined(got, "ids", np.int64), _joined(got, "sizes", np.int32).astype(np.int64)
+        gram, df = _joined(got, "grams", np.int64), _joined(got, "df", np.int32)
+        own, n, c = _joined(got, "own_ids", np.int64), _joined(got, "own_n", np.int32), _joined(got, "own_c", np.int64).reshape(-1, 2)
+        order = np.argsort(own, kind="stable")
+        own, n, c = own[order], n[order], c[order]
+        at = np.searchsorted(own, ids)
+        total = np.bincount(at, size, len(own)).astype(np.int64)
+        may = (n > 0) & (100 * total >= percent * n.astype(np.int64))
+        start = np.cumsum(size) - size
+        seg = np.flatnonzero(may[at]) if len(at) else np.zeros(0, np.int64)
+        seg = seg[np.argsort(at[seg], kind="stable")]
+        take = np.repeat(start[seg], size[seg]) + units.ragged(size[seg])
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(may, total, 0))]).astype(np.int32))
+        mask = pa.array(~may)
+        columns = [pa.array(own), pa.array(n), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(gram[take]), mask=mask), pa.ListArray.from_arrays(offsets, pa.array(df[take]), mask=mask)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "grams", "df"])
+
+    return home
 
 
 def overlaps(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -162,34 +211,33 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     """
     docs = one_per_id(docs)
     count = parts(docs, 2.0)
-    dealt = segments(docs, n, count, chunk).repartitionById(count, F.col("frag")).mapInArrow(_fragment, SHARED)
-    table = dealt.groupBy("doc_id").agg(F.max("n").alias("n"), F.max("c1").alias("c1"), F.max("c2").alias("c2"), F.flatten(F.collect_list("grams")).alias("grams"), F.flatten(F.collect_list("df")).alias("df"))
-    may = F.expr(f"n > 0 and 100L * size(grams) >= {percent}L * n")
-    table = store(table.select("doc_id", "n", "c1", "c2", F.when(may, F.col("grams")).alias("grams"), F.when(may, F.col("df")).alias("df")), "jaccard-sets")
+    dealt = segments(docs, n, count, chunk).repartitionById(count, F.col("frag")).mapInArrow(held_twice(count), HELD)
+    table = store(dealt.repartitionById(count, F.col("home")).mapInArrow(gathered(percent), SETS), "jaccard-sets")
     classes = table.where("n > 0").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     member = store(table.select("doc_id", "n", "c1", "c2").join(classes, ["n", "c1", "c2"], "left").select("doc_id", F.col("n"), F.coalesce("rep", "doc_id").alias("rep")), "jaccard-classes")
     reps = member.where("doc_id = rep").select("doc_id")
-    held = store(
-        table.where("grams is not null").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "n", F.size("grams").alias("s"), F.array_sort(F.arrays_zip("df", "grams")).alias("z")),
-        "jaccard-reps",
-    )
     # a link needs ceil(percent * n / 100) common n-grams; n - s of the rarest have no other holder
-    prefix = held.select("doc", "n", "s", F.explode(F.expr(f"transform(slice(z, 1, cast(s - ({percent}L * n + 99) div 100 + 1 as int)), x -> x.grams)")).alias("gram"))
+    taken = F.expr(f"transform(slice(z, 1, cast(s - ({percent}L * n + 99) div 100 + 1 as int)), x -> x.grams)").alias("taken")
+    core = F.expr("aggregate(z, 0D, (a, x) -> a + ln(x.df)) / n").alias("core")  # highest where the set is nearest to what others hold
+    ranked = table.where("grams is not null").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "n", F.size("grams").alias("s"), "grams", F.array_sort(F.arrays_zip("df", "grams")).alias("z"))
+    held = store(ranked.select("doc", "n", "s", "grams", taken, core), "jaccard-reps")
+    prefix = held.select("doc", "n", "s", "core", F.posexplode("taken").alias("i", "gram")).select("doc", "n", "s", "core", "gram", (F.col("n") - F.col("s") + F.col("i") + 1).alias("r"))
     prefix = store(prefix, "jaccard-prefix")
     pieces = store(
-        held.select("doc", F.explode("z.grams").alias("gram")).groupBy("doc", F.expr(f"cast(pmod(xxhash64(gram), {VERIFY_FRAGMENTS}) as int)").alias("piece")).agg(F.collect_list("gram").alias("grams")),
+        held.select("doc", F.explode("grams").alias("gram")).groupBy("doc", F.expr(f"cast(pmod(xxhash64(gram), {VERIFY_FRAGMENTS}) as int)").alias("piece")).agg(F.collect_list("gram").alias("grams")),
         "jaccard-pieces",
     )
-    allowed = f"100L * least(s, s2) * {100 + percent} >= 100L * {percent} * (n + n2) and 100L * least(n, n2) >= {percent}L * greatest(n, n2)"
+    # sizes, shared n-grams, and what can still follow the first common n-gram at ranks r and r2
+    allowed = f"(1L + least(n - r, n2 - r2)) * {100 + percent} >= {percent}L * (n + n2) and 100L * least(s, s2) * {100 + percent} >= 100L * {percent} * (n + n2) and 100L * least(n, n2) >= {percent}L * greatest(n, n2)"
     linked = f"{100 + percent}L * overlap >= {percent}L * (n + n2)"
 
     def links(pairs: DataFrame) -> DataFrame:
         found = overlaps(pairs.select("a", "b"), pieces)
         return found.join(pairs, ["a", "b"]).where(linked).select("a", "b")
 
-    leaders = prefix.groupBy("gram").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("ratio"), (-F.col("doc")).alias("neg"), "n", "s")).alias("top"), F.count("*").alias("k")).where("k > 1")
+    leaders = prefix.groupBy("gram").agg(F.max(F.struct("core", (-F.col("doc")).alias("neg"), "n", "s", "r")).alias("top"), F.count("*").alias("k")).where("k > 1")
     star = (
-        prefix.join(leaders.select("gram", (-F.col("top.neg")).alias("doc2"), F.col("top.n").alias("n2"), F.col("top.s").alias("s2")), "gram")
+        prefix.join(leaders.select("gram", (-F.col("top.neg")).alias("doc2"), F.col("top.n").alias("n2"), F.col("top.s").alias("s2"), F.col("top.r").alias("r2")), "gram")
         .where(f"doc <> doc2 and {allowed}")
         .selectExpr("least(doc, doc2) as a", "greatest(doc, doc2) as b", "n", "n2")
         .groupBy("a", "b")
@@ -198,11 +246,11 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     star = store(star, "jaccard-star")
     edges = store(links(star), "jaccard-links")
     label = components(edges)
-    placed = prefix.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("gram", "doc", "n", "s", F.coalesce("component", "doc").alias("c"))
+    placed = prefix.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("gram", "doc", "n", "s", "r", F.coalesce("component", "doc").alias("c"))
     placed = store(placed, "jaccard-placed")
     mixed = placed.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("gram")
     left = placed.join(mixed, "gram")
-    right = left.select("gram", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("c").alias("c2"))
+    right = left.select("gram", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("r").alias("r2"), F.col("c").alias("c2"))
     cross = left.join(right, "gram").where(f"doc < doc2 and c <> c2 and {allowed}").select(F.col("doc").alias("a"), F.col("doc2").alias("b"), "n", "n2").distinct()
     cross = store(cross.join(star.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-cross")
     edges = store(edges.unionByName(links(cross)), "jaccard-links")
