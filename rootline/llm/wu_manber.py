@@ -179,7 +179,9 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, perc
     for k in range(blocks):
         part = _pass(docs, tables(k), percent, chunk, lane, True)
         found = part if found is None else found.unionByName(part)
-    found = found.groupBy("doc_id", "row").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
+    # equal rows find the same in a pass, so a set holds one list a pass, and each row counts once in every pass
+    found = found.groupBy("doc_id", "row").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"), F.count("*").alias("n"))
+    found = found.select("doc_id", "row", "n_words", "items", "spans", F.explode(F.expr(f"sequence(1L, n div {blocks})")))
 
     def finish(batches):
         for b in batches:

@@ -123,6 +123,16 @@ def test_benchmark_hits(spark, block_words):
     assert {x.doc_id: (x.n_words, x.n_hit, x.n_items, x.items_sha256, x.contaminated) for x in found.collect()} == brute_hits(docs, items, 7)
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 2])
+def test_benchmark_hits_of_repeated_rows(spark, block_words):
+    items = spark.createDataFrame([(1, "a b c d e f g"), (2, "h i j k l m n"), (3, "q r s t u v w")], "item_id long, text string")
+    rows = [(1, "x a b c d e f g h i j k l m n")] * 3 + [(None, "q r s t u v w")] * 2 + [(None, "none")] * 2 + [(4, None)] * 2 + [(1, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = wu_manber.find_benchmark(df, items, 7, block_words=block_words)
+    want = [(1, 15, 14, 2)] * 3 + [(None, 7, 7, 1)] * 2 + [(None, 1, 0, 0)] * 2 + [(4, 0, 0, 0)] * 2 + [(1, 1, 0, 0)]
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [(r.n_words, r.n_hit, r.contaminated) for r in wu_manber.find_benchmark(docs, spark.createDataFrame([], "item_id long, text string")).collect()] == [(2, 0, False)]
