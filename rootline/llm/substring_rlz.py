@@ -1,11 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing (operator 2).
+"""Substring dedup by anchors and window hashes, in place of relative Lempel-Ziv parsing (operator 2).
 
-All documents are reference blocks.  The index holds phrases of ``gram`` words, chosen so that every window of
-``window`` words holds one (see anchored.py), and the block in which each phrase stands first.  A document is factored
-greedily from left to right: a factor grows as long as the next window still occurs in a block of a smaller doc_id.
-Where a phrase has the same surroundings in every block, the index alone settles all windows around it; only windows
-at factor boundaries, whose phrases stand in differing surroundings, are looked up one by one by a 128-bit key.
-Factors of ``window`` words or more become the removed spans.
+The index holds phrases of ``gram`` words, chosen so that every window of ``window`` words holds one (see anchored.py),
+and the document in which each phrase stands first.  Where a phrase has the same surroundings in every document, the
+index alone settles all windows around it; the windows around phrases that stand in differing surroundings are looked up
+one by one by a 128-bit key.  No longest match is computed: a factor is the union of overlapping windows that occur in
+documents of a smaller doc_id, not necessarily one document.  Factors become the removed spans.
 
 Defined results: null and blank texts have no words and lose none; fewer words than a window lose none; a doc_id that
 repeats counts once (its least text), a row without doc_id is not returned; copies of one text lose everything but in
@@ -31,7 +30,7 @@ def _none(kind: str):
 
 
 def factors(n: int, window: int, copied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy factors, as starts and ends, from the sorted starts of windows that an earlier block holds."""
+    """Unions of overlapping windows, as starts and ends, from the sorted starts of windows that an earlier document holds."""
     lo, hi = to_ranges(copied)
     hi = hi + window
     if len(lo) > 1:  # windows that overlap continue the factor
