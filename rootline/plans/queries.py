@@ -333,6 +333,23 @@ def log_events(spark, d):
     return e.select("timestamp", "severity", "service", "actor", "verb", "resource", "path", "stage", "response_code", "http_class", "status_family", "failure_hint", "target", "failure_mode", "signature", "normalized_text", "embedding_text")
 
 
+def _document_records(spark, d):
+    texts = table(spark, d, "documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("source_file"), "text")
+    return logs.records(texts)
+
+
+@query
+def document_records(spark, d):
+    r = _document_records(spark, d)
+    return r.select(F.col("source_file").cast("long").alias("doc_id"), "record_no", "raw", F.col("json").isNotNull().alias("is_json"))
+
+
+@query
+def document_events(spark, d):
+    e = logs.events(_document_records(spark, d))
+    return e.select("event_id", "timestamp", "severity", "service", "actor", "verb", "resource", "path", "stage", "response_code", "http_class", "status_family", "failure_hint", "target", "failure_mode", "signature", "raw_text", "normalized_text", "embedding_text")
+
+
 @query
 def knn_topk(spark, d):
     v = table(spark, d, "embeddings")

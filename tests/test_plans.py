@@ -23,6 +23,30 @@ def test_partitions_and_order_do_not_matter(spark, small):
     assert rows(e) == rows(e.orderBy(F.rand(1)).repartition(7))
 
 
+def test_records_and_events_of_whole_documents(spark, small, tmp_path):
+    from rootline.plans import queries
+
+    given = [(1, queries.SAMPLE_LOG), (2, "b 2024-01-02 00:00:00\r\n\n more\n{}"), (3, ""), (4, None), (None, "x")]
+    spark.createDataFrame(given, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    known = __spark_entry__.queries()
+    records = known["document_records"](spark, str(tmp_path))
+    got = sorted((r.doc_id, r.record_no, r.raw, r.is_json) for r in records.collect())
+    sample = sorted((1, r.record_no, r.raw, r.is_json) for r in known["record_assembly"](spark, small).collect())
+    assert got == [*sample, (2, 1, "b 2024-01-02 00:00:00\n more", False), (2, 2, "{}", True)]
+    events = known["document_events"](spark, str(tmp_path)).collect()
+    assert len(events) == len({e.event_id for e in events}) == len(got) and {e.raw_text for e in events} == {x[2] for x in got}
+    columns = [c for c in known["log_events"](spark, small).columns]
+    assert {tuple(r) for r in known["log_events"](spark, small).collect()} <= {tuple(e[c] for c in columns) for e in events}
+
+    whole = known["document_records"](spark, small).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    back = {}
+    for r in sorted(whole, key=lambda r: (r.doc_id, r.record_no)):
+        back.setdefault(r.doc_id, []).append(r.raw)
+    assert {d: "\n".join(x) for d, x in back.items()} == {d: "\n".join(filter(None, t.replace("\r\n", "\n").split("\n"))) for d, t in texts.items() if t and t.strip("\r\n")}
+    assert known["document_events"](spark, small).count() == len(whole)
+
+
 def test_run_all(spark, small):
     e = stream_events(spark, small).where("run_id < '2024-01-06'").cache()
     tables = run_all(e, gap_seconds=1800)
