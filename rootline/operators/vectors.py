@@ -51,11 +51,16 @@ def representatives(vectors: DataFrame, label: str = "label") -> DataFrame:
 
 
 def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """The k vectors of largest inner product with each query.  queries must be few: joined by broadcast, checked first."""
-    if queries.count() > 10_000:
-        raise ValueError("give the queries in blocks of at most 10,000")
+    """The k vectors of largest inner product with each query.  Over 10,000 queries go in blocks by the hash of their id,
+    of 5,000 on average, each block joined by broadcast."""
+    count = queries.count()
+    blocks = 1 if count <= 10_000 else -(-count // 5_000)
     q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    j = vectors.crossJoin(F.broadcast(q)).where("vec_id <> query_id").select("query_id", "vec_id", F.round(dot("embedding", "q"), 5).alias("score"))
+    j = None
+    for i in range(blocks):
+        few = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) if blocks > 1 else q
+        part = vectors.crossJoin(F.broadcast(few)).where("vec_id <> query_id").select("query_id", "vec_id", F.round(dot("embedding", "q"), 5).alias("score"))
+        j = part if j is None else j.unionByName(part)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -70,3 +70,15 @@ def test_vectors(spark, small):
     assert vectors.kmeans(v).count() == v.count()
     assert vectors.hashed_vectors(spark.createDataFrame([("a b",), ("a b",), ("c",)], "embedding_text string")).count() == 2
     assert vectors.kmeans_k(10) == 8 and vectors.kmeans_k(3) == 3 and vectors.kmeans_k(100_000) == 300
+
+
+def test_nearest_vectors_of_many_queries(spark):
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    few, many = r.normal(size=(6, 3)).astype("float32"), r.normal(size=(10_001, 3)).astype("float32")
+    frame = lambda ids, x: spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    got = vectors.nearest_vectors(frame(range(6), few), frame(range(10_001), many), 2).collect()
+    score = np.round(many.astype(float) @ few.astype(float).T, 5)
+    want = {(q, v, n + 1) for q in range(10_001) for n, v in enumerate(sorted((i for i in range(6) if i != q), key=lambda i: (-score[q, i], i))[:2])}
+    assert {(x.query_id, x.vec_id, x["rank"]) for x in got} == want and len(got) == 20_002
