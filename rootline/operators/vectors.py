@@ -94,8 +94,8 @@ def density_clusters(vectors: DataFrame, distance: float = 0.35, min_size: int =
     """(vec_id, cluster): connected groups of vectors within a cosine distance; small groups are noise (-1).
 
     Stands in for hierarchical density clustering, which has no distributed counterpart.  Candidate pairs share a bucket
-    of sign bits of random directions (an approximation, checked exactly afterwards); labels spread along links until
-    they stay, at most 20 rounds.
+    of sign bits of random directions (an approximation, checked exactly afterwards); labels spread along links, and
+    each label takes on the label of the vector it names, until they stay the same.
     """
     import numpy as np
 
@@ -108,9 +108,11 @@ def density_clusters(vectors: DataFrame, distance: float = 0.35, min_size: int =
     pairs = b.alias("a").join(b.alias("b"), "key").where("a.vec_id < b.vec_id").select(F.col("a.vec_id").alias("a"), F.col("b.vec_id").alias("b"), (1 - dot("a.e", "b.e")).alias("far")).where(F.col("far") <= distance).select("a", "b").distinct()
     links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).persist()
     label = v.select("vec_id", F.col("vec_id").alias("cluster"))
-    for _ in range(20):
+    while True:
         spread = links.join(label.withColumnRenamed("vec_id", "b"), "b").groupBy("a").agg(F.min("cluster").alias("least"))
         after = label.join(spread, label.vec_id == spread.a, "left").select("vec_id", F.least("cluster", F.coalesce("least", "cluster")).alias("cluster")).checkpoint()
+        named = after.select(F.col("vec_id").alias("cluster"), F.col("cluster").alias("further"))
+        after = after.join(named, "cluster").select("vec_id", F.col("further").alias("cluster")).checkpoint()
         if after.join(label.withColumnRenamed("cluster", "old"), "vec_id").where("cluster <> old").isEmpty():
             break
         label = after
