@@ -6,11 +6,13 @@ words can be skipped, and suffix-hash buckets, which list the patterns that end
 are searched at once: each text is cut into lanes, and all lanes of a chunk take their next jump together.  A window
 that reaches shift 0 and whose bucket holds its hash is compared with the pattern strings themselves.
 
-The benchmark goes to every task in blocks of at most ``block_words`` words, one pass of the documents for each block,
-so what is broadcast is bounded however large the benchmark is.
+The benchmark is cut into blocks of about ``block_words`` words.  Documents are read once: a task holds some of them,
+takes one block's tables after the other from its disk, and lets them go again, so a task's memory is that of one block
+however large the benchmark is.
 
 Defined results: null and blank texts have no words, hits or items; a null benchmark text or item_id has no windows;
-items that repeat count once.  Documents are handled row by row: repeated rows give repeated results.
+items that repeat count once.  Documents are handled row by row: repeated rows and rows without doc_id give a row each;
+a very long text is one chunk of its own; extra columns, whatever their names, are ignored.
 """
 
 import hashlib
@@ -21,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import documents
+from .shared import Sent, documents
 
 TABLE_BITS = 16
 FOUND = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start:int,length:int>>"
-PARTIAL = "doc_id long, row long, n_words long, items array<string>, spans array<struct<start:int,length:int>>"
 
 
 class Patterns:
@@ -105,11 +106,9 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> list[dict]:
     return [{"start": a, "length": b - a} for a, b in out]
 
 
-def _found(ids, rows, n_words, items, spans, percent, partial):
+def _rows(ids, n_words, items, spans, percent):
     span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
     items = [sorted(x) for x in items]
-    if partial:
-        return pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.int64()), pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, span)], ["doc_id", "row", "n_words", "items", "spans"])
     hit = [sum(s["length"] for s in x) for x in spans]
     return pa.RecordBatch.from_arrays(
         [
@@ -126,69 +125,75 @@ def _found(ids, rows, n_words, items, spans, percent, partial):
     )
 
 
-def _pass(docs: DataFrame, tables, percent: int, chunk: int, lane: int, partial: bool) -> DataFrame:
-    """docs: doc_id, text and, for a partial pass, row."""
+class Chunk:
+    """Words and hashes of some documents, and what the blocks searched so far have found in them."""
 
-    def search(batches):
-        mask, lower = units.word_mask(units.NOT_ALNUM), units.lower_table()
-        roll, seq = units.Rolling(), units.Rolling(base=0xC2B2AE3D27D4EB4F)
-        for batch in batches:
-            for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
-                starts, ends, bounds = units.words(data, offsets, mask)
-                data = lower[data]
-                prefix = seq.prefix(roll.words(data, starts, ends))
-                raw = data.tobytes()
-                items, edges = [set() for _ in range(hi - lo)], [([], []) for _ in range(hi - lo)]
-                for table in tables.value:
-                    at = table.search(prefix, seq, bounds, lane)
-                    row = np.searchsorted(bounds, at, "right") - 1
-                    for a, r in zip(at.tolist(), row.tolist()):
-                        text = b" ".join(raw[starts[i] : ends[i]] for i in range(a, a + table.length))
-                        if text in table.items:
-                            items[r].update(table.items[text])
-                            edges[r][0].append(a - int(bounds[r]))
-                            edges[r][1].append(a - int(bounds[r]) + table.length)
-                spans = [_spans(np.array(a), np.array(b)) for a, b in edges]
-                rows = batch.column(2).slice(lo, hi - lo) if partial else None
-                yield _found(batch.column(0).slice(lo, hi - lo), rows, np.diff(bounds), items, spans, percent, partial)
-
-    return docs.mapInArrow(search, PARTIAL if partial else FOUND)
-
-
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, percent: int = 5, block: int = 3, block_words: int = 2_000_000, chunk: int = 4 << 20, lane: int = 256) -> DataFrame:
+    def __init__(self, ids, data, offsets, mask, lower, roll, seq):
+        self.ids, n = ids, len(offsets) - 1
+        self.starts, self.ends, self.bounds = units.words(data, offsets, mask)
+        data = lower[data]
+        self.prefix, self.raw = seq.prefix(roll.words(data, self.starts, self.ends)), data.tobytes()
+        self.items, self.edges = [set() for _ in range(n)], [([], []) for _ in range(n)]
+
+    def search(self, tables: list[Patterns], seq: units.Rolling, lane: int) -> None:
+        for table in tables:
+            at = table.search(self.prefix, seq, self.bounds, lane)
+            row = np.searchsorted(self.bounds, at, "right") - 1
+            for a, r in zip(at.tolist(), row.tolist()):
+                text = b" ".join(self.raw[self.starts[i] : self.ends[i]] for i in range(a, a + table.length))
+                if text in table.items:
+                    self.items[r].update(table.items[text])
+                    self.edges[r][0].append(a - int(self.bounds[r]))
+                    self.edges[r][1].append(a - int(self.bounds[r]) + table.length)
+
+    def rows(self, percent: int):
+        return _rows(self.ids, np.diff(self.bounds), self.items, [_spans(np.array(a), np.array(b)) for a, b in self.edges], percent)
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, percent: int = 5, block: int = 3, block_words: int = 2_000_000, chunk: int = 4 << 20, lane: int = 256, hold: int = 32 << 20) -> DataFrame:
     """One row a document: words, words inside any occurrence of a pattern, the items, and whether that is contamination.
 
-    contaminated: some word is hit, and at least ``percent`` per cent of the words are.
+    contaminated: some word is hit, and at least ``percent`` per cent of the words are.  hold: bytes of documents that a
+    task searches with a block before it takes the next one, if there are several.
     """
     if not (1 <= block <= window):
         raise ValueError("block must lie between 1 and window")
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // (block_words * 6)))
+    count = max(1, -(-size // (block_words * 6)))
 
     def tables(k):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        return spark.sparkContext.broadcast(build([(r.item_id, r.text) for r in rows], window, block))
-
-    docs = docs.select("doc_id", "text")
-    if blocks == 1:
-        return _pass(docs, tables(0), percent, chunk, lane, False)
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = None
-    for k in range(blocks):
-        part = _pass(docs, tables(k), percent, chunk, lane, True)
-        found = part if found is None else found.unionByName(part)
-    # equal rows find the same in a pass, so a set holds one list a pass, and each row counts once in every pass
-    found = found.groupBy("doc_id", "row").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"), F.count("*").alias("n"))
-    found = found.select("doc_id", "row", "n_words", "items", "spans", F.explode(F.expr(f"sequence(1L, n div {blocks})")))
-
-    def finish(batches):
-        for b in batches:
-            spans = [_spans(np.array([s["start"] for s in x]), np.array([s["start"] + s["length"] for s in x])) for x in b.column(4).to_pylist()]
-            yield _found(b.column(0), None, b.column(2).to_pylist(), b.column(3).to_pylist(), spans, percent, False)
-
-    return found.mapInArrow(finish, FOUND)
+        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k).collect()
+        return Sent(spark, build([(r.item_id, r.text) for r in rows], window, block))
+
+    blocks = [tables(k) for k in range(count)]
+
+    def search(batches):
+        mask, lower = units.word_mask(units.NOT_ALNUM), units.lower_table()
+        roll, seq = units.Rolling(), units.Rolling(base=0xC2B2AE3D27D4EB4F)
+        single = blocks[0].load() if len(blocks) == 1 else None
+        held, size = [], 0
+
+        def finish():
+            for sent in blocks:
+                found = single or sent.load(again=True)
+                for c in held:
+                    c.search(found, seq, lane)
+            for c in held:
+                yield c.rows(percent)
+            held.clear()
+
+        for batch in batches:
+            for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
+                held.append(Chunk(batch.column(0).slice(lo, hi - lo), data, offsets, mask, lower, roll, seq))
+                size += len(data)
+                if len(blocks) == 1 or size >= hold:
+                    yield from finish()
+                    size = 0
+        yield from finish()
+
+    return docs.select("doc_id", "text").mapInArrow(search, FOUND)
 
 
 def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
