@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .html_dom import Page, decode, statistics
-from .shared import documents
+from .shared import Sent, documents
 
 TEXTS = "page_id long, url string, text string, n_chars long"
 MARK = ""
@@ -245,17 +245,17 @@ def train(count: int = 700, seed: int = 20) -> Trees:
 
 def extract(pages: DataFrame, model: Trees | None = None, group: int = 200) -> DataFrame:
     """page_id, url, text and n_chars of every page; model: fitted trees, else they are fitted first."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or train())
+    shared = Sent(pages.sparkSession, model or train())
 
     def rows(batches):
-        seen: dict = {}
+        trees, seen = shared.load(), {}
         for batch in batches:
             sources = batch.column(2)
             for lo in range(0, batch.num_rows, group):
                 part = sources.slice(lo, group).to_pylist()
                 read = [Page(x or "", seen) for x in part]
                 x, first = statistics(read)
-                margin = shared.value.margin(x)
+                margin = trees.margin(x)
                 yes, no = -np.logaddexp(0, -margin), -np.logaddexp(0, margin)
                 texts = [p.text(decode(p.parent, yes[first[i] : first[i + 1]], no[first[i] : first[i + 1]])) for i, p in enumerate(read)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, group), batch.column(1).slice(lo, group), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import documents, store
+from .shared import Sent, documents, store
 
 PREFIXES = (4, 5, 6, 7, 8)
 GRADES = 3
@@ -99,11 +99,11 @@ def _matrix(texts: DataFrame, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """Labels, and row, column and count of the selected features, of the sample."""
 
     def find(batches):
-        features = Features()
+        features, known = Features(), lookup.load()
         for batch in batches:
             for lo, hi, data, offsets in units.text_chunks(batch, "text", 1 << 20):
-                n, width = hi - lo, len(lookup.value.hashes)
-                pairs = [lookup.value.find(row, h) for row, h in features.read(data, offsets)]
+                n, width = hi - lo, len(known.hashes)
+                pairs = [known.find(row, h) for row, h in features.read(data, offsets)]
                 key, times = np.unique(np.concatenate([r * width + c for r, c in pairs]), return_counts=True)
                 packed = batch.column(1).slice(lo, n).to_numpy(zero_copy_only=False).astype(np.int8), (key // max(1, width)).astype(np.int32), (key % max(1, width)).astype(np.int32), times.astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["toxic", "row", "at", "times"])
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, most: int
         return lookup, np.zeros(0), np.full(GRADES, 10.0)
     known = labels.where("toxic is not null").agg(F.sum(F.expr("if(toxic > 0, 1, 0)")).alias("bad"), F.count("*").alias("n")).first()
     ratio = max(1.0, (known.n - known.bad) / number[0] * number[1] / known.bad)  # the sample may hold a smaller share of clean texts
-    toxic, row, col, times = _matrix(texts, spark.sparkContext.broadcast(lookup))
+    toxic, row, col, times = _matrix(texts, Sent(spark, lookup))
     held = np.bincount(row, times, len(toxic))
     cuts = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
     y = np.where(toxic == 1, 1 + np.searchsorted(cuts, held, "left"), 0)
@@ -158,10 +158,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, most: int
 
 def score(docs: DataFrame, model, chunk: int = 2 << 20) -> DataFrame:
     """doc_id, severity (expected grade), grade, toxic and the grades' probabilities of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Sent(docs.sparkSession, model)
 
     def rows(batches):
-        lookup, w, theta = shared.value
+        lookup, w, theta = shared.load()
         features = Features()
         for batch in batches:
             for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):

@@ -1,15 +1,15 @@
-"""What several operators need from Spark: partition counts, stored tables and bounded document filters."""
+"""What several operators need from Spark: partition counts, values sent to executors and bounded document filters."""
 
-import atexit
-import shutil
-import tempfile
-import uuid
+import pickle
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import new_path, store  # noqa: F401  (operators take them from here)
+
 FILTER_BITS = 1 << 25
 PIECE_BITS = 1 << 19
 PART_BYTES = 16 << 20
@@ -19,23 +19,18 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share: what spark.checkpoint.dir names, else a local one (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="rootline-")
-        atexit.register(shutil.rmtree, base, True)
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+class Sent:
+    """A value sent to all executors as bytes that carry its classes, so that workers need no copy of this package."""
 
+    def __init__(self, spark: SparkSession, value):
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: lineage ends there, and a lost executor costs no rerun."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def load(self, again: bool = False):
+        """The value, on an executor; again: its bytes are dropped from memory, to be read from disk the next time."""
+        value = pickle.loads(self.data.value)
+        if again:
+            self.data.__dict__.pop("_value", None)
+        return value
 
 
 def parts(df: DataFrame, per_byte: float = 1.0) -> int:
