@@ -216,6 +216,36 @@ def test_level_minimises_the_sum_of_squares():
         assert after(levels.place(n)) == min(map(after, fits))
 
 
+def test_full_levels_cut_by_the_sum_of_squares():
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        levels = ss_packing.Levels(16, most=4)
+        levels.count[r.integers(1, 16, 4)] += 1
+        levels.count[3] += 2
+        n = int(r.integers(1, 16))
+
+        def after(h):
+            c = levels.count.copy()
+            c[h] -= 1
+            if (h + n) % 16:
+                c[(h + n) % 16] += 1
+            return int((c[1:] ** 2).sum())
+
+        assert after(levels.place(n)) == min(after(h) for h in range(1, 16) if levels.count[h])
+
+
+def test_ids_of_all_documents(spark, small):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(ss_packing.vocabulary())
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    hard = [" ", "a \n b", "a\t b", "it's 's x 't", " \u00a0 b", "a\u2003b \u3000 c", "<|endoftext|> a", "1 2 3.5", "\x00 a", "\n a \n", "e\u0301 e", " x", "x "]
+    texts |= {-1 - i: t for i, t in enumerate(hard)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    rows = ss_packing.pack(df, ss_packing.vocabulary()).collect()
+    check_packing(rows, texts, 2048, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids)
+
+
 @pytest.mark.parametrize("module,name", [(line_winnow, "op5_line_winnow"), (wu_manber, "op6_wu_manber"), (license_diagonals, "op7_license_diagonals"), (mih_search, "op8_mih_search")])
 def test_oracle(spark, small, module, name):
     from tests.test_oracle import plain
