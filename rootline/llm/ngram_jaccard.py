@@ -1,6 +1,6 @@
 """N-gram Jaccard join by vertical partitioning (operator 3).
 
-A document is the set of its distinct word n-grams, as 52-bit hashes.  The global n-gram order is cut into fragments;
+A document is the set of its distinct word n-grams, as 64-bit hashes, which are carried whole at any input size.  The global n-gram order is cut into fragments;
 every document sends each fragment its segment, packed, in one exchange.  A fragment sees every holder of its n-grams
 and so knows their document frequencies: n-grams of one document only are dropped there, and what remains of a
 document, with the number dropped, bounds any overlap it can have.  Documents that cannot reach the threshold with
@@ -13,7 +13,8 @@ are paired, if their sizes, bounds and the ranks of the common n-gram allow a li
 formed, so a group of thousands of near copies costs about one pair a member, and no link between components is lost.
 
 Defined results: null, empty and blank texts have no shingles and are their own component; fewer words than n make one
-shingle; a doc_id that repeats counts once (its least text), a row without doc_id is not returned.
+shingle; a doc_id that repeats counts once (its least text), a row without doc_id is not returned; a very long text is
+one set like any other; extra columns, whatever their names, are ignored.
 """
 
 import numpy as np
@@ -25,8 +26,8 @@ from . import units
 from .graph import components
 from .shared import documents, one_per_id, parts, store
 
-DOC_BITS = 12
-SEGMENTS = "frag int, ids binary, counts binary, low binary, high binary, own_ids binary, own_n binary, own_c binary"
+CHUNK_ROWS = 1 << 12
+SEGMENTS = "frag int, ids binary, counts binary, grams binary, own_ids binary, own_n binary, own_c binary"
 HELD = "home int, ids binary, sizes binary, grams binary, df binary, own_ids binary, own_n binary, own_c binary"
 SETS = "doc_id long, n int, c1 long, c2 long, grams array<long>, df array<int>"
 VERIFY_FRAGMENTS = 8
@@ -49,26 +50,23 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
 
     Of equal sets in a chunk only the smallest doc_id sends segments; all send size and digest.
     """
-    frag_bits = max(1, (fragments - 1).bit_length())
-    bits = min(48, 64 - DOC_BITS - frag_bits)
-
     def rows(batches):
         mask, lower = units.word_mask(units.SPACES), units.lower_table()
         roll, seq = units.Rolling(), units.Rolling(base=0xC2B2AE3D27D4EB4F)
         for whole in batches:
-            for part in range(0, whole.num_rows, 1 << DOC_BITS):
-                batch = whole.slice(part, 1 << DOC_BITS)
+            for part in range(0, whole.num_rows, CHUNK_ROWS):
+                batch = whole.slice(part, CHUNK_ROWS)
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
                 for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
                     row, gram = gram_sets(data, offsets, n, mask, lower, roll, seq)
-                    frag = ((gram >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-                    key = (((row.astype(np.uint64) << np.uint64(frag_bits)) | frag) << np.uint64(bits)) | (gram & np.uint64((1 << bits) - 1))
-                    key.sort()
-                    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
-                    row = (key >> np.uint64(frag_bits + bits)).astype(np.int64)
+                    order = np.argsort(gram)
+                    order = order[np.argsort(row[order].astype(np.uint16), kind="stable")]
+                    row, gram = row[order], gram[order]
+                    new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])]) if len(gram) else np.zeros(0, bool)
+                    row, gram = row[new], gram[new]
+                    frag = (((gram >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
                     size = np.bincount(row, minlength=hi - lo)
                     bounds = np.concatenate([[0], np.cumsum(size)])
-                    gram = key & np.uint64((1 << (frag_bits + bits)) - 1)
                     digest = []
                     for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
                         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(units.mix(gram * np.uint64(salt) + np.uint64(salt >> 7)))])
@@ -81,17 +79,14 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
                         same &= x[order][1:] == x[order][:-1]
                     again[order[1:][same]] = True
                     # segments of (row, fragment), then by fragment
-                    seg_key = key >> np.uint64(bits)
-                    first = np.flatnonzero(np.concatenate([[True], seg_key[1:] != seg_key[:-1]])) if len(key) else np.zeros(0, np.int64)
-                    count = np.diff(np.concatenate([first, [len(key)]]))
-                    seg_row = row[first]
-                    seg_frag = (seg_key[first] & np.uint64((1 << frag_bits) - 1)).astype(np.int64)
+                    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (frag[1:] != frag[:-1])])) if len(gram) else np.zeros(0, np.int64)
+                    count = np.diff(np.concatenate([first, [len(gram)]]))
+                    seg_row, seg_frag = row[first], frag[first]
                     sent = np.flatnonzero(~again[seg_row])
                     sent = sent[np.argsort(seg_frag[sent], kind="stable")]
                     first, count, seg_row, seg_frag = first[sent], count[sent], seg_row[sent], seg_frag[sent]
                     take = np.repeat(first, count) + units.ragged(count)
-                    token = key[take] & np.uint64((1 << bits) - 1)
-                    low, high = token.astype(np.uint32), (token >> np.uint64(32)).astype(np.uint16)
+                    token = gram[take]
                     home = _home(doc, fragments)
                     home_order = np.argsort(home, kind="stable")
                     home = home[home_order]
@@ -104,8 +99,8 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
                     own_c = np.stack(digest, axis=1)[home_order]
                     cut = lambda x, e: pa.array([x[e[f] : e[f + 1]].tobytes() for f in used], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(used, pa.int32()), cut(seg_id, edge), cut(count, edge), cut(low, token_edge), cut(high, token_edge), cut(own_id, home_edge), cut(own_n, home_edge), cut(own_c, home_edge)],
-                        ["frag", "ids", "counts", "low", "high", "own_ids", "own_n", "own_c"],
+                        [pa.array(used, pa.int32()), cut(seg_id, edge), cut(count, edge), cut(token, token_edge), cut(own_id, home_edge), cut(own_n, home_edge), cut(own_c, home_edge)],
+                        ["frag", "ids", "counts", "grams", "own_ids", "own_n", "own_c"],
                     )
 
     return docs.select("doc_id", "text").mapInArrow(rows, SEGMENTS)
@@ -127,12 +122,8 @@ def held_twice(fragments: int):
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        number = np.concatenate([np.array([len(x) // 4 for x in b.column(3).to_pylist()], np.int64) for b in got])
-        frag = np.concatenate([b.column(0).to_numpy() for b in got]).astype(np.uint64)
         ids, count = _joined(got, "ids", np.int64), _joined(got, "counts", np.uint32).astype(np.int64)
-        gram = _joined(got, "low", np.uint32).astype(np.uint64)
-        gram |= _joined(got, "high", np.uint16).astype(np.uint64) << np.uint64(32)
-        gram |= np.repeat(frag & np.uint64(0xFFFF), number) << np.uint64(48)
+        gram = _joined(got, "grams", np.uint64)
         own, own_n, own_c = _joined(got, "own_ids", np.int64), _joined(got, "own_n", np.int32), _joined(got, "own_c", np.int64).reshape(-1, 2)
         del got
         order = np.argsort(gram)
