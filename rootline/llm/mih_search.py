@@ -8,9 +8,12 @@ more bits than that.  The radius grows until the k-th verified Hamming distance
 Equal codes are one index entry that keeps its k + 1 smallest ids (more can never be returned), summed up before the
 shuffle, so a vector that fills a third of the table is one entry.  The index lies in shards; queries, the rows whose
 id is divisible by ``every``, go to all shards in blocks of bounded size, and each shard returns k + 1 rows a query.
+With several blocks, each block's result is written before the next one is sent, so neither the plan nor what is held
+for sending grows with the number of queries.
 
 Defined results: a null id or vector is left out; of an id that repeats the least code counts; missing or null
-components give a 0 bit; a query is not its own neighbour; equal distances rank by id; fewer than k others give fewer.
+components give a 0 bit; a query is not its own neighbour; equal distances rank by id; fewer than k others give fewer;
+components after the 64th and extra columns, whatever their names, are ignored.
 """
 
 from itertools import combinations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import documents, parts, store
+from .shared import documents, new_path, parts, store
 
 HITS = "query_id long, neighbor_id long, distance int"
 
@@ -109,7 +112,7 @@ class Shard:
         return at, far
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 100, segments: int = 4, block: int = 4096) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 10, every: int = 100, segments: int = 4, block: int = 65_536) -> DataFrame:
     """query_id, rank, neighbor_id, distance: the k nearest others of each row whose id is divisible by ``every``."""
     if segments not in (4, 8, 16):
         raise ValueError("segments must be 4, 8 or 16")
@@ -117,19 +120,22 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, segments: int = 4,
     index = store(entries(codes, k + 1).repartition(parts(codes), "code"), "mih-index")
     queries = codes.where(F.pmod("id", F.lit(every)) == 0)
     blocks = max(1, -(-queries.count() // block))
-    spark, found = codes.sparkSession, None
-    for i in range(blocks):
+    spark = codes.sparkSession
+    best = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+
+    def found(i: int):
+        """The broadcast queries of a block and their ranked neighbours."""
         few = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).orderBy("id").collect()
         shared = spark.sparkContext.broadcast((np.array([r.id for r in few], np.int64), np.array([r.code for r in few], np.int64).view(np.uint64)))
 
-        def search(batches, shared=shared):
+        def search(batches):
             got = [b for b in batches if b.num_rows]
             if not got:
                 return
             ids = pa.chunked_array([b.column(1) for b in got]).combine_chunks()
             edge, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
             shard = Shard(np.concatenate([b.column(0).to_numpy() for b in got]).view(np.uint64), np.diff(edge), segments)
-            out = []
+            out, rows = [], 0
             for q, code in zip(*shared.value):
                 at, far = shard.nearest(code, k + 1)
                 size = np.diff(edge)[at]
@@ -138,13 +144,24 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, segments: int = 4,
                 order = np.lexsort((near, far))
                 order = order[near[order] != q][:k]
                 out.append((np.full(len(order), q), near[order], far[order].astype(np.int32)))
+                rows += len(order)
+                if rows >= 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["query_id", "neighbor_id", "distance"])
+                    out, rows = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["query_id", "neighbor_id", "distance"])
 
-        part = index.mapInArrow(search, HITS)
-        found = part if found is None else found.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "neighbor_id", "distance")
+        rows = index.mapInArrow(search, HITS).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return shared, rows.select("query_id", "rank", "neighbor_id", "distance")
+
+    if blocks == 1:
+        return found(0)[1]
+    path = new_path(spark, "mih-found")
+    for i in range(blocks):
+        shared, rows = found(i)
+        rows.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def op8_mih_search(spark: SparkSession, sf_dir: str) -> DataFrame:
