@@ -7,12 +7,14 @@ on the bucket identifiers that stand 8, 16, 32, ... bytes later, and each pass u
 before has updated; suffixes alone in their bucket leave.  Members that still share a bucket at full depth are equal
 strings, compared byte by byte, and all but the earliest are removed.
 
-A bucket with more than ``hot`` members is not gathered in one task: its strings are keyed one by one by a 128-bit
-hash, counted with partial sums and joined, which gives the same result for a bucket of any size.
+A bucket with more than ``hot`` members is not gathered in one task.  It is split by all ``window`` bytes of its strings
+at once: Spark groups the strings themselves with partial sums and joins them, so equal ones are compared byte by byte
+there too, and the result is the same for a bucket of any size.
 
 Defined results: null is empty; texts shorter than ``window`` lose nothing; a text equal to one of a smaller doc_id
 loses everything; a doc_id that repeats counts once (its least text), a row without doc_id is not returned; matches
-never cross texts but may overlap each other within one.  Extra columns are ignored.
+never cross texts but may overlap each other within one; very long texts are chunks of their own.  Extra columns,
+whatever their names, are ignored.
 """
 
 import hashlib
@@ -67,11 +69,11 @@ def refine(data: np.ndarray, at: np.ndarray, depth: int, q: int = 8) -> np.ndarr
 
 
 def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) -> DataFrame:
-    """Strings around the open anchors of each text: slices of neighbouring strings, or (keyed) one key each for hot anchors."""
-    column, schema = ("hot_at", "k1 long, k2 long, doc_id long, start int") if keyed else ("open_at", SLICE)
+    """Strings around the open anchors of each text: slices of neighbouring strings, or (keyed) one row each for hot anchors."""
+    column, schema = ("hot_at", "body binary, doc_id long, start int") if keyed else ("open_at", SLICE)
 
     def rows(batches):
-        reader, second = Reader(spec), units.Rolling(base=0x165667B19E3779F9, seed=11)
+        reader = Reader(spec)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             open_at, done_at = lists(batch, column), lists(batch, "anchors")
@@ -89,9 +91,12 @@ def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) ->
                     continue
                 if keyed:
                     row = np.searchsorted(reader.bounds, s, "right") - 1
-                    other = second.prefix(second.bytes[data])
-                    columns = reader.hash.span(reader.prefix, s, s + spec.window).view(np.int64), second.span(other, s, s + spec.window).view(np.int64), ids[lo:hi][row], (s - base[row]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["k1", "k2", "doc_id", "start"])
+                    doc, start = ids[lo:hi][row], (s - base[row]).astype(np.int32)
+                    strings = np.lib.stride_tricks.sliding_window_view(data, spec.window)
+                    for part in range(0, len(s), 1 << 16):
+                        some = strings[s[part : part + (1 << 16)]]
+                        body = pa.FixedSizeBinaryArray.from_buffers(pa.binary(spec.window), len(some), [None, pa.py_buffer(some.tobytes())])
+                        yield pa.RecordBatch.from_arrays([body.cast(pa.binary()), pa.array(doc[part : part + len(some)]), pa.array(start[part : part + len(some)])], ["body", "doc_id", "start"])
                     continue
                 new = np.concatenate([[True], (np.diff(s) > 1) | (reader.grams[own][1:] != reader.grams[own][:-1])])
                 first = s[new]
@@ -167,7 +172,7 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 28, hot: int = 50_000, chunk: int = 1 << 20) -> DataFrame:
     """One row a document: bytes, removed bytes, sha256 of the rest, and the maximal removed runs.
 
-    hot: members from which a bucket is keyed string by string instead of sorted in one task.
+    hot: members from which a bucket is grouped string by string by Spark instead of sorted in one task.
     """
     if not 8 <= gram <= window:
         raise ValueError("gram must lie between 8 and window")
@@ -185,9 +190,9 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 28, hot: int
     )
     ranges = _sort_buckets(_window_rows(docs, seeds, spec, False), spec, parts(docs, 0.6))
     if not seeds.where(F.size("hot_at") > 0).isEmpty():
-        keys = _window_rows(docs, seeds, spec, True).repartition(parts(docs, 0.6), "k1", "k2")
-        firsts = keys.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        later = keys.join(firsts.hint("shuffle_hash"), ["k1", "k2"]).where("first.doc_id <> doc_id or first.start <> start")
+        strings = store(_window_rows(docs, seeds, spec, True), "bpr-strings")
+        firsts = strings.groupBy("body").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+        later = strings.join(firsts, "body").where("first.doc_id <> doc_id or first.start <> start")
         ranges = ranges.unionByName(later.select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi")))
     single = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("r")).select("doc_id", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"))
     copies = equal_texts(docs).withColumn("whole", F.lit(True))
