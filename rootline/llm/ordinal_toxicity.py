@@ -1,17 +1,19 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features (operator 4).
 
-Grades are 0 (not toxic) to 3.  The labels only say toxic or not; a toxic labelled text gets grade 1, 2 or 3 by the
-tertile of how many indicative words it holds, which are those the labels themselves single out.  The model is
-P(grade <= j) = F(theta_j - w.x) with the logistic F: one weight vector for all ordered thresholds.  x holds log counts
+Grades are 0 (not toxic) to 3.  The labels say toxic or not, and nothing in them orders toxic texts (their quality does
+not: as a second threshold it halved the toxic texts found).  So the labelled sample is cut in two, a model of one half
+rates the toxic texts of the other, and the tertile of that rating is a text's grade; no text is graded by a model that
+has seen its label.  The model is P(grade <= j) = F(theta_j - w.x) with the logistic F: one weight vector for all ordered thresholds.  x holds log counts
 of whole words and of word beginnings (inflected insults share a beginning), as exact 64-bit hashes of the features
-that training selected.  The output is the expected grade, the most likely grade, and whether grade 0 is the less
-likely side.
+that training selected.  The output is the expected grade, the median grade (the largest that the text reaches with a
+likelihood of a half or more), and whether that is above 0.
 
 Training reads at most ``per_class`` labelled texts of each class, those with the least hash of doc_id (a documented
 bound; the default takes 10,000 each).  Scoring reads every text whole, shuffles nothing and is a row by row map.
 
-Defined results: null, empty and blank texts score as texts without features; labels that are null or have no text are
-not used; without toxic or without clean labels nothing is toxic; repeated rows give repeated results.
+Defined results: null, empty and blank texts score as texts without features; labels without a toxic value or text are
+not used; of labels that contradict each other toxic counts; without toxic or without clean labels nothing is toxic; repeated rows and rows without doc_id are scored one by
+one; a very long text is one row like any other; extra columns, whatever their names, are ignored.
 """
 
 import numpy as np
@@ -137,21 +139,31 @@ def fit(y: np.ndarray, row: np.ndarray, col: np.ndarray, x: np.ndarray, width: i
     return w, theta
 
 
+def grades(toxic: np.ndarray, row: np.ndarray, col: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
+    """0 for clean texts; toxic ones get the tertile, from 1, of their rating by a model of the half without them."""
+    half, rating = np.arange(len(toxic)) % 2, np.zeros(len(toxic))
+    for h in (0, 1):
+        known = half[row] != h
+        number = np.cumsum(half != h) - 1
+        w, _ = fit(toxic[half != h], number[row[known]], col[known], x[known], width, 1, steps=300)
+        rating += np.where(half == h, np.bincount(row, w[col] * x, len(toxic)), 0)
+    cuts = np.quantile(rating[toxic == 1], np.arange(1, GRADES) / GRADES)
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, rating, "left"), 0)
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, most: int = 4000):
     """(lookup, weights, thresholds); no features when a class is missing."""
     texts = store(sample(docs, labels, per_class), "toxic-sample")
     spark = docs.sparkSession
     number = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    hashes = _select(texts, number.get(1, 0), most) if number.get(0) and number.get(1) else np.zeros(0, np.uint64)
+    hashes = _select(texts, number[1], most) if len(number) == 2 else np.zeros(0, np.uint64)
     lookup = Lookup(hashes)
     if not len(hashes):
         return lookup, np.zeros(0), np.full(GRADES, 10.0)
     known = labels.where("toxic is not null").agg(F.sum(F.expr("if(toxic > 0, 1, 0)")).alias("bad"), F.count("*").alias("n")).first()
     ratio = max(1.0, (known.n - known.bad) / number[0] * number[1] / known.bad)  # the sample may hold a smaller share of clean texts
     toxic, row, col, times = _matrix(texts, Sent(spark, lookup))
-    held = np.bincount(row, times, len(toxic))
-    cuts = np.quantile(held[toxic == 1], [1 / 3, 2 / 3])
-    y = np.where(toxic == 1, 1 + np.searchsorted(cuts, held, "left"), 0)
+    y = grades(toxic, row, col, np.log1p(times), len(hashes))
     w, theta = fit(y, row, col, np.log1p(times), len(hashes), GRADES)
     return lookup, w, theta + np.log(ratio)
 
@@ -173,7 +185,7 @@ def score(docs: DataFrame, model, chunk: int = 2 << 20) -> DataFrame:
                 over = 1 / (1 + np.exp(np.clip(theta[None, :] - eta[:, None], -40, 40)))  # P(grade > j)
                 p = np.concatenate([np.ones((n, 1)), over], axis=1) - np.concatenate([over, np.zeros((n, 1))], axis=1)
                 lists = pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * p.shape[1]).astype(np.int32)), pa.array(p.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(over.sum(axis=1)), pa.array(p.argmax(axis=1).astype(np.int32)), pa.array(over[:, 0] >= 0.5), lists], ["doc_id", "severity", "grade", "toxic", "probabilities"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(over.sum(axis=1)), pa.array((over >= 0.5).sum(axis=1).astype(np.int32)), pa.array(over[:, 0] >= 0.5), lists], ["doc_id", "severity", "grade", "toxic", "probabilities"])
 
     return docs.select("doc_id", "text").mapInArrow(rows, SCORES)
 

@@ -90,6 +90,58 @@ def test_thresholds_share_weights():
     assert w[0] > 0 and list(theta) == sorted(theta)
 
 
+def likelihood(y, row, col, x, w, theta):
+    eta = np.zeros(len(y))
+    for r, c, v in zip(row, col, x):
+        eta[r] += w[c] * v
+    f = lambda z: 1 / (1 + np.exp(-z))
+    p = [[f(theta[0] - e), *(f(b - e) - f(a - e) for a, b in zip(theta, theta[1:])), 1 - f(theta[-1] - e)] for e in eta]
+    return p, np.mean([np.log(q[k]) for q, k in zip(p, y)])
+
+
+def test_fit_reaches_the_largest_likelihood():
+    """Without a penalty no small move of a weight or threshold raises the likelihood, computed text by text."""
+    r = np.random.default_rng(5)
+    n, width = 300, 3
+    row, col = np.repeat(np.arange(n), width), np.tile(np.arange(width), n)
+    x = r.normal(size=n * width)
+    eta = (x.reshape(n, width) @ [1.0, -0.5, 0.2]) + r.logistic(size=n)
+    y = np.searchsorted([-1.0, 0.5, 2.0], eta)
+    w, theta = ordinal_toxicity.fit(y, row, col, x, width, 3, steps=4000, l1=0.0, rate=0.01)
+    best = likelihood(y, row, col, x, w, theta)[1]
+    for i in range(width + 3):
+        for step in (-0.05, 0.05):
+            move = np.zeros(width + 3)
+            move[i] = step
+            assert likelihood(y, row, col, x, w + move[:width], theta + move[width:])[1] < best + 1e-6
+
+
+def test_scores_by_brute_force(spark):
+    """Severity, grade and likelihoods from the words and word beginnings of each text, one by one."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    features = ordinal_toxicity.Features()
+
+    def hashed(name, kind):
+        data = np.frombuffer(name.encode(), np.uint8)
+        return [h for _, h in features.read(data, np.array([0, len(data)]))][kind][0]
+
+    chosen = {("idiot", 0): 1.5, ("stup", 1): 0.8, ("thanks", 0): -0.7}  # whole words, and a beginning of four letters
+    key = {hashed(w if k == 0 else w + "x", k): v for (w, k), v in chosen.items()}
+    lookup = ordinal_toxicity.Lookup(np.array(list(key), np.uint64))
+    model = lookup, np.array([key[h] for h in lookup.hashes.tolist()]), np.array([0.9, 1.6, 2.5])
+    texts = ["You IDIOT idiot", "stupid stupidity thanks", "stup", "thanks", None, "", " \n", "idiot " * 30_000, "you idiot", "you idiot", "Éidiot idiot-stupé"]
+    df = spark.createDataFrame([(i, t, 5, "x") for i, t in enumerate(texts)] + [(None, "idiot", 1, "y")], "doc_id long, text string, grade int, h string").repartition(3)
+    got = {r.doc_id: r for r in ordinal_toxicity.score(df, model, chunk=1000).collect()}
+    assert len(got) == len(texts) + 1
+    for i, t in [*enumerate(texts), (None, "idiot")]:
+        found = words(t)
+        n = {("idiot", 0): found.count("idiot"), ("stup", 1): sum(len(x.encode()) > 4 and x.encode()[:4] == b"stup" for x in found), ("thanks", 0): found.count("thanks")}
+        p, _ = likelihood([0], [0] * 3, range(3), [np.log1p(n[c]) for c in chosen], list(chosen.values()), model[2])
+        over = [sum(p[0][k + 1 :]) for k in range(3)]
+        assert got[i].probabilities == pytest.approx(p[0], abs=1e-9) and got[i].severity == pytest.approx(sum(over))
+        assert got[i].grade == sum(x >= 0.5 for x in over) and got[i].toxic == (got[i].grade > 0)
+
+
 def brute_hits(docs, items, window):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     patterns = {}
