@@ -6,8 +6,10 @@ of nodes in which no chosen node lies below a dropped one.  The trees are fitted
 with known articles in many layouts: with and without article elements, with menus, headers, footers, sidebars,
 notices, adverts, forms, comments, link lists, unclosed and broken markup.
 
-Defined results: a null, empty or text-free page gives an empty text; markup may be cut off anywhere; repeated rows
-give repeated results; the rows of a page table are handled one by one and nothing is shuffled.
+Scripts, styles, templates, frames, drawings (svg), text areas and titles are not text; formulas and what objects, canvases and noscript
+elements hold is, in the line where it stands.  Defined results: a null, empty or text-free page gives an empty text;
+markup may be cut off anywhere; repeated rows and rows without page_id give a row each; a very long page is read whole;
+extra columns, whatever their names, are ignored; the rows of a page table are handled one by one and nothing is shuffled.
 """
 
 import random
@@ -110,7 +112,9 @@ class Writer:
         if self.r.random() < 0.25:
             words = text.split(" ")
             i = self.r.randrange(len(words))
-            tag = self.r.choice(["b", "em", "i", "strong", "a href='/x'", "code", "span"])
+            tag = self.r.choice(["b", "em", "i", "strong", "a href='/x'", "code", "span", "sup", "math", "object", "noscript", "canvas"])
+            if self.r.random() < 0.1:
+                words[i] += self.r.choice(["<script>var b='<p>';</script>", "<svg><text>x</text></svg>", "<style>b{}</style>"])
             words[i] = f"<{tag}>{MARK}{words[i]}</{tag.split()[0]}>"
             text = " ".join(words)
         return MARK + text
@@ -191,6 +195,8 @@ class Writer:
             before.append(f"<header{r.choice(['', self.named('header', 'masthead')])}><p>{self.some(1, 6)}</p>{nav}</header>" if r.random() < 0.35 else nav)
         elif r.random() < 0.5:
             before.append(f"<{(t := r.choice(['header', 'div']))}{self.named('header', 'masthead', 'site-header')}><h2>{self.some(1, 4)}</h2>{self.some(1, 10)}</{t}>")
+        if r.random() < 0.1:
+            before.insert(0, f"<noscript>{r.choice(['', '<p>'])}{self.some(3, 12)}</noscript>")
         for _ in range(r.choice([0, 1, 1, 2])):
             before.append(self.piece())
         for _ in range(r.choice([0, 0, 1, 2, 3])):

@@ -6,14 +6,16 @@ import re
 import numpy as np
 
 # Element groups of HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br canvas cite code data del dfn em font i img ins kbd label map mark noscript object picture q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATH = frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mpadded mphantom mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg textarea title math object canvas noembed noframes".split())
+RAW = frozenset("script style template iframe svg textarea title annotation annotation-xml noembed noframes".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 FENCES = frozenset("table ul ol dl body html div section article main aside nav header footer form".split())
 # Tags in an order from page furniture to running text; others stand with div.
 TAG_ORDER = "head nav footer aside header menu form fieldset button select input option label iframe figure ul ol dl li dt dd a img table tbody tr td th center div section body html span small main article blockquote pre code em i b strong q figcaption h6 h5 h4 h3 h2 h1 p".split()
 TAG_CODE = {t: i for i, t in enumerate(TAG_ORDER)}
+TAG_CODE |= {t: TAG_CODE["span"] for t in sorted(INLINE - set(TAG_CODE))}
 # Parts of class, id and role names that tell furniture from content.
 FURNITURE = re.compile(r"nav|menu|foot|head(?!line)|masthead|side|aside|\bads?\b|\bad[-_]|[-_]ads?\b|advert|sponsor|promo|banner|comment|respond|disqus|reply|share|social|relat|recommend|cookie|notice|consent|gdpr|popup|modal|overlay|alert|form|search|login|signup|subscri|newsletter|breadcrumb|crumb|pagin|pager|widget|tool|copyright|legal|\btags?\b|meta|byline|toc|skip|hidden|print|rating|vote")
 CONTENT = re.compile(r"article|content|main|post|entry|story|text|body|prose|page|chapter|blog|read")
@@ -82,8 +84,10 @@ class Page:
             if named is None:
                 continue
             name = named.group().lower()
+            if name in MATH:  # a formula is text of the element that it stands in
+                continue
             if closing:
-                if name not in INLINE:
+                if name not in INLINE and name not in RAW:
                     stream.append(None)
                 if opened.get(name):
                     while len(stack) > 1:
@@ -94,10 +98,10 @@ class Page:
                         if top == name:
                             break
                 continue
-            block = name not in INLINE
+            block = name not in INLINE and name not in RAW  # a skipped element does not part the text around it
             if block:
                 stream.append(None)
-                if opened.get("p") and name not in RAW:  # a block ends an open paragraph, with whatever stands open in it
+                if opened.get("p"):  # a block ends an open paragraph, with whatever stands open in it
                     k = len(names) - 1 - names[::-1].index("p")
                     if not FENCES.intersection(names[k + 1 :]):
                         while len(stack) > k:

@@ -46,6 +46,39 @@ def test_odd_pages(spark, trees):
     assert got[0] == got[1] == got[5] == "" and len(got) == 8
 
 
+WORDS = "The valley lies between two ranges, and the river that runs through it has carried timber for many years. "
+
+
+@pytest.mark.parametrize(
+    "inner,want",
+    [
+        ("<p>The value <math><mi>x</mi><mo>=</mo><mn>3</mn></math> is shown <object data=a>fallback text</object> and kept.</p>", "The value x=3 is shown fallback text and kept."),
+        ("<p>Before <noscript>plain</noscript> after <canvas>drawn</canvas> it.</p>", "Before plain after drawn it."),
+        ("<p>Left <script>var a = '<p>';</script>right <svg><text>no</text></svg>end.</p>", "Left right end."),
+        ("<p>One<p>Two <b>bold<p>Three</b> four", "One\nTwo bold\nThree four"),
+        ("<p>Tom &amp Ann &lt;3 &#8211; &eacute;&nbsp;x</p>", "Tom & Ann <3 \u2013 \u00e9 x"),
+        ("<p>5 < 6 and 7 > 2</p>", "5 < 6 and 7 > 2"),
+        ("<p>a<br>b<br/>c</p><ul><li>one<li>two</ul>", "a b c\none\ntwo"),
+        ("<p title='x>y'>quoted</p><p class=\"a'b\">odd</p>", "quoted\nodd"),
+        ("<p>left open <i>and cut", "left open and cut"),
+    ],
+)
+def test_text_of_broken_pages(spark, trees, inner, want):
+    """Markup inside an article, broken or odd, gives exactly this text; the article stands among furniture."""
+    page = f"<html><head><title>t</title></head><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav><article><h1>The river</h1><p>{WORDS * 3}</p><p>{WORDS * 2}</p>{inner}"
+    closed = page + "</article><footer>&copy; all rights</footer></body></html>" if not inner.endswith("cut") else page
+    assert texts_of(spark, trees, [closed]) == ["\n".join(["The river", (WORDS * 3).strip(), (WORDS * 2).strip(), want])]
+
+
+def test_pages_one_by_one(spark, trees):
+    page = f"<nav><a href=/>x</a></nav><article><p>{WORDS * 400}</p></article>"
+    rows = [(1, None, page, 0), (1, None, page, 0), (None, "u", page, 1), (2, "u", None, 1)]
+    got = gbt_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int"), trees).collect()
+    assert len(got) == 4 and [r.n_chars for r in got if r.page_id == 2] == [0]
+    assert {r.text for r in got if r.page_id != 2} == {(WORDS * 400).strip()}
+    assert gbt_extract.extract(spark.createDataFrame(rows[:0], "page_id long, url string, html string, n_chars int"), trees).count() == 0
+
+
 def test_decoding_has_no_contradictions():
     r = np.random.default_rng(1)
     parent = [-1] + [int(r.integers(0, i)) for i in range(1, 200)]
