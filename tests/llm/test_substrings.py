@@ -154,14 +154,19 @@ def test_graph_components(spark):
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
 
 
-def brute_lines(rows, run):
+def brute_lines(rows, run, lone=None):
     lines = {d: t.split("\n") for d, t in rows if t is not None}
     first, out = {}, {d: (0, 0, "") for d, t in rows if t is None}
     for d in sorted(lines):
         for i in range(len(lines[d]) - run + 1):
             first.setdefault(tuple(lines[d][i : i + run]), (d, i))
+    for d in sorted(lines):
+        for i, s in enumerate(lines[d]):
+            first.setdefault(s, (d, i))
+    long = lambda s: lone is not None and len(re.findall(r"[^\x20\x09-\x0D]+", s)) >= lone
     for d, x in lines.items():
         gone = {j for i in range(len(x) - run + 1) if first[tuple(x[i : i + run])] < (d, i) for j in range(i, i + run)}
+        gone |= {i for i, s in enumerate(x) if long(s) and first[s] < (d, i)}
         out[d] = (len(x), len(gone), "\n".join(s for i, s in enumerate(x) if i not in gone))
     return out
 
@@ -174,6 +179,37 @@ def test_lines_removed(spark, run):
     assert by_id(line_winnow.drop_repeated_lines(frame(spark, rows), run), "n_lines", "n_removed", "text") == brute_lines(rows, run)
 
 
+@pytest.mark.parametrize("run,lone", [(3, 5), (2, 3), (3, 50)])
+def test_lone_lines_removed(spark, run, lone):
+    """A repeated long line goes though its neighbours differ, also in texts of one line; short ones go in runs only."""
+    r = random.Random(lone)
+    line = " ".join(f"w{i}" for i in range(50))
+    pool = ["a b", "c  d\te", "f g h i j", "k l m n o p", line, " ", ""]
+    rows = [(i, "\n".join(r.choice(pool) if r.random() < 0.5 else f"own {i} {k}" for k in range(r.randint(1, 9)))) for i in range(50)]
+    rows += [(90, line), (91, line + "\n" + line), (92, None), (93, ""), (94, line + " "), (95, "own\n" + line + "\nother")]
+    got = by_id(line_winnow.drop_repeated_lines(frame(spark, rows), run, lone), "n_lines", "n_removed", "text")
+    assert got == brute_lines(rows, run, lone) and got[90][1] == 1 and got[95][1] == 1 and got[94][1] == 0
+
+
+@pytest.mark.parametrize("fragments", [3, 70_000])
+def test_fragments_keep_all_bits(fragments):
+    """N-grams that differ in any one bit stay apart, also with more fragments than 16 bits can number."""
+    import pyarrow as pa
+
+    base = 0x0123456789ABCDEF
+    grams = {7: [base, base ^ (1 << 63)], 8: [base, base ^ 1], 9: [base ^ (1 << 63), base ^ (1 << 48), base ^ (1 << 52)]}
+    pack = lambda x, kind: np.array(x, kind).tobytes()
+    row = [5 % fragments, pack(list(grams), np.int64), pack([len(x) for x in grams.values()], np.uint32), pack(sum(grams.values(), []), np.uint64), b"", b"", b""]
+    batch = pa.RecordBatch.from_arrays([pa.array([x], pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(row)], ["frag", "ids", "counts", "grams", "own_ids", "own_n", "own_c"])
+    found = {}
+    for b in ngram_jaccard.held_twice(fragments)(iter([batch])):
+        for x in b.to_pylist():
+            ids, size, gram, df = (np.frombuffer(x[k], t) for k, t in (("ids", np.int64), ("sizes", np.int32), ("grams", np.uint64), ("df", np.int32)))
+            for d, g, n in zip(ids, np.split(gram, np.cumsum(size)[:-1]), np.split(df, np.cumsum(size)[:-1])):
+                found[int(d)] = dict(zip(g.tolist(), n.tolist()))
+    assert found == {7: {base: 2, base ^ (1 << 63): 2}, 8: {base: 2}, 9: {base ^ (1 << 63): 2}}
+
+
 @pytest.mark.parametrize("f", [substring_rlz.remove_copied, suffix_bpr.remove_repeats, ngram_jaccard.duplicate_groups, line_winnow.drop_repeated_lines])
 def test_empty_tables_and_repeated_ids(spark, f):
     assert f(spark.createDataFrame([], "doc_id long, text string")).count() == 0
