@@ -36,14 +36,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
-    """Delete the tables that this application has stored, but those whose name starts with one of ``keep``.
+def stored(spark: SparkSession) -> int:
+    """How many tables this application has stored so far; a mark for release()."""
+    return len(_written.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Delete the tables stored after the mark ``since``, but those whose name starts with ``keep``.
 
     Only when nothing reads them any more: a frame over a deleted table fails.
     """
     paths, jvm = _written.get(spark.sparkContext.applicationId, []), spark.sparkContext._jvm
-    left = [p for p in paths if p.rsplit("/", 1)[1].startswith(tuple(keep))] if keep else []
-    for p in set(paths) - set(left):
+    left = [p for p in paths[since:] if keep and p.rsplit("/", 1)[1].startswith(keep)]
+    for p in set(paths[since:]) - set(left):
         at = jvm.org.apache.hadoop.fs.Path(p)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    paths[:] = left
+    paths[since:] = left
