@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from .shared import documents, one_per_id
 
 
-WORD = r"[^\\x20\\x09-\\x0D]+"
+# Fixed value: white space between words, as a character range for SQL text.
+SPACE = r"\\x20\\x09-\\x0D"
 
 
 def repeated_lines(docs: DataFrame, run: int, lone: int | None) -> DataFrame:
     """(doc_id, gone): indices of the lines to delete.  docs: doc_id, text, each doc_id once."""
-    count = "0" if lone is None else f"regexp_count(x, '{WORD}')"
-    all_lines = docs.where("text is not null").select("doc_id", F.expr(f"transform(split(text, '\\n', -1), (x, i) -> struct(xxhash64(x) as h, i as i, {count} as k))").alias("z"))
-    hashes = all_lines.where(F.size("z") >= run)
+    texts = docs.where("text is not null")
+    hashes = texts.select("doc_id", F.expr("transform(split(text, '\\n', -1), (x, i) -> struct(xxhash64(x) as h, i as i))").alias("z")).where(F.size("z") >= run)
     chosen = f"array_distinct(transform(sequence(1, size(z) - {run - 1}), s -> array_min(slice(z, s, {run}))))"
     around = f"transform({chosen}, f -> struct(f.h as h, f.i as p, slice(z, greatest(f.i - {run - 1}, 0) + 1, f.i + {run} - greatest(f.i - {run - 1}, 0)) as near))"
     prints = hashes.select("doc_id", F.explode(F.expr(around)).alias("f")).select("doc_id", "f.h", "f.p", "f.near")
@@ -37,8 +37,12 @@ def repeated_lines(docs: DataFrame, run: int, lone: int | None) -> DataFrame:
     windows = f"filter(transform(sequence(1, size(near) - {run - 1}), s -> slice(near, s, {run})), w -> array_min(w).i = p)"
     reach = prints.join(shared, "h").select("doc_id", F.explode(F.expr(windows)).alias("w")).select("doc_id", F.expr("w[0].i").alias("at"), F.expr("transform(w, x -> x.h)").alias("lines"))
     if lone is not None and run > 1:
-        single = all_lines.select("doc_id", F.explode(F.expr(f"filter(z, x -> x.k >= {lone})")).alias("x"))
-        reach = reach.unionByName(single.select("doc_id", F.col("x.i").alias("at"), F.array("x.h").alias("lines")))
+        # the pattern is done with a line once it has seen that many words
+        worded = f"x rlike '^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{lone - 1}}}[^{SPACE}]'"
+        long = F.expr(f"filter(transform(split(text, '\\n', -1), (x, i) -> if({worded}, struct(xxhash64(x) as h, i as at), null)), y -> y is not null)")
+        single = texts.select("doc_id", F.explode(long).alias("y")).select("doc_id", "y.h", "y.at")
+        twice = single.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+        reach = reach.unionByName(single.join(twice, "h").select("doc_id", "at", F.array("h").alias("lines")))
     firsts = reach.groupBy("lines").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("lines", "first")
     matched = reach.join(firsts, "lines")
     later = matched.where("first.doc_id <> doc_id or first.at <> at").select("doc_id", F.struct("at", (F.col("at") + F.size("lines") - 1).alias("last")).alias("s"))
