@@ -9,42 +9,68 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import scores as S
+from ..storage import store
 from .incidents import SECOND
-from .trigger import KEYS, dominant, trigger_stats
+from .trigger import KEYS, most_frequent, named, trigger_stats, value_counts
 
 # The failure domains, in the order that breaks ties.
 DOMAINS = ("rbac_authorization", "authentication", "resource_missing", "control_plane", "admission_controller", "scheduler", "node_kubelet", "networking", "storage")
 
 
-def failure_domain(events: DataFrame) -> DataFrame:
+# What votes for a domain, as (domain, kind, words, whole word or part, votes for each distinct value).
+VOTES = (
+    ("rbac_authorization", "actor", ("system:node",), False, 1),
+    ("rbac_authorization", "resource", ("configmaps", "secrets"), True, 1),
+    ("control_plane", "actor", ("kube-apiserver",), False, 2),
+    ("admission_controller", "actor", ("gatekeeper",), False, 3),
+    ("admission_controller", "resource", ("constrainttemplates", "assign", "assignmetadata"), True, 2),
+    ("scheduler", "actor", ("kube-scheduler",), False, 3),
+    ("scheduler", "resource", ("pods", "nodes"), True, 1),
+    ("node_kubelet", "actor", ("system:node",), False, 2),
+    ("storage", "resource", ("volume",), False, 2),
+)
+# What the dominant code adds, as (domain, lowest code, highest code, votes).
+CODE_VOTES = (("rbac_authorization", 403, 403, 3), ("authentication", 401, 401, 3), ("resource_missing", 404, 404, 2), ("control_plane", 500, 599, 3))
+
+
+def voted_kinds() -> dict:
+    """What the votes are counted from, for value_counts."""
+    return {"code": F.when(F.col("response_code") != 0, F.col("response_code")), "actor": F.col("actor"), "resource": F.col("resource")}
+
+
+def failure_domain(events: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Votes of the dominant code and of distinct actors and resources for a failure domain; the first best wins."""
-    codes = events.where("response_code <> 0").groupBy(*KEYS, "response_code").agg(F.count("*").alias("n"), F.min("us").alias("first_at"))
-    code = codes.groupBy(*KEYS).agg(F.max_by("response_code", F.struct("n", -F.col("first_at"), "response_code")).alias("code"))
-    many = lambda cond, x, w: w * F.count_distinct(F.when(cond, F.col(x)))
-    a, r = F.col("actor"), F.col("resource")
-    votes = events.groupBy(*KEYS).agg(
-        (many(a.contains("system:node"), "actor", 1) + many(r.isin("configmaps", "secrets"), "resource", 1) + F.when(F.count_distinct("resource") >= 3, 1).otherwise(0)).alias("rbac_authorization"),
-        F.lit(0).alias("authentication"),
-        F.lit(0).alias("resource_missing"),
-        many(a.contains("kube-apiserver"), "actor", 2).alias("control_plane"),
-        (many(a.contains("gatekeeper"), "actor", 3) + many(r.isin("constrainttemplates", "assign", "assignmetadata"), "resource", 2)).alias("admission_controller"),
-        (many(a.contains("kube-scheduler"), "actor", 3) + many(r.isin("pods", "nodes"), "resource", 1)).alias("scheduler"),
-        many(a.contains("system:node"), "actor", 2).alias("node_kubelet"),
-        F.lit(0).alias("networking"),
-        many(r.contains("volume"), "resource", 2).alias("storage"),
+    counts = value_counts(events, voted_kinds()) if counts is None else counts
+    kind, value = F.col("kind"), F.col("value")
+    code = F.when(kind == "code", value.cast("int"))
+    g = counts.groupBy(*KEYS).agg(
+        F.max_by(code, F.when(kind == "code", F.struct("n", -F.col("first_at"), value.cast("int")))).alias("code"),
+        F.when(F.count(F.when(kind == "resource", 1)) >= 3, 1).otherwise(0).alias("many"),
+        *[(w * F.count(F.when((kind == k) & (value.isin(*words) if whole else value.contains(words[0])), 1))).alias(f"v{i}") for i, (_, k, words, whole, w) in enumerate(VOTES)],
     )
-    bonus = {"rbac_authorization": F.when(F.col("code") == 403, 3), "authentication": F.when(F.col("code") == 401, 3), "resource_missing": F.when(F.col("code") == 404, 2), "control_plane": F.when(F.col("code") >= 500, 3)}
-    v = votes.join(code, KEYS, "left")
-    score = [F.col(d) + F.coalesce(bonus[d], F.lit(0)) if d in bonus else F.col(d) for d in DOMAINS]
-    best = F.array_max(F.array(*[F.struct(s.cast("int").alias("score"), F.lit(-i).alias("order"), F.lit(d).alias("name")) for i, (d, s) in enumerate(zip(DOMAINS, score))]))
-    return v.select(*KEYS, F.col("code").alias("dominant_code"), F.when(best["score"] > 0, best["name"]).otherwise("unknown").alias("failure_domain"), best["score"].alias("votes"))
+    score = {d: F.lit(0) for d in DOMAINS}
+    score["rbac_authorization"] = F.col("many")
+    for i, (d, *_) in enumerate(VOTES):
+        score[d] = score[d] + F.col(f"v{i}")
+    for d, low, high, w in CODE_VOTES:
+        score[d] = score[d] + F.when(F.col("code") >= low if high == 599 else F.col("code") == low, w).otherwise(0)
+    best = F.array_max(F.array(*[F.struct(x.cast("int").alias("score"), F.lit(-i).alias("order"), F.lit(d).alias("name")) for i, (d, x) in enumerate(score.items())]))
+    return g.select(*KEYS, F.col("code").alias("dominant_code"), F.when(best["score"] > 0, best["name"]).otherwise("unknown").alias("failure_domain"), best["score"].alias("votes"))
 
 
 def profiles(events: DataFrame) -> DataFrame:
-    """One row a cluster with errors: first time, scores, dominant actor and resource (or the last part of a path), domain."""
+    """One row a cluster with errors: first time, scores, dominant actor and resource (or the last part of a path), domain.
+
+    Two passes over the events: the trigger statistics, and the counts that names and votes come from.
+    """
     stats = trigger_stats(events).select(*KEYS, "first_us", "last_us", "trigger_score", "error_count", F.round("error_rate", 6).alias("error_rate"), "severity", F.least(F.lit(1.0), F.col("actors") / 3).alias("systemic_spread"))
-    named = events.withColumn("actor", F.coalesce(F.expr("nullif(actor, '')"), "service", F.lit("unknown_actor"))).withColumn("resource", F.coalesce(F.expr("nullif(resource, '')"), F.expr("try_element_at(filter(split(path, '/'), x -> x <> ''), -1)"), F.lit("unknown_resource")))
-    return stats.join(dominant(named).select(*KEYS, "actor", "resource"), KEYS, "left").join(failure_domain(events).select(*KEYS, "failure_domain"), KEYS, "left").where("error_count > 0")
+    last = F.expr("try_element_at(filter(split(path, '/'), x -> x <> ''), -1)")
+    kinds = {"main_actor": F.nullif(F.coalesce(named("actor"), F.col("service"), F.lit("unknown_actor")), F.lit("")), "main_resource": F.coalesce(named("resource"), last, F.lit("unknown_resource"))}
+    counts = store(value_counts(events, voted_kinds() | kinds), "profile-counts")
+    main = most_frequent(counts.where("kind like 'main%'"), list(kinds)).withColumnsRenamed({"main_actor": "actor", "main_resource": "resource"})
+    domain = failure_domain(events, counts.where("kind not like 'main%'")).select(*KEYS, "failure_domain")
+    # an event without code, actor and resource casts no vote; a cluster of such events has no known domain
+    return stats.join(main, KEYS, "left").join(domain, KEYS, "left").na.fill("unknown", ["failure_domain"]).where("error_count > 0")
 
 
 def causal_edges(nodes: DataFrame, gap_seconds: int = 30) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as S
-from .trigger import KEYS, failure_modes, suppression_hints, top_k, transitions, trigger_stats
+from ..storage import store
+from .trigger import KEYS, suppression_hints, top_values, transitions, trigger_stats, value_counts
 
 SECOND = 1_000_000
 
@@ -20,12 +21,29 @@ def cluster_windows(stats: DataFrame, cap_seconds: int = 900) -> DataFrame:
     return w.select(*KEYS, F.col("first_us").alias("start_us"), end.alias("end_us"), "trigger_score", "incident_strength", "error_count", "event_count")
 
 
-def gap_sessions(events: DataFrame, gap_seconds: int = 120) -> DataFrame:
-    """Sessions of a run: an event at most the gap after the one before joins it; a null time joins the last session."""
-    order = Window.partitionBy("run_id").orderBy(F.col("us").asc_nulls_last(), "event_id")
-    new = F.when(F.col("us").isNull(), 0).when(F.col("us") - F.lag("us").over(order) <= gap_seconds * SECOND, 0).otherwise(1)
-    e = events.select("run_id", "us", "event_id", "cluster_id", new.alias("new")).withColumn("session", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return e.groupBy("run_id", "session").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("events"), F.count_distinct("cluster_id").alias("clusters"))
+def gap_sessions(events: DataFrame, gap_seconds: int = 120, seconds: int = 3600) -> DataFrame:
+    """Sessions of a run: an event at most the gap after the one before joins it; a null time joins the last session.
+
+    Sessions are found inside time buckets and stitched at their borders, where a bucket is one row: no task orders the
+    events of a whole run.
+    """
+    order = Window.partitionBy("run_id", "bucket").orderBy("us", "event_id")
+    width, gap = seconds * SECOND, gap_seconds * SECOND
+    timed = events.where("us is not null").select("run_id", "us", "event_id", "cluster_id", F.expr(f"us div {width}").alias("bucket"))
+    new = F.when(F.col("us") - F.lag("us").over(order) <= gap, 0).otherwise(1)
+    local = timed.withColumn("new", new).withColumn("local", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    local = store(local.groupBy("run_id", "bucket", "local", "cluster_id").agg(F.min("us").alias("start_us"), F.max("us").alias("end_us"), F.count("*").alias("events")), "sessions")
+    buckets = local.groupBy("run_id", "bucket").agg(F.max("local").alias("found"), F.min("start_us").alias("lo"), F.max("end_us").alias("hi"))
+    run = Window.partitionBy("run_id").orderBy("bucket")
+    joins = F.when(F.col("lo") - F.lag("hi").over(run) <= gap, 1).otherwise(0)
+    buckets = buckets.withColumn("joins", joins).withColumn("reached", F.sum(F.col("found") - F.col("joins")).over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    numbered = local.join(buckets.select("run_id", "bucket", (F.col("reached") - F.col("found")).alias("before")), ["run_id", "bucket"])
+    parts = numbered.select("run_id", (F.col("before") + F.col("local")).alias("session"), "cluster_id", "start_us", "end_us", "events")
+    last = buckets.groupBy("run_id").agg(F.max("reached").alias("session"))
+    none = F.lit(None).cast("bigint")
+    rest = events.where("us is null").groupBy("run_id", "cluster_id").agg(F.count("*").alias("events")).join(last, "run_id", "left")
+    parts = parts.unionByName(rest.select("run_id", F.coalesce("session", F.lit(0)).alias("session"), "cluster_id", none.alias("start_us"), none.alias("end_us"), "events"))
+    return parts.groupBy("run_id", "session").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.sum("events").alias("events"), F.count_distinct("cluster_id").alias("clusters"))
 
 
 def chained_windows(windows: DataFrame, gap_seconds: int = 30) -> DataFrame:
@@ -60,17 +78,12 @@ def episodes(windows: DataFrame, gap_seconds: int = 120, max_seconds: int = 1200
 
 
 def cluster_sets(events: DataFrame) -> DataFrame:
-    """Failure modes, dependency targets and actor or resource tokens of each cluster, as arrays."""
-    modes = failure_modes(events).groupBy(*KEYS).agg(F.collect_set("failure_mode").alias("modes"))
-    targets = top_k(events, KEYS, "target", 5).groupBy(*KEYS).agg(F.collect_set("target").alias("targets"))
-    tokens = None
-    for x in ("actor", "resource"):
-        one = top_k(events, KEYS, x, 5).select(*KEYS, F.concat(F.lit(f"{x}:"), F.col(x)).alias("token"))
-        tokens = one if tokens is None else tokens.unionByName(one)
-    tokens = tokens.groupBy(*KEYS).agg(F.collect_set("token").alias("tokens"))
-    none = F.array().cast("array<string>")
-    out = modes.join(targets, KEYS, "full_outer").join(tokens, KEYS, "full_outer")
-    return out.select(*KEYS, *[F.coalesce(x, none).alias(x) for x in ("modes", "targets", "tokens")])
+    """Failure modes, dependency targets and actor or resource tokens of each cluster, as arrays; one pass."""
+    top = top_values(value_counts(events, ["failure_mode", "target", "actor", "resource"]), 5)
+    kind = F.col("kind")
+    some = lambda k, x, name: F.collect_set(F.when(kind.isin(*k), x)).alias(name)
+    token = F.concat(kind, F.lit(":"), "value")
+    return top.groupBy(*KEYS).agg(some(["failure_mode"], F.col("value"), "modes"), some(["target"], F.col("value"), "targets"), some(["actor", "resource"], token, "tokens"))
 
 
 def episode_signatures(events: DataFrame, gap_seconds: int = 120, max_seconds: int = 1200) -> DataFrame:
@@ -117,11 +130,10 @@ def incidents(events: DataFrame, gap_seconds: int = 30, max_seeds: int = 3, cap_
 
     Numbers are given before suppression, so they may have gaps.
     """
-    stats = trigger_stats(events)
+    stats, sets = store(trigger_stats(events), "trigger-stats"), store(cluster_sets(events), "cluster-sets")
     windows = episodes(cluster_windows(stats, cap_seconds), episode_gap, episode_max)
-    sets = cluster_sets(events)
     union = lambda x: F.array_sort(F.array_distinct(F.flatten(F.collect_list(x)))).alias(x)
-    members = windows.join(sets, KEYS, "left")
+    members = store(windows.join(sets, KEYS, "left"), "episode-members")
     signatures = members.groupBy("run_id", "episode").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.sum("incident_strength").alias("strength"), union("modes"), union("targets"), union("tokens"))
     numbered = merged_episodes(signatures, gap_seconds, max_seconds, similar).select("run_id", "episode", "incident")
     extra = stats.select(*KEYS, "coverage", "services")

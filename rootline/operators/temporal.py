@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions import scores as S
 from .incidents import SECOND
-from .trigger import KEYS, top_k
+from .trigger import KEYS, most_frequent, value_counts
 
 
-def active_buckets(events: DataFrame, seconds: int, cap: int = 5) -> DataFrame:
-    """Distinct (run, bucket, cluster), the first ``cap`` clusters by name of a bucket."""
+def active_buckets(events: DataFrame, seconds: int, cap: int | None = 5) -> DataFrame:
+    """Distinct (run, bucket, cluster), the first ``cap`` clusters by name of a bucket (None: all)."""
     b = events.select("run_id", F.expr(f"us div {seconds * SECOND}").alias("bucket"), "cluster_id").distinct()
+    if cap is None:
+        return b
     order = Window.partitionBy("run_id", "bucket").orderBy("cluster_id")
     return b.withColumn("k", F.row_number().over(order)).where(F.col("k") <= cap).drop("k")
 
@@ -56,15 +58,15 @@ def min_max(df: DataFrame, column: str, name: str, by: str = "run_id") -> DataFr
     return df.withColumn(name, F.when(hi > lo, (F.col(column) - lo) / (hi - lo)).otherwise(0.0))
 
 
-def lag_correlation(series: DataFrame, most: int = 10, clusters: int = 15, least: float = 0.25) -> DataFrame:
+def lag_correlation(series: DataFrame, most: int = 10, clusters: int | None = 15, least: float = 0.25) -> DataFrame:
     """Best lag (1..most) at which one cluster's counts lead another's, by Pearson's r; the busiest clusters of a run only.
 
-    A lag needs three points; a constant side has r = 0.  Pairs are bounded by ``clusters`` squared a run.
+    A lag needs three points; a constant side has r = 0.  Pairs are bounded by ``clusters`` squared a run (None: all).
     """
     busy = series.groupBy(*KEYS).agg(F.sum("n").alias("total"))
     order = Window.partitionBy("run_id").orderBy(F.desc("total"), "cluster_id")
-    busy = busy.withColumn("k", F.row_number().over(order)).where(F.col("k") <= clusters).select(*KEYS)
-    s = series.join(busy, KEYS)
+    busy = busy.withColumn("k", F.row_number().over(order)).where(F.col("k") <= clusters).select(*KEYS) if clusters else None
+    s = series.join(busy, KEYS) if clusters else series
     a = s.select("run_id", F.col("cluster_id").alias("a"), F.col("n").cast("double").alias("x"), "i", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("lag"))
     a = a.select("run_id", "a", "x", "lag", (F.col("i") + F.col("lag")).alias("i"))
     b = s.select("run_id", F.col("cluster_id").alias("b"), F.col("n").cast("double").alias("y"), "i")
@@ -77,23 +79,38 @@ def lag_correlation(series: DataFrame, most: int = 10, clusters: int = 15, least
     return g.withColumn("k", F.row_number().over(best)).where(F.col("k") == 1).where(F.col("r") >= least).select("run_id", "a", "b", "lag", "r")
 
 
+def median_times(events: DataFrame) -> DataFrame:
+    """(run_id, split): the exact median time of each run, from counts by minute and the order inside the middle ones."""
+    e = events.where("us is not null").select("run_id", "us", F.expr(f"us div {60 * SECOND}").alias("minute"))
+    minutes = e.groupBy("run_id", "minute").agg(F.count("*").alias("n"))
+    run = Window.partitionBy("run_id")
+    before = F.sum("n").over(run.orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    middle = minutes.select("run_id", "minute", "n", before.alias("before"), F.sum("n").over(run).alias("total")).withColumn("a", F.expr("(total - 1) div 2")).withColumn("b", F.expr("total div 2"))
+    middle = middle.where("before <= b and a < before + n")
+    at = F.row_number().over(Window.partitionBy("run_id", "minute").orderBy("us")) - 1 + F.col("before")
+    inside = e.join(middle, ["run_id", "minute"]).withColumn("at", at).where("at = a or at = b")
+    return inside.groupBy("run_id").agg(((F.min("us") + F.max("us")) / 2).alias("split"))
+
+
 def change_score(events: DataFrame) -> DataFrame:
     """(after - before) / all events of each cluster around the exact median time of its run."""
-    split = events.groupBy("run_id").agg(F.expr("percentile(us, 0.5)").alias("split"))
-    g = events.join(split, "run_id").groupBy(*KEYS).agg(F.count(F.when(F.col("us") < F.col("split"), 1)).alias("pre"), F.count(F.when(F.col("us") >= F.col("split"), 1)).alias("post"))
+    g = events.join(median_times(events), "run_id").groupBy(*KEYS).agg(F.count(F.when(F.col("us") < F.col("split"), 1)).alias("pre"), F.count(F.when(F.col("us") >= F.col("split"), 1)).alias("post"))
     return g.withColumn("change", F.round((F.col("post") - F.col("pre")) / (F.col("post") + F.col("pre")), 6))
 
 
 def incident_links(windows: DataFrame, gap_seconds: int = 300, least: float = 0.45) -> DataFrame:
     """Edges from incidents to later ones that overlap or follow within the gap, scored by shared roots and services.
 
-    windows: run_id, incident_id, start_us, end_us, root, services (array), n_4xx, n_5xx.  The join is keyed by run.
+    windows: run_id, incident_id, start_us, end_us, root, services (array), n_4xx, n_5xx.  The join is keyed by run and
+    by the time bucket in which the later incident starts.
     """
+    width = max(3600, gap_seconds) * SECOND
     a = windows.select("run_id", *[F.col(x).alias(f"a_{x}") for x in ("incident_id", "start_us", "end_us", "root", "services", "n_5xx")])
     b = windows.select("run_id", *[F.col(x).alias(f"b_{x}") for x in ("incident_id", "start_us", "end_us", "root", "n_4xx")])
     later = "(b_start_us > a_start_us or b_start_us = a_start_us and b_incident_id > a_incident_id)"
     near = f"(b_start_us <= a_end_us and b_end_us >= a_start_us or (b_start_us - a_end_us) div {SECOND} between 0 and {gap_seconds})"
-    e = a.join(b, "run_id").where(f"{later} and {near}")
+    a = a.withColumn("bucket", F.explode(F.expr(f"sequence(a_start_us div {width}, (a_end_us + {(gap_seconds + 1) * SECOND}) div {width})")))
+    e = a.join(b.withColumn("bucket", F.expr(f"b_start_us div {width}")), ["run_id", "bucket"]).where(f"{later} and {near}")
     score = 0.35 + F.expr("if(array_contains(a_services, b_root), 0.35D, 0D) + if(a_root = b_root, 0.2D, 0D) + if(a_n_5xx > 0 and b_n_4xx > 0, 0.1D, 0D)")
     e = e.withColumn("score", score).where(F.col("score") >= least)
     kind = F.when(F.col("a_root") == F.col("b_root"), "continued_incident_phase").otherwise("downstream_incident")
@@ -102,11 +119,8 @@ def incident_links(windows: DataFrame, gap_seconds: int = 300, least: float = 0.
 
 def behaviours(events: DataFrame) -> DataFrame:
     """The most frequent service, verb, resource and status class of each cluster."""
-    out = None
-    for value in ("service", "verb", "resource", "status_class"):
-        one = top_k(events, KEYS, value, 1).select(*KEYS, value)
-        out = one if out is None else out.join(one, KEYS, "full_outer")
-    return out
+    kinds = ["service", "verb", "resource", "status_class"]
+    return most_frequent(value_counts(events, kinds), kinds)
 
 
 def patterns(events: DataFrame) -> DataFrame:

@@ -27,6 +27,32 @@ def count_if(cond):
     return F.count(F.when(cond, 1))
 
 
+def named(name: str):
+    """A column's value as text; null for blanks."""
+    return F.nullif(F.col(name).cast("string"), F.lit(""))
+
+
+def value_counts(events: DataFrame, kinds: dict | list, keys: list[str] = KEYS) -> DataFrame:
+    """keys, kind, value, n, first_at: how often each value stands in each group, for several columns in one pass.
+
+    kinds: column names, or names with the column that each stands for; null values do not count.
+    """
+    kinds = kinds if isinstance(kinds, dict) else {k: named(k) for k in kinds}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("value")) for k, c in kinds.items()]))
+    long = events.select(*keys, "us", pairs.alias("p")).select(*keys, "us", "p.kind", "p.value").where("value is not null")
+    return long.groupBy(*keys, "kind", "value").agg(F.count("*").alias("n"), F.min("us").alias("first_at"))
+
+
+def top_values(counts: DataFrame, k: int, keys: list[str] = KEYS) -> DataFrame:
+    """The k most frequent values of each kind and group; equal counts in order of first appearance."""
+    order = Window.partitionBy(*keys, "kind").orderBy(F.desc("n"), "first_at", "value")
+    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def of_kind(counts: DataFrame, kind: str, name: str | None = None) -> DataFrame:
+    return counts.where(F.col("kind") == kind).withColumnRenamed("value", name or kind).drop("kind")
+
+
 def top_k(df: DataFrame, keys: list[str], value: str, k: int, order: str = "us", weight=None, name: str = "n") -> DataFrame:
     """keys, value, n, rank: the k most frequent values of each group; equal counts in order of first appearance."""
     counts = df.where(present(value)).groupBy(*keys, value).agg((weight or F.count("*")).alias(name), F.min(order).alias("first_at"))
@@ -42,23 +68,19 @@ def run_window(events: DataFrame) -> DataFrame:
 
 
 def cluster_counts(events: DataFrame) -> DataFrame:
-    """Events, errors, errors without HTTP code, response classes, spans and spreads of each cluster, in one grouping."""
+    """Events, errors, errors without HTTP code, response classes, spans and spreads of each cluster.
+
+    Events are first summed by cluster, actor, service and hint; only those sums are expanded for the distinct counts.
+    """
     code = F.coalesce("response_code", F.lit(0))
-    return events.groupBy(*KEYS).agg(
-        F.count("*").alias("event_count"),
-        count_if(P.failure("trigger")).alias("error_count"),
-        count_if(P.fallback_failure()).alias("fallback_error_count"),
-        count_if(code.between(200, 399)).alias("n_2xx"),
-        count_if(code.between(400, 499)).alias("n_4xx"),
-        count_if(code >= 500).alias("n_5xx"),
-        count_if(code < 200).alias("n_unknown"),
-        F.min("us").alias("first_us"),
-        F.max("us").alias("last_us"),
-        F.count_distinct(F.coalesce("actor", "service")).alias("actors"),
-        F.count_distinct("service").alias("services"),
-        F.count_distinct(F.when(P.fallback_failure(), F.col("failure_hint"))).alias("hint_diversity"),
-        *[F.avg(present(x).cast("int")).alias(f"cov_{x}") for x in SIGNAL_FIELDS],
-    )
+    sums = {
+        "event_count": F.lit(True), "error_count": P.failure("trigger"), "fallback_error_count": P.fallback_failure(), "n_2xx": code.between(200, 399), "n_4xx": code.between(400, 499),
+        "n_5xx": code >= 500, "n_unknown": code < 200, **{f"has_{x}": present(x) for x in SIGNAL_FIELDS},
+    }
+    few = events.groupBy(*KEYS, F.coalesce("actor", "service").alias("who"), "service", F.when(P.fallback_failure(), F.col("failure_hint")).alias("hint"))
+    few = few.agg(*[count_if(c).alias(k) for k, c in sums.items()], F.min("us").alias("first_us"), F.max("us").alias("last_us"))
+    g = few.groupBy(*KEYS).agg(*[F.sum(k).alias(k) for k in sums], F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.count_distinct("who").alias("actors"), F.count_distinct("service").alias("services"), F.count_distinct("hint").alias("hint_diversity"))
+    return g.select("*", *[(F.col(f"has_{x}") / F.col("event_count")).alias(f"cov_{x}") for x in SIGNAL_FIELDS]).drop(*[f"has_{x}" for x in SIGNAL_FIELDS])
 
 
 def trigger_stats(events: DataFrame) -> DataFrame:
@@ -95,11 +117,12 @@ def failure_modes(events: DataFrame, k: int = 5) -> DataFrame:
 
 def dominant(events: DataFrame) -> DataFrame:
     """The most frequent actor, resource and service of each cluster."""
-    out = None
-    for value in ("actor", "resource", "service"):
-        one = top_k(events, KEYS, value, 1).select(*KEYS, value)
-        out = one if out is None else out.join(one, KEYS, "full_outer")
-    return out
+    return most_frequent(value_counts(events, ["actor", "resource", "service"]), ["actor", "resource", "service"])
+
+
+def most_frequent(counts: DataFrame, kinds: list[str]) -> DataFrame:
+    """The most frequent value of each kind, as one column a kind."""
+    return top_values(counts, 1).groupBy(*KEYS).agg(*[F.max(F.when(F.col("kind") == k, F.col("value"))).alias(k) for k in kinds])
 
 
 def minute_activity(events: DataFrame) -> DataFrame:
@@ -109,13 +132,21 @@ def minute_activity(events: DataFrame) -> DataFrame:
     return sizes.select(*KEYS, F.size("a").alias("minutes"), F.expr("a[size(a) div 2]").alias("p50"), F.expr("a[least(size(a) - 1, cast(floor(size(a) * 0.95) as int))]").alias("p95"))
 
 
-def transitions(events: DataFrame) -> DataFrame:
-    """Changes from failure to success in time order, and their share of the errors."""
-    order = Window.partitionBy(*KEYS).orderBy("us", "event_id")
+def transitions(events: DataFrame, seconds: int = 3600) -> DataFrame:
+    """Changes from failure to success in time order, and their share of the errors.
+
+    Events are ordered inside time buckets of a cluster; a bucket hands its last state to the next one, so a busy
+    cluster is spread over its buckets.
+    """
+    bucket = [*KEYS, "bucket"]
+    order = Window.partitionBy(*bucket).orderBy("us", "event_id")
     is_failure = P.http_failure() | P.family_failure()
-    e = events.select(*KEYS, "us", "event_id", is_failure.alias("bad"), P.success().alias("good"), P.failure("trigger").alias("err"))
+    e = events.select(*KEYS, F.expr(f"us div {seconds * 1_000_000}").alias("bucket"), "us", "event_id", is_failure.alias("bad"), P.success().alias("good"), P.failure("trigger").alias("err"))
     e = e.withColumn("turn", F.coalesce(F.lag("bad").over(order), F.lit(False)) & F.col("good"))
-    s = e.groupBy(*KEYS).agg(count_if(F.col("turn")).alias("failure_to_success"), count_if(F.col("err")).alias("errors"))
+    at = F.struct(F.col("us").isNotNull().alias("timed"), "us", "event_id")
+    b = e.groupBy(*bucket).agg(count_if(F.col("turn")).alias("turns"), count_if(F.col("err")).alias("errors"), F.min_by("good", at).alias("good"), F.max_by("bad", at).alias("bad"))
+    turn = F.coalesce(F.lag("bad").over(Window.partitionBy(*KEYS).orderBy("bucket")), F.lit(False)) & F.col("good")
+    s = b.withColumn("turn", turn).groupBy(*KEYS).agg((F.sum("turns") + count_if(F.col("turn"))).alias("failure_to_success"), F.sum("errors").alias("errors"))
     return s.withColumn("recovery_strength", F.when(F.col("errors") > 0, F.round(F.least(F.lit(1.0), F.col("failure_to_success") / F.col("errors")), 6)).otherwise(0.0))
 
 

@@ -1,9 +1,13 @@
 """Embedding vectors: hashing embedder, centroids, representatives, nearest centroid, k nearest vectors, k-means."""
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as S
+from ..storage import new_path
 
 
 def dot(a: str, b: str):
@@ -50,19 +54,59 @@ def representatives(vectors: DataFrame, label: str = "label") -> DataFrame:
     return j.groupBy(label).agg(F.max_by("vec_id", F.struct("score", -F.col("vec_id"))).alias("representative"), F.round(F.max("score"), 5).alias("score"), F.count("*").alias("size"))
 
 
-def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """The k vectors of largest inner product with each query.  Over 10,000 queries go in blocks by the hash of their id,
-    of 5,000 on average, each block joined by broadcast."""
-    count = queries.count()
-    blocks = 1 if count <= 10_000 else -(-count // 5_000)
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    j = None
-    for i in range(blocks):
-        few = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) if blocks > 1 else q
-        part = vectors.crossJoin(F.broadcast(few)).where("vec_id <> query_id").select("query_id", "vec_id", F.round(dot("embedding", "q"), 5).alias("score"))
-        j = part if j is None else j.unionByName(part)
+def nearest_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 10_000) -> DataFrame:
+    """The k vectors of largest inner product (to five places) with each query; equal ones rank by vec_id.
+
+    Queries go to all tasks in blocks of about ``block``; a task multiplies its vectors with them in small matrices and
+    sends on its k best a query, so no scored pair leaves a task but those.  With several blocks, each block's result is
+    written before the next one is sent.
+    """
+    spark = vectors.sparkSession
+    blocks = max(1, -(-queries.count() // block))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    def best_of(i: int):
+        few = queries.select("vec_id", "embedding").where("vec_id is not null and embedding is not null")
+        few = (few.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i) if blocks > 1 else few).collect()
+        shared = spark.sparkContext.broadcast((np.array([r[0] for r in few], np.int64), np.array([r[1] for r in few], np.float64)))
+
+        def search(batches):
+            ids, q = shared.value
+            score, near = np.full((len(ids), k), -np.inf), np.full((len(ids), k), -1, np.int64)
+            for b in batches:
+                b = b.filter(pc.and_(b.column(0).is_valid(), b.column(1).is_valid()))
+                for lo in range(0, b.num_rows if len(ids) else 0, 2048):
+                    part = b.slice(lo, 2048)
+                    at = part.column(0).to_numpy(zero_copy_only=False)
+                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), -1)
+                    for first in range(0, len(ids), 512):
+                        rows = slice(first, first + 512)
+                        dots = q[rows] @ x.T
+                        s = np.concatenate([score[rows], np.sign(dots) * np.floor(np.abs(dots) * 1e5 + 0.5) / 1e5], axis=1)
+                        n = np.concatenate([near[rows], np.broadcast_to(at, dots.shape)], axis=1)
+                        s[n == ids[rows][:, None]] = -np.inf
+                        least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                        r, c = np.nonzero(s >= least[:, None])
+                        order = np.lexsort((n[r, c], -s[r, c], r))
+                        r, c = r[order], c[order]
+                        edge = np.searchsorted(r, np.arange(len(s)))
+                        keep = edge[:, None] + np.arange(k)
+                        score[rows], near[rows] = s[r[keep], c[keep]], n[r[keep], c[keep]]
+            if len(ids):
+                some = np.isfinite(score)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, some.sum(axis=1))), pa.array(near[some]), pa.array(score[some])], ["query_id", "vec_id", "score"])
+
+        found = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>")).mapInArrow(search, "query_id long, vec_id long, score double")
+        return shared, found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    if blocks == 1:
+        return best_of(0)[1]
+    path = new_path(spark, "nearest")
+    for i in range(blocks):
+        shared, found = best_of(i)
+        found.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def kmeans_k(n: int, min_size: int = 15, most: int = 300) -> int:

@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..operators import causal, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
+from ..storage import store
 
 EDGE_GAP = 1800
 # Sample log lines, one shape each, for the parsing queries.
@@ -34,12 +35,12 @@ def query(f):
 
 
 def _nodes(spark, d):
-    return causal.profiles(daily_type_clusters(spark, d))
+    return store(causal.profiles(daily_type_clusters(spark, d)), "nodes")  # a row a cluster; the graph reads it often
 
 
 def _graph(spark, d):
-    nodes = _nodes(spark, d).persist()  # a row a cluster; several tables of the graph read it
-    return nodes, causal.causal_graph(nodes, EDGE_GAP).persist()
+    nodes = _nodes(spark, d)
+    return nodes, store(causal.causal_graph(nodes, EDGE_GAP), "edges")
 
 
 def _roots(spark, d):
@@ -472,5 +473,5 @@ def blast_radius(spark, d):
 @query
 def root_cause_report(spark, d):
     nodes, edges = _graph(spark, d)
-    c, r = causal.root_candidates(nodes, edges), causal.grounded_events(daily_type_clusters(spark, d))
+    c, r = store(causal.root_candidates(nodes, edges), "candidates"), store(causal.grounded_events(daily_type_clusters(spark, d)), "roots")
     return reports.root_cause_report(c, r, reports.failure_pattern(r), causal.report_confidence(c, r), edges)
