@@ -178,3 +178,40 @@ def component_domain(col) -> Column:
 
 def signature(component_, operation, resource, mode) -> Column:
     return F.concat_ws(":", *[F.nullif(text(x), F.lit("")) for x in (component_, operation, resource, mode)])
+
+
+def payload_type(payload) -> Column:
+    """Which of five shapes a JSON payload has, by the keys it holds."""
+    has = lambda key: F.array_contains(F.json_object_keys(text(payload)), key)
+    dated = F.get_json_object(text(payload), "$.t['$date']").isNotNull()
+    return (
+        F.when(F.json_object_keys(text(payload)).isNull(), F.lit(None))
+        .when(has("statusCode") & has("method"), "http_probe_or_access")
+        .when(has("caller") & has("msg"), "caller_msg_structured")
+        .when(dated, "mongodb_structured")
+        .when(has("log"), "log_field_generic")
+        .otherwise("other_json")
+    )
+
+
+def subsystem(namespace, pod, prefixes: dict[str, str], namespaces: dict[str, str], unknown: str = "unknown") -> Column:
+    """The subsystem of a pod: by the longest prefix of its name that the table has, else by its namespace."""
+    name = F.lower(F.coalesce(text(pod), F.lit("")))
+    by_pod = [F.when(name.startswith(p), s) for p, s in sorted(prefixes.items(), key=lambda x: (-len(x[0]), x[0]))]
+    by_space = [F.when(F.lower(F.trim(text(namespace))) == n, s) for n, s in namespaces.items()]
+    return F.coalesce(*by_pod, *by_space, F.lit(unknown))
+
+
+def float_or(col, default: float = 0.0) -> Column:
+    return F.coalesce(text(col).try_cast("double"), F.lit(default))
+
+
+def time_of(*cols) -> Column:
+    """The first of several columns that is a time: ISO text, or seconds since 1970."""
+    one = lambda c: F.coalesce(parsed_time(F.col(c).cast("string")), F.timestamp_micros((F.col(c).cast("string").try_cast("double") * 1_000_000).cast("bigint")))
+    return F.coalesce(*[one(c) for c in cols])
+
+
+def normalized_fields(columns: list[str]) -> list[Column]:
+    """Several text columns, each redacted and collapsed."""
+    return [normalized(c).alias(c) for c in columns]

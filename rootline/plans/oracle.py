@@ -246,4 +246,32 @@ ORACLE = {
     + "', true), (6, '"
     + AUDIT
     + "', true)) AS t(n, raw, j)",
+    "symptoms": EV + ROOTS + ", v AS (SELECT run_id, us, 'response_code' AS kind, CAST(response_code AS VARCHAR) AS value FROM ro UNION ALL SELECT run_id, us, 'actor', actor FROM ro UNION ALL SELECT run_id, us, 'resource', resource FROM ro),"
+    " r AS (SELECT run_id, kind, value, count(*) AS n, row_number() OVER (PARTITION BY run_id, kind ORDER BY count(*) DESC, min(us), value) AS k FROM v WHERE value <> '' GROUP BY run_id, kind, value) SELECT run_id, kind, value, n, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 3",
+    "provenance": EV + ROOTS + " SELECT run_id, count(*) AS events, count(*) FILTER (response_code >= 400) AS by_code, count(*) FILTER (status_family = 'failure') AS by_family, count(*) FILTER (failure_hint <> '') AS by_hint, count(*) FILTER (failure_mode NOT IN ('normal', 'unknown')) AS by_mode,"
+    " count(*) FILTER (severity IN ('ERROR', 'FATAL')) AS by_severity, count(*) FILTER (coalesce(actor, '') = '') AS without_actor, count(DISTINCT cluster_id) AS clusters FROM ro GROUP BY run_id",
+    "overall_lift": EV + ROOTS + NOON + ", x AS (SELECT run_id, count(*) FILTER (us < onset_us) AS pre_events, count(*) FILTER (us >= onset_us) AS post_events, count(*) FILTER (evil AND us < onset_us) AS pre_failures, count(*) FILTER (evil AND us >= onset_us) AS post_failures"
+    " FROM evb JOIN noon USING (run_id) WHERE us BETWEEN onset_us - 3600000000 AND onset_us + 3600000000 GROUP BY run_id) SELECT *, round(pre_failures / 3600, 6) AS pre_rate, round(post_failures / 3600, 6) AS post_rate, CASE WHEN pre_failures > 0 THEN round(post_failures / pre_failures, 6) END AS lift FROM x",
+    "window_lift": EV + ROOTS + NOON + ", x AS (SELECT run_id, failure_mode, count(*) FILTER (us < onset_us) AS pre_count, count(*) FILTER (us >= onset_us) AS in_count FROM evb JOIN noon USING (run_id) WHERE evil AND us BETWEEN onset_us - 10800000000 AND onset_us + 10800000000 GROUP BY ALL)"
+    " SELECT run_id, 'I1' AS incident_id, failure_mode, pre_count, in_count, CASE WHEN pre_count > 0 THEN round(in_count / pre_count, 6) END AS lift FROM x",
+    "cluster_features": EV + " SELECT run_id, cluster_id, max(status_class) FILTER (status_class <> 'unknown') AS worst_class, bool_and(coalesce(response_code BETWEEN 200 AND 399, false)) AS all_success, min(us) AS first_us, max(us) AS last_us,"
+    " count(*) FILTER (severity = 'ERROR') AS n_error, count(*) FILTER (severity = 'WARN') AS n_warn, count(*) FILTER (severity = 'INFO') AS n_info, arg_min(event_id, (us, event_id)) AS representative FROM ev GROUP BY run_id, cluster_id",
+    "neighbours": DAILY + NODES + ", k AS (SELECT *, row_number() OVER (PARTITION BY run_id, source ORDER BY score DESC, target) AS k FROM cs), o AS (SELECT run_id, source AS cluster_id, round(sum(score), 6) AS out_weight, string_agg(target, ',' ORDER BY k) FILTER (k <= 5) AS targets, count(*) FILTER (lag_seconds <= 60) AS soon FROM k GROUP BY ALL),"
+    " i AS (SELECT run_id, target AS cluster_id, round(sum(score), 6) AS in_weight FROM cs GROUP BY ALL) SELECT run_id, cluster_id, coalesce(out_weight, 0) AS out_weight, coalesce(targets, '') AS targets, coalesce(in_weight, 0) AS in_weight, CAST(CASE WHEN soon >= 5 THEN 6 WHEN soon >= 3 THEN 4 WHEN soon >= 1 THEN 2 ELSE 0 END AS INTEGER) AS bonus FROM o FULL JOIN i USING (run_id, cluster_id)",
+    "even_samples": EV + ", r AS (SELECT run_id, event_id, us, row_number() OVER (PARTITION BY run_id ORDER BY us, event_id) - 1 AS r, count(*) OVER (PARTITION BY run_id) AS n FROM ev), p AS (SELECT DISTINCT run_id, CASE WHEN n <= 100 THEN i ELSE i * (n - 1) // 99 END AS r FROM (SELECT DISTINCT run_id, n FROM r), generate_series(0, 99) AS g(i))"
+    " SELECT run_id, event_id, us FROM r JOIN p USING (run_id, r)",
+    "explaining_edges": EV + STATS + " SELECT run_id, cluster_id AS source, CAST(event_id AS VARCHAR) AS target, 'contains' AS kind FROM ev WHERE (run_id, cluster_id) IN (SELECT (run_id, cluster_id) FROM st WHERE is_candidate)",
+    "missing_reports": EV + " SELECT 'failing' AS artifact, run_id AS id FROM (SELECT DISTINCT run_id FROM ev) WHERE run_id NOT IN (SELECT run_id FROM ev WHERE response_code = 503 AND target IS NOT NULL) UNION ALL SELECT 'signup', run_id FROM (SELECT DISTINCT run_id FROM ev) WHERE run_id NOT IN (SELECT run_id FROM ev WHERE verb = 'signup' AND resource = 'res_1')",
+    "field_differences": EV + " SELECT event_id, 'service' AS \"column\" FROM ev WHERE event_id % 7 = 0 UNION ALL SELECT event_id, 'response_code' FROM ev WHERE event_id % 5 = 0 AND response_code IS NOT NULL",
+    # an underscore is no part of a host name, so only the last address of each text counts
+    "dependency_hosts": EV + " SELECT event_id, replace(service, '_', '-') || '.core.svc' AS hosts FROM ev",
+    "payload_types": EV + ", x AS (SELECT event_id, verb = 'error' AND response_code IS NOT NULL AND event_id % 2 = 0 AS a, verb = 'click' AND event_id % 3 <> 0 AS b, verb = 'view' AS c, event_id % 5 = 0 AS d FROM ev)"
+    " SELECT CASE WHEN event_id % 11 = 0 THEN NULL WHEN a THEN 'http_probe_or_access' WHEN b THEN 'caller_msg_structured' WHEN c THEN 'mongodb_structured' WHEN d THEN 'log_field_generic' ELSE 'other_json' END AS kind, count(*) AS n FROM x GROUP BY ALL",
+    "subsystems": EV + " SELECT service, verb, CASE WHEN service IN ('svc_5', 'svc_6') THEN CASE verb WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' ELSE 'unknown' END WHEN service = 'svc_1' THEN CASE WHEN resource LIKE 'res\\_1%' ESCAPE '\\' THEN 'one-one' ELSE 'one' END WHEN service = 'svc_2' THEN 'two' ELSE 'any' END AS subsystem, count(*) AS n FROM ev GROUP BY ALL",
+    "root_confidence": EV + STATS + ", x AS (SELECT run_id, cluster_id, trigger_score * 4 AS t, error_count AS e, greatest(actors - 2.0, 0) AS f, error_rate AS p, fallback_error_count = 0 AS c, services AS y FROM st),"
+    " z AS (SELECT run_id, cluster_id, CASE WHEN t >= 3 THEN 0.22 WHEN t >= 1.5 THEN 0.12 ELSE 0 END + CASE WHEN e >= 100 THEN 0.22 WHEN e >= 20 THEN 0.12 ELSE 0 END + CASE WHEN f >= 5 THEN 0.20 WHEN f >= 1 THEN 0.10 ELSE 0 END + CASE WHEN p >= 0.85 THEN 0.18 WHEN p >= 0.5 THEN 0.08 ELSE 0 END"
+    " + CASE WHEN c THEN 0.12 ELSE -0.10 END + CASE WHEN y >= 6 THEN -0.16 WHEN y > 0 THEN -0.08 ELSE 0 END AS s, (t >= 1.5)::INT + (e >= 20)::INT + (f >= 1)::INT + (p >= 0.5)::INT + 1 + (y > 0)::INT AS reasons FROM x),"
+    " w AS (SELECT run_id, cluster_id, round(CAST(greatest(0, least(1, s)) AS DOUBLE), 3) AS confidence, reasons FROM z) SELECT run_id, cluster_id, confidence, CASE WHEN confidence >= 0.75 THEN 'high' WHEN confidence >= 0.45 THEN 'medium' ELSE 'low' END AS label, reasons FROM w",
+    "lagged_edges": DAILY + NODES + " SELECT run_id, source, target, round(CAST(greatest(0.0, 1 - lag_seconds / 120) + 0.2 * semantic_links + 0.1 AS DOUBLE), 6) AS score FROM cs",
 }
+ORACLE["assertion_summary"] = "WITH a AS (" + ORACLE["assertions"] + ") SELECT run_id, count(*) FILTER (status = 'pass') AS pass, count(*) FILTER (status = 'fail') AS fail, count(*) FILTER (status = 'inconclusive') AS inconclusive FROM a GROUP BY run_id"

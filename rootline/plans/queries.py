@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import causal, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -475,3 +475,102 @@ def root_cause_report(spark, d):
     nodes, edges = _graph(spark, d)
     c, r = store(causal.root_candidates(nodes, edges), "candidates"), store(causal.grounded_events(daily_type_clusters(spark, d)), "roots")
     return reports.root_cause_report(c, r, reports.failure_pattern(r), causal.report_confidence(c, r), edges)
+
+
+@query
+def symptoms(spark, d):
+    return bundles.symptoms(_roots(spark, d))
+
+
+@query
+def provenance(spark, d):
+    return bundles.provenance(_roots(spark, d))
+
+
+@query
+def overall_lift(spark, d):
+    return bundles.overall_lift(stream_events(spark, d), _noon(spark, d), 60)
+
+
+@query
+def window_lift(spark, d):
+    w = _noon(spark, d).select("run_id", F.lit("I1").alias("incident_id"), F.col("onset_us").alias("start_us"), (F.col("onset_us") + 10_800_000_000).alias("end_us"))
+    return bundles.window_lift(stream_events(spark, d), w)
+
+
+@query
+def cluster_features(spark, d):
+    return clusters.cluster_features(stream_events(spark, d))
+
+
+@query
+def neighbours(spark, d):
+    return clusters.neighbours(causal.causal_edges(_nodes(spark, d), EDGE_GAP))
+
+
+@query
+def even_samples(spark, d):
+    """At most 100 events of each run, evenly spaced: the limit is the operator."""
+    e = stream_events(spark, d).select("run_id", "event_id", "us")
+    return clusters.even_sample(e, ["run_id"], ["us", "event_id"], 100)
+
+
+@query
+def explaining_edges(spark, d):
+    e = stream_events(spark, d)
+    return clusters.explaining_edges(e, trigger.trigger_stats(e).where("is_candidate"))
+
+
+@query
+def assertion_summary(spark, d):
+    return evidence.assertion_summary(assertions(spark, d))
+
+
+@query
+def missing_reports(spark, d):
+    e = stream_events(spark, d)
+    runs = e.select("run_id").distinct()
+    return quality.missing_ids(runs, {"failing": e.where("response_code = 503 and target is not null").select("run_id").distinct(), "signup": e.where("verb = 'signup' and resource = 'res_1'").select("run_id").distinct()}, "run_id")
+
+
+@query
+def field_differences(spark, d):
+    e = stream_events(spark, d).select("event_id", "service", "resource", "response_code")
+    changed = e.withColumn("service", F.expr("if(event_id % 7 = 0, 'other', service)")).withColumn("response_code", F.expr("if(event_id % 5 = 0, null, response_code)"))
+    return quality.differences(e, changed, ["service", "resource", "response_code"])
+
+
+@query
+def dependency_hosts(spark, d):
+    e = stream_events(spark, d)
+    said = F.concat(F.lit("dial http://"), "service", F.lit(".core.svc:80/x, then HTTPS://"), F.upper(F.coalesce("target", F.lit("none"))), F.lit("_1.core.svc and https://"), F.translate("service", "_", "-"), F.lit(".core.svc:443/"), "resource")
+    return e.select("event_id", F.array_join(X.dependency_hosts(said), ",").alias("hosts"))
+
+
+@query
+def payload_types(spark, d):
+    e = stream_events(spark, d)
+    shape = F.to_json(F.struct(F.expr("if(verb = 'error', response_code, null)").alias("statusCode"), F.expr("if(event_id % 2 = 0, verb, null)").alias("method"), F.expr("if(verb = 'click', service, null)").alias("caller"), F.expr("if(event_id % 3 <> 0, resource, null)").alias("msg"), F.expr("if(verb = 'view', named_struct('$date', run_id), null)").alias("t"), F.expr("if(event_id % 5 = 0, raw_text, null)").alias("log")))
+    return e.groupBy(X.payload_type(F.when(F.col("event_id") % 11 != 0, shape).otherwise(F.lit("no json"))).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query
+def subsystems(spark, d):
+    e = stream_events(spark, d)
+    # A small table in the shape of a pod registry.
+    prefixes, spaces = {"svc_1": "one", "svc_1-res_1": "one-one", "svc_2-": "two", "svc": "any"}, {"click": "clicks", "view": "views"}
+    pod = F.expr("if(service in ('svc_5', 'svc_6'), null, concat(upper(service), '-', resource))")
+    return e.groupBy("service", "verb", X.subsystem("verb", pod, prefixes, spaces).alias("subsystem")).agg(F.count("*").alias("n"))
+
+
+@query
+def root_confidence(spark, d):
+    f = trigger.trigger_stats(stream_events(spark, d))
+    shaped = f.select("run_id", "cluster_id", (F.col("trigger_score") * 4).alias("trigger"), F.col("error_count").alias("errors"), F.col("actors").cast("double").alias("out_weight"), F.lit(2.0).alias("in_weight"), F.col("error_rate").alias("proximity"), (F.col("fallback_error_count") == 0).alias("consistent"), F.col("services").cast("double").alias("penalty"))
+    return temporal.root_confidence(shaped).select("run_id", "cluster_id", "confidence", "label", F.size("reasons").alias("reasons"))
+
+
+@query
+def lagged_edges(spark, d):
+    e = causal.causal_edges(_nodes(spark, d), EDGE_GAP)
+    return e.select("run_id", "source", "target", F.round(S.lagged_edge_score("lag_seconds", "semantic_links"), 6).alias("score"))
