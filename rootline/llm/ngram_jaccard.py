@@ -7,10 +7,13 @@ document, with the number dropped, bounds any overlap it can have.  Documents th
 anyone are out before a single pair exists.
 
 Candidate pairs come from prefixes in rarest-first order, of the documents left and of one document per class of equal
-sets.  In each prefix group everybody is first paired with a leader, the member nearest to what the others hold; the
-overlaps of a pair are counted per fragment and summed.  Then members of groups that still lie in different components
-are paired, if their sizes, bounds and the ranks of the common n-gram allow a link.  Pairs inside one component add nothing to the result and are not
-formed, so a group of thousands of near copies costs about one pair a member, and no link between components is lost.
+sets.  In each prefix group everybody is first paired with a leader, the member of like size nearest to what the others
+hold; the overlaps of a pair are counted per fragment and summed.  Then members of groups that still lie in different
+components are paired, if their sizes, bounds and the ranks of the common n-gram allow a link.  Pairs inside one component
+add nothing to the result and are not formed, so a group of thousands of near copies costs about one pair a member, and no
+link between components is lost.  Two bounds spare counting: a pair must hold enough common n-grams in its prefixes (what
+is common beyond the prefix that ends first lies in its rest), and the marks of two sets, bit fields that every n-gram
+flips a bit of, cannot differ in more bits than the sets do in n-grams.
 
 Defined results: null, empty and blank texts have no shingles and are their own component; fewer words than n make one
 shingle; a doc_id that repeats counts once (its least text), a row without doc_id is not returned; a very long text is
@@ -19,7 +22,7 @@ one set like any other; extra columns, whatever their names, are ignored.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
@@ -29,8 +32,9 @@ from .shared import documents, one_per_id, parts, store
 CHUNK_ROWS = 1 << 12
 SEGMENTS = "frag int, ids binary, counts binary, grams binary, own_ids binary, own_n binary, own_c binary"
 HELD = "home int, ids binary, sizes binary, grams binary, df binary, own_ids binary, own_n binary, own_c binary"
-SETS = "doc_id long, n int, c1 long, c2 long, grams array<long>, df array<int>"
+SETS = "doc_id long, n int, c1 long, c2 long, grams array<long>, df array<int>, marks array<long>"
 VERIFY_FRAGMENTS = 8
+MARK_BITS, MARK_ROWS = 512, 512
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int, mask: np.ndarray, lower: np.ndarray, roll: units.Rolling, seq: units.Rolling):
@@ -160,6 +164,19 @@ def held_twice(fragments: int):
     return fragment
 
 
+def set_marks(gram: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One row of 64-bit words a set; sets stand one after another in ``gram``.  A bit is set if an odd number of n-grams
+    fall on it."""
+    out, edge = np.empty((len(size), MARK_BITS // 64), np.int64), np.concatenate([[0], np.cumsum(size)])
+    for lo in range(0, len(size), MARK_ROWS):
+        hi = min(len(size), lo + MARK_ROWS)
+        bit = units.mix(gram[edge[lo] : edge[hi]].astype(np.uint64)) % np.uint64(MARK_BITS)
+        at = np.repeat(np.arange(hi - lo), size[lo:hi]) * MARK_BITS + bit.astype(np.int64)
+        odd = (np.bincount(at, minlength=(hi - lo) * MARK_BITS) & 1).astype(np.uint8)
+        out[lo:hi] = np.packbits(odd.reshape(-1, MARK_BITS), axis=1).view(np.int64)
+    return out
+
+
 def gathered(percent: int):
     """For mapInArrow: one row a document; its n-grams only if enough of them have another holder for any link."""
 
@@ -181,8 +198,12 @@ def gathered(percent: int):
         take = np.repeat(start[seg], size[seg]) + units.ragged(size[seg])
         offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(may, total, 0))]).astype(np.int32))
         mask = pa.array(~may)
-        columns = [pa.array(own), pa.array(n), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(gram[take]), mask=mask), pa.ListArray.from_arrays(offsets, pa.array(df[take]), mask=mask)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "grams", "df"])
+        gram, df = gram[take], df[take]
+        marks = set_marks(gram, total[may])
+        mark_offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(may, marks.shape[1], 0))]).astype(np.int32))
+        marks = pa.ListArray.from_arrays(mark_offsets, pa.array(marks.reshape(-1)), mask=mask)
+        columns = [pa.array(own), pa.array(n), pa.array(c[:, 0]), pa.array(c[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(gram), mask=mask), pa.ListArray.from_arrays(offsets, pa.array(df), mask=mask), marks]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "grams", "df", "marks"])
 
     return home
 
@@ -210,8 +231,9 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     # a link needs ceil(percent * n / 100) common n-grams; n - s of the rarest have no other holder
     taken = F.expr(f"transform(slice(z, 1, cast(s - ({percent}L * n + 99) div 100 + 1 as int)), x -> x.grams)").alias("taken")
     core = F.expr("aggregate(z, 0D, (a, x) -> a + ln(x.df)) / n").alias("core")  # highest where the set is nearest to what others hold
-    ranked = table.where("grams is not null").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "n", F.size("grams").alias("s"), "grams", F.array_sort(F.arrays_zip("df", "grams")).alias("z"))
-    held = store(ranked.select("doc", "n", "s", "grams", taken, core), "jaccard-reps")
+    ranked = table.where("grams is not null").join(reps, "doc_id").select(F.col("doc_id").alias("doc"), "n", F.size("grams").alias("s"), "grams", "marks", F.array_sort(F.arrays_zip("df", "grams")).alias("z"))
+    last = F.expr(f"z[cast(s - ({percent}L * n + 99) div 100 as int)]").alias("last")  # where the prefix ends in the global order
+    held = store(ranked.select("doc", "n", "s", "grams", "marks", taken, last, core), "jaccard-reps")
     prefix = held.select("doc", "n", "s", "core", F.posexplode("taken").alias("i", "gram")).select("doc", "n", "s", "core", "gram", (F.col("n") - F.col("s") + F.col("i") + 1).alias("r"))
     prefix = store(prefix, "jaccard-prefix")
     pieces = store(
@@ -222,13 +244,28 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     allowed = f"(1L + least(n - r, n2 - r2)) * {100 + percent} >= {percent}L * (n + n2) and 100L * least(s, s2) * {100 + percent} >= 100L * {percent} * (n + n2) and 100L * least(n, n2) >= {percent}L * greatest(n, n2)"
     linked = f"{100 + percent}L * overlap >= {percent}L * (n + n2)"
 
+    side = lambda x: held.select(F.col("doc").alias(x), F.struct("n", "s", "taken", "last", "marks").alias(f"of_{x}"))
+    rest = f"({percent}L * if(of_a.last <= of_b.last, of_a.n, of_b.n) + 99) div 100 - 1"
+    enough = f"{100 + percent}L * (size(array_intersect(of_a.taken, of_b.taken)) + {rest}) >= {percent}L * (of_a.n + of_b.n)"
+
+    # sets that link differ in at most (100 - percent) / (100 + percent) of both sizes
+    apart = "aggregate(zip_with(of_a.marks, of_b.marks, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y) + of_a.n - of_a.s + of_b.n - of_b.s"
+    near = f"{100 + percent}L * ({apart}) <= {100 - percent}L * (of_a.n + of_b.n)"
+
     def links(pairs: DataFrame) -> DataFrame:
-        found = overlaps(pairs.select("a", "b"), pieces)
-        return found.join(pairs, ["a", "b"]).where(linked).select("a", "b")
+        """Those of ``pairs`` (a, b, n, n2) that link."""
+        able = store(pairs.join(side("a"), "a").join(side("b"), "b").where(f"{near} and {enough}").select("a", "b", "n", "n2"), "jaccard-able")
+        found = overlaps(able.select("a", "b"), pieces)
+        return found.join(able, ["a", "b"]).where(linked).select("a", "b")
+
+    def band(half: int) -> Column:
+        """Documents that may link lie in one band of sizes or in neighbouring ones; half = 1 is half a band further."""
+        return F.floor(F.log("n") / F.log(F.lit(100 / percent)) + half / 2)
 
-    leaders = prefix.groupBy("gram").agg(F.max(F.struct("core", (-F.col("doc")).alias("neg"), "n", "s", "r")).alias("top"), F.count("*").alias("k")).where("k > 1")
+    banded = prefix.select("*", F.explode(F.array(*[F.struct(F.lit(h).alias("half"), band(h).alias("band")) for h in (0, 1)])).alias("g")).select("gram", "g.half", "g.band", "doc", "n", "s", "r", "core")
+    leaders = banded.groupBy("gram", "half", "band").agg(F.max(F.struct("core", (-F.col("doc")).alias("neg"), "n", "s", "r")).alias("top"), F.count("*").alias("k")).where("k > 1")
     star = (
-        prefix.join(leaders.select("gram", (-F.col("top.neg")).alias("doc2"), F.col("top.n").alias("n2"), F.col("top.s").alias("s2"), F.col("top.r").alias("r2")), "gram")
+        banded.join(leaders.select("gram", "half", "band", (-F.col("top.neg")).alias("doc2"), F.col("top.n").alias("n2"), F.col("top.s").alias("s2"), F.col("top.r").alias("r2")), ["gram", "half", "band"])
         .where(f"doc <> doc2 and {allowed}")
         .selectExpr("least(doc, doc2) as a", "greatest(doc, doc2) as b", "n", "n2")
         .groupBy("a", "b")
@@ -241,7 +278,7 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     placed = store(placed, "jaccard-placed")
     mixed = placed.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("gram")
     left = placed.join(mixed, "gram")
-    right = left.select("gram", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("r").alias("r2"), F.col("c").alias("c2"))
+    right = left.select("gram", *[F.col(x).alias(f"{x}2") for x in ("doc", "n", "s", "r", "c")])
     cross = left.join(right, "gram").where(f"doc < doc2 and c <> c2 and {allowed}").select(F.col("doc").alias("a"), F.col("doc2").alias("b"), "n", "n2").distinct()
     cross = store(cross.join(star.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-cross")
     edges = store(edges.unionByName(links(cross)), "jaccard-links")

@@ -225,3 +225,29 @@ def test_window_minima_cover_every_window():
         for i in range(len(valid)):
             inside = at[(at >= i) & (at < i + 7)]
             assert len(inside) and values[inside].min() == values[i : i + 7].min() == least[i]
+
+
+def test_set_marks_bound_the_difference():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(-(1 << 62), 1 << 62, 900), rng.integers(-(1 << 62), 1 << 62, 40)
+    sets = [a[:300], np.concatenate([a[5:300], b[:7]]), a, np.concatenate([a[:880], b]), a[:0], b[:1]]
+    marks = ngram_jaccard.set_marks(np.concatenate(sets), np.array([len(x) for x in sets]))
+    assert marks.shape == (len(sets), ngram_jaccard.MARK_BITS // 64) and not marks[4].any()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            apart = sum(int(w).bit_count() for w in (marks[i] ^ marks[j]).view(np.uint64))
+            assert apart <= len(set(x) ^ set(y)) and (apart - len(set(x) ^ set(y))) % 2 == 0
+
+
+def test_near_copies_of_a_template(spark):
+    """Most pairs of the group do not link by themselves, some documents only through copies with the same changes."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(160):
+        words = list(base if i % 3 else base[:60])
+        for at in rng.choice(len(words), int(rng.integers(0, 4)), replace=False):
+            words[at] = f"x{rng.integers(0, 3)}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.duplicate_groups(frame(spark, rows)).collect()}
+    assert got == {d: tuple(x) for d, x in brute_components(rows).items()}
