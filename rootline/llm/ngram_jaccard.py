@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import units
 from .graph import components
-from .shared import documents, one_per_id, parts, store
+from .shared import documents, one_per_id, parts, store, tidy
 
 CHUNK_ROWS = 1 << 12
 SEGMENTS = "frag int, ids binary, counts binary, grams binary, own_ids binary, own_n binary, own_c binary"
@@ -107,7 +107,7 @@ def segments(docs: DataFrame, n: int, fragments: int, chunk: int) -> DataFrame:
                         ["frag", "ids", "counts", "grams", "own_ids", "own_n", "own_c"],
                     )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, SEGMENTS)
+    return docs.select("doc_id", "text").mapInArrow(tidy(rows), SEGMENTS)
 
 
 def _home(ids: np.ndarray, fragments: int) -> np.ndarray:
@@ -223,8 +223,8 @@ def duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 75, chunk: int
     """
     docs = one_per_id(docs)
     count = parts(docs, 2.0)
-    dealt = segments(docs, n, count, chunk).repartitionById(count, F.col("frag")).mapInArrow(held_twice(count), HELD)
-    table = store(dealt.repartitionById(count, F.col("home")).mapInArrow(gathered(percent), SETS), "jaccard-sets")
+    dealt = segments(docs, n, count, chunk).repartitionById(count, F.col("frag")).mapInArrow(tidy(held_twice(count)), HELD)
+    table = store(dealt.repartitionById(count, F.col("home")).mapInArrow(tidy(gathered(percent)), SETS), "jaccard-sets")
     classes = table.where("n > 0").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"))
     member = store(table.select("doc_id", "n", "c1", "c2").join(classes, ["n", "c1", "c2"], "left").select("doc_id", F.col("n"), F.coalesce("rep", "doc_id").alias("rep")), "jaccard-classes")
     reps = member.where("doc_id = rep").select("doc_id")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import Sent, documents, store
+from .shared import Sent, documents, store, tidy
 
 PREFIXES = (4, 5, 6, 7, 8)
 GRADES = 3
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model, chunk: int = 2 << 20) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * p.shape[1]).astype(np.int32)), pa.array(p.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(over.sum(axis=1)), pa.array((over >= 0.5).sum(axis=1).astype(np.int32)), pa.array(over[:, 0] >= 0.5), lists], ["doc_id", "severity", "grade", "toxic", "probabilities"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, SCORES)
+    return docs.select("doc_id", "text").mapInArrow(tidy(rows), SCORES)
 
 
 def op4_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

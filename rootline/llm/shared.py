@@ -1,5 +1,6 @@
 """What several operators need from Spark: partition counts, values sent to executors and bounded document filters."""
 
+import ctypes
 import pickle
 
 import numpy as np
@@ -63,6 +64,19 @@ def _places(ids: np.ndarray) -> np.ndarray:
     return h >> np.uint64(64 - FILTER_BITS.bit_length() + 1)
 
 
+def tidy(step):
+    """``step`` (for mapInArrow); what a task has freed goes back to the system at its end, as workers live on for other steps."""
+
+    def run(batches):
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries hold freed memory and have it
+        if trim:
+            trim(0)
+
+    return run
+
+
 class IdFilter:
     """A bit array of fixed size (4 MB) that holds every id put in and, seldom, says yes to others.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import Sent, documents
+from .shared import Sent, documents, tidy
 
 TABLE_BITS = 16
 FOUND = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start:int,length:int>>"
@@ -193,7 +193,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13, perc
                     size = 0
         yield from finish()
 
-    return docs.select("doc_id", "text").mapInArrow(search, FOUND)
+    return docs.select("doc_id", "text").mapInArrow(tidy(search), FOUND)
 
 
 def op6_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
