@@ -98,7 +98,9 @@ def _select(texts: DataFrame, toxic: int, most: int) -> np.ndarray:
 
 
 def _matrix(texts: DataFrame, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Labels, and row, column and count of the selected features, of the sample."""
+    """Labels, and row, column and count of the selected features, of the sample, its texts ordered by hash.
+
+    Tasks deliver rows in no fixed order; ordered, every run splits and fits the same rows alike."""
 
     def find(batches):
         features, known = Features(), lookup.load()
@@ -107,14 +109,20 @@ def _matrix(texts: DataFrame, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarra
                 n, width = hi - lo, len(known.hashes)
                 pairs = [known.find(row, h) for row, h in features.read(data, offsets)]
                 key, times = np.unique(np.concatenate([r * width + c for r, c in pairs]), return_counts=True)
-                packed = batch.column(1).slice(lo, n).to_numpy(zero_copy_only=False).astype(np.int8), (key // max(1, width)).astype(np.int32), (key % max(1, width)).astype(np.int32), times.astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["toxic", "row", "at", "times"])
+                told = batch.column(1).slice(lo, n).to_numpy(zero_copy_only=False).astype(np.int8), batch.column(2).slice(lo, n).to_numpy(zero_copy_only=False).astype(np.int64)
+                packed = *told, (key // max(1, width)).astype(np.int32), (key % max(1, width)).astype(np.int32), times.astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["toxic", "place", "row", "at", "times"])
 
-    rows = texts.select("text", "toxic").mapInArrow(find, "toxic binary, row binary, at binary, times binary").collect()
+    rows = texts.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(find, "toxic binary, place binary, row binary, at binary, times binary").collect()
     flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[name], kind) for r in rows]])
     size = np.cumsum([0] + [len(r["toxic"]) for r in rows])
     row = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["row"], np.int32) + first for r, first in zip(rows, size)]])
-    return flat("toxic", np.int8).astype(np.int64), row.astype(np.int64), flat("at", np.int32).astype(np.int64), flat("times", np.int32).astype(np.int64)
+    order = np.argsort(flat("place", np.int64), kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    row, at = rank[row.astype(np.int64)], flat("at", np.int32).astype(np.int64)
+    by_row = np.lexsort((at, row))
+    return flat("toxic", np.int8).astype(np.int64)[order], row[by_row], at[by_row], flat("times", np.int32).astype(np.int64)[by_row]
 
 
 def fit(y: np.ndarray, row: np.ndarray, col: np.ndarray, x: np.ndarray, width: int, grades: int, steps: int = 1000, l1: float = 0.01, rate: float = 0.05):

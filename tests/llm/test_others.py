@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("rootline.llm")
 from rootline.llm import gbt_extract, html_dom, license_diagonals, line_winnow, mih_search, ordinal_toxicity, ss_packing, wu_manber  # noqa: E402
@@ -116,6 +117,13 @@ def test_toxicity_edges(spark):
     assert ordinal_toxicity.score(docs.limit(0), ordinal_toxicity.train(docs, none)).count() == 0
 
 
+def test_toxicity_model_does_not_depend_on_the_order_of_rows(spark, small):
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    models = [ordinal_toxicity.train(docs.repartition(n).orderBy(F.rand(n)), labels) for n in (1, 7)]
+    assert (models[0][0].hashes == models[1][0].hashes).all() and len(models[0][1])
+    assert (models[0][1] == models[1][1]).all() and (models[0][2] == models[1][2]).all()
+
+
 def test_thresholds_share_weights():
     r = np.random.default_rng(0)
     y = r.integers(0, 4, 400)
