@@ -340,6 +340,16 @@ def test_ids_of_all_documents(spark, small):
     check_packing(rows, texts, 2048, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("most", [1, 2, 16])
+def test_packing_holds_every_id_with_few_open_windows(spark, small, most):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(ss_packing.vocabulary())
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(80).collect()} | {10_000: None, 10_001: "long " * 900}
+    rows = ss_packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2), ss_packing.vocabulary(), 256, most=most).collect()
+    check_packing(rows, texts, 256, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids)
+
+
 @pytest.mark.parametrize("module,name", [(line_winnow, "op5_line_winnow"), (wu_manber, "op6_wu_manber"), (license_diagonals, "op7_license_diagonals"), (mih_search, "op8_mih_search")])
 def test_oracle(spark, small, module, name):
     from tests.test_oracle import plain
