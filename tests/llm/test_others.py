@@ -340,6 +340,18 @@ def test_ids_of_all_documents(spark, small):
     check_packing(rows, texts, 2048, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids)
 
 
+def test_ids_of_joined_words():
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder, r = Tokenizer.from_file(ss_packing.vocabulary()), ss_packing.Encoder(ss_packing.vocabulary(), 500), random.Random(3)
+    fixed = ["a \u00a0 \u00a0 b", " \u00a0 \u00a0", "1 \u00a0 \u00a0 1", "x\u00a0 y \u00a0z", "a\n \nb", "b\u00a0 \n \u00a0 c.", ""]
+    drawn = ["".join(r.choice(kind) for _ in range(r.randint(1, 30))) for kind in (r.sample("ab'st\u00e9.,!-1\n\t\r\u00a0\u2003\u3000\u0120\u4e00\x85", 6) + [" "] * 3 for _ in range(3000))]
+    for text in fixed + drawn:
+        assert encoder.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("most", [1, 2, 16])
 def test_packing_holds_every_id_with_few_open_windows(spark, small, most):
     from tokenizers import Tokenizer
