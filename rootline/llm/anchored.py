@@ -143,10 +143,11 @@ def anchor_rows(docs: DataFrame, spec: Spec) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(rows, ANCHORS)
 
 
-def shared_anchors(docs: DataFrame, spec: Spec, weight: float) -> DataFrame:
+def shared_anchors(docs: DataFrame, spec: Spec, weight: float, once: bool = False) -> DataFrame:
     """Anchors that occur twice at least: anchor, doc_id, pos, first (doc_id, pos), settled (one context everywhere), n.
 
-    One exchange serves the totals and the join with them.  weight: bytes of rows a byte of input.
+    weight: bytes of rows a byte of input; once: one exchange serves the totals and the join with them, as a condition
+    that always holds keeps their columns alike.
     """
     rows = anchor_rows(docs, spec)
     dealt = rows.repartition(parts(docs, weight), "anchor")
@@ -154,8 +155,11 @@ def shared_anchors(docs: DataFrame, spec: Spec, weight: float) -> DataFrame:
         dealt.groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"), F.min(F.struct("doc_id", "pos")).alias("first"))
         .where("n > 1")
-        .select("anchor", "n", (F.col("c0") == F.col("c1")).alias("settled"), "first")
+        .select("anchor", "n", "c0", (F.col("c0") == F.col("c1")).alias("settled"), "first")
     )
+    if once:
+        return dealt.join(totals.hint("shuffle_hash"), "anchor").where("coalesce(ctx >= c0 and pos >= 0, true)").drop("ctx", "c0")
+    totals = totals.drop("c0")
     return dealt.drop("ctx").join(totals.hint("shuffle_hash"), "anchor")
 
 

@@ -39,29 +39,26 @@ def refine(data: np.ndarray, at: np.ndarray, depth: int, q: int = 8) -> np.ndarr
 
     Every suffix has ``depth`` bytes at least, so each pass finds the identifiers that it points to.
     """
-    word = np.zeros(len(data), np.uint64)
-    n = len(data) - q + 1
-    for i in range(q):
-        word[:n] = (word[:n] << np.uint64(8)) | data[i : n + i]
-    ident = np.full(len(data), -1, np.int64)
-    alive, h = np.arange(len(at)), q
-    key = word
+    word = np.ndarray(max(0, len(data) - q + 1), ">u8", np.ascontiguousarray(data), strides=(1,))
+    ident, lost = np.empty(len(data), np.int64), np.zeros(len(data) + 1, np.int64)
+    alive, h, step = np.arange(len(at)), q, 0
     while True:
         place = np.flatnonzero(units.covered(len(data), at[alive], at[alive] + depth - h + 1))
-        order = np.argsort(key[place], kind="stable")
-        ranked = key[place][order]
-        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-        bucket = np.cumsum(new) - 1
-        alone = np.bincount(bucket, minlength=1)[bucket] == 1
+        if step:
+            key = ident[place].astype(np.uint64) * np.uint64(len(data)) + ident[place + step].astype(np.uint64)
+        else:
+            key = word[place].astype(np.uint64)
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])
+        shared = ~(new[:-1] & new[1:])  # not alone in its bucket
         ident.fill(-1)
-        ident[place[order]] = np.where(alone, -1, bucket)
-        lost = np.concatenate([[0], np.cumsum(ident < 0)])
+        ident[place[order[shared]]] = (np.cumsum(new[:-1]) - 1)[shared]
+        np.cumsum(ident < 0, out=lost[1:])
         alive = alive[lost[at[alive] + depth - h + 1] == lost[at[alive]]]
         if h == depth or not len(alive):
             break
         step = min(h, depth - h)
-        key = np.zeros(len(data), np.uint64)
-        key[: len(data) - step] = ident[:-step].astype(np.uint64) * np.uint64(len(data)) + ident[step:].astype(np.uint64)
         h += step
     out = np.full(len(at), -1, np.int64)
     out[alive] = ident[at[alive]]
@@ -115,6 +112,7 @@ def _sort_buckets(slices: DataFrame, spec: Spec, count: int) -> DataFrame:
     """(doc_id, lo, hi): starts of strings that also start earlier, from the refined buckets of each task's anchors."""
 
     def sort(body: pa.Array, doc: np.ndarray, start: np.ndarray):
+        """Slices come by doc_id and start; those of one text hold no start twice, so their strings are in order too."""
         offsets = np.frombuffer(body.buffers()[1], np.int64)[body.offset : body.offset + len(body) + 1]
         data = np.frombuffer(body.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
@@ -123,12 +121,11 @@ def _sort_buckets(slices: DataFrame, spec: Spec, count: int) -> DataFrame:
         bucket = refine(data, offsets[:-1][row] + step, spec.window)
         kept = bucket >= 0
         row, bucket, step = row[kept], bucket[kept], step[kept]
-        doc, start = doc[row], start[row] + step
-        order = np.lexsort((start, doc, bucket))
-        later = np.concatenate([[False], bucket[order][1:] == bucket[order][:-1]]) if len(order) else np.zeros(0, bool)
-        doc, start = doc[order][later], start[order][later]
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
+        place = np.arange(len(bucket))
+        first = np.zeros(bucket.max(initial=-1) + 1, np.int64)
+        first[bucket[::-1]] = place[::-1]  # the last one written stays: the earliest
+        later = first[bucket] != place
+        doc, start = doc[row[later]], start[row[later]] + step[later]
         new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(start) > 1)]) if len(doc) else np.zeros(0, bool)
         last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(doc) - 1]]) if len(doc) else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(start[new].astype(np.int32)), pa.array(start[last].astype(np.int32))], ["doc_id", "lo", "hi"])
@@ -139,7 +136,7 @@ def _sort_buckets(slices: DataFrame, spec: Spec, count: int) -> DataFrame:
             return
         table = pa.Table.from_batches(found)
         del found
-        anchor = table.column("anchor").to_numpy()
+        anchor, doc, start = (table.column(c).to_numpy() for c in ("anchor", "doc_id", "start"))
         order = np.argsort(anchor, kind="stable")
         size = pc.binary_length(table.column("body")).to_numpy()[order]
         edge = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]]))  # buckets stay whole
@@ -151,7 +148,8 @@ def _sort_buckets(slices: DataFrame, spec: Spec, count: int) -> DataFrame:
             hi = int(fits[-1]) if len(fits) else int(after[0]) if len(after) else len(order)
             if total[-1] <= total[lo] + spec.chunk:
                 hi = len(order)
-            part = table.take(pa.array(order[lo:hi]))
+            some = order[lo:hi]
+            part = table.take(pa.array(some[np.lexsort((start[some], doc[some]))]))
             body = pa.concat_arrays([c.cast(pa.large_binary()) for c in part.column("body").chunks])
             yield sort(body, part.column("doc_id").to_numpy(), part.column("start").to_numpy())
             lo = hi
@@ -178,7 +176,7 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 28, hot: int
         raise ValueError("gram must lie between 8 and window")
     spec = Spec("byte", window, gram, chunk)
     docs = one_per_id(docs)
-    found = shared_anchors(docs, spec, 1.2)
+    found = shared_anchors(docs, spec, 1.2, once=True)
     seeds = store(
         found.groupBy("doc_id").agg(
             F.collect_set(F.expr(f"if(not settled and n <= {hot}, anchor, null)")).alias("open_at"),
