@@ -62,12 +62,14 @@ class Reader:
         by unit; done: anchors that settle the windows around them as copies.
         """
         s = self.spec
-        starts = np.flatnonzero(self.valid)
-        if not len(starts) or not opened.any():
-            return starts[:0], starts[:0]
+        some, reach = np.flatnonzero(opened), s.window - s.gram
+        if not len(self.valid) or not len(some):
+            return some[:0], some[:0]
+        near = units.covered(self.n, np.maximum(0, some - reach), some + 1)
+        near &= ~units.covered(self.n, np.maximum(0, done - reach), done + 1)
+        starts = np.flatnonzero(self.valid & near[: len(self.valid)])
         own = at[units.own_minimum(self.grams, self.least, at, starts)]
-        known = units.covered(self.n, np.maximum(0, done + s.gram - s.window), done + 1)
-        keep = opened[own] & ~known[starts]
+        keep = opened[own]
         return starts[keep], own[keep]
 
     def contexts(self, at: np.ndarray, row: np.ndarray) -> np.ndarray:
