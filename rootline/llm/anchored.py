@@ -55,21 +55,28 @@ class Reader:
         at, self.least = units.window_minima(self.grams, s.window - s.gram + 1, self.valid)
         return at
 
-    def open_windows(self, at: np.ndarray, opened: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def open_windows(self, at: np.ndarray, opened: np.ndarray, done: np.ndarray, narrow: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the windows whose own anchor is open, but not those around an anchor of ``done``; and that anchor.
 
         Only a window's own anchor, its leftmost least gram, is an anchor wherever the window stands.  opened: flags
-        by unit; done: anchors that settle the windows around them as copies.
+        by unit; done: anchors that settle the windows around them as copies; narrow: the own anchor is only sought for
+        windows that hold an open one, with the same result.
         """
         s = self.spec
         some, reach = np.flatnonzero(opened), s.window - s.gram
         if not len(self.valid) or not len(some):
             return some[:0], some[:0]
-        near = units.covered(self.n, np.maximum(0, some - reach), some + 1)
-        near &= ~units.covered(self.n, np.maximum(0, done - reach), done + 1)
-        starts = np.flatnonzero(self.valid & near[: len(self.valid)])
-        own = at[units.own_minimum(self.grams, self.least, at, starts)]
-        keep = opened[own]
+        if narrow:
+            near = units.covered(self.n, np.maximum(0, some - reach), some + 1)
+            near &= ~units.covered(self.n, np.maximum(0, done - reach), done + 1)
+            starts = np.flatnonzero(self.valid & near[: len(self.valid)])
+            own = at[units.own_minimum(self.grams, self.least, at, starts)]
+            keep = opened[own]
+        else:
+            starts = np.flatnonzero(self.valid)
+            own = at[units.own_minimum(self.grams, self.least, at, starts)]
+            known = units.covered(self.n, np.maximum(0, done - reach), done + 1)
+            keep = opened[own] & ~known[starts]
         return starts[keep], own[keep]
 
     def contexts(self, at: np.ndarray, row: np.ndarray) -> np.ndarray:

@@ -83,7 +83,7 @@ def _window_rows(docs: DataFrame, seeds: DataFrame, spec: Spec, keyed: bool) ->
                 row = np.searchsorted(reader.bounds, at, "right") - 1
                 opened = np.zeros(reader.n, bool)
                 opened[at[reader.flags(at, row, open_at[lo:hi])]] = True
-                s, own = reader.open_windows(at, opened, at[reader.flags(at, row, done_at[lo:hi])])
+                s, own = reader.open_windows(at, opened, at[reader.flags(at, row, done_at[lo:hi])], narrow=True)
                 if not len(s):
                     continue
                 if keyed:

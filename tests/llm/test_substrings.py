@@ -142,6 +142,19 @@ def test_anchors_are_dealt_once(spark):
     assert "ReusedExchange" in used._jdf.queryExecution().executedPlan().toString()
 
 
+def test_windows_near_open_anchors_are_all_open_windows():
+    r = np.random.default_rng(7)
+    for _ in range(30):
+        reader = anchored.Reader(anchored.Spec("byte", 20, 8, 1 << 20))
+        data = r.integers(97, 97 + int(r.integers(1, 4)), 600).astype(np.uint8)
+        reader.load(data, np.array([0, 15, 15, 200, 600]))
+        at = reader.anchors()
+        opened, done = np.zeros(reader.n, bool), r.permutation(at)[: int(r.integers(0, 4))]
+        opened[r.permutation(at)[: int(r.integers(0, 12))]] = True
+        want, found = reader.open_windows(at, opened, done), reader.open_windows(at, opened, done, narrow=True)
+        assert want[0].tolist() == found[0].tolist() and want[1].tolist() == found[1].tolist()
+
+
 def brute_components(rows, n=5, percent=75):
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
     sets = {}
