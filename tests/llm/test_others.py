@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -362,6 +363,50 @@ def test_packing_holds_every_id_with_few_open_windows(spark, small, most):
     check_packing(rows, texts, 256, lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids)
 
 
+def test_words_of_many_texts_are_encoded_together(monkeypatch):
+    import pyarrow as pa
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def __getattr__(self, name):
+            self.calls += name.startswith("encode")
+            return getattr(self.inner, name)
+
+    class Task:
+        select = lambda self, *names: self
+        mapInArrow = lambda self, step, schema: step
+        get = classmethod(lambda cls: cls)
+        partitionId = staticmethod(lambda: 0)
+
+    encoder = ss_packing.Encoder(ss_packing.vocabulary(), 1000)
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    monkeypatch.setattr(ss_packing.Encoder, "of_worker", classmethod(lambda *a: encoder))
+    monkeypatch.setattr(ss_packing, "TaskContext", Task)
+    texts = {d: f"the word{d} of{d} a." + " text, and" * (d % 7) for d in range(300)}
+    batch = pa.record_batch({"doc_id": pa.array(list(texts), pa.int64()), "text": list(texts.values())})
+    rows = [SimpleNamespace(**r) for out in ss_packing.pack(Task(), "", 64)([batch]) for r in out.to_pylist()]
+    assert counting.calls < 30
+    check_packing(rows, texts, 64, lambda t: counting.inner.encode(t, add_special_tokens=False).ids)
+
+
+def test_ids_of_texts_encoded_in_parts(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    letters = [chr(c) for c in range(1, 0x110000) if chr(c).isalpha() and not 0x3400 <= c <= 0x9FFF and not 0x17000 <= c <= 0x18CFF and not 0x20000 <= c]
+    texts = [None, "", "x", " ", "a", "<|endoftext|> a.", "b  c", None, "\u00a0 d e!", "no\nspace", "y" * 70000 + " z", " ".join("w" * 300 + str(i) for i in range(300))]
+    texts += [" ".join(f"{a}{b}. {a}?!" for a, b in zip(letters[i : i + 50], letters[i + 1 :])) for i in range(0, len(letters), 50)] + ["", None, "a. b", "a. b"]
+    tokenizer = Tokenizer.from_file(ss_packing.vocabulary())
+    for size, cache, kind in [(1, 100, pa.string()), (300, 10, pa.large_string()), (1 << 24, 10**6, pa.string())]:
+        monkeypatch.setattr(ss_packing.Encoder, "TEXTS", size)
+        encoder = ss_packing.Encoder(ss_packing.vocabulary(), cache)
+        got = [(i, ids.tolist()) for i, ids in encoder.parts(pa.array([None, *texts], kind).slice(1))]
+        assert got == [(i, tokenizer.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in enumerate(texts)]
+    assert list(encoder.parts(pa.array([], pa.string()))) == []
+
+
 @pytest.mark.parametrize("module,name", [(line_winnow, "op5_line_winnow"), (wu_manber, "op6_wu_manber"), (license_diagonals, "op7_license_diagonals"), (mih_search, "op8_mih_search")])
 def test_oracle(spark, small, module, name):
     from tests.test_oracle import plain
