@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 ODD = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 SALT = np.uint64(0xD6E8FEB86659FD93)
+PIECE = 1 << 18
 
 # The separators of the two word rules, as byte values.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -109,9 +110,19 @@ class Rolling:
         return mix(h)
 
     def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
-        """One hash a word; ``table`` maps bytes first."""
+        """One hash a word; ``table`` maps bytes first.
+
+        Words come in order, and their bytes are summed up in pieces of whole words, so sums of 8 bytes a byte stand in
+        memory for one piece (a word longer than that is one by itself), not for all of ``data``.
+        """
         values = self.bytes if table is None else self.bytes[table]
-        return self.span(self.prefix(values[data]), starts, ends)
+        out, lo = np.empty(len(starts), np.uint64), 0
+        while lo < len(starts):
+            first = starts[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, first + PIECE, "right")))
+            out[lo:hi] = self.span(self.prefix(values[data[first : ends[hi - 1]]]), starts[lo:hi] - first, ends[lo:hi] - first)
+            lo = hi
+        return out
 
 
 def sliding(fn, a: np.ndarray, width: int) -> np.ndarray:

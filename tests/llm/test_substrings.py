@@ -296,3 +296,21 @@ def test_near_copies_of_a_template(spark):
         rows.append((i, " ".join(words)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.duplicate_groups(frame(spark, rows)).collect()}
     assert got == {d: tuple(x) for d, x in brute_components(rows).items()}
+
+
+def test_word_hashes_hold_sums_of_a_piece_only():
+    import tracemalloc
+
+    r = np.random.default_rng(11)
+    data = r.choice(np.frombuffer(b"abcdefgh ", np.uint8), 4 << 20)
+    data[700_000:1_300_000] = ord("x")  # a word longer than a piece
+    starts, ends, _ = units.words(data, np.array([0, 1000, len(data)]), units.word_mask(units.SPACES))
+    roll, whole = units.Rolling(), units.Rolling()
+    want = whole.span(whole.prefix(whole.bytes[data]), starts, ends)
+    tracemalloc.start()
+    found = roll.words(data, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(found, want)
+    assert peak < 2 * found.nbytes + 8 * len(data)  # sums of all bytes were 32 bytes a byte and more
+    assert len(roll.words(data, starts[:0], ends[:0])) == 0
