@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import units
-from .shared import parts
+from .shared import parts, tidy
 
 ANCHORS = "anchor long, ctx long, doc_id long, pos int"
 
@@ -149,7 +150,7 @@ def anchor_rows(docs: DataFrame, spec: Spec) -> DataFrame:
                     ["anchor", "ctx", "doc_id", "pos"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, ANCHORS)
+    return docs.select("doc_id", "text").mapInArrow(tidy(rows), ANCHORS)
 
 
 def shared_anchors(docs: DataFrame, spec: Spec, weight: float, once: bool = False) -> DataFrame:
@@ -183,8 +184,11 @@ def equal_texts(docs: DataFrame) -> DataFrame:
 
 
 def lists(batch: pa.RecordBatch, column: str) -> list[np.ndarray]:
-    """A column of integer arrays, as one numpy array a row."""
-    return [np.asarray(x, np.int64) if x else np.zeros(0, np.int64) for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+    """A column of integer arrays, as one numpy array a row (null: empty)."""
+    col = batch.column(batch.schema.get_field_index(column))
+    values = col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    return [values[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def to_ranges(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import units
 from .anchored import Reader, Spec, equal_texts, lists, shared_anchors, to_ranges
-from .shared import IdFilter, documents, one_per_id, parts, store
+from .shared import IdFilter, documents, one_per_id, parts, store, tidy
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,length:int>>"
 
@@ -76,7 +76,7 @@ def boundary_windows(docs: DataFrame, seeds: DataFrame, spec: Spec) -> DataFrame
     wanted = seeds.where(F.size("open_at") > 0)
     texts = IdFilter(wanted).keep(docs)
     joined = texts.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "open_at", "anchors")
-    return joined.mapInArrow(rows, "k1 long, k2 long, doc_id long, lo array<int>, hi array<int>")
+    return joined.mapInArrow(tidy(rows), "k1 long, k2 long, doc_id long, lo array<int>, hi array<int>")
 
 
 def copied_windows(docs: DataFrame, spec: Spec) -> DataFrame:
@@ -125,30 +125,31 @@ def remove_copied(docs: DataFrame, window: int = 50, gram: int = 26, chunk: int
         span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
         return pa.RecordBatch.from_arrays([ids, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], span)], ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"])
 
-    def plain(batches):
-        for batch in batches:
+    def plain(batches):  # selects and hashes in one step: two would take two workers a task
+        for batch in unheld(batches):
             yield rows_of(batch.column(0), batch.column(1).cast(pa.large_binary()).to_pylist(), lambda i, n: [])
 
     def parse(batches):
         reader = Reader(spec)
         for batch in batches:
-            anchors, los, his, whole = lists(batch, "anchors"), lists(batch, "lo"), lists(batch, "hi"), batch.column(5).to_pylist()
             for lo, hi, data, offsets in units.text_chunks(batch, "text", chunk):
+                some = batch.slice(lo, hi - lo)
+                anchors, los, his, whole = lists(some, "anchors"), lists(some, "lo"), lists(some, "hi"), some.column(5).to_pylist()
                 reader.load(data, offsets)
                 at = reader.anchors()
                 row = np.searchsorted(reader.bounds, at, "right") - 1
-                held = reader.flags(at, row, anchors[lo:hi])
+                held = reader.flags(at, row, anchors)
                 at, row = at[held], row[held]
                 edge = np.searchsorted(row, np.arange(hi - lo + 1))
 
                 def spans_of(i, n):
                     if n < window:
                         return []
-                    if whole[lo + i]:
+                    if whole[i]:
                         return [(0, n)]
                     a = at[edge[i] : edge[i + 1]] - reader.bounds[i]
-                    first = np.concatenate([np.maximum(0, a + gram - window), los[lo + i]])
-                    copied = units.covered(n - window + 1, first, np.concatenate([np.minimum(a, n - window), his[lo + i]]) + 1)
+                    first = np.concatenate([np.maximum(0, a + gram - window), los[i]])
+                    copied = units.covered(n - window + 1, first, np.concatenate([np.minimum(a, n - window), his[i]]) + 1)
                     return list(zip(*(x.tolist() for x in factors(n, window, np.flatnonzero(copied)))))
 
                 raw = data.tobytes()
@@ -156,9 +157,10 @@ def remove_copied(docs: DataFrame, window: int = 50, gram: int = 26, chunk: int
                 yield rows_of(batch.column(0).slice(lo, hi - lo), texts, spans_of)
 
     held = IdFilter(hits)
-    clean = held.keep(docs, wanted=False).mapInArrow(plain, RESULT)
+    unheld = held.step(0, wanted=False)
+    clean = docs.mapInArrow(tidy(plain), RESULT)
     touched = held.keep(docs).join(hits.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", *fill)
-    return clean.unionByName(touched.mapInArrow(parse, RESULT))
+    return clean.unionByName(touched.mapInArrow(tidy(parse), RESULT))
 
 
 def op2_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:

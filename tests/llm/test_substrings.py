@@ -314,3 +314,41 @@ def test_word_hashes_hold_sums_of_a_piece_only():
     assert np.array_equal(found, want)
     assert peak < 2 * found.nbytes + 8 * len(data)  # sums of all bytes were 32 bytes a byte and more
     assert len(roll.words(data, starts[:0], ends[:0])) == 0
+
+
+def test_words_removed_with_one_worker_a_task(spark):
+    """Two steps with no exchange between them take two workers for each task."""
+    docs = spark.createDataFrame([(d, " ".join(f"{d % 7}-{i}" for i in range(60 + d % 3))) for d in range(40)], "doc_id long, text string").repartition(3)
+    plan, above, steps = substring_rlz.remove_copied(docs)._jdf.queryExecution().executedPlan().toString(), [], []
+    for line in plan.split("\n"):
+        depth = re.search(r"\w", line + "x").start()
+        above = [x for x in above if x[0] < depth]
+        above.append((depth, line[depth:].split(" ")[0]))
+        down = " ".join(name for _, name in above).rsplit("Exchange", 1)[-1]
+        steps.append(down.count("MapInArrow"))
+    assert max(steps) == 1
+
+
+def test_filter_hands_on_a_few_rows_at_a_time(spark):
+    import pyarrow as pa
+
+    from rootline.llm import shared
+
+    ids = np.arange(5000)
+    held = shared.IdFilter(spark.createDataFrame([(int(i),) for i in ids[::3]], "doc_id long"))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 5000), pa.array(ids)], ["text", "doc_id"])
+    kept, other = ([b.column(1).to_pylist() for b in held.step(1, wanted)(iter([batch.slice(0, 0), batch]))] for wanted in (True, False))
+    assert max(map(len, kept + other)) <= shared.FILTER_ROWS
+    assert sorted(sum(kept + other, [])) == ids.tolist() and set(ids[::3].tolist()) <= set(sum(kept, []))
+
+
+def test_lists_of_slices_and_nulls():
+    import pyarrow as pa
+
+    want = [[1, 2], [], None, [3], [4, 5, 6], None]
+    for kind in (pa.int32(), pa.int64()):
+        batch = pa.RecordBatch.from_arrays([pa.array(want, pa.list_(kind))], ["x"])
+        for lo in range(7):
+            for n in range(7 - lo):
+                found = anchored.lists(batch.slice(lo, n), "x")
+                assert [x.tolist() for x in found] == [x or [] for x in want[lo : lo + n]] and all(x.dtype == np.int64 for x in found)
