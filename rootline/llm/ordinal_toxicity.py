@@ -38,12 +38,20 @@ class Features:
     def read(self, data: np.ndarray, offsets: np.ndarray):
         """Yield (row, hash) arrays, one pair for each kind of feature."""
         starts, ends, bounds = units.words(data, offsets, self.mask)
-        prefix = self.roll.prefix(self.roll.bytes[self.lower][data])
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
-        yield row, self.roll.span(prefix, starts, ends)
-        for k in PREFIXES:
-            long = np.flatnonzero(ends - starts > k)
-            yield row[long], units.mix(self.roll.span(prefix, starts[long], starts[long] + k) ^ np.uint64(k))
+        values, long = self.roll.bytes[self.lower], [np.flatnonzero(ends - starts > k) for k in PREFIXES]
+        found = np.empty(len(starts), np.uint64), *[np.empty(len(x), np.uint64) for x in long]
+        for lo, hi in units.pieces(starts, ends):
+            first = starts[lo]
+            prefix = self.roll.prefix(values[data[first : ends[hi - 1]]])
+            found[0][lo:hi] = self.roll.span(prefix, starts[lo:hi] - first, ends[lo:hi] - first)
+            for k, x, h in zip(PREFIXES, long, found[1:]):
+                a, b = np.searchsorted(x, [lo, hi])
+                at = starts[x[a:b]] - first
+                h[a:b] = units.mix(self.roll.span(prefix, at, at + k) ^ np.uint64(k))
+        yield row, found[0]
+        for x, h in zip(long, found[1:]):
+            yield row[x], h
 
 
 class Lookup:
@@ -92,7 +100,7 @@ def _select(texts: DataFrame, toxic: int, most: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(bad), pa.array(n)], ["h", "bad", "n"])
 
     least = max(4, toxic // 100)
-    rows = texts.select("text", "toxic").mapInArrow(count, "h long, bad long, n long").groupBy("h").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    rows = texts.select("text", "toxic").mapInArrow(tidy(count), "h long, bad long, n long").groupBy("h").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     rows = rows.where(f"bad >= {least} and bad >= 0.6 * (n + 2)").orderBy(F.expr("bad * bad / n").desc(), "h").limit(most).collect()
     return np.array([r.h for r in rows], np.int64).view(np.uint64)
 
@@ -113,7 +121,7 @@ def _matrix(texts: DataFrame, lookup) -> tuple[np.ndarray, np.ndarray, np.ndarra
                 packed = *told, (key // max(1, width)).astype(np.int32), (key % max(1, width)).astype(np.int32), times.astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["toxic", "place", "row", "at", "times"])
 
-    rows = texts.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(find, "toxic binary, place binary, row binary, at binary, times binary").collect()
+    rows = texts.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(tidy(find), "toxic binary, place binary, row binary, at binary, times binary").collect()
     flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[name], kind) for r in rows]])
     size = np.cumsum([0] + [len(r["toxic"]) for r in rows])
     row = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["row"], np.int32) + first for r, first in zip(rows, size)]])

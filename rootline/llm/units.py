@@ -64,6 +64,15 @@ def words(data: np.ndarray, offsets: np.ndarray, mask: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def pieces(starts: np.ndarray, ends: np.ndarray):
+    """Yield (lo, hi) for runs of words, in order, of about PIECE bytes (one word at least)."""
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the result; works in place."""
     h ^= h >> np.uint64(30)
@@ -110,18 +119,11 @@ class Rolling:
         return mix(h)
 
     def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
-        """One hash a word; ``table`` maps bytes first.
-
-        Words come in order, and their bytes are summed up in pieces of whole words, so sums of 8 bytes a byte stand in
-        memory for one piece (a word longer than that is one by itself), not for all of ``data``.
-        """
-        values = self.bytes if table is None else self.bytes[table]
-        out, lo = np.empty(len(starts), np.uint64), 0
-        while lo < len(starts):
+        """One hash a word; ``table`` maps bytes first.  Sums of 8 bytes a byte stand in memory for one piece, not for all of ``data``."""
+        values, out = self.bytes if table is None else self.bytes[table], np.empty(len(starts), np.uint64)
+        for lo, hi in pieces(starts, ends):
             first = starts[lo]
-            hi = max(lo + 1, int(np.searchsorted(ends, first + PIECE, "right")))
             out[lo:hi] = self.span(self.prefix(values[data[first : ends[hi - 1]]]), starts[lo:hi] - first, ends[lo:hi] - first)
-            lo = hi
         return out
 
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("rootline.llm")
-from rootline.llm import gbt_extract, html_dom, license_diagonals, line_winnow, mih_search, ordinal_toxicity, ss_packing, wu_manber  # noqa: E402
+from rootline.llm import gbt_extract, html_dom, license_diagonals, line_winnow, mih_search, ordinal_toxicity, ss_packing, units, wu_manber  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -110,6 +110,28 @@ def test_toxicity_on_held_out_labels(spark, small):
     assert all(abs(sum(r.probabilities) - 1) < 1e-6 and 0 <= r.severity <= 3 for r in held)
 
 
+def test_features_hold_sums_of_a_piece_only():
+    import tracemalloc
+
+    r = np.random.default_rng(11)
+    data = r.choice(np.frombuffer(b"abcdEFGH ", np.uint8), 4 << 20)
+    data[700_000:1_300_000] = ord("x")  # a word longer than a piece
+    offsets, features, whole = np.array([0, 1000, len(data)]), ordinal_toxicity.Features(), units.Rolling()
+    starts, ends, bounds = units.words(data, offsets, features.mask)
+    row, prefix = np.repeat([0, 1], np.diff(bounds)), whole.prefix(whole.bytes[features.lower][data])
+    want = [(row, whole.span(prefix, starts, ends))]
+    for k in ordinal_toxicity.PREFIXES:
+        long = ends - starts > k
+        want.append((row[long], units.mix(whole.span(prefix, starts[long], starts[long] + k) ^ np.uint64(k))))
+    tracemalloc.start()
+    found = list(features.read(data, offsets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == len(want) and all(np.array_equal(x, y) for a, b in zip(found, want) for x, y in zip(a, b))
+    assert peak < 25 * len(data)  # with sums of all bytes 40 bytes a byte and more
+    assert [len(x) for pair in features.read(data[:0], np.array([0, 0])) for x in pair] == [0] * 12
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "x"), (3, "x"), (None, "y")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
