@@ -180,3 +180,20 @@ def covered(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     np.add.at(step, lo, 1)
     np.add.at(step, hi, -1)
     return np.cumsum(step[:-1]) > 0
+
+
+def cut(data, table: bytes):
+    """Yield ``data`` mapped by ``table``, in pieces of about PIECE bytes that end at white space, so no word is split."""
+    lo = 0
+    while lo < len(data):
+        piece, hi = bytes(data[lo : lo + PIECE]).translate(table), lo + PIECE
+        if hi < len(data) and not piece[-1:].isspace():
+            rest = bytearray()
+            while hi < len(data) and not rest[-1:].isspace():
+                more = bytes(data[hi : hi + 64]).translate(table)
+                end = next((i + 1 for i, b in enumerate(more) if b in SPACES), len(more))
+                rest += more[:end]
+                hi += end
+            piece += rest
+        yield piece
+        lo = hi

@@ -83,3 +83,78 @@ def test_manifest_proofs_fold_and_other_columns_are_ignored(spark):
     found = merkle.manifest(docs).withColumn("again", merkle.folded(F.col("leaf"), F.col("proof"))).collect()
     assert len(found) == 20 and all(r.again == r.root for r in found)
     assert [len(r.proof) for r in found] == [2] * 20
+
+
+def audit_of(rows, least=3, ranks=200):
+    """Every term with every source, in whole numbers of any size."""
+    import re
+
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))) for text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        kept = sorted({t for d in own for t in d[2] if sum(t in e[2] for e in own) >= least})
+        sources = sorted({d[1] for d in own})
+        counts = {s: {t: sum(d[2].count(t) for d in own if d[1] == s) for t in kept} for s in sources}
+        counts[None] = {t: sum(counts[s][t] for s in sources) for t in kept}
+        p = {s: {t: 1 + 10**9 * (n[t] + 1) // (sum(n.values()) + len(kept)) for t in kept} for s, n in counts.items()}
+        value = lambda s, o, t: (p[s][t] - p[o][t]) ** 2 // p[o][t]
+        for s in sources:
+            pair = sorted((-sum(value(s, o, t) for t in kept), o.encode(), o) for o in sources if o != s)
+            term = sorted((-value(s, None, t), t.encode(), t) for t in kept if counts[s][t] and p[s][t] > p[None][t])[:ranks]
+            for part, found in (("pair", pair), ("term", term)):
+                out += [(lang, s, part, item, -v, i + 1) for i, (v, _, item) in enumerate(found)]
+    return sorted(out, key=str)
+
+
+def words(seed, n):
+    import random
+
+    r = random.Random(seed)
+    return " ".join(r.choice(["the", "The", "a", "of", "straße", "日本", "x1y", f"w{r.randrange(9)}", f"rare{'abcdefghij'[r.randrange(10)]}"]) for _ in range(n))
+
+
+AUDITED = [
+    *[(words(i, 3 + i % 40), "en" if i % 4 else "de", f"s{'0' if i % 3 else i % 7}") for i in range(120)],
+    (None, "en", "s1"), ("", None, None), ("the the the", None, ""), (None, "fr", "only"), ("one two", "fr", "other"), ("the", "en", None), ("the", "en", None), ("\x00the\ttHE", "en", "\U0001f600"), ("a " * 200_000, "de", "long"), ("z" * 700_000, "de", "long"),
+]
+
+
+@pytest.mark.parametrize("held", [3, 400_000])
+def test_divergence_is_brute_force(spark, monkeypatch, held):
+    from rootline.llm import divergence_audit
+
+    monkeypatch.setattr(divergence_audit, "HELD", held)
+    docs = spark.createDataFrame([(*r, 1, 2) for r in AUDITED], "text string, lang string, source string, n int, m int")
+    assert got(divergence_audit.audit(docs)) == audit_of(AUDITED)
+    assert got(divergence_audit.audit(docs, 2, 3)) == audit_of(AUDITED, 2, 3)
+    assert got(divergence_audit.audit(docs.limit(0))) == []
+
+
+def test_divergence_is_the_sql(spark, small):
+    import duckdb
+
+    from rootline.llm.divergence_audit import OP11_SQL, op11_divergence_audit
+
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{small}/documents.parquet'")
+    df = op11_divergence_audit(spark, small)
+    assert df.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert got(df) == sorted(c.execute(OP11_SQL).fetchall(), key=str)
+
+
+def test_shares_of_large_counts(spark):
+    from rootline.llm.divergence_audit import share
+
+    pairs = [(0, 1), (1, 9_000_000_000_000_000), (8_999_999_999_999_998, 9_000_000_000_000_000), (10**15 + 7, 7 * 10**15 + 3), (5, 7)]
+    df = spark.createDataFrame(pairs, "n long, total long")
+    assert [r.p for r in df.select("n", share(F.col("n"), F.col("total")).alias("p")).collect()] == [1 + 10**9 * (n + 1) // t for n, t in pairs]
+
+
+@pytest.mark.parametrize("data", [b"", b" ", b"ab cd", b"x" * 1000, b"ab " * 300, b"a" * 63 + b" b", b"\xc3\xa4" * 99 + b"\n" + b"y" * 65])
+def test_pieces_split_no_word(monkeypatch, data):
+    from rootline.llm import units
+
+    monkeypatch.setattr(units, "PIECE", 7)
+    same = bytes(range(256))
+    assert [w for p in units.cut(data, same) for w in p.split()] == data.split() and b"".join(units.cut(data, same)) == data
