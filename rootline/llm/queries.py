@@ -1,5 +1,6 @@
 """Queries and oracle SQL of the training-data operators."""
 
+from .class_lm import op12_class_lm
 from .divergence_audit import OP11_SQL, op11_divergence_audit
 from .gbt_extract import op1_gbt_extract
 from .license_diagonals import OP7_SQL, op7_license_diagonals
@@ -27,6 +28,7 @@ QUERIES = {
         op9_suffix_bpr,
         op10_ss_packing,
         op11_divergence_audit,
+        op12_class_lm,
         op13_merkle_manifest,
     )
 }

@@ -158,3 +158,105 @@ def test_pieces_split_no_word(monkeypatch, data):
     monkeypatch.setattr(units, "PIECE", 7)
     same = bytes(range(256))
     assert [w for p in units.cut(data, same) for w in p.split()] == data.split() and b"".join(units.cut(data, same)) == data
+
+
+def ascii_words(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+
+
+def model_of(rows, k, rounds, sweeps):
+    """Classes, counts and probabilities, word by word in plain loops."""
+    import math
+    from collections import Counter
+
+    train = [ascii_words(t) + [b"\n"] for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    n = Counter(w for t in train for w in t)
+    order = sorted(n, key=lambda w: (-n[w], w))
+    cls = {w: min(i, k - 1) for i, w in enumerate(order)}
+    for _ in range(rounds):
+        near = {w: Counter() for w in n}
+        for t in train:
+            for i, w in enumerate(t):
+                near[w][cls[t[i - 1]] if i else k] += 1
+                near[w][k + 1 + (cls[t[i + 1]] if i + 1 < len(t) else k)] += 1
+        moving = dict(cls)
+        for _ in range(sweeps):
+            table = [[0.0] * (2 * k + 2) for _ in range(k)]
+            for w in n:
+                for c, x in near[w].items():
+                    table[moving[w]][c] += x
+            log = []
+            for c in range(k):
+                line = []
+                for side in (0, k + 1):
+                    plain = [sum(table[d][side + j] for d in range(k)) + 1e-3 for j in range(k + 1)]
+                    line += [math.log((table[c][side + j] + plain[j] / sum(plain)) / (sum(table[c][side : side + k + 1]) + 1)) for j in range(k + 1)]
+                log.append(line)
+            moving = {w: max(range(k), key=lambda c: (sum(x * log[c][j] for j, x in near[w].items()), -c)) for w in n}
+        cls = moving
+    after, total = Counter(), sum(n.values())
+    for t in train:
+        after.update(zip(["start"] + [cls[w] for w in t], [cls[w] for w in t]))
+    of_class = Counter()
+    for w in n:
+        of_class[cls[w]] += n[w]
+    unknown = (sum(x == 1 for x in n.values()) + 1) / (total + sum(x == 1 for x in n.values()) + 1)
+
+    def p(w, before):
+        if w not in n:
+            return unknown
+        c = cls[w]
+        seen = sum(after[before, d] for d in range(k))
+        return (1 - unknown) * (after[before, c] + 100 * of_class[c] / total) / (seen + 100) * n[w] / of_class[c]
+
+    def scores(text):
+        t, before, out = ascii_words(text) + [b"\n"], "start", [0.0, 0.0]
+        for w in t:
+            out[0] += math.log10((n[w] + 1) / (total + len(n) + 1))
+            out[1] += math.log10(p(w, before))
+            before = cls.get(w, "unknown")
+        return (len(t), sum(w in n for w in t), total, *out)
+
+    return n, cls, p, scores
+
+
+SPOKEN = [(i, " ".join(f"{a} {b}" for a, b in zip(words(i, 20 + i % 30).split(), ["Runs", "sees", "näher", "x"] * 20))) for i in range(150)]
+SPOKEN += [(1000, None), (1001, ""), (1002, " \t\n"), (None, "the runs"), (None, "the runs"), (1003, "the runs"), (1003, "a sees"), (1004, "only here " * 300), (1005, "y" * 600_000), (1006, "the the"), (1007, "never seen words\x00here")]
+
+
+@pytest.mark.parametrize("k,rounds,sweeps,chunk", [(6, 1, 1, 8 << 20), (6, 2, 3, 50), (1, 1, 2, 50)])
+def test_model_is_brute_force(spark, monkeypatch, k, rounds, sweeps, chunk):
+    from rootline.llm import class_lm
+
+    monkeypatch.setattr(class_lm, "CHUNK", chunk)
+    docs = spark.createDataFrame([(*r, 1, 2) for r in SPOKEN], "doc_id long, text string, chunk int, words int")
+    trains = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    found, classes, figures = class_lm.language_model(docs, trains, k, rounds, sweeps)
+    n, cls, p, scores = model_of(SPOKEN, k, rounds, sweeps)
+    assert {bytes(r.word): (r.n, r.cls) for r in classes.collect()} == {w: (n[w], cls[w]) for w in n}
+    rows = found.collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[4])
+    want = sorted(((i, i is None or zlib.crc32(str(i).encode()) % 7 != 2, *scores(t)[:2], *scores(t)[3:]) for i, t in SPOKEN), key=key)
+    have = sorted(map(tuple, rows), key=key)
+    assert [r[:4] for r in have] == [r[:4] for r in want] and figures["tokens"] == sum(n.values())
+    assert [r[4:] for r in have] == [pytest.approx(r[4:], rel=1e-9) for r in want]
+    for before in ["start", "unknown", *range(k)]:
+        assert sum(p(w, before) for w in [*n, b"\n never"]) == pytest.approx(1)
+    for began in figures["likelihood"]:
+        assert all(b >= a - 3.0 for a, b in zip(began, began[1:]))  # smoothing moves it by little
+
+
+def test_model_of_no_rows_and_of_no_training_rows(spark):
+    from rootline.llm import class_lm
+
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    found, classes, _ = class_lm.language_model(docs, F.lit(False), 3)
+    assert [(r.n_tokens, r.n_known, r.base_score, r.score) for r in found.orderBy("doc_id").collect()] == [(3, 0, 0.0, 0.0), (1, 0, 0.0, 0.0)] and classes.isEmpty()
+    assert class_lm.language_model(docs.limit(0), F.lit(True), 3)[0].isEmpty()
+
+
+def test_model_is_better_than_single_words(spark, small):
+    from rootline.llm import class_lm
+
+    rows = [r for r in class_lm.op12_class_lm(spark, small).collect() if r.held_out]
+    assert sum(r.score for r in rows) > 0.95 * sum(r.base_score for r in rows)
