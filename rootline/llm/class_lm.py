@@ -8,9 +8,11 @@ After some sweeps the neighbours' classes are counted anew (``rounds``).  Every
 and every count covers all of them.
 
 Texts are cut into chunks of about ``CHUNK`` bytes, held as numbers into a chunk's own list of words, in a table bucketed
-by chunk; it is written once and no step shuffles it again.  What is shuffled is one row a word and chunk: counts on the way
-up, word numbers and classes on the way back, and a word's neighbours' classes.  A frequent word is thus one row a chunk,
-added up as a stream.  To the driver and from there to all tasks go only tables of class by class.
+by chunk; it is written once and no step shuffles it again.  A chunk's words are dealt by hash to buckets, as one row a
+chunk and bucket, and a bucket counts, numbers and clusters its words; its size follows ``parts``.  Between chunks and
+buckets go packed arrays only: words and counts once, then each round a byte of class for a word and chunk one way and its
+neighbours' classes, counted in the chunk, the other way.  A frequent word is one entry a chunk.  To the driver and from
+there to all tasks go only tables of class by class.
 
 A word never met in training is one more word, unknown; its probability is the share of training tokens that are words
 met once (Good and Turing), after any word.  A text's end is a token and its start is the class before the first one.
@@ -23,6 +25,7 @@ rows) every word is unknown, with probability 1; extra columns, whatever their n
 """
 
 import uuid
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -43,39 +46,62 @@ HISTORY = 100.0
 BUCKETS = 100_000  # the most that Spark allows
 
 
-def chunks(docs: DataFrame, trains) -> DataFrame:
-    """(chunk, doc_ids, trains, lengths, tokens, words, counts): texts as indices into the chunk's words, ends included;
-    counts are those of the training texts."""
+def numbering() -> defaultdict:
+    """A dictionary that numbers what it is asked for, in order."""
+    d = defaultdict()
+    d.default_factory = d.__len__
+    return d
+
+
+def numbers(d: defaultdict, items: list) -> np.ndarray:
+    return np.fromiter(map(d.__getitem__, items), np.int32, len(items))
+
+
+def listed(values, kind) -> pa.Array:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+
+
+def packed(*arrays: np.ndarray) -> list[pa.Array]:
+    """Binary columns of one row."""
+    return [pa.array([np.ascontiguousarray(a).tobytes()], pa.binary()) for a in arrays]
+
+
+def unpacked(scalar, kind) -> np.ndarray:
+    return np.frombuffer(scalar.as_buffer(), kind)
+
+
+def chunks(docs: DataFrame, trains, buckets: int) -> DataFrame:
+    """(chunk, doc_ids, trains, lengths, tokens, dealt): texts as places in the chunk's list of words, ends included; the
+    list goes by bucket, and dealt has each bucket's words and their counts in the training texts."""
     table, limit = lower_table().tobytes(), CHUNK
 
     def read(batches):
         task, made = TaskContext.get().partitionId(), 0
-
-        def start():
-            words = defaultdict()
-            words.default_factory = words.__len__
-            return words, [], [], [], []
+        start = lambda: (numbering(), [], [], [], [])
 
         def row():
             words, ids, train, lengths, tokens = state
             flat = np.concatenate(tokens)
             counts = np.bincount(flat[np.repeat(train, lengths)], minlength=len(words))
-            flat_list = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kind))
-            columns = [pa.array([task << 32 | made], pa.int64()), flat_list(ids, pa.int64()), flat_list(train, pa.bool_()), flat_list(lengths, pa.int32())]
-            columns += [flat_list(flat, pa.int32()), flat_list(list(words), pa.binary()), flat_list(counts, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_ids", "trains", "lengths", "tokens", "words", "counts"])
+            bucket = np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words)) % np.uint32(buckets)
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words), dtype=np.int32)
+            own, at = np.unique(bucket[order], return_index=True)
+            text = list(words)
+            dealt = [{"b": int(b), "words": b" ".join([text[i] for i in some]), "counts": counts[some].astype(np.uint32).tobytes()} for b, some in zip(own, np.split(order, at[1:]))]
+            kind = pa.struct([("b", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+            columns = [pa.array([task << 32 | made], pa.int64()), listed(ids, pa.int64()), listed(train, pa.bool_()), listed(lengths, pa.int32()), *packed(place[flat]), listed(dealt, kind)]
+            return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_ids", "trains", "lengths", "tokens", "dealt"])
 
         state, size = start(), 0
         for b in batches:
             texts = b.column(1).cast(pa.large_binary())
             for doc_id, text, train in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist()):
-                data = memoryview(text.as_buffer() or b"")
+                data = memoryview(text.as_buffer())
                 words, ids, trained, lengths, tokens = state
-                found = []
-                for piece in cut(data, table):
-                    split = piece.split()
-                    found.append(np.fromiter(map(words.__getitem__, split), np.int32, len(split)))
-                found.append(np.array([words[END]], np.int32))
+                found = [numbers(words, piece.split()) for piece in cut(data, table)] + [numbers(words, [END])]
                 ids.append(doc_id)
                 trained.append(train)
                 lengths.append(sum(map(len, found)))
@@ -87,44 +113,105 @@ def chunks(docs: DataFrame, trains) -> DataFrame:
         if state[1]:
             yield row()
 
-    schema = "chunk long, doc_ids array<long>, trains array<boolean>, lengths array<int>, tokens array<int>, words array<binary>, counts array<long>"
+    schema = "chunk long, doc_ids array<long>, trains array<boolean>, lengths array<int>, tokens binary, dealt array<struct<b:int,words:binary,counts:binary>>"
     read_docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(trains, F.lit(True)).alias("trains"))
     spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
-    made = read_docs.mapInArrow(tidy(read), schema)
-    made.write.bucketBy(min(parts(docs), BUCKETS), "chunk").option("path", new_path(spark, "chunks")).saveAsTable(name)
+    written = read_docs.mapInArrow(tidy(read), schema).write.bucketBy(min(parts(docs), BUCKETS), "chunk")
+    written.option("compression", "zstd").option("path", new_path(spark, "chunks")).saveAsTable(name)
     return spark.table(name)
 
 
-def vocabulary(places: DataFrame) -> DataFrame:
-    """(gid, word, n): every word with its training count."""
-    return store(places.groupBy("word").agg(F.sum("n").alias("n")).withColumn("gid", F.monotonically_increasing_id()), "words")
+def vocabulary(read: DataFrame) -> DataFrame:
+    """Of each bucket b one row (words, n) with its words and training counts, and one row (chunk, places) for each chunk
+    with the places of the chunk's words among them."""
 
+    def count(rows):
+        b, words, places = rows.column("b")[0].as_py(), numbering(), []
+        for text in rows.column("words"):
+            places.append(numbers(words, text.as_py().split(b" ")))
+        n = np.zeros(len(words), np.int64)
+        for at, counts in zip(places, rows.column("counts")):
+            n[at] += unpacked(counts, np.uint32)
+        made = [{"b": b, "chunk": chunk, "places": at.tobytes()} for chunk, at in zip(rows.column("chunk").to_pylist(), places)]
+        made.append({"b": b, "words": b" ".join(words), "n": n.tobytes()})
+        return pa.Table.from_pylist(made, schema=pa.schema([("b", pa.int32()), ("chunk", pa.int64()), ("places", pa.binary()), ("words", pa.binary()), ("n", pa.binary())]))
 
-def returned(found: DataFrame, column: str) -> DataFrame:
-    """(chunk, known): for each chunk, its word places with that value."""
-    return found.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col(column).alias("value"))).alias("known"))
+    dealt = read.select("chunk", F.inline("dealt"))
+    return store(dealt.groupBy("b").applyInArrow(count, "b int, chunk long, places binary, words binary, n binary"), "words")
 
 
-def values(known, kind, size: int, missing):
-    """The values by word place, from one chunk's list of (at, value)."""
-    out = np.full(size, missing, kind)
-    out[known.field(0).to_numpy(zero_copy_only=False)] = known.field(1).to_numpy(zero_copy_only=False)
-    return out
+def top_words(vocab: DataFrame, n: int) -> list:
+    """(b, at, word, n) of the most frequent words."""
+
+    def best(batches):
+        for batch in batches:
+            for b, words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                counts, words = unpacked(counts, np.int64), words.split(b" ")
+                least = max(1, np.partition(counts, -n)[-n]) if len(counts) > n else 1
+                at = sorted(np.flatnonzero(counts >= least).tolist(), key=lambda i: (-counts[i], words[i]))[:n]
+                yield pa.RecordBatch.from_arrays([pa.array([b] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([words[i] for i in at], pa.binary()), pa.array(counts[at], pa.int64())], ["b", "at", "word", "n"])
+
+    return vocab.select("b", "words", "n").mapInArrow(best, "b int, at int, word binary, n long").orderBy(F.desc("n"), "word").limit(n).collect() if n else []
 
 
-def rows_of(b: pa.RecordBatch):
-    """Each row as a function that gives a list column's items."""
-    for i in range(b.num_rows):
-        yield lambda name, i=i: b.column(name)[i].values
+def first_classes(vocab: DataFrame, k: int) -> DataFrame:
+    """(b, first, data): the classes to begin with, a byte a word; k for words that training does not have."""
+    own = defaultdict(list)
+    for i, r in enumerate(top_words(vocab, k - 1)):
+        own[r.b].append((r.at, i))
 
+    def begin(batches):
+        for batch in batches:
+            for b, n in zip(batch.column(0).to_pylist(), batch.column(1)):
+                cls = np.where(unpacked(n, np.int64) > 0, k - 1, k).astype(np.uint8)
+                for at, i in own.get(b, ()):
+                    cls[at] = i
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([0], pa.int32()), *packed(cls)], ["b", "first", "data"])
 
-def sequence(row):
-    """Tokens of the chunk's training texts and, for each, whether it is a text's first."""
-    lengths, train = (row(c).to_numpy(zero_copy_only=False) for c in ("lengths", "trains"))
-    tokens = row("tokens").to_numpy(zero_copy_only=False)
-    first = np.zeros(len(tokens), bool)
-    first[np.cumsum(lengths) - lengths] = True
-    keep = np.repeat(train, lengths)
+    return vocab.select("b", "n").mapInArrow(begin, "b int, first int, data binary")
+
+
+def returned(places: DataFrame, values: DataFrame, kind, column: str) -> DataFrame:
+    """(chunk, column): of each chunk, per bucket, what ``values`` (b, first, data) has for its words."""
+
+    def give(have, rows):
+        rows = rows.select(["chunk", "b", "places"])
+        data = np.concatenate([unpacked(x, kind) for x in have.combine_chunks().sort_by("first").column("data")])
+        given = pa.array([data[unpacked(at, np.int32)].tobytes() for at in rows.column("places")], pa.binary())
+        return rows.drop_columns(["places"]).append_column("data", given)
+
+    found = values.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(give, "chunk long, b int, data binary")
+    return store(found.groupBy("chunk").agg(F.collect_list(F.struct("b", "data")).alias(column)), "returned")
+
+
+def of_words(row, column: str, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a chunk was given, by word, with the buckets and the number of words of each."""
+    given = row(column)
+    b = given.field(0).to_numpy(zero_copy_only=False)
+    order = np.argsort(b)
+    data = [unpacked(given.field(1)[int(i)], kind) for i in order]
+    return np.concatenate(data), b[order], np.array([len(x) for x in data])
+
+
+def rows_of(batch: pa.RecordBatch):
+    """Each row as a function that gives the items of a list column."""
+    for i in range(batch.num_rows):
+        yield lambda name, i=i: batch.column(name)[i].values
+
+
+def tokens_of(batch: pa.RecordBatch):
+    """Of each row: the list columns, tokens, and whether each token is a text's first."""
+    for i, row in enumerate(rows_of(batch)):
+        tokens = unpacked(batch.column("tokens")[i], np.int32)
+        row.chunk = batch.column("chunk")[i].as_py()
+        lengths = row("lengths").to_numpy(zero_copy_only=False)
+        first = np.zeros(len(tokens), bool)
+        first[np.cumsum(lengths) - lengths] = True
+        yield row, tokens, first
+
+
+def training(row, tokens, first):
+    keep = np.repeat(row("trains").to_numpy(zero_copy_only=False), row("lengths").to_numpy(zero_copy_only=False))
     return tokens[keep], first[keep]
 
 
@@ -136,86 +223,90 @@ def before(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def transitions(joined: DataFrame, k: int) -> np.ndarray:
-    """Counts of class after class; row k is the start of a text, column k its end's successor (none)."""
+def summed(parts_: DataFrame, shape) -> np.ndarray:
+    """Tables of fixed size from all tasks, added up."""
+    out = np.zeros(int(np.prod(shape)), np.int64)
+    for r in parts_.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r.at] = r.n
+    return out.reshape(shape)
+
+
+def entries(total: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64), pa.int64())], ["at", "n"])
+
+
+def transitions(texts: DataFrame, k: int) -> np.ndarray:
+    """Counts of class (column) after class (row); row k is the start of a text."""
     side = k + 1
 
     def count(batches):
         total = np.zeros(side * side, np.int64)
-        for b in batches:
-            for row in rows_of(b):
-                tokens, first = sequence(row)
-                cls = values(row("known"), np.int64, row("size")[0].as_py(), k)[tokens]
+        for batch in batches:
+            for row, tokens, first in tokens_of(batch):
+                tokens, first = training(row, tokens, first)
+                cls = of_words(row, "classes", np.uint8)[0][tokens].astype(np.int64)
                 total += np.bincount(before(cls, first, k) * side + cls, minlength=side * side)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["at", "n"])
+        yield entries(total)
 
-    out = np.zeros(side * side, np.int64)
-    for r in joined.mapInArrow(tidy(count), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        out[r.at] = r.n
-    return out.reshape(side, side)
+    return summed(texts.mapInArrow(tidy(count), "at int, n long"), (side, side))
 
 
-def neighbours(joined: DataFrame, k: int, partitions: int) -> DataFrame:
-    """(gid, near, n): of every training word, how often classes stand left (near) and right (k + 1 + near) of it."""
+def neighbours(texts: DataFrame, places: DataFrame, k: int) -> DataFrame:
+    """(b, first, sizes, near, n): for words of a bucket from ``first`` on, how many entries each has, and these: how
+    often classes stand left (near) and right (k + 1 + near) of it in training texts."""
     width = 2 * (k + 1)
+    kinds = (("sizes", np.int32), ("near", np.uint8), ("n", np.int64))
 
     def count(batches):
-        for b in batches:
-            for row in rows_of(b):
-                tokens, first = sequence(row)
-                gids = row("gids")
-                at = gids.field(0).to_numpy(zero_copy_only=False)
-                cls = values(row("known"), np.int64, row("size")[0].as_py(), k)[tokens]
-                left = before(cls, first, k)
-                right = np.full_like(cls, k)
+        for batch in batches:
+            for row, tokens, first in tokens_of(batch):
+                tokens, first = training(row, tokens, first)
+                of_word, buckets, many = of_words(row, "classes", np.uint8)
+                cls = of_word[tokens].astype(np.int64)
+                left, right = before(cls, first, k), np.full_like(cls, k)
                 right[:-1] = np.where(first[1:], k, cls[1:])
                 word = tokens.astype(np.int64) * width
-                keys, n = np.unique(np.concatenate([word + left, word + k + 1 + right]), return_counts=True)
-                to = np.empty(row("size")[0].as_py(), np.int64)
-                to[at] = gids.field(1).to_numpy(zero_copy_only=False)
-                yield lists(to[keys // width], keys % width, n)
-
-    def merge(batches):
+                keys = np.concatenate([word + left, word + k + 1 + right])
+                keys, n = np.unique(keys, return_counts=True)
+                sizes = np.bincount(keys // width, minlength=len(of_word)).astype(np.int32)
+                ends = np.cumsum(many)
+                cuts = np.concatenate([[0], np.cumsum(sizes)])[ends][:-1]
+                split = [np.split(x, at) for x, at in ((sizes, ends[:-1]), ((keys % width).astype(np.uint8), cuts), (n.astype(np.uint32), cuts))]
+                chunk = pa.array([row.chunk] * len(buckets), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), chunk, *[pa.array([x.tobytes() for x in s], pa.binary()) for s in split]], ["b", "chunk", "sizes", "near", "n"])
+
+    def merge(counted, rows):
+        at = {c: unpacked(p, np.int32) for c, p in zip(rows.column("chunk").to_pylist(), rows.column("places"))}
+        words = max(int(x.max()) for x in at.values()) + 1
         held, waiting = [], 0
 
         def added():
             keys, n = (np.concatenate(x) for x in zip(*held))
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
-            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            return keys[at], np.add.reduceat(n[order], at)
+            new = np.flatnonzero(np.diff(keys, prepend=-1))
+            return keys[new], np.add.reduceat(n[order], new)
 
-        for b in batches:
-            near = b.column(1)
-            sizes = near.value_lengths().to_numpy(zero_copy_only=False)
-            keys = np.repeat(b.column(0).to_numpy(), sizes) * width + near.flatten().to_numpy()
-            held.append((keys, b.column(2).flatten().to_numpy()))
+        for chunk, sizes, near, n in zip(counted.column("chunk").to_pylist(), *[counted.column(c) for c in ("sizes", "near", "n")]):
+            keys = np.repeat(at[chunk].astype(np.int64), unpacked(sizes, np.int32)) * width + unpacked(near, np.uint8)
+            if len(keys):
+                held.append((keys, unpacked(n, np.uint32).astype(np.int64)))
             waiting += len(keys)
-            if waiting > MERGE + 2 * len(held[0][0]):
+            if waiting > MERGE + 2 * len(held[0][0] if held else ()):
                 held = [added()]
                 waiting = len(held[0][0])
-        if waiting:
-            keys, n = added()
-            yield from (lists(keys[a:z] // width, keys[a:z] % width, n[a:z]) for a, z in steps(keys // width))
-
-    schema = "gid long, near array<smallint>, n array<long>"
-    return store(joined.mapInArrow(tidy(count), schema).repartition(partitions, "gid").mapInArrow(tidy(merge), schema), "neighbours")
-
-
-def lists(word: np.ndarray, near: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """One row a word, from entries in order of it."""
-    at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
-    offsets = pa.array(np.append(at, len(word)), pa.int32())
-    columns = [pa.array(word[at], pa.int64())] + [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((near, pa.int16()), (n, pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, ["gid", "near", "n"])
-
+        keys, n = added() if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        made = []
+        for lo in range(0, words, ROWS):
+            hi = min(lo + ROWS, words)
+            a, z = np.searchsorted(keys, (lo * width, hi * width))
+            made.append({"b": rows.column("b")[0].as_py(), "first": lo, "sizes": np.bincount(keys[a:z] // width - lo, minlength=hi - lo).astype(np.int32).tobytes(), "near": (keys[a:z] % width).astype(np.uint8).tobytes(), "n": n[a:z].tobytes()})
+        return pa.Table.from_pylist(made, schema=pa.schema([("b", pa.int32()), ("first", pa.int32()), *[(c, pa.binary()) for c, _ in kinds]]))
 
-def steps(word: np.ndarray):
-    """Ranges of entries, each of whole words and some ten thousand of them."""
-    at = np.append(np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])), len(word))
-    for i in range(0, len(at) - 1, ROWS):
-        yield at[i], at[min(i + ROWS, len(at) - 1)]
+    counted = texts.mapInArrow(tidy(count), "b int, chunk long, sizes binary, near binary, n binary")
+    merged = counted.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(merge, "b int, first int, sizes binary, near binary, n binary")
+    return store(merged, "neighbours")
 
 
 def likely(table: np.ndarray) -> np.ndarray:
@@ -226,47 +317,40 @@ def likely(table: np.ndarray) -> np.ndarray:
     return np.log((sides + plain) / (sides.sum(axis=2, keepdims=True) + 1)).reshape(table.shape)
 
 
-def moved(log: np.ndarray, b: pa.RecordBatch):
-    """For ranges of a batch of neighbours: word numbers, counts as a matrix, and each word's best class."""
-    for lo in range(0, b.num_rows, ROWS):
-        part = b.slice(lo, ROWS)
-        sizes = part.column(1).value_lengths().to_numpy(zero_copy_only=False)
-        counts = np.zeros((part.num_rows, log.shape[1]))
-        counts[np.repeat(np.arange(len(sizes)), sizes), part.column(1).flatten().to_numpy()] = part.column(2).flatten().to_numpy()
-        yield part.column(0), counts, np.argmax(counts @ log.T, axis=1)
+def moved(log: np.ndarray, batch: pa.RecordBatch):
+    """Of each row of neighbours: its place in the batch, entries (word, near, n) and each word's best class."""
+    for i in range(batch.num_rows):
+        sizes, near, n = (unpacked(batch.column(c)[i], kind) for c, kind in (("sizes", np.int32), ("near", np.uint8), ("n", np.int64)))
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        counts = np.zeros((len(sizes), log.shape[1]))
+        counts[word, near] = n
+        yield i, word, near, n, np.where(sizes > 0, np.argmax(counts @ log.T, axis=1), len(log))
 
 
 def exchange(near: DataFrame, table: np.ndarray, sweeps: int) -> tuple[DataFrame, list[float]]:
-    """(gid, cls) after ``sweeps`` sweeps from classes with these counts, and the likelihood that each sweep began with."""
-    k, width = table.shape
+    """(b, first, data): classes after ``sweeps`` sweeps from classes with these counts; the likelihood each sweep began with."""
     began = []
     for _ in range(sweeps - 1):
         log = likely(table)
         began.append(float((table * log).sum()))
 
         def sweep(batches, log=log):
-            total = np.zeros(log.shape)
-            for b in batches:
-                for _, counts, to in moved(log, b):
-                    order = np.argsort(to, kind="stable")
-                    at = np.flatnonzero(np.concatenate([[True], np.diff(to[order]) > 0]))
-                    total[to[order][at]] += np.add.reduceat(counts[order], at)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total.reshape(-1)[at].astype(np.int64))], ["at", "n"])
-
-        table = np.zeros(k * width)
-        for r in near.mapInArrow(tidy(sweep), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-            table[r.at] = r.n
-        table = table.reshape(k, width)
+            total = np.zeros(log.size)
+            for batch in batches:
+                for _, word, at, n, to in moved(log, batch):
+                    total += np.bincount(to[word] * log.shape[1] + at, weights=n, minlength=log.size)
+            yield entries(total)
+
+        table = summed(near.mapInArrow(tidy(sweep), "at int, n long"), table.shape).astype(float)
     log = likely(table)
     began.append(float((table * log).sum()))
 
     def place(batches):
-        for b in batches:
-            for gid, _, to in moved(log, b):
-                yield pa.RecordBatch.from_arrays([gid, pa.array(to, pa.int16())], ["gid", "cls"])
+        for batch in batches:
+            made = [to.astype(np.uint8).tobytes() for *_, to in moved(log, batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("first"), pa.array(made, pa.binary())], ["b", "first", "data"])
 
-    return near.mapInArrow(tidy(place), "gid long, cls smallint"), began
+    return near.mapInArrow(tidy(place), "b int, first int, data binary"), began
 
 
 class Model:
@@ -286,74 +370,78 @@ class Model:
             self.of_class = np.log10(of_class)
 
 
-def scored(joined: DataFrame, model: Model, distinct: int) -> DataFrame:
+def scored(texts: DataFrame, model: Model, distinct: int) -> DataFrame:
     """doc_id, trains, n_tokens, n_known, base_score and score of every text."""
-    sent, k = Sent(joined.sparkSession, model), len(model.of_class)
+    sent, k = Sent(texts.sparkSession, model), len(model.of_class)
     below = np.log10(model.tokens + distinct + 1)
 
     def score(batches):
         m = sent.load()
-        for b in batches:
-            for row in rows_of(b):
-                size, known = row("size")[0].as_py(), row("known")
-                n = values(row("gids"), np.int64, size, 0)
-                cls = values(known, np.int64, size, k)
+        for batch in batches:
+            for row, tokens, first in tokens_of(batch):
+                n, cls = of_words(row, "totals", np.int64)[0], of_words(row, "classes", np.uint8)[0].astype(np.int64)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     word = np.where(n > 0, np.log10(n) - np.append(m.of_class, 0)[cls], 0.0)
-                cls[n == 0] = k
-                base = np.log10(n + 1.0) - below
-                lengths = row("lengths").to_numpy(zero_copy_only=False)
-                tokens = row("tokens").to_numpy(zero_copy_only=False)
-                starts = np.cumsum(lengths) - lengths
-                first = np.zeros(len(tokens), bool)
-                first[starts] = True
-                now = cls[tokens]
+                base, starts, now = np.log10(n + 1.0) - below, np.flatnonzero(first), cls[tokens]
                 each = m.after[before(now, first, k + 1), now] + word[tokens]
-                columns = [row("doc_ids"), row("trains"), pa.array(lengths, pa.int64()), pa.array(np.add.reduceat((n > 0)[tokens].astype(np.int64), starts))]
-                columns += [pa.array(np.add.reduceat(x, starts)) for x in (base[tokens], each)]
+                columns = [row("doc_ids"), row("trains"), row("lengths").cast(pa.int64())]
+                columns += [pa.array(np.add.reduceat(x, starts)) for x in ((n > 0)[tokens].astype(np.int64), base[tokens], each)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "trains", "n_tokens", "n_known", "base_score", "score"])
 
-    return joined.mapInArrow(tidy(score), "doc_id long, trains boolean, n_tokens long, n_known long, base_score double, score double")
+    return texts.mapInArrow(tidy(score), "doc_id long, trains boolean, n_tokens long, n_known long, base_score double, score double")
+
+
+def told(vocab: DataFrame, classes: DataFrame) -> DataFrame:
+    """(word, n, cls) of the words that training has."""
+
+    def tell(rows, have):
+        n, cls = unpacked(rows.column("n")[0], np.int64), np.concatenate([unpacked(x, np.uint8) for x in have.combine_chunks().sort_by("first").column("data")])
+        words = pa.array(rows.column("words")[0].as_py().split(b" "), pa.binary())
+        return pa.table({"word": words, "n": pa.array(n), "cls": pa.array(cls, pa.int32())}).filter(pa.array(n > 0))
+
+    return vocab.groupBy("b").cogroup(classes.groupBy("b")).applyInArrow(tell, "word binary, n long, cls int")
 
 
-def language_model(docs: DataFrame, trains, classes: int = CLASSES, rounds: int = 2, sweeps: int = 5) -> tuple[DataFrame, DataFrame, dict]:
+def language_model(docs: DataFrame, trains, classes: int = CLASSES, rounds: int = 2, sweeps: int = 4) -> tuple[DataFrame, DataFrame, dict]:
     """Scores of all texts by a model of those for which ``trains`` holds; (word, n, cls) of the model; figures.
 
     classes: at most 127.  rounds: how often neighbours' classes are counted anew; sweeps: exchange sweeps in each.
     """
     if not 1 <= classes <= 127 or rounds < 1 or sweeps < 1:
         raise ValueError("classes must be 1 to 127, rounds and sweeps 1 or more")
-    k, spark = classes, docs.sparkSession
-    read = chunks(docs, trains)
-    partitions = parts(docs)
-    places = read.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    words = vocabulary(places)
-    tokens, distinct, once = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
-    own = words.where("n > 0").orderBy(F.desc("n"), "word").limit(k - 1).select("gid").collect()
-    first = spark.createDataFrame([(r.gid, i) for i, r in enumerate(own)], "gid long, cls smallint")
-    cls = words.where("n > 0").select("gid").join(F.broadcast(first), "gid", "left").select("gid", F.coalesce("cls", F.lit(k - 1).cast("smallint")).alias("cls"))
-    numbered = store(places.select("chunk", "at", "word").join(words, "word").select("chunk", "at", "gid", F.col("n").alias("total")), "numbered")
-    size = F.array(F.size("words")).alias("size")
-    texts = read.select("chunk", "doc_ids", "trains", "lengths", "tokens", size)
+    k = classes
+    read = chunks(docs, trains, parts(docs))
+    words = vocabulary(read)
+    vocab, places = words.where("chunk is null").select("b", "words", "n"), words.where("chunk is not null").select("b", "chunk", "places")
+    tokens, distinct, once = totals(vocab)
     figures = {"tokens": tokens, "words": distinct, "likelihood": []}
-
-    def joined(value, cls):
-        """Chunks with their words' classes (known) and numbers or counts (gids)."""
-        pair = lambda c: F.struct("at", F.col(c).cast("long").alias("value"))
-        found = numbered.join(cls, "gid", "left").groupBy("chunk").agg(F.collect_list(F.when(F.col("cls").isNotNull(), pair("cls"))).alias("known"), F.collect_list(pair(value)).alias("gids"))
-        return texts.join(store(found, "known").hint("shuffle_hash"), "chunk")
-
+    texts = read.select("chunk", "doc_ids", "trains", "lengths", "tokens")
+    cls = first_classes(vocab, k)
     for _ in range(rounds):
-        now = joined("gid", cls)
+        now = texts.join(returned(places, cls, np.uint8, "classes").hint("shuffle_hash"), "chunk")
         after = transitions(now, k)
-        near = neighbours(now, k, partitions)
-        last = after.sum(axis=0)[:k] - after[:k].sum(axis=1)  # tokens of a class that end a text
+        near = neighbours(now, places, k)
+        last = after.sum(axis=0)[:k] - after[:k].sum(axis=1)[:k]  # tokens of a class that end a text
         cls, began = exchange(near, np.hstack([after[:, :k].T, after[:k, :k], last[:, None]]).astype(float), sweeps)
         cls = store(cls, "classes")
         figures["likelihood"].append(began)
-    now = joined("total", cls)
+    now = texts.join(returned(places, cls, np.uint8, "classes").hint("shuffle_hash"), "chunk")
     model = Model(transitions(now, k), once)
-    return scored(now, model, distinct), words.join(cls, "gid").select("word", "n", "cls"), figures
+    counts = returned(places, vocab.select("b", F.lit(0).alias("first"), F.col("n").alias("data")), np.int64, "totals")
+    return scored(now.join(counts.hint("shuffle_hash"), "chunk"), model, distinct), told(vocab, cls), figures
+
+
+def totals(vocab: DataFrame) -> tuple[int, int, int]:
+    """Training tokens, distinct ones, and those met once."""
+
+    def add(batches):
+        for batch in batches:
+            for n in batch.column(0):
+                n = unpacked(n, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (n.sum(), (n > 0).sum(), (n == 1).sum())], ["tokens", "words", "once"])
+
+    found = vocab.select("n").mapInArrow(add, "tokens long, words long, once long")
+    return tuple(found.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "words", "once")]).first())
 
 
 def op12_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
