@@ -55,7 +55,7 @@ def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]
 
         return {"events": canonical(logs.ingest(spark, log_paths(spark, args)))}
     if step == "triage":
-        found = triage.score_lines(logs.lines(logs.read_files(spark, log_paths(spark, args))), "source_file")
+        found = triage.score_lines(logs.file_lines(spark, log_paths(spark, args)), "source_file")
         return {"triage": triage.ranked(found, "source_file", args.triage_top_n, args.triage_min_weighted_score)}
     if step == "embed":
         index = clusters.event_index(t["events"])

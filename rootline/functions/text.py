@@ -67,7 +67,7 @@ def found(col: Column, pattern: str, group: int = 1) -> Column:
 
 def failure_hint(col) -> Column:
     t = text(col)
-    return F.coalesce(*[F.when(t.rlike(r"(?i)\b" + words.replace(" ", r"\s+") + r"\b"), hint) for words, hint in HINTS])
+    return F.coalesce(*[F.when(t.rlike(r"(?iU)\b" + words.replace(" ", r"\s+") + r"\b"), hint) for words, hint in HINTS])
 
 
 def iso_timestamp(col) -> Column:
@@ -81,7 +81,11 @@ def parsed_time(col) -> Column:
 
 
 def epoch_iso(col) -> Column:
-    return F.date_format(F.timestamp_micros((text(col).cast("double") * 1_000_000).cast("bigint")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO text in UTC of seconds since 1970, with microseconds where there are any; null for what is no number."""
+    us = (text(col).try_cast("double") * 1_000_000).cast("bigint")
+    at = F.timestamp_micros(us)
+    whole = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(whole, F.when(us % 1_000_000 != 0, F.date_format(at, ".SSSSSS")).otherwise(""), F.lit("+00:00"))
 
 
 def http_code(value: Column) -> Column:
@@ -159,14 +163,15 @@ def actor_role(col) -> Column:
 
 def _word(pattern: str) -> str:
     quoted = "".join("\\" + c if c in r".-/+*?()[]{}^$|\\" else c for c in pattern)
-    return rf"\b{quoted}\b"
+    return rf"(?U)\b{quoted}\b"
 
 
 def component(actor, message) -> Column:
     """The first component, in the table's order, that the actor names, else that the text names."""
     a, t = F.coalesce(actor_role(actor), F.lit("")), F.lower(F.coalesce(text(message), F.lit("")))
     names = [(c, p) for found_ in COMPONENTS.values() for c, words in found_.items() for p in words]
-    special = F.when(F.lower(F.concat_ws(" ", a, t)).rlike(_word("milvus-etcd")), "milvus-core")
+    blob = F.lower(F.concat_ws(" ", a, t))
+    special = F.when(blob.contains("milvus-etcd") & F.array_max(F.array(*[blob.rlike(_word(p)) for c, p in names if c == "milvus-core"])), "milvus-core")
     by = lambda x: [F.when(x.rlike(_word(p)), c) for c, p in names]
     return F.coalesce(special, *by(a), *by(t), F.lit("unknown_component"))
 

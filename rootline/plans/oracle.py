@@ -1,5 +1,7 @@
 """Oracle SQL for DuckDB, one statement a query, on the same Parquet tables."""
 
+from . import logtable
+
 
 def _events(cluster: str) -> str:
     return f"""e0 AS (SELECT event_id, ts, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
@@ -128,10 +130,6 @@ _REDACT = "text"
 for _key, _pattern in (("uuid", r"\b[0-9a-fA-F]{8}-[0-9a-fA-F\-]{27}\b"), ("ip", r"\b(\d{1,3}\.){3}\d{1,3}\b"), ("hex", r"\b0x[0-9a-fA-F]+\b"), ("num", r"\b\d{6,}\b"), ("path", _PATH)):
     _REDACT = f"regexp_replace({_REDACT}, '{_pattern}', '<{_key}>', 'g')"
 
-# The two JSON lines of the sample log.
-WRAPPED = 'all.logs: [1704067200, {"time": "2024-01-01T00:00:06Z", "msg": "unexpected status 503 from http://billing.core.svc:80/api/v1/x", "level": "error", "method": "GET", "kubernetes": {"labels": {"app": "etcd"}, "pod_name": "etcd-0"}}]'
-AUDIT = '{"requestReceivedTimestamp": "2024-01-01T00:00:07Z", "user": {"username": "system:node:n1"}, "verb": "get", "objectRef": {"resource": "pods"}, "requestURI": "/api/v1/pods", "stage": "ResponseComplete", "responseStatus": {"code": 403}}'
-
 ORACLE = {
     "canonical_events": EV + " SELECT event_id, us, run_id, service, actor, verb, resource, response_code, failure_hint, target, cluster_id, severity, status_family, status_class, failure_mode FROM ev",
     "status_classes": EV + " SELECT run_id, cluster_id, count(*) FILTER (rc BETWEEN 200 AND 399) AS n_2xx, count(*) FILTER (rc BETWEEN 400 AND 499) AS n_4xx, count(*) FILTER (rc >= 500) AS n_5xx, count(*) FILTER (rc < 200) AS n_unknown FROM ev GROUP BY run_id, cluster_id",
@@ -241,11 +239,8 @@ ORACLE = {
     + f" ms AS (SELECT run_id, episode, string_agg(DISTINCT failure_mode, ',' ORDER BY failure_mode) AS modes FROM f JOIN ({_top('run_id, cluster_id', 'failure_mode', 5)}) USING (run_id, cluster_id) GROUP BY ALL), ts AS (SELECT run_id, episode, string_agg(DISTINCT target, ',' ORDER BY target) AS targets FROM f JOIN ({_top('run_id, cluster_id', 'target', 5)}) USING (run_id, cluster_id) GROUP BY ALL),"
     " e AS (SELECT run_id, episode, min(start_us) AS start_us, max(end_us) AS end_us, count(*) AS windows, round(sum(incident_strength), 6) AS strength FROM f GROUP BY ALL)"
     " SELECT e.*, coalesce(modes, '') AS modes, coalesce(targets, '') AS targets FROM e LEFT JOIN ms USING (run_id, episode) LEFT JOIN ts USING (run_id, episode)",
-    "record_assembly": "SELECT CAST(n AS BIGINT) AS record_no, replace(raw, '~', chr(10)) AS raw, j AS is_json FROM (VALUES (1, '2024-01-01 00:00:00 a~  at x', false), (2, '{\"k\":1}', true), (3, 'tail1~tail2', false), (4, '2024-01-01T00:00:05 connection refused by 10.0.0.1 id=1234567 0xFF', false), (5, '"
-    + WRAPPED
-    + "', true), (6, '"
-    + AUDIT
-    + "', true)) AS t(n, raw, j)",
+    "record_assembly": logtable.RECORDS_SQL,
+    "log_events": logtable.EVENTS_SQL,
     "symptoms": EV + ROOTS + ", v AS (SELECT run_id, us, 'response_code' AS kind, CAST(response_code AS VARCHAR) AS value FROM ro UNION ALL SELECT run_id, us, 'actor', actor FROM ro UNION ALL SELECT run_id, us, 'resource', resource FROM ro),"
     " r AS (SELECT run_id, kind, value, count(*) AS n, row_number() OVER (PARTITION BY run_id, kind ORDER BY count(*) DESC, min(us), value) AS k FROM v WHERE value <> '' GROUP BY run_id, kind, value) SELECT run_id, kind, value, n, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 3",
     "provenance": EV + ROOTS + " SELECT run_id, count(*) AS events, count(*) FILTER (response_code >= 400) AS by_code, count(*) FILTER (status_family = 'failure') AS by_family, count(*) FILTER (failure_hint <> '') AS by_hint, count(*) FILTER (failure_mode NOT IN ('normal', 'unknown')) AS by_mode,"

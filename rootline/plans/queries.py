@@ -9,23 +9,9 @@ from ..operators import bundles, causal, clusters, evidence, incidents, quality,
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
+from . import logtable
 
 EDGE_GAP = 1800
-# Sample log lines, one shape each, for the parsing queries.
-SAMPLE_LOG = "\n".join(
-    (
-        "2024-01-01 00:00:00 a",
-        "  at x",
-        "",
-        '{"k":1}',
-        "tail1",
-        "tail2",
-        "2024-01-01T00:00:05 connection refused by 10.0.0.1 id=1234567 0xFF",
-        'all.logs: [1704067200, {"time": "2024-01-01T00:00:06Z", "msg": "unexpected status 503 from http://billing.core.svc:80/api/v1/x", "level": "error", "method": "GET", "kubernetes": {"labels": {"app": "etcd"}, "pod_name": "etcd-0"}}]',
-        '{"requestReceivedTimestamp": "2024-01-01T00:00:07Z", "user": {"username": "system:node:n1"}, "verb": "get", "objectRef": {"resource": "pods"}, "requestURI": "/api/v1/pods", "stage": "ResponseComplete", "responseStatus": {"code": 403}}',
-    )
-)
-
 REGISTRY: dict = {}
 
 
@@ -319,19 +305,18 @@ def triage_ranking(spark, d):
     return triage.ranked(document_triage(spark, d), "doc_id")
 
 
-def _sample(spark):
-    return spark.range(1).select(F.lit("sample.log").alias("source_file"), F.lit(SAMPLE_LOG).alias("text"))
-
-
 @query
 def record_assembly(spark, d):
-    return logs.records(_sample(spark)).select("record_no", "raw", F.col("json").isNotNull().alias("is_json"))
+    r = logtable.generated_records(spark, d)
+    return r.select(logtable.file_number().alias("file"), "record_no", "raw", F.col("json").isNotNull().alias("is_json"))
 
 
 @query
 def log_events(spark, d):
-    e = logs.events(logs.records(_sample(spark)))
-    return e.select("timestamp", "severity", "service", "actor", "verb", "resource", "path", "stage", "response_code", "http_class", "status_family", "failure_hint", "target", "failure_mode", "signature", "normalized_text", "embedding_text")
+    e = logs.events(logtable.generated_records(spark, d))
+    named = [F.col(f"semantic.{c}").alias(c) for c in ("component", "domain")]
+    told = "timestamp severity service actor verb resource path stage response_code http_class status_family failure_hint target target_fqdn source_subtype inner_type failure_location failure_mode signature embedding_text".split()
+    return e.select(logtable.file_number().alias("file"), F.col("raw_text").alias("raw"), *told, *named)
 
 
 def _document_records(spark, d):

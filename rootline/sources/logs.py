@@ -1,32 +1,64 @@
 """Log files and texts to records, and records to canonical events.
 
-A text is read whole, its lines numbered, and records assembled by a window over the lines of one file; the file is the
-unit of work, as order within it decides where records start.
+Files are read as the text source cuts them: in byte ranges that end at line ends, so a file of any size is read by many
+tasks.  Each task puts the records of its ranges together as it reads; what a range cannot decide (its first lines, when
+none of them opens a record, and its last record, which the next range may continue) is stitched from the few rows at the
+borders.  Lines are never shuffled or ordered.
+
+Defined results: empty lines are skipped, lines of blanks are not; bytes that are no UTF-8 become U+FFFD; a gzip file is
+one range; a null text has no records; a record may span any number of ranges.
 """
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import matching
 from ..functions import predicates as P
 from ..functions import text as X
+from ..storage import store
 
 # File endings that hold logs.
 LOG_FILES = r"\.(log|txt|json|jsonl|out|gz)$"
-# The starts of a record: ISO times anywhere, and two compact log formats.
-RECORD_START = r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}|^\d{6}\s+\d{6}|^-\s+\d+\s+\d{4}\.\d{2}\.\d{2}"
-
-
-def read_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_file, text) of every log file below a path, or of listed files; gzip is read as its text; hidden files are not."""
-    paths = [path] if isinstance(path, str) else path
-    files = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(paths)
-    found = files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
-    return found.where(F.lower("source_file").rlike(LOG_FILES) & ~F.element_at(F.split("source_file", "/"), -1).startswith("."))
+# The starts of a record, anywhere in a line: ISO times, and two compact log formats.
+RECORD_START = r"(?U)\d{4}-\d{2}-\d{2}[\sT]\d{2}:\d{2}:\d{2}|\d{6}\s+\d{6}|-\s+\d+\s+\d{4}\.\d{2}\.\d{2}"
+# What ends a line of a text.
+LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+FRAGMENT = "source_file string, range_start long, at long, raw string, head boolean, open boolean"
+SMALL_RANGES = 1_000_000
+ROW_END = "\x01"
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isFile()
+
+
+def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(source_file, range_start, line) of every log file below a folder, and of files named one by one; gzip is read as its
+    text; hidden files are not.  Lines of a range follow each other in order."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if not paths:
+        raise ValueError("no log files named")
+    named = [is_file(spark, p) for p in paths]
+
+    def read(chosen):
+        rows = spark.read.option("recursiveFileLookup", True).text(chosen)
+        return rows.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("range_start"), F.make_valid_utf8("value").alias("line"))
+
+    parts = []
+    if folders := [p for p, f in zip(paths, named) if not f]:
+        hidden = F.element_at(F.split("source_file", "/"), -1).startswith(".")
+        parts.append(read(folders).where(F.lower("source_file").rlike(LOG_FILES) & ~hidden))
+    if files := [p for p, f in zip(paths, named) if f]:
+        parts.append(read(files))
+    lines_ = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return lines_.where("line <> ''")
 
 
 def lines(texts: DataFrame) -> DataFrame:
-    """(source_file, line_no, line) of non-empty lines; line_no counts all."""
-    return texts.select("source_file", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).where("line <> ''")
+    """(source_file, range_start, line) of non-empty lines; a text is one range, whose lines follow each other in order."""
+    one = texts.select("source_file", "text", F.monotonically_increasing_id().alias("range_start"))
+    return one.select("source_file", "range_start", F.explode(F.split("text", LINE_ENDS)).alias("line")).where("line <> ''")
 
 
 def audit_csv(line):
@@ -36,23 +68,89 @@ def audit_csv(line):
 
 def lenient_json(line):
     """The text of a JSON object: the whole line, else from its first brace to its last; null if that is no JSON."""
-    whole = F.when(F.trim(line).startswith("{") & F.try_parse_json(F.trim(line)).isNotNull(), F.trim(line))
-    part = F.regexp_substr(line, F.lit(r"(?s)\{.*\}"))
-    return F.coalesce(whole, F.when(F.try_parse_json(part).isNotNull(), part))
+    whole = F.trim(line).startswith("{") & F.trim(line).endswith("}")
+    part = F.when(line.contains("{") & line.contains("}"), F.when(whole, F.trim(line)).otherwise(F.regexp_substr(line, F.lit(r"(?s)\{.*\}"))))
+    return F.when(F.try_parse_json(part).isNotNull(), part)
 
 
-def records(texts: DataFrame) -> DataFrame:
-    """(source_file, record_no, raw, json): JSON and audit lines stand alone, a line with a start mark opens a record,
-    any other line continues the open one."""
+def fragments(lines_: DataFrame) -> DataFrame:
+    """Records of each range, numbered from 0: JSON and audit lines stand alone, a line with a start mark opens a record,
+    any other line continues the open one.
+
+    head: no line of the range opened this record, so it may continue the one before the range; open: it is the range's
+    last and may go on after it.
+    """
     line = F.col("line")
-    # a wrapped line starts with its file's name, so braces inside a plain message do not make it one
-    solo = (F.trim(line).startswith("{") & F.try_parse_json(F.trim(line)).isNotNull()) | audit_csv(line)
-    l = lines(texts).withColumn("solo", F.coalesce(solo, F.lit(False)))
-    order = Window.partitionBy("source_file").orderBy("line_no")
-    opens = F.col("solo") | line.rlike(RECORD_START) | F.coalesce(F.lag("solo").over(order), F.lit(True))
-    l = l.withColumn("record_no", F.sum(opens.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    g = l.groupBy("source_file", "record_no").agg(F.expr("array_join(transform(array_sort(collect_list(struct(line_no, line))), x -> x.line), '\n')").alias("raw"))
-    return g.withColumn("json", lenient_json(F.col("raw")))
+    solo = F.coalesce(lenient_json(line).isNotNull() | audit_csv(line), F.lit(False))
+    marked = lines_.select("source_file", "range_start", "line", solo.alias("solo"), line.rlike(RECORD_START).alias("starts"))
+    names = [x.split()[0] for x in FRAGMENT.split(", ")]
+
+    def assemble(batches):
+        import pyarrow as pa
+
+        rows, size = [], 0
+        key, at, held, head, seen = None, 0, [], False, False
+
+        def batch():
+            columns = zip(*rows)
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        def close(is_open):
+            nonlocal held, at, size
+            if held:
+                raw = "\n".join(held)
+                rows.append((*key, at, raw, head, is_open))
+                size += len(raw)
+                held, at = [], at + 1
+
+        for b in batches:
+            for source, start, text, alone, opens in zip(*[c.to_pylist() for c in b.columns]):
+                if (source, start) != key:
+                    close(True)
+                    key, at, seen = (source, start), 0, False
+                if alone or opens or not held:
+                    close(False)
+                    head = not (alone or opens or seen)
+                    held = [text]
+                    if alone:
+                        close(False)
+                else:
+                    held.append(text)
+                seen = True
+                if size > 1 << 22:
+                    yield batch()
+                    rows, size = [], 0
+        close(True)
+        if rows:
+            yield batch()
+
+    return marked.mapInArrow(assemble, FRAGMENT)
+
+
+def records(texts: DataFrame) -> DataFrame:
+    """(source_file, record_no, raw, json) of texts, each by itself."""
+    found = fragments(lines(texts)).select("source_file", (F.col("at") + 1).alias("record_no"), "raw")
+    return found.withColumn("json", lenient_json(F.col("raw")))
+
+
+def file_records(lines_: DataFrame) -> DataFrame:
+    """(source_file, record_no, raw, json) of files read in ranges; the same however they are cut."""
+    found = store(fragments(lines_), "fragments")
+    ranges = found.groupBy("source_file", "range_start").agg(F.count("*").alias("n"), F.bool_or("head").alias("has_head"), F.bool_or("open").alias("ends_open"))
+    order = Window.partitionBy("source_file").orderBy("range_start")
+    joins = F.col("has_head") & F.coalesce(F.lag("ends_open").over(order), F.lit(False))
+    ranges = ranges.withColumn("joins", joins.cast("long"))
+    opened = F.col("n") - F.col("joins")
+    ranges = store(ranges.select("source_file", "range_start", "joins", (F.sum(opened).over(order) - opened).alias("before")), "ranges")
+    if ranges.count() <= SMALL_RANGES:  # at 128 MB a range, all of 100 TB; beyond it the join deals by range
+        ranges = F.broadcast(ranges)
+    numbered = found.join(ranges, ["source_file", "range_start"]).withColumn("record_no", F.col("before") + F.col("at") + 1 - F.col("joins"))
+    border = F.col("open") | (F.col("head") & (F.col("joins") == 1))
+    pieces = F.array_sort(F.collect_list(F.when(border, F.struct("range_start", "raw"))))
+    stitched = numbered.where(border).groupBy("source_file", "record_no").agg(F.array_join(F.transform(pieces, lambda x: x["raw"]), "\n").alias("raw"))
+    whole = numbered.where(~border).select("source_file", "record_no", "raw")
+    return whole.unionByName(stitched).withColumn("json", lenient_json(F.col("raw")))
 
 
 def _at(doc: str, *paths: str):
@@ -63,63 +161,87 @@ def _at(doc: str, *paths: str):
 def wrapped_payload(raw):
     """Collector time and payload of a line `name: [time, {payload}]`."""
     array = F.when(F.trim(raw).rlike(r"^(all\.logs|asup\.error\.logs):"), F.regexp_substr(raw, F.lit(r"(?s)\[.*")))
-    return F.get_json_object(array, "$[0]"), F.get_json_object(array, "$[1]")
+    array = F.when(F.try_parse_json(array).isNotNull(), array)
+    payload = F.get_json_object(array, "$[1]")
+    return F.get_json_object(array, "$[0]"), F.when(payload.startswith("{"), payload)
 
 
 def events(recs: DataFrame) -> DataFrame:
-    """Canonical events from records: wrapped payloads, audit JSON or audit CSV, then severity, family and texts."""
+    """Canonical events from records: wrapped payloads, else audit JSON, else a row of twelve comma-separated fields; then
+    severity, family and texts."""
     raw = F.col("raw")
     collector, payload = wrapped_payload(raw)
-    d = recs.withColumn("collector", collector).withColumn("payload", payload).withColumn("audit", F.when(payload.isNull(), F.col("json")))
-    row = F.when(d.payload.isNull() & d.audit.isNull() & audit_csv(raw), F.from_csv(raw, ", ".join(f"c{i} string" for i in range(12))))
-    d = d.withColumn("row", row)
+    has_json = F.col("json").isNotNull() & ~F.col("json").rlike(r"^\{\s*\}$")
+    d = recs.withColumn("collector", F.when(has_json, collector)).withColumn("payload", F.when(has_json, payload))
+    d = d.withColumn("audit", F.when(has_json & F.col("payload").isNull(), F.col("json")))
+    # a field after the last one of the first line tells short rows from those that end in empty fields
+    first = F.concat(F.regexp_extract(F.trim(raw), r"^[^\n]*", 0), F.lit("," + ROW_END))
+    fields = [f"c{i}" for i in range(12)]
+    row = F.from_csv(first, ", ".join(f"{c} string" for c in fields), {"escape": '"'})
+    d = d.withColumn("row", F.when(F.col("payload").isNull() & F.col("audit").isNull() & (F.regexp_count(raw, F.lit(",")) >= 11), row))
+    short = F.array_contains(F.array(*[F.coalesce(f"row.{c}", F.lit("")) for c in fields]), ROW_END)
+    d = d.withColumn("row", F.when(~short, F.col("row")))
     p = lambda *names: _at("payload", *[f"$.{n}" for n in names])
     a = lambda *names: _at("audit", *[f"$.{n}" for n in names])
     csv = lambda i: F.nullif(F.trim(F.col(f"row.c{i}")), F.lit(""))
     label = lambda n: _at("payload", f"$.kubernetes.labels['{n}']")
-    message = F.concat_ws(" ", p("error"), p("msg"), p("log"))
-    spoken = F.concat_ws(" ", p("msg"), p("log"))
+    wrapped = F.col("payload").isNotNull()
+    told = lambda *names: F.when(wrapped, F.concat_ws(" ", *[F.coalesce(p(n), F.lit("")) for n in names]))
+    message, spoken = told("error", "msg", "log"), told("msg", "log")
     service = F.coalesce(label("app.kubernetes.io/name"), label("app"), p("kubernetes.container_name", "kubernetes.pod_name"))
     actor = F.coalesce(X.identity(p("user_name", "caller", "ctx", "kubernetes.container_name")), X.identity(service))
+    user, whole = X.identity(F.coalesce(a("user.username"), csv(2))), lambda c: F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast("int"))
     stamped = F.nullif(F.get_json_object("payload", "$.t['$date']"), F.lit(""))
-    code = F.coalesce(*[X.http_code(p(n)) for n in ("statusCode", "status", "status_code", "code", "responseStatus.code", "response.status", "response.code")], F.when(d.payload.isNotNull(), X.code_in_text(message)), X.http_code(a("responseStatus.code")), X.http_code(csv(11)))
-    hint = F.when(d.payload.isNotNull(), X.failure_hint(message))
-    letter = F.create_map(*[F.lit(x) for x in ("F", "FATAL", "E", "ERROR", "W", "WARN", "I", "INFO", "D", "DEBUG", "T", "TRACE")])
-    told = F.coalesce(F.try_element_at(letter, F.upper(p("s"))), F.when(F.upper(p("level")).isin("FATAL", "ERROR", "WARN", "INFO", "DEBUG", "TRACE"), F.upper(p("level"))), X.severity_in_text(spoken))
+    zoned = F.when(csv(1).contains("T") & csv(1).endswith("Z"), csv(1))
+    code = F.coalesce(*[X.http_code(p(n)) for n in ("statusCode", "status", "status_code", "code", "responseStatus.code", "response.status", "response.code")], X.code_in_text(message), whole(a("responseStatus.code")), whole(csv(11)))
+    letters = F.create_map(*[F.lit(x) for x in ("F", "FATAL", "E", "ERROR", "W", "WARN", "I", "INFO", "D", "DEBUG", "T", "TRACE")])
+    level = F.when(F.upper(p("level")).isin("FATAL", "ERROR", "WARN", "INFO", "DEBUG", "TRACE"), F.upper(p("level")))
+    severity = F.coalesce(F.when(p("s").isNotNull(), F.try_element_at(letters, F.upper(p("s")))).otherwise(level), X.severity_in_text(spoken))
     host = X.dependency_host(message)
     e = d.select(
         F.sha2(F.concat_ws("|", "source_file", F.col("record_no").cast("string")), 256).alias("event_id"),
+        "source_file",
+        "record_no",
         F.lit("log").alias("source_type"),
-        F.coalesce(p("time"), stamped, X.epoch_iso("collector"), a("requestReceivedTimestamp"), csv(1), X.iso_timestamp(raw)).alias("timestamp"),
-        told.alias("told"),
-        F.coalesce(service, a("user.username"), csv(2)).alias("service"),
-        F.coalesce(actor, a("user.username"), csv(2)).alias("actor"),
-        F.lower(F.coalesce(p("method"), X.verb_in_text(spoken), a("verb"), csv(3))).alias("verb"),
+        F.coalesce(p("time"), stamped, X.epoch_iso("collector"), a("requestReceivedTimestamp"), zoned, X.iso_timestamp(raw)).alias("timestamp"),
+        severity.alias("told"),
+        F.coalesce(service, user).alias("service"),
+        F.coalesce(actor, user).alias("actor"),
+        F.coalesce(F.lower(p("method")), X.verb_in_text(spoken), a("verb"), csv(3)).alias("verb"),
         F.coalesce(p("attr.collection", "attr.db", "attr.topic", "attr.index", "kubernetes.pod_name", "kubernetes.namespace_name", "c"), a("objectRef.resource"), csv(4)).alias("resource"),
-        F.coalesce(p("path", "uri"), F.when(d.payload.isNotNull(), X.path_in_text(F.coalesce(p("log"), p("msg")))), a("requestURI"), csv(8)).alias("path"),
-        F.coalesce(F.lower(p("stream")), a("stage"), csv(10)).alias("stage"),
+        F.coalesce(p("path", "uri"), F.when(wrapped, X.path_in_text(F.coalesce(p("log"), p("msg")))), a("requestURI"), csv(8)).alias("path"),
+        F.lower(F.coalesce(p("stream"), a("stage"), csv(10))).alias("stage"),
         code.alias("response_code"),
-        hint.alias("failure_hint"),
+        message.alias("message"),
         F.element_at(F.split(host, r"\."), 1).alias("target"),
         host.alias("target_fqdn"),
+        F.when(wrapped, F.regexp_extract(raw, r"^\s*(all\.logs|asup\.error\.logs):", 1)).alias("source_subtype"),
+        X.payload_type("payload").alias("inner_type"),
+        F.col("collector").alias("collector_ts"),
         F.col("raw").alias("raw_text"),
     )
+    e = e.withColumn("_found", matching.labels(F.col("message"), X.actor_role("actor"), F.col("raw_text")))
+    e = e.withColumn("failure_hint", F.col("_found.hint")).withColumn("_component", F.col("_found.component")).drop("_found", "message")
     e = e.withColumn("http_class", F.when(F.col("response_code").isNotNull(), F.concat(F.floor(F.col("response_code") / 100).cast("string"), F.lit("xx"))))
+    wrapped = F.col("source_subtype").isNotNull()
+    own = F.when(F.col("http_class").isin("4xx", "5xx"), "failure").when(F.col("http_class").isNotNull(), "normal").when(F.col("told").isin("ERROR", "FATAL") | F.col("failure_hint").isNotNull(), "failure").when(F.col("told") == "WARN", "warning").otherwise("unknown")
     e = e.withColumn("severity", F.coalesce("told", P.severity_of(F.col("response_code"), F.col("raw_text"))))
-    family = F.when(F.col("http_class").isin("4xx", "5xx"), "failure").when(F.col("http_class").isNotNull(), "normal").when(F.col("failure_hint").isNotNull(), "failure").otherwise(P.family_of(F.lit(None).cast("int"), F.col("severity")))
-    e = e.withColumn("status_family", family).withColumn("normalized_text", X.normalized("raw_text")).withColumn("redactions", X.redactions("raw_text"))
+    e = e.withColumn("status_family", F.when(wrapped, own).otherwise(P.family_of(F.col("response_code"), F.col("severity"))))
+    where = F.when(F.col("target").isNotNull(), "dependency_target").when(F.col("status_family") == "failure", "source_service")
+    e = e.withColumn("failure_location", F.when(wrapped, where)).withColumn("causal_confidence_tier", F.when(F.col("failure_location") == "dependency_target", "observed").when(F.col("failure_location").isNotNull(), "likely"))
+    e = e.withColumn("normalized_text", X.normalized("raw_text")).withColumn("redactions", X.redactions("raw_text"))
     e = e.withColumn("embedding_text", X.embedding_text("service", "severity", "verb", "resource", "http_class"))
     return enrich(e.drop("told"))
 
 
 def enrich(e: DataFrame) -> DataFrame:
-    """Adds the semantic struct and the signature."""
+    """Adds the semantic struct and the signature; ``_component`` is the component found."""
     code = F.col("response_code")
-    e = e.withColumn("_c", X.component(F.coalesce("actor", "service"), F.concat_ws(" ", "service", "raw_text"))).withColumn("_m", P.failure_mode(code, F.col("status_family"), F.col("failure_hint")))
-    semantic = F.struct(F.col("_c").alias("component"), X.component_domain("_c").alias("domain"), X.actor_role("actor").alias("actor"), F.col("verb").alias("operation"), F.col("resource").alias("resource"), P.status_class(code).alias("status_class"), F.col("_m").alias("failure_mode"))
-    return e.withColumn("semantic", semantic).withColumn("failure_mode", F.col("_m")).withColumn("signature", X.signature("_c", "verb", "resource", "_m")).drop("_c", "_m")
+    e = e.withColumn("_m", P.failure_mode(code, F.col("status_family"), F.col("failure_hint")))
+    semantic = F.struct(F.col("_component").alias("component"), X.component_domain("_component").alias("domain"), "actor", F.col("verb").alias("operation"), "resource", P.status_class(code).alias("status_class"), F.col("_m").alias("failure_mode"))
+    return e.withColumn("semantic", semantic).withColumn("failure_mode", F.col("_m")).withColumn("signature", X.signature("_component", "verb", "resource", "_m")).drop("_component", "_m")
 
 
 def ingest(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files to canonical events."""
-    return events(records(read_files(spark, path)))
+    return events(file_records(file_lines(spark, path)))

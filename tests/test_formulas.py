@@ -115,7 +115,7 @@ def test_log_events(spark):
     csv = "0,2024-01-01T00:00:08Z,system:apiserver,list,pods,x,x,x,/api/v1/pods,x,ResponseComplete,500"
     df = spark.createDataFrame([("f", "\n".join((wrapped, audit, csv)))], "source_file string, text string")
     a, b, c = logs.events(logs.records(df)).orderBy("timestamp").collect()
-    assert (a.timestamp, a.service, a.response_code, a.target, a.status_family, a.failure_mode) == ("2024-01-01T00:00:00.000000Z", "etcd", 503, "billing", "failure", "service_failure")
+    assert (a.timestamp, a.service, a.response_code, a.target, a.status_family, a.failure_mode) == ("2024-01-01T00:00:00+00:00", "etcd", 503, "billing", "failure", "service_failure")
     assert (b.actor, b.verb, b.response_code, b.failure_mode, b.semantic.component) == ("system:node:n1", "get", 403, "authz_failure", "kubelet")
     assert (c.actor, c.verb, c.resource, c.path, c.response_code) == ("system:apiserver", "list", "pods", "/api/v1/pods", 500)
 
@@ -128,7 +128,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "b.bin").write_text("x\n")
     with gzip.open(tmp_path / "c.log.gz", "wt") as f:
         f.write("2024-01-01 00:00:00 packed\n")
-    assert sorted(r.raw for r in logs.records(logs.read_files(spark, str(tmp_path))).collect()) == ["2024-01-01 00:00:00 packed", "2024-01-01 00:00:00 plain"]
+    assert sorted(r.raw for r in logs.file_records(logs.file_lines(spark, str(tmp_path))).collect()) == ["2024-01-01 00:00:00 packed", "2024-01-01 00:00:00 plain"]
 
 
 def test_canonical_round_trip(spark, tmp_path):
