@@ -175,3 +175,30 @@ SELECT file, raw, timestamp, severity, service, actor, verb, resource, path, sta
   concat_ws(':', component, nullif(verb, ''), nullif(resource, ''), failure_mode) AS signature,
   concat_ws(' | ', 'service: ' || service, 'severity: ' || lower(severity), 'verb: ' || verb, 'resource: ' || resource, 'http_class: ' || http_class) AS embedding_text FROM em"""
 )
+
+# Whole documents as log files: a text without braces or quotes has records of lines and rows of fields only.
+_DOCUMENTS = r"""WITH ln AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM (SELECT doc_id, string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS x FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
+ls AS (SELECT *, CASE WHEN regexp_matches(trim(line), '^\{.*\}$') THEN json_valid(trim(line)) ELSE coalesce(json_valid(nullif(regexp_extract(line, '\{.*\}'), '')), false) END
+  OR (len(line) - len(replace(line, ',', '')) >= 10 AND regexp_matches(line, 'ResponseStarted|ResponseComplete') AND contains(line, 'system:')) AS solo FROM ln WHERE line <> ''),
+lo AS (SELECT *, solo OR regexp_matches(line, '\d{4}-\d{2}-\d{2}[\sT]\d{2}:\d{2}:\d{2}|\d{6}\s+\d{6}|-\s+\d+\s+\d{4}\.\d{2}\.\d{2}') OR coalesce(lag(solo) OVER (PARTITION BY doc_id ORDER BY i), true) AS opens FROM ls),
+ln2 AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS record_no FROM lo),
+rec AS (SELECT doc_id, CAST(record_no AS BIGINT) AS record_no, string_agg(line, chr(10) ORDER BY i) AS raw FROM ln2 GROUP BY doc_id, record_no)"""
+DOCUMENT_RECORDS_SQL = _DOCUMENTS + r" SELECT *, CASE WHEN regexp_matches(trim(raw), '(?s)^\{.*\}$') THEN json_valid(trim(raw)) ELSE coalesce(json_valid(nullif(regexp_extract(raw, '(?s)\{.*\}'), '')), false) END AS is_json FROM rec"
+
+
+def document_events_sql(redacted: str) -> str:
+    """The events of ``_DOCUMENTS``; redacted: SQL for the redacted text of ``raw``."""
+    value = lambda i: f"nullif(trim(c[{i + 1}]), '')"
+    return (
+        _DOCUMENTS
+        + rf""",
+rc AS (SELECT *, CASE WHEN len(x) >= 12 THEN x END AS c FROM (SELECT *, string_split(string_split(trim(raw), chr(10))[1], ',') AS x FROM rec)),
+ex AS (SELECT doc_id, record_no, raw, coalesce(CASE WHEN contains({value(1)}, 'T') AND {value(1)} LIKE '%Z' THEN {value(1)} END, nullif(regexp_extract(raw, '\d{{4}}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d+)?Z'), '')) AS timestamp,
+  {value(2)} AS actor, {value(3)} AS verb, {value(4)} AS resource, {value(8)} AS path, lower({value(10)}) AS stage, TRY_CAST(CASE WHEN regexp_matches({value(11)}, '^[+-]?\d+$') THEN {value(11)} END AS INTEGER) AS response_code FROM rc),
+es AS (SELECT *, coalesce({CODE_SEVERITY}, {RAW_SEVERITY}) AS severity, CASE WHEN response_code IS NOT NULL THEN (response_code // 100) || 'xx' END AS http_class, {_ROLE} AS role FROM ex),
+ef AS (SELECT *, CASE WHEN response_code >= 400 THEN 'failure' WHEN response_code IS NOT NULL THEN 'normal' WHEN severity IN ('ERROR', 'FATAL') THEN 'failure' WHEN severity = 'WARN' THEN 'warning' ELSE 'unknown' END AS status_family, {component_sql("role", "raw")} AS component FROM es),
+em AS (SELECT *, CASE WHEN response_code BETWEEN 500 AND 599 THEN 'service_failure' WHEN response_code = 403 THEN 'authz_failure' WHEN response_code = 404 THEN 'resource_not_found' WHEN response_code = 409 THEN 'conflict' WHEN response_code BETWEEN 400 AND 499 THEN 'client_error' WHEN status_family = 'failure' THEN 'service_failure' ELSE 'normal' END AS failure_mode FROM ef)
+SELECT sha256(doc_id || '|' || record_no) AS event_id, timestamp, severity, actor AS service, actor, verb, resource, path, stage, response_code, http_class, status_family, NULL::VARCHAR AS failure_hint, NULL::VARCHAR AS target, failure_mode,
+  concat_ws(':', component, verb, resource, failure_mode) AS signature, raw AS raw_text, lower(trim(regexp_replace({redacted}, '\s+', ' ', 'g'))) AS normalized_text,
+  concat_ws(' | ', 'service: ' || actor, 'severity: ' || lower(severity), 'verb: ' || verb, 'resource: ' || resource, 'http_class: ' || http_class) AS embedding_text FROM em"""
+    )

@@ -126,9 +126,9 @@ un AS (SELECT label, list_transform(c, lambda x: CAST(x / (sqrt(list_sum(list_tr
 dt AS (SELECT vec_id, n.label AS own, un.label, list_sum(list_transform(list_zip(e, un.c), lambda z: z[1] * CAST(z[2] AS DOUBLE))) AS s FROM n, un)"""
 
 _PATH = r"(/[\w\-.]+)+"
-_REDACT = "text"
+_REDACT, _REDACT_RAW = "text", "raw"
 for _key, _pattern in (("uuid", r"\b[0-9a-fA-F]{8}-[0-9a-fA-F\-]{27}\b"), ("ip", r"\b(\d{1,3}\.){3}\d{1,3}\b"), ("hex", r"\b0x[0-9a-fA-F]+\b"), ("num", r"\b\d{6,}\b"), ("path", _PATH)):
-    _REDACT = f"regexp_replace({_REDACT}, '{_pattern}', '<{_key}>', 'g')"
+    _REDACT, _REDACT_RAW = (f"regexp_replace({_x}, '{_pattern}', '<{_key}>', 'g')" for _x in (_REDACT, _REDACT_RAW))
 
 ORACLE = {
     "canonical_events": EV + " SELECT event_id, us, run_id, service, actor, verb, resource, response_code, failure_hint, target, cluster_id, severity, status_family, status_class, failure_mode FROM ev",
@@ -241,6 +241,8 @@ ORACLE = {
     " SELECT e.*, coalesce(modes, '') AS modes, coalesce(targets, '') AS targets FROM e LEFT JOIN ms USING (run_id, episode) LEFT JOIN ts USING (run_id, episode)",
     "record_assembly": logtable.RECORDS_SQL,
     "log_events": logtable.EVENTS_SQL,
+    "document_records": logtable.DOCUMENT_RECORDS_SQL,
+    "document_events": logtable.document_events_sql(_REDACT_RAW),
     "symptoms": EV + ROOTS + ", v AS (SELECT run_id, us, 'response_code' AS kind, CAST(response_code AS VARCHAR) AS value FROM ro UNION ALL SELECT run_id, us, 'actor', actor FROM ro UNION ALL SELECT run_id, us, 'resource', resource FROM ro),"
     " r AS (SELECT run_id, kind, value, count(*) AS n, row_number() OVER (PARTITION BY run_id, kind ORDER BY count(*) DESC, min(us), value) AS k FROM v WHERE value <> '' GROUP BY run_id, kind, value) SELECT run_id, kind, value, n, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 3",
     "provenance": EV + ROOTS + " SELECT run_id, count(*) AS events, count(*) FILTER (response_code >= 400) AS by_code, count(*) FILTER (status_family = 'failure') AS by_family, count(*) FILTER (failure_hint <> '') AS by_hint, count(*) FILTER (failure_mode NOT IN ('normal', 'unknown')) AS by_mode,"

@@ -153,9 +153,16 @@ def file_records(lines_: DataFrame) -> DataFrame:
     return whole.unionByName(stitched).withColumn("json", lenient_json(F.col("raw")))
 
 
-def _at(doc: str, *paths: str):
-    """The first non-empty value at JSON paths."""
-    return F.coalesce(*[F.nullif(F.get_json_object(doc, p), F.lit("")) for p in paths])
+# The fields that are read of a wrapped payload, and of an audit object.
+PAYLOAD = """time string, t struct<`$date`:string>, s string, level string, error string, msg string, log string, method string, user_name string, caller string, ctx string, c string, path string, uri string, stream string,
+attr struct<collection:string,db:string,topic:string,index:string>, kubernetes struct<labels:map<string,string>,container_name:string,pod_name:string,namespace_name:string>,
+statusCode string, status string, status_code string, code string, responseStatus struct<code:string>, response struct<status:string,code:string>"""
+AUDIT = "requestReceivedTimestamp string, user struct<username:string>, verb string, objectRef struct<resource:string>, requestURI string, stage string, responseStatus struct<code:string>"
+
+
+def _at(struct: str, *names: str):
+    """The first non-empty one of some fields."""
+    return F.coalesce(*[F.nullif(F.col(f"{struct}.{n}"), F.lit("")) for n in names])
 
 
 def wrapped_payload(raw):
@@ -174,6 +181,7 @@ def events(recs: DataFrame) -> DataFrame:
     has_json = F.col("json").isNotNull() & ~F.col("json").rlike(r"^\{\s*\}$")
     d = recs.withColumn("collector", F.when(has_json, collector)).withColumn("payload", F.when(has_json, payload))
     d = d.withColumn("audit", F.when(has_json & F.col("payload").isNull(), F.col("json")))
+    d = d.withColumn("p", F.from_json("payload", PAYLOAD)).withColumn("a", F.from_json("audit", AUDIT))
     # a field after the last one of the first line tells short rows from those that end in empty fields
     first = F.concat(F.regexp_extract(F.trim(raw), r"^[^\n]*", 0), F.lit("," + ROW_END))
     fields = [f"c{i}" for i in range(12)]
@@ -181,17 +189,17 @@ def events(recs: DataFrame) -> DataFrame:
     d = d.withColumn("row", F.when(F.col("payload").isNull() & F.col("audit").isNull() & (F.regexp_count(raw, F.lit(",")) >= 11), row))
     short = F.array_contains(F.array(*[F.coalesce(f"row.{c}", F.lit("")) for c in fields]), ROW_END)
     d = d.withColumn("row", F.when(~short, F.col("row")))
-    p = lambda *names: _at("payload", *[f"$.{n}" for n in names])
-    a = lambda *names: _at("audit", *[f"$.{n}" for n in names])
+    p = lambda *names: _at("p", *names)
+    a = lambda *names: _at("a", *names)
     csv = lambda i: F.nullif(F.trim(F.col(f"row.c{i}")), F.lit(""))
-    label = lambda n: _at("payload", f"$.kubernetes.labels['{n}']")
+    label = lambda n: F.nullif(F.try_element_at("p.kubernetes.labels", F.lit(n)), F.lit(""))
     wrapped = F.col("payload").isNotNull()
     told = lambda *names: F.when(wrapped, F.concat_ws(" ", *[F.coalesce(p(n), F.lit("")) for n in names]))
     message, spoken = told("error", "msg", "log"), told("msg", "log")
     service = F.coalesce(label("app.kubernetes.io/name"), label("app"), p("kubernetes.container_name", "kubernetes.pod_name"))
     actor = F.coalesce(X.identity(p("user_name", "caller", "ctx", "kubernetes.container_name")), X.identity(service))
     user, whole = X.identity(F.coalesce(a("user.username"), csv(2))), lambda c: F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast("int"))
-    stamped = F.nullif(F.get_json_object("payload", "$.t['$date']"), F.lit(""))
+    stamped = F.nullif(F.col("p.t")["$date"], F.lit(""))
     zoned = F.when(csv(1).contains("T") & csv(1).endswith("Z"), csv(1))
     code = F.coalesce(*[X.http_code(p(n)) for n in ("statusCode", "status", "status_code", "code", "responseStatus.code", "response.status", "response.code")], X.code_in_text(message), whole(a("responseStatus.code")), whole(csv(11)))
     letters = F.create_map(*[F.lit(x) for x in ("F", "FATAL", "E", "ERROR", "W", "WARN", "I", "INFO", "D", "DEBUG", "T", "TRACE")])
