@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import store
 from .trigger import KEYS, count_if
 
 INDEX = "event_id timestamp service severity actor verb resource response_code http_class status_family failure_hint path stage semantic signature embedding_text".split()
@@ -38,15 +39,36 @@ def neighbours(edges: DataFrame, k: int = 5) -> DataFrame:
     return both.withColumn("bonus", F.expr("case when soon >= 5 then 6 when soon >= 3 then 4 when soon >= 1 then 2 else 0 end")).drop("soon")
 
 
-def even_sample(df: DataFrame, keys: list[str], order: list, cap: int) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Adds _r, a row's place in its group from 0 in ``order``, and _n, the rows of the group.
+
+    Rows are sorted by range and counted by partition, so a group of any size is spread over tasks and only its counts meet.
+    """
+    spark, by = df.sparkSession, [*keys, *order]
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = df.repartitionByRange(count, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    rows = store(at.withColumn("_part", F.shiftright("_at", 33)), "numbered")
+    whole = Window.partitionBy(*keys)
+    runs = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_c"), F.min("_at").alias("_first"))
+    runs = runs.withColumn("_n", F.sum("_c").over(whole)).withColumn("_before", F.sum("_c").over(whole.orderBy("_part")) - F.col("_c")).drop("_c")
+    same = [F.col("x._part") == F.col("y._part"), *[F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in keys]]
+    placed = rows.alias("x").join(runs.alias("y"), same)
+    return placed.select("x.*", F.col("y._n").alias("_n"), (F.col("x._at") - F.col("y._first") + F.col("y._before")).alias("_r")).drop("_at", "_part")
+
+
+def even_sample(df: DataFrame, keys: list[str], order: list[str], cap: int) -> DataFrame:
     """At most ``cap`` rows of each group, evenly spaced in its order, first and last among them (a downsampling operator)."""
-    w = Window.partitionBy(*keys)
-    r = df.withColumn("_r", F.row_number().over(w.orderBy(*order)).cast("bigint") - 1).withColumn("_n", F.count("*").over(w))
+    r = numbered(df, keys, order)
     step = F.expr(f"(_r * {max(1, cap - 1)} + _n - 2) div (_n - 1)")
     spaced = r.withColumn("_i", F.when(F.col("_n") > cap, step)).where(f"_n <= {cap} or (_i * (_n - 1)) div {max(1, cap - 1)} = _r")
     return spaced.where(f"_n <= {cap} or _r = 0 or {cap} > 1").drop("_r", "_n", "_i")
 
 
+def evenly(df: DataFrame, order: list[str], cap: int) -> DataFrame:
+    """At most ``cap`` rows of a table, evenly spaced in its order."""
+    return even_sample(df.withColumn("_g", F.lit(0)), ["_g"], order, cap).drop("_g")
+
+
 def explaining_edges(events: DataFrame, clusters: DataFrame) -> DataFrame:
     """(run_id, source, target, kind): an edge from each cluster of ``clusters`` to each of its events."""
     return events.join(clusters.select(*KEYS).distinct(), KEYS, "left_semi").select("run_id", F.col("cluster_id").alias("source"), F.col("event_id").cast("string").alias("target"), F.lit("contains").alias("kind"))

@@ -5,6 +5,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import scores as S
 from ..storage import new_path
@@ -31,20 +33,58 @@ def hashed_vectors(texts: DataFrame, column: str = "embedding_text", size: int =
 
 
 def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
-    """Mean vector of each label, summed component by component so that one label's vectors never meet in a task."""
-    parts = vectors.select(label, F.posexplode("embedding").alias("i", "x"))
-    g = parts.groupBy(label, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return g.groupBy(label).agg(F.expr("transform(array_sort(collect_list(struct(i, x))), y -> y.x)").alias("centroid"))
+    """Mean vector of each label, with partial sums in every task."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
+    return vectors.where("embedding is not null").groupBy(label).agg(vector_to_array(mean).alias("centroid"))
+
+
+def nearest_of(vectors: DataFrame, centers: DataFrame, label: str, block: int = 4096) -> DataFrame:
+    """(vec_id, nearest, cosine): for each vector the center (label, c) of largest product; the least label of equal ones.
+
+    Centers go to all tasks in blocks of about ``block``; a task multiplies its vectors with a block as matrices and keeps
+    the best.  With several blocks, each block's result is written before the next one is sent, then the best of all taken.
+    """
+    spark = vectors.sparkSession
+    blocks = max(1, -(-centers.count() // block))
+    schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("nearest", centers.schema[label].dataType), T.StructField("cosine", T.DoubleType())])
+
+    def best_of(i: int):
+        few = centers.select(label, "c").where(F.col(label).isNotNull())
+        few = (few.where(F.pmod(F.xxhash64(label), F.lit(blocks)) == i) if blocks > 1 else few).orderBy(label).collect()
+        shared = spark.sparkContext.broadcast(([r[0] for r in few], np.array([r[1] for r in few], np.float64)))
+        kind = to_arrow_type(centers.schema[label].dataType)
+
+        def search(batches):
+            names, c = shared.value
+            for b in batches:
+                for lo in range(0, b.num_rows if names else 0, 2048):
+                    part = b.slice(lo, 2048)
+                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, -1)
+                    dots = x @ c.T
+                    at = np.argmax(dots, axis=1)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([names[j] for j in at], kind), pa.array(dots[np.arange(len(at)), at])], ["vec_id", "nearest", "cosine"])
+
+        given = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>")).where("vec_id is not null and embedding is not null")
+        return given.mapInArrow(search, schema)
+
+    if blocks == 1:
+        return best_of(0)
+    path = new_path(spark, "nearest")
+    for i in range(blocks):
+        best_of(i).write.mode("append").parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    # the greatest product, then the least label
+    first = F.min(F.struct((-F.col("cosine")).alias("far"), "nearest"))
+    return found.groupBy("vec_id").agg(first.alias("b")).select("vec_id", F.col("b.nearest").alias("nearest"), (-F.col("b.far")).alias("cosine"))
 
 
 def nearest_centroid(vectors: DataFrame, centers: DataFrame, label: str = "label") -> DataFrame:
-    """The centroid of largest cosine for each vector.  centers must be few: they are joined by broadcast, checked first."""
-    count = centers.count()
-    if count > 10_000:
-        raise ValueError("too many centroids to broadcast")
-    c = centers.select(F.col(label).alias("nearest"), unit("centroid").alias("c"))
-    j = vectors.crossJoin(F.broadcast(c)).withColumn("cosine", dot("embedding", "c"))
-    return j.groupBy("vec_id").agg(F.max_by("nearest", F.struct("cosine", -F.col("nearest"))).alias("nearest"), F.round(F.max("cosine"), 5).alias("cosine"))
+    """The centroid of largest cosine for each vector, for any number of centroids."""
+    found = nearest_of(vectors, centers.select(label, unit("centroid").alias("c")), label)
+    return found.withColumn("cosine", F.round("cosine", 5))
 
 
 def representatives(vectors: DataFrame, label: str = "label") -> DataFrame:
@@ -134,36 +174,6 @@ def reduced(vectors: DataFrame, dims: int) -> DataFrame:
     return PCA(k=dims, inputCol="_v", outputCol="_p").fit(v).transform(v).withColumn("embedding", vector_to_array("_p", "float32")).drop("_v", "_p")
 
 
-def density_clusters(vectors: DataFrame, distance: float = 0.35, min_size: int = 15, bits: int = 6, tables: int = 10, seed: int = 42) -> DataFrame:
-    """(vec_id, cluster): connected groups of vectors within a cosine distance; small groups are noise (-1).
-
-    Stands in for hierarchical density clustering, which has no distributed counterpart.  Candidate pairs share a bucket
-    of sign bits of random directions (an approximation, checked exactly afterwards); labels spread along links, and
-    each label takes on the label of the vector it names, until they stay the same.
-    """
-    import numpy as np
-
-    width = len(vectors.select("embedding").first()[0])
-    planes = np.random.default_rng(seed).normal(size=(tables * bits, width)).tolist()
-    v = vectors.select("vec_id", unit("embedding").alias("e"))
-    bit = lambda p: F.when(F.aggregate(F.zip_with("e", F.array(*map(F.lit, p)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) >= 0, F.lit("1")).otherwise("0")
-    keys = F.array(*[F.concat(F.lit(f"{t}:"), *[bit(planes[t * bits + b]) for b in range(bits)]) for t in range(tables)])
-    b = v.select("vec_id", "e", F.explode(keys).alias("key"))
-    pairs = b.alias("a").join(b.alias("b"), "key").where("a.vec_id < b.vec_id").select(F.col("a.vec_id").alias("a"), F.col("b.vec_id").alias("b"), (1 - dot("a.e", "b.e")).alias("far")).where(F.col("far") <= distance).select("a", "b").distinct()
-    links = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).persist()
-    label = v.select("vec_id", F.col("vec_id").alias("cluster"))
-    while True:
-        spread = links.join(label.withColumnRenamed("vec_id", "b"), "b").groupBy("a").agg(F.min("cluster").alias("least"))
-        after = label.join(spread, label.vec_id == spread.a, "left").select("vec_id", F.least("cluster", F.coalesce("least", "cluster")).alias("cluster")).checkpoint()
-        named = after.select(F.col("vec_id").alias("cluster"), F.col("cluster").alias("further"))
-        after = after.join(named, "cluster").select("vec_id", F.col("further").alias("cluster")).checkpoint()
-        if after.join(label.withColumnRenamed("cluster", "old"), "vec_id").where("cluster <> old").isEmpty():
-            break
-        label = after
-    size = label.groupBy("cluster").agg(F.count("*").alias("size"))
-    return label.join(size, "cluster").select("vec_id", F.when(F.col("size") >= min_size, F.col("cluster")).otherwise(-1).alias("cluster"))
-
-
 def cluster_table(events: DataFrame) -> DataFrame:
     """Size, span and type of each cluster of a run."""
     total = Window.partitionBy("run_id")

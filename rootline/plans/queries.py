@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import bundles, causal, clusters, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -353,6 +353,11 @@ def representatives(spark, d):
     return vectors.representatives(table(spark, d, "embeddings"))
 
 
+@query
+def density_clusters(spark, d):
+    return density.density_clusters(table(spark, d, "embeddings"))
+
+
 @query
 def kmeans(spark, d):
     return vectors.kmeans(table(spark, d, "embeddings"))

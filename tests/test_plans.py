@@ -90,13 +90,3 @@ def test_nearest_vectors_of_many_queries(spark):
     score = np.round(many.astype(float) @ few.astype(float).T, 5)
     want = {(q, v, n + 1) for q in range(10_001) for n, v in enumerate(sorted((i for i in range(6) if i != q), key=lambda i: (-score[q, i], i))[:2])}
     assert {(x.query_id, x.vec_id, x["rank"]) for x in got} == want and len(got) == 20_002
-
-
-def test_density_clusters_of_a_long_chain(spark, tmp_path):
-    import math
-
-    spark.sparkContext.setCheckpointDir(str(tmp_path))
-    ring = [(i, [math.cos(i * math.pi / 40), math.sin(i * math.pi / 40)]) for i in range(61)]
-    v = spark.createDataFrame(ring, "vec_id long, embedding array<float>")
-    got = vectors.density_clusters(v, distance=0.004, min_size=15, bits=1, tables=3).collect()
-    assert sorted(r.vec_id for r in got) == list(range(61)) and {r.cluster for r in got} == {0}
