@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, reports, temporal, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, reports, temporal, textvec, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -353,6 +353,13 @@ def representatives(spark, d):
     return vectors.representatives(table(spark, d, "embeddings"))
 
 
+@query
+def text_vectors(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = textvec.text_vectors(docs, "text", 32, rounds=2).select(F.sha2("text", 256).alias("_key"), "embedding")
+    return docs.select("doc_id", F.sha2("text", 256).alias("_key")).join(found, "_key").drop("_key")
+
+
 @query
 def density_clusters(spark, d):
     return density.density_clusters(table(spark, d, "embeddings"))

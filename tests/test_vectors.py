@@ -126,3 +126,53 @@ def test_places_in_a_group(spark):
     for g in ("a", None, "b"):
         assert [got[g, i] for _, i in sorted((i % 50, i) for i in range(200))] == [(k, 200) for k in range(200)]
     assert got["one", 0] == (0, 1)
+
+
+def said(seed, n):
+    r = np.random.default_rng(seed)
+    topics = [["disk", "full", "write"], ["login", "denied", "user"], ["node", "down", "restart"], ["größe", "日本", "x_1"]]
+    return [" ".join(r.choice(topics[i % 4], 4)) + f" id{r.integers(30)} the" for i in range(n)]
+
+
+def test_text_vectors_keep_the_cosines_of_their_rank(spark):
+    import zlib
+
+    from rootline.operators import textvec
+
+    texts = said(1, 120) + ["", "the", None, "The  THE", said(1, 1)[0]]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "embedding_text string, at int").repartition(4)
+    got = {r.embedding_text: np.array(r.embedding) for r in textvec.text_vectors(df, dims=6, features=512).collect()}
+    assert set(got) == {t or "" for t in texts}
+    again = {r.embedding_text: np.array(r.embedding) for r in textvec.text_vectors(df.repartition(2), dims=6, features=512).collect()}
+    assert all(np.allclose(got[t], again[t], atol=1e-5) for t in got)
+    import re
+
+    names = sorted(got)
+    x = np.zeros((len(names), 512))
+    for i, t in enumerate(names):
+        for w in re.findall(r"\w+", t.lower()):
+            x[i, zlib.crc32(w.encode()) % 512] += 1
+    x *= np.log((len(names) + 1) / ((x > 0).sum(axis=0) + 1))
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    best = x @ vt[:6].T
+    best /= np.linalg.norm(best, axis=1, keepdims=True) + 1e-12
+    have = np.array([got[t] for t in names])
+    assert np.abs(have @ have.T - best @ best.T).max() < 0.02
+    assert np.abs(got[""]).max() == 0 and np.allclose(np.linalg.norm(got[texts[0]]), 1, atol=1e-4)
+    # neighbours by all words and by main directions mostly agree in topic
+    near = np.argmax(have @ have.T - 2 * np.eye(len(have)), axis=1)
+    topic = [{"disk": 0, "full": 0, "write": 0, "login": 1, "denied": 1, "user": 1, "node": 2, "down": 2, "restart": 2}.get(t.split(" ")[0], 3) for t in names]
+    spoken = [i for i, t in enumerate(names) if len(t) > 8]
+    assert sum(topic[i] == topic[near[i]] for i in spoken) >= 0.9 * len(spoken)
+
+
+def test_text_vectors_of_no_rows_and_of_a_model(spark):
+    from rootline.operators import textvec
+
+    df = spark.createDataFrame([("ab",), (None,), ("ab",), ("c",)], "embedding_text string")
+    assert textvec.text_vectors(df.limit(0)).isEmpty()
+
+    def make():
+        return lambda texts: [[len(t), 1.0] for t in texts]
+
+    assert sorted((r.embedding_text, r.embedding) for r in textvec.modelled_vectors(df, make).collect()) == [("", [0.0, 1.0]), ("ab", [2.0, 1.0]), ("c", [1.0, 1.0])]
