@@ -17,18 +17,23 @@ def symptoms(roots: DataFrame, k: int = 3) -> DataFrame:
     return top_values(counts, k, RUN).select("run_id", "kind", "value", "n", "rank")
 
 
-def provenance(roots: DataFrame) -> DataFrame:
-    """One row a run: grounding events, and how many of them each kind of signal speaks for."""
-    return roots.groupBy("run_id").agg(
-        F.count("*").alias("events"),
-        count_if(P.http_failure()).alias("by_code"),
-        count_if(P.family_failure()).alias("by_family"),
-        count_if(P.hinted()).alias("by_hint"),
-        count_if(P.mode_failure()).alias("by_mode"),
-        count_if(P.severe()).alias("by_severity"),
-        count_if(~present("actor")).alias("without_actor"),
-        F.count_distinct("cluster_id").alias("clusters"),
+def provenance(roots: DataFrame, claims: DataFrame) -> DataFrame:
+    """One row a run of ``claims`` or with grounding events: where its root cause comes from, and how many of those events
+    speak for it by code, by family or hint, and by naming a component or service.
+
+    claims: run_id and evidence (whether the candidates of the run have any); a run without events is inferred.
+    """
+    named = present("component") | present("service") if "component" in roots.columns else present("service")
+    g = roots.groupBy("run_id").agg(
+        F.count("*").alias("observed_events"),
+        count_if(P.http_failure()).alias("http_events"),
+        count_if(P.family_failure() | P.hinted()).alias("multisignal_events"),
+        count_if(named).alias("component_events"),
     )
+    j = claims.groupBy("run_id").agg(F.bool_or("evidence").alias("evidence")).join(g, RUN, "full_outer")
+    j = j.na.fill(0, ["observed_events", "http_events", "multisignal_events", "component_events"])
+    source = F.when(F.col("observed_events") > 0, "logs_only").when(F.col("evidence"), "inferred_from_candidates").otherwise("inferred_only")
+    return j.withColumn("root_cause_source", source).withColumn("external_context_used", F.lit(False)).drop("evidence")
 
 
 def overall_lift(events: DataFrame, onset: DataFrame, minutes: int = 5) -> DataFrame:

@@ -24,19 +24,21 @@ def cluster_features(events: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(edges: DataFrame, k: int = 5) -> DataFrame:
-    """Per cluster of a graph: summed weight out and in, its k strongest targets, and a bonus for leading early targets.
+def neighbours(edges: DataFrame, firsts: DataFrame, starts: DataFrame, k: int = 5) -> DataFrame:
+    """Per cluster of a graph: summed weight out and in, its k strongest targets, and the bonus for beginning early.
 
-    The bonus is 6, 4, 2 or 0 as the cluster leads 5, 3, 1 or no target within a minute.
+    firsts: first_us of each cluster; starts: start_us of each run's incident.  The bonus is 6, 4, 2 or 0 by the delay from
+    that start (ranker.early_bonus), 0 in a run without incident.
     """
+    from .ranker import early_bonus
+
     order = Window.partitionBy("run_id", "source").orderBy(F.desc("score"), "target")
     ranked = edges.withColumn("k", F.row_number().over(order))
-    out = ranked.groupBy("run_id", F.col("source").alias("cluster_id")).agg(
-        F.round(F.sum("score"), 6).alias("out_weight"), F.expr(f"array_join(transform(array_sort(collect_list(if(k <= {k}, struct(k, target), null))), x -> x.target), ',')").alias("targets"), count_if(F.col("lag_seconds") <= 60).alias("soon")
-    )
+    out = ranked.groupBy("run_id", F.col("source").alias("cluster_id")).agg(F.round(F.sum("score"), 6).alias("out_weight"), F.expr(f"array_join(transform(array_sort(collect_list(if(k <= {k}, struct(k, target), null))), x -> x.target), ',')").alias("targets"))
     into = edges.groupBy("run_id", F.col("target").alias("cluster_id")).agg(F.round(F.sum("score"), 6).alias("in_weight"))
-    both = out.join(into, KEYS, "full_outer").na.fill(0, ["out_weight", "in_weight", "soon"]).na.fill("", ["targets"])
-    return both.withColumn("bonus", F.expr("case when soon >= 5 then 6 when soon >= 3 then 4 when soon >= 1 then 2 else 0 end")).drop("soon")
+    both = out.join(into, KEYS, "full_outer").na.fill(0, ["out_weight", "in_weight"]).na.fill("", ["targets"])
+    timed = both.join(firsts.select(*KEYS, "first_us"), KEYS, "left").join(starts.select("run_id", "start_us"), "run_id", "left")
+    return timed.withColumn("bonus", early_bonus("first_us", "start_us")).drop("first_us", "start_us")
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

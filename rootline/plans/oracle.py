@@ -130,6 +130,27 @@ _REDACT, _REDACT_RAW = "text", "raw"
 for _key, _pattern in (("uuid", r"\b[0-9a-fA-F]{8}-[0-9a-fA-F\-]{27}\b"), ("ip", r"\b(\d{1,3}\.){3}\d{1,3}\b"), ("hex", r"\b0x[0-9a-fA-F]+\b"), ("num", r"\b\d{6,}\b"), ("path", _PATH)):
     _REDACT, _REDACT_RAW = (f"regexp_replace({_x}, '{_pattern}', '<{_key}>', 'g')" for _x in (_REDACT, _REDACT_RAW))
 
+INCIDENT = """,
+inc AS (SELECT run_id, min(first_us) AS start_us, max(least(last_us, first_us + 900000000)) AS end_us FROM st WHERE is_candidate GROUP BY run_id)"""
+
+RANKED = """,
+pa AS (SELECT run_id, source, target, 1 AS d FROM cs UNION SELECT pa.run_id, pa.source, cs.target, d + 1 FROM pa JOIN cs ON cs.run_id = pa.run_id AND cs.source = pa.target WHERE d < 4),
+dn AS (SELECT run_id, source AS cluster_id, count(DISTINCT target) AS downstream, count(DISTINCT target) FILTER (d = 1) AS direct FROM pa GROUP BY ALL),
+me AS (SELECT ev.*, start_us, end_us FROM ev JOIN st USING (run_id, cluster_id) JOIN inc USING (run_id) WHERE is_candidate),
+md AS (SELECT run_id, quantile_cont(us, 0.5) AS split, min(us) FILTER (us BETWEEN start_us AND end_us AND CASE WHEN response_code IS NULL THEN coalesce(severity, '') IN ('ERROR', 'WARN') ELSE response_code >= 400 END) AS ab FROM me GROUP BY run_id),
+mf AS (SELECT run_id, cluster_id, start_us, end_us, coalesce(any_value(ab), start_us) AS onset_us, min(us) AS first_us, count(*) AS size, count(*) FILTER (severity = 'ERROR') AS ne, count(*) FILTER (severity = 'WARN') AS nw, count(*) FILTER (severity = 'INFO') AS ni,
+  greatest(200, coalesce(max(response_code), 200)) // 100 AS worst, coalesce(bool_and(response_code BETWEEN 200 AND 299), false) AS good, count(*) FILTER (us < split) AS pre FROM me JOIN md USING (run_id) GROUP BY run_id, cluster_id, start_us, end_us),
+ow AS (SELECT cs.run_id, source AS cluster_id, sum(cs.score) AS w FROM cs JOIN st ON st.run_id = cs.run_id AND st.cluster_id = source WHERE is_candidate GROUP BY ALL),
+iw AS (SELECT cs.run_id, target AS cluster_id, sum(cs.score) AS w FROM cs JOIN st ON st.run_id = cs.run_id AND st.cluster_id = source WHERE is_candidate GROUP BY ALL),
+al AS (SELECT mf.*, coalesce(ow.w, 0) AS wo, coalesce(iw.w, 0) AS wi, trigger_score, error_count, coalesce(direct, 0) AS direct, coalesce(downstream, 0) AS downstream, mf.size / sum(mf.size) OVER (PARTITION BY mf.run_id) AS sh, st.event_count / run_events AS part,
+  count(*) FILTER (trigger_score > 0.5 OR error_count > 5) OVER (PARTITION BY mf.run_id) AS strong FROM mf JOIN st USING (run_id, cluster_id) LEFT JOIN dn USING (run_id, cluster_id) LEFT JOIN ow USING (run_id, cluster_id) LEFT JOIN iw USING (run_id, cluster_id)),
+sp AS (SELECT *, (size - 2 * pre) / size AS ch, greatest(0.0, least(5.0, wo - 0.5 * wi + 0.1 * ln(1 + size) + CASE WHEN part >= 0.20 THEN -2.0 ELSE -1.5 END)) AS sr, 1 - least(1.0, greatest(0.0, (first_us - onset_us) / 1e6) / greatest(60.0, (end_us - start_us) / 1e6)) AS px,
+  least(4.0, 0.4 * direct) + ln(1 + downstream) AS rc_, CASE worst WHEN 5 THEN 3.0 WHEN 4 THEN 2.4 WHEN 3 THEN 1.0 ELSE 0.6 END * CASE WHEN good AND wo <= 0 THEN 0.2 ELSE 1 END * CASE WHEN sh > 0.15 AND wo <= 0 THEN 0.3 ELSE 1 END * CASE WHEN first_us < start_us THEN 0.4 ELSE 1 END AS fc,
+  CASE WHEN first_us <= start_us THEN 6 WHEN first_us < start_us + 30000000 THEN 4 WHEN first_us < start_us + 120000000 THEN 2 ELSE 0 END AS bn FROM al WHERE strong < 3 OR trigger_score > 0.5 OR error_count > 5),
+sk AS (SELECT *, round((sr * greatest(0.25, least(2.0, 1 + ch)) * greatest(0.5, least(2.0, 1 + 0.25 * (2.0 * ne + nw - 0.7 * ni) / size)) + 3 * px + 2 * trigger_score + 0.4 * sqrt(error_count) + rc_) * fc + bn, 6) AS score FROM sp),
+rk AS (SELECT run_id, 'I1' AS incident_id, cluster_id, start_us, onset_us, first_us, size, round(ch, 6) AS change, round(px, 6) AS proximity, round(rc_, 6) AS reach, round(fc, 6)::DOUBLE AS factor, round(wo, 6) AS out_weight, round(wi, 6) AS in_weight, round(sh, 6) AS share, bn AS bonus, score,
+  CAST(row_number() OVER (PARTITION BY run_id ORDER BY score DESC, cluster_id) AS INTEGER) AS rank FROM sk)"""
+
 ORACLE = {
     "canonical_events": EV + " SELECT event_id, us, run_id, service, actor, verb, resource, response_code, failure_hint, target, cluster_id, severity, status_family, status_class, failure_mode FROM ev",
     "status_classes": EV + " SELECT run_id, cluster_id, count(*) FILTER (rc BETWEEN 200 AND 399) AS n_2xx, count(*) FILTER (rc BETWEEN 400 AND 499) AS n_4xx, count(*) FILTER (rc >= 500) AS n_5xx, count(*) FILTER (rc < 200) AS n_unknown FROM ev GROUP BY run_id, cluster_id",
@@ -245,16 +266,18 @@ ORACLE = {
     "document_events": logtable.document_events_sql(_REDACT_RAW),
     "symptoms": EV + ROOTS + ", v AS (SELECT run_id, us, 'response_code' AS kind, CAST(response_code AS VARCHAR) AS value FROM ro UNION ALL SELECT run_id, us, 'actor', actor FROM ro UNION ALL SELECT run_id, us, 'resource', resource FROM ro),"
     " r AS (SELECT run_id, kind, value, count(*) AS n, row_number() OVER (PARTITION BY run_id, kind ORDER BY count(*) DESC, min(us), value) AS k FROM v WHERE value <> '' GROUP BY run_id, kind, value) SELECT run_id, kind, value, n, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 3",
-    "provenance": EV + ROOTS + " SELECT run_id, count(*) AS events, count(*) FILTER (response_code >= 400) AS by_code, count(*) FILTER (status_family = 'failure') AS by_family, count(*) FILTER (failure_hint <> '') AS by_hint, count(*) FILTER (failure_mode NOT IN ('normal', 'unknown')) AS by_mode,"
-    " count(*) FILTER (severity IN ('ERROR', 'FATAL')) AS by_severity, count(*) FILTER (coalesce(actor, '') = '') AS without_actor, count(DISTINCT cluster_id) AS clusters FROM ro GROUP BY run_id",
+    "provenance": EV + ROOTS + STATS + ", g AS (SELECT run_id, count(*) AS o, count(*) FILTER (response_code >= 400) AS h, count(*) FILTER (status_family = 'failure' OR failure_hint <> '') AS m, count(*) FILTER (service <> '') AS c FROM ro GROUP BY run_id),"
+    " k AS (SELECT run_id, bool_or(is_candidate) AS e FROM st GROUP BY run_id) SELECT run_id, coalesce(o, 0) AS observed_events, coalesce(h, 0) AS http_events, coalesce(m, 0) AS multisignal_events, coalesce(c, 0) AS component_events, CASE WHEN o > 0 THEN 'logs_only' WHEN e THEN 'inferred_from_candidates' ELSE 'inferred_only' END AS root_cause_source, false AS external_context_used FROM k LEFT JOIN g USING (run_id)",
     "overall_lift": EV + ROOTS + NOON + ", x AS (SELECT run_id, count(*) FILTER (us < onset_us) AS pre_events, count(*) FILTER (us >= onset_us) AS post_events, count(*) FILTER (evil AND us < onset_us) AS pre_failures, count(*) FILTER (evil AND us >= onset_us) AS post_failures"
     " FROM evb JOIN noon USING (run_id) WHERE us BETWEEN onset_us - 3600000000 AND onset_us + 3600000000 GROUP BY run_id) SELECT *, round(pre_failures / 3600, 6) AS pre_rate, round(post_failures / 3600, 6) AS post_rate, CASE WHEN pre_failures > 0 THEN round(post_failures / pre_failures, 6) END AS lift FROM x",
     "window_lift": EV + ROOTS + NOON + ", x AS (SELECT run_id, failure_mode, count(*) FILTER (us < onset_us) AS pre_count, count(*) FILTER (us >= onset_us) AS in_count FROM evb JOIN noon USING (run_id) WHERE evil AND us BETWEEN onset_us - 10800000000 AND onset_us + 10800000000 GROUP BY ALL)"
     " SELECT run_id, 'I1' AS incident_id, failure_mode, pre_count, in_count, CASE WHEN pre_count > 0 THEN round(in_count / pre_count, 6) END AS lift FROM x",
     "cluster_features": EV + " SELECT run_id, cluster_id, max(status_class) FILTER (status_class <> 'unknown') AS worst_class, bool_and(coalesce(response_code BETWEEN 200 AND 399, false)) AS all_success, min(us) AS first_us, max(us) AS last_us,"
     " count(*) FILTER (severity = 'ERROR') AS n_error, count(*) FILTER (severity = 'WARN') AS n_warn, count(*) FILTER (severity = 'INFO') AS n_info, arg_min(event_id, (us, event_id)) AS representative FROM ev GROUP BY run_id, cluster_id",
-    "neighbours": DAILY + NODES + ", k AS (SELECT *, row_number() OVER (PARTITION BY run_id, source ORDER BY score DESC, target) AS k FROM cs), o AS (SELECT run_id, source AS cluster_id, round(sum(score), 6) AS out_weight, string_agg(target, ',' ORDER BY k) FILTER (k <= 5) AS targets, count(*) FILTER (lag_seconds <= 60) AS soon FROM k GROUP BY ALL),"
-    " i AS (SELECT run_id, target AS cluster_id, round(sum(score), 6) AS in_weight FROM cs GROUP BY ALL) SELECT run_id, cluster_id, coalesce(out_weight, 0) AS out_weight, coalesce(targets, '') AS targets, coalesce(in_weight, 0) AS in_weight, CAST(CASE WHEN soon >= 5 THEN 6 WHEN soon >= 3 THEN 4 WHEN soon >= 1 THEN 2 ELSE 0 END AS INTEGER) AS bonus FROM o FULL JOIN i USING (run_id, cluster_id)",
+    "neighbours": DAILY + NODES + INCIDENT + ", k AS (SELECT *, row_number() OVER (PARTITION BY run_id, source ORDER BY score DESC, target) AS k FROM cs), o AS (SELECT run_id, source AS cluster_id, round(sum(score), 6) AS out_weight, string_agg(target, ',' ORDER BY k) FILTER (k <= 5) AS targets FROM k GROUP BY ALL),"
+    " i AS (SELECT run_id, target AS cluster_id, round(sum(score), 6) AS in_weight FROM cs GROUP BY ALL), b AS (SELECT run_id, cluster_id, coalesce(out_weight, 0) AS out_weight, coalesce(targets, '') AS targets, coalesce(in_weight, 0) AS in_weight FROM o FULL JOIN i USING (run_id, cluster_id))"
+    " SELECT b.*, CAST(CASE WHEN first_us <= start_us THEN 6 WHEN first_us < start_us + 30000000 THEN 4 WHEN first_us < start_us + 120000000 THEN 2 ELSE 0 END AS INTEGER) AS bonus FROM b LEFT JOIN st USING (run_id, cluster_id) LEFT JOIN inc USING (run_id)",
+    "ranked_causes": DAILY.replace("WITH ", "WITH RECURSIVE ", 1) + NODES + INCIDENT + RANKED + " SELECT * FROM rk WHERE rank <= 5",
     "even_samples": EV + ", r AS (SELECT run_id, event_id, us, row_number() OVER (PARTITION BY run_id ORDER BY us, event_id) - 1 AS r, count(*) OVER (PARTITION BY run_id) AS n FROM ev), p AS (SELECT DISTINCT run_id, CASE WHEN n <= 100 THEN i ELSE i * (n - 1) // 99 END AS r FROM (SELECT DISTINCT run_id, n FROM r), generate_series(0, 99) AS g(i))"
     " SELECT run_id, event_id, us FROM r JOIN p USING (run_id, r)",
     "explaining_edges": EV + STATS + " SELECT run_id, cluster_id AS source, CAST(event_id AS VARCHAR) AS target, 'contains' AS kind FROM ev WHERE (run_id, cluster_id) IN (SELECT (run_id, cluster_id) FROM st WHERE is_candidate)",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, reports, temporal, textvec, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, ranker, reports, temporal, textvec, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -481,7 +481,10 @@ def symptoms(spark, d):
 
 @query
 def provenance(spark, d):
-    return bundles.provenance(_roots(spark, d))
+    e = stream_events(spark, d)
+    # a run's candidates are evidence if a cluster of it makes trouble at all
+    claims = trigger.trigger_stats(e).groupBy("run_id").agg(F.bool_or("is_candidate").alias("evidence"))
+    return bundles.provenance(_roots(spark, d), claims)
 
 
 @query
@@ -502,7 +505,22 @@ def cluster_features(spark, d):
 
 @query
 def neighbours(spark, d):
-    return clusters.neighbours(causal.causal_edges(_nodes(spark, d), EDGE_GAP))
+    nodes, stats = _nodes(spark, d), trigger.trigger_stats(daily_type_clusters(spark, d))
+    return clusters.neighbours(causal.causal_edges(nodes, EDGE_GAP), stats, _run_incidents(stats))
+
+
+def _run_incidents(stats):
+    """One incident a run: all windows of its candidate clusters."""
+    return incidents.cluster_windows(stats).groupBy("run_id").agg(F.lit("I1").alias("incident_id"), F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"))
+
+
+@query
+def ranked_causes(spark, d):
+    e = daily_type_clusters(spark, d)
+    stats = store(trigger.trigger_stats(e), "stats")
+    members = stats.where("is_candidate").select("run_id", F.lit("I1").alias("incident_id"), "cluster_id")
+    edges = store(causal.causal_edges(_nodes(spark, d), EDGE_GAP), "edges")
+    return ranker.ranked_causes(_run_incidents(stats), members, e, edges, stats, vectors.cluster_table(e))
 
 
 @query
