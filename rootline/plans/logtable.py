@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import registry
 from ..sources import logs
 from ..sources.events import micros, table
 from ..storage import new_path
@@ -202,3 +203,30 @@ SELECT sha256(doc_id || '|' || record_no) AS event_id, timestamp, severity, acto
   concat_ws(':', component, verb, resource, failure_mode) AS signature, raw AS raw_text, lower(trim(regexp_replace({redacted}, '\s+', ' ', 'g'))) AS normalized_text,
   concat_ws(' | ', 'service: ' || actor, 'severity: ' || lower(severity), 'verb: ' || verb, 'resource: ' || resource, 'http_class: ' || http_class) AS embedding_text FROM em"""
     )
+
+
+# Pods of the event table: names by turns from every rule of the registry, from components and from neither.
+_PODS = registry.bundled()
+_NAMES = [f"{n}7f9c-x" for k, n, *_ in _PODS if k == "pod"] + ["KAFKA-Controller-0", "milvus-Etcd-1", "web-1", "", None]
+_SPACES = [n for k, n, *_ in _PODS if k in ("namespace", "domain")] + [" Vault ", "other", None]
+_BOXES = [*WORDS[::7], "sidecar", None, ""]
+POD_COLUMNS = {"namespace": pick(_SPACES), "pod": pick(_NAMES), "container": pick(_BOXES)}
+
+
+def spark_pods(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").where("event_id is not null").select("event_id", F.col("event_id").alias("j"))
+    return e.select("event_id", *[F.expr(x).alias(c) for c, x in POD_COLUMNS.items()])
+
+
+def _values(kind: str) -> str:
+    return "(VALUES " + ", ".join(f"('{n}', '{v}', '{o}')" for k, n, v, o in _PODS if k == kind) + ") AS"
+
+
+_POD_SQL = "WITH p AS (SELECT event_id, " + ", ".join(f"{x} AS {c}" for c, x in POD_COLUMNS.items()) + " FROM (SELECT event_id, event_id AS j FROM events WHERE event_id IS NOT NULL))"
+_ACTOR = "coalesce(nullif(trim(container), ''), nullif(trim(pod), ''), '')"
+PODS_SQL = f"""{_POD_SQL}, r AS (SELECT * FROM {_values('pod')} t(a, b, c)), n AS (SELECT * FROM {_values('namespace')} t(a, b, c)), h AS (SELECT * FROM {_values('domain')} t(a, b, c)),
+q AS (SELECT DISTINCT pod, arg_max(b, len(a)) OVER (PARTITION BY pod) AS by_pod FROM (SELECT DISTINCT pod FROM p) JOIN r ON starts_with(lower(pod), a)),
+x AS (SELECT p.*, coalesce(by_pod, n.b, 'unknown_asup_subsystem') AS pod_subsystem, {component_sql(_ACTOR, "concat_ws(' ', nullif(trim(pod), ''), nullif(trim(container), ''))")} AS component FROM p LEFT JOIN q USING (pod) LEFT JOIN n ON n.a = lower(trim(namespace)))
+SELECT event_id, pod_subsystem, component, {DOMAIN_SQL} AS domain, coalesce({DOMAIN_SQL}, h.b, 'unknown_subsystem') AS subsystem FROM x LEFT JOIN h ON h.a = trim(namespace)"""
+OWNERS_SQL = f"""{_POD_SQL}, s AS (SELECT * FROM {_values('system')} t(a, b, c)), x AS (SELECT container AS service, count(*) AS n, {component_sql("coalesce(container, '')", "''")} AS component FROM p GROUP BY container),
+y AS (SELECT *, {DOMAIN_SQL} AS domain FROM x) SELECT service, n, component, coalesce(domain, 'unknown_domain') AS domain, coalesce(b, 'unknown_system') AS system, coalesce(c, 'unknown_owner') AS owner_hint FROM y LEFT JOIN s ON s.a = y.domain"""

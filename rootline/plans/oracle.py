@@ -262,6 +262,8 @@ ORACLE = {
     " SELECT e.*, coalesce(modes, '') AS modes, coalesce(targets, '') AS targets FROM e LEFT JOIN ms USING (run_id, episode) LEFT JOIN ts USING (run_id, episode)",
     "record_assembly": logtable.RECORDS_SQL,
     "log_events": logtable.EVENTS_SQL,
+    "pod_registry": logtable.PODS_SQL,
+    "service_owners": logtable.OWNERS_SQL,
     "document_records": logtable.DOCUMENT_RECORDS_SQL,
     "document_events": logtable.document_events_sql(_REDACT_RAW),
     "symptoms": EV + ROOTS + ", v AS (SELECT run_id, us, 'response_code' AS kind, CAST(response_code AS VARCHAR) AS value FROM ro UNION ALL SELECT run_id, us, 'actor', actor FROM ro UNION ALL SELECT run_id, us, 'resource', resource FROM ro),"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, ranker, reports, temporal, textvec, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, ranker, registry, reports, temporal, textvec, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -578,6 +578,19 @@ def subsystems(spark, d):
     return e.groupBy("service", "verb", X.subsystem("verb", pod, prefixes, spaces).alias("subsystem")).agg(F.count("*").alias("n"))
 
 
+@query
+def pod_registry(spark, d):
+    known = registry.read(spark)
+    found = registry.component_subsystems(registry.pod_subsystems(logtable.spark_pods(spark, d), known), known)
+    return found.select("event_id", "pod_subsystem", "component", "domain", "subsystem")
+
+
+@query
+def service_owners(spark, d):
+    services = logtable.spark_pods(spark, d).groupBy(F.col("container").alias("service")).agg(F.count("*").alias("n"))
+    return registry.owners(services, registry.read(spark))
+
+
 @query
 def root_confidence(spark, d):
     f = trigger.trigger_stats(stream_events(spark, d))

@@ -29,8 +29,10 @@ ROW_END = "\x01"
 
 
 def is_file(spark: SparkSession, path: str) -> bool:
+    if any(c in path for c in "*?[{"):
+        return False
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isFile()
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
 def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
