@@ -24,8 +24,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--clean", action="store_true", help="replace tables that lie there")
     p.add_argument("--logfile", nargs="*", default=[])
     p.add_argument("--logfile-list", help="a text file that names one log file a line")
+    p.add_argument("--triage", action="store_true", help="ingest only the files that the triage selects")
+    p.add_argument("--triage-input-dir", help="what the triage searches (default: the log files)")
+    p.add_argument("--triage-output-dir", help="where slices, selected and manifest go (default: below the output root)")
     p.add_argument("--triage-top-n", type=int, default=40)
     p.add_argument("--triage-min-weighted-score", type=int, default=10)
+    p.add_argument("--triage-max-lines-per-file", type=int, default=0, help="0: whole files")
     p.add_argument("--min-cluster-size", type=int, default=15)
     p.add_argument("--causal-gap-seconds", type=int, default=30)
     p.add_argument("--incident-gap-seconds", type=int, default=30)
@@ -46,6 +50,19 @@ def analysed(events: DataFrame, members: DataFrame) -> DataFrame:
     return e.withColumn("status_class", F.coalesce("http_class", F.lit("unknown"))).withColumn("failure_mode", F.get_json_object("semantic", "$.failure_mode")).withColumn("target", F.element_at(F.split(X.dependency_host("raw_text"), r"\."), 1))
 
 
+def triage_input(spark: SparkSession, args) -> list[str]:
+    return [args.triage_input_dir] if args.triage_input_dir else log_paths(spark, args)
+
+
+def triaged(spark: SparkSession, args) -> list[str]:
+    """The files that the triage selects; its slices and manifest are written."""
+    out = args.triage_output_dir or f"{args.outputs_root.rstrip('/')}/log_triage"
+    chosen = triage.write_triage(spark, triage_input(spark, args), out, args.triage_top_n, args.triage_min_weighted_score, args.triage_max_lines_per_file)
+    if not chosen:
+        raise ValueError("the triage selects no file")
+    return chosen
+
+
 def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables that a step makes of those that are there."""
     t = have
@@ -53,10 +70,12 @@ def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]
     if step == "ingest":
         from .sources.events import canonical
 
-        return {"events": canonical(logs.ingest(spark, log_paths(spark, args)))}
+        paths = triaged(spark, args) if args.triage else log_paths(spark, args)
+        return {"events": canonical(logs.ingest(spark, paths))}
     if step == "triage":
-        found = triage.score_lines(logs.file_lines(spark, log_paths(spark, args)), "source_file")
-        return {"triage": triage.ranked(found, "source_file", args.triage_top_n, args.triage_min_weighted_score)}
+        triaged(spark, args)
+        picked = triage.triage_files(spark, triage_input(spark, args), args.triage_top_n, args.triage_min_weighted_score, args.triage_max_lines_per_file)[1]
+        return {"triage": picked}
     if step == "embed":
         index = clusters.event_index(t["events"])
         by_text = vectors.hashed_vectors(index)

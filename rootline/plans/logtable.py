@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import registry
+from ..operators import registry, triage
 from ..sources import logs
 from ..sources.events import micros, table
 from ..storage import new_path
@@ -230,3 +230,10 @@ x AS (SELECT p.*, coalesce(by_pod, n.b, 'unknown_asup_subsystem') AS pod_subsyst
 SELECT event_id, pod_subsystem, component, {DOMAIN_SQL} AS domain, coalesce({DOMAIN_SQL}, h.b, 'unknown_subsystem') AS subsystem FROM x LEFT JOIN h ON h.a = trim(namespace)"""
 OWNERS_SQL = f"""{_POD_SQL}, s AS (SELECT * FROM {_values('system')} t(a, b, c)), x AS (SELECT container AS service, count(*) AS n, {component_sql("coalesce(container, '')", "''")} AS component FROM p GROUP BY container),
 y AS (SELECT *, {DOMAIN_SQL} AS domain FROM x) SELECT service, n, component, coalesce(domain, 'unknown_domain') AS domain, coalesce(b, 'unknown_system') AS system, coalesce(c, 'unknown_owner') AS owner_hint FROM y LEFT JOIN s ON s.a = y.domain"""
+
+
+# Lines with signals in the log files, and two lines before and after each.
+_SIGNAL = " OR ".join("regexp_matches(line, '" + p.replace("'", "''") + "')" for p, _, _ in triage.SIGNALS)
+SLICES_SQL = _RECORDS.split("lk AS")[0].rstrip().rstrip(",") + f""",
+nu AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY event_id, i) AS line_no, line, {_SIGNAL} AS matched FROM ln)
+SELECT * FROM nu AS a WHERE EXISTS (SELECT 1 FROM nu AS b WHERE b.matched AND b.file = a.file AND b.line_no BETWEEN a.line_no - 2 AND a.line_no + 2)"""

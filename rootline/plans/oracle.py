@@ -211,7 +211,7 @@ ORACLE = {
     " round(avg((response_code IS NOT NULL)::INT), 6) AS cov_response_code, round(avg((failure_hint IS NOT NULL)::INT), 6) AS cov_failure_hint FROM ev GROUP BY run_id",
     "embedding_texts": EV + ", t AS (SELECT concat_ws(' | ', 'service: ' || service, 'severity: ' || lower(severity), 'verb: ' || verb, 'resource: ' || resource, 'http_class: ' || status_class) AS embedding_text FROM ev) SELECT embedding_text, count(*) AS n, (count(*) < 5)::INT AS noise FROM t GROUP BY embedding_text",
     "document_triage": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), h AS (SELECT doc_id, regexp_matches(line, 'license') AS a, regexp_matches(line, 'the') AS b, regexp_matches(line, '[0-9]{6}') AS c FROM l)"
-    " SELECT doc_id, count(*) AS lines, count(*) FILTER (a OR b OR c) AS matched_lines, CAST(sum(6 * a::INT + b::INT + 4 * c::INT) AS BIGINT) AS weighted_score, round(sum(6 * a::INT + b::INT + 4 * c::INT) / count(*), 6) AS density FROM h GROUP BY doc_id",
+    " SELECT doc_id, count(*) AS lines, count(*) FILTER (a OR b OR c) AS matched_lines, CAST(sum(6 * a::INT + b::INT + 4 * c::INT) AS BIGINT) AS weighted_score, round(count(*) FILTER (a OR b OR c) / count(*), 6) AS density FROM h GROUP BY doc_id",
     "knn_topk": "WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), p AS (SELECT q.vec_id AS query_id, n.vec_id, round(list_sum(list_transform(list_zip(q.e, n.e), lambda z: z[1] * z[2])), 5) AS score FROM n AS q, n WHERE q.vec_id % 100 = 0 AND q.vec_id <> n.vec_id),"
     " r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p) SELECT * FROM r WHERE rank <= 5",
     "nearest_centroid": VEC + " SELECT vec_id, arg_max(label, s) AS nearest, round(max(s), 5) AS cosine FROM dt GROUP BY vec_id",
@@ -248,7 +248,7 @@ ORACLE = {
     " SELECT run_id, cluster_id, start_us, end_us, chain, part FROM f",
     "graph_checks": "SELECT * FROM (VALUES ('graph', true, 0::BIGINT), ('candidates', true, 0), ('roots', true, 0)) AS t(\"check\", passed, violations)",
     "triage_ranking": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), h AS (SELECT doc_id, regexp_matches(line, 'license') AS a, regexp_matches(line, 'the') AS b, regexp_matches(line, '[0-9]{6}') AS c FROM l),"
-    " g AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (a OR b OR c) AS matched_lines, CAST(sum(6 * a::INT + b::INT + 4 * c::INT) AS BIGINT) AS weighted_score, round(sum(6 * a::INT + b::INT + 4 * c::INT) / count(*), 6) AS density FROM h GROUP BY doc_id)"
+    " g AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (a OR b OR c) AS matched_lines, CAST(sum(6 * a::INT + b::INT + 4 * c::INT) AS BIGINT) AS weighted_score, round(count(*) FILTER (a OR b OR c) / count(*), 6) AS density FROM h GROUP BY doc_id)"
     " SELECT * FROM g WHERE weighted_score >= 10 ORDER BY weighted_score DESC, matched_lines DESC, density DESC, doc_id LIMIT 40",
     "assertions": DAILY + CANDS + CONF + ", q AS (SELECT cg.run_id, round(out_strength - in_strength, 9) AS net, round(candidate_score - coalesce(second, 0), 6) AS gap, (SELECT count(*) FROM ro WHERE ro.run_id = cg.run_id) AS seen, (SELECT avg((status_family = 'failure' OR failure_hint IS NOT NULL)::INT) FROM ro WHERE ro.run_id = cg.run_id) AS fr FROM cg)"
     " SELECT run_id, 'A0_declaration_allowed' AS assertion, 'inconclusive' AS status FROM q UNION ALL SELECT run_id, 'A1_net_influence_positive', CASE WHEN net > 0 THEN 'pass' ELSE 'fail' END FROM q UNION ALL SELECT run_id, 'A2_score_gap_significant', CASE WHEN gap >= 0.10 THEN 'pass' ELSE 'fail' END FROM q"
@@ -262,6 +262,7 @@ ORACLE = {
     " SELECT e.*, coalesce(modes, '') AS modes, coalesce(targets, '') AS targets FROM e LEFT JOIN ms USING (run_id, episode) LEFT JOIN ts USING (run_id, episode)",
     "record_assembly": logtable.RECORDS_SQL,
     "log_events": logtable.EVENTS_SQL,
+    "log_slices": logtable.SLICES_SQL,
     "pod_registry": logtable.PODS_SQL,
     "service_owners": logtable.OWNERS_SQL,
     "document_records": logtable.DOCUMENT_RECORDS_SQL,

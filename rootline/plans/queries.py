@@ -319,6 +319,12 @@ def log_events(spark, d):
     return e.select(logtable.file_number().alias("file"), F.col("raw_text").alias("raw"), *told, *named)
 
 
+@query
+def log_slices(spark, d):
+    lines = logs.numbered_lines(logs.file_lines(spark, logtable.written(spark, d), empty=True))
+    return triage.slices(lines).select(logtable.file_number().alias("file"), "line_no", "line", "matched")
+
+
 def _document_records(spark, d):
     texts = table(spark, d, "documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("source_file"), "text")
     return logs.records(texts)

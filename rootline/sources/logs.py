@@ -17,8 +17,9 @@ from ..functions import predicates as P
 from ..functions import text as X
 from ..storage import store
 
-# File endings that hold logs.
-LOG_FILES = r"\.(log|txt|json|jsonl|out|gz)$"
+# File endings that are ingested, and those that are searched for signals.
+LOG_FILES = r"\.(log|txt|json|out|gz)$"
+TRIAGE_FILES = r"(?i)\.(log|txt|json|jsonl|out|gz)$"
 # The starts of a record, anywhere in a line: ISO times, and two compact log formats.
 RECORD_START = r"(?U)\d{4}-\d{2}-\d{2}[\sT]\d{2}:\d{2}:\d{2}|\d{6}\s+\d{6}|-\s+\d+\s+\d{4}\.\d{2}\.\d{2}"
 # What ends a line of a text.
@@ -35,9 +36,9 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile()
 
 
-def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def file_lines(spark: SparkSession, path: str | list[str], endings: str = LOG_FILES, empty: bool = False) -> DataFrame:
     """(source_file, range_start, line) of every log file below a folder, and of files named one by one; gzip is read as its
-    text; hidden files are not.  Lines of a range follow each other in order."""
+    text; hidden files are not.  Lines of a range follow each other in order; empty ones only if asked for."""
     paths = [path] if isinstance(path, str) else list(path)
     if not paths:
         raise ValueError("no log files named")
@@ -50,11 +51,11 @@ def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     parts = []
     if folders := [p for p, f in zip(paths, named) if not f]:
         hidden = F.element_at(F.split("source_file", "/"), -1).startswith(".")
-        parts.append(read(folders).where(F.lower("source_file").rlike(LOG_FILES) & ~hidden))
+        parts.append(read(folders).where(F.col("source_file").rlike(endings) & ~hidden))
     if files := [p for p, f in zip(paths, named) if f]:
         parts.append(read(files))
     lines_ = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return lines_.where("line <> ''")
+    return lines_ if empty else lines_.where("line <> ''")
 
 
 def lines(texts: DataFrame) -> DataFrame:
@@ -136,6 +137,33 @@ def records(texts: DataFrame) -> DataFrame:
     return found.withColumn("json", lenient_json(F.col("raw")))
 
 
+def sent(ranges: DataFrame) -> DataFrame:
+    """Ranges to be joined: sent to all tasks up to a number that, at 128 MB a range, 100 TB have; beyond it dealt by range."""
+    return F.broadcast(ranges) if ranges.count() <= SMALL_RANGES else ranges
+
+
+def numbered_lines(lines_: DataFrame) -> DataFrame:
+    """(source_file, line_no, line) of files read in ranges, all lines from 1."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        key, at = None, 0
+        for b in batches:
+            places = []
+            for k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                at = at + 1 if k == key else 1
+                key = k
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(places, pa.int64()), b.column(2)], ["source_file", "range_start", "at", "line"])
+
+    found = store(lines_.select("source_file", "range_start", "line").mapInArrow(count, "source_file string, range_start long, at long, line string"), "lines")
+    ranges = found.groupBy("source_file", "range_start").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source_file").orderBy("range_start")) - F.col("n")
+    ranges = sent(store(ranges.select("source_file", "range_start", before.alias("before")), "ranges"))
+    return found.join(ranges, ["source_file", "range_start"]).select("source_file", (F.col("before") + F.col("at")).alias("line_no"), "line")
+
+
 def file_records(lines_: DataFrame) -> DataFrame:
     """(source_file, record_no, raw, json) of files read in ranges; the same however they are cut."""
     found = store(fragments(lines_), "fragments")
@@ -144,9 +172,7 @@ def file_records(lines_: DataFrame) -> DataFrame:
     joins = F.col("has_head") & F.coalesce(F.lag("ends_open").over(order), F.lit(False))
     ranges = ranges.withColumn("joins", joins.cast("long"))
     opened = F.col("n") - F.col("joins")
-    ranges = store(ranges.select("source_file", "range_start", "joins", (F.sum(opened).over(order) - opened).alias("before")), "ranges")
-    if ranges.count() <= SMALL_RANGES:  # at 128 MB a range, all of 100 TB; beyond it the join deals by range
-        ranges = F.broadcast(ranges)
+    ranges = sent(store(ranges.select("source_file", "range_start", "joins", (F.sum(opened).over(order) - opened).alias("before")), "ranges"))
     numbered = found.join(ranges, ["source_file", "range_start"]).withColumn("record_no", F.col("before") + F.col("at") + 1 - F.col("joins"))
     border = F.col("open") | (F.col("head") & (F.col("joins") == 1))
     pieces = F.array_sort(F.collect_list(F.when(border, F.struct("range_start", "raw"))))

@@ -51,6 +51,10 @@ def test_steps_again(spark, root):
     assert main(["timeline", "--clean", "--timeline-minutes", "30", *out], spark) == 0
     assert main(["triage", "--logfile", f"{root}/logs", "--triage-min-weighted-score", "1", *out], spark) == 0
     assert layout.read_tables(spark, f"{root}/out", names=("triage",))["triage"].count() == 2
+    other = ["--outputs-root", f"{root}/picked", "--triage", "--triage-input-dir", f"{root}/logs", "--triage-output-dir", f"{root}/found", "--triage-top-n", "1", "--triage-min-weighted-score", "1", "--triage-max-lines-per-file", "100"]
+    assert main(["ingest", *other], spark) == 0
+    picked = [r.value for r in spark.read.text(f"{root}/found/selected").collect()]
+    assert len(picked) == 1 and 0 < layout.read_tables(spark, f"{root}/picked", names=("events",))["events"].count() < 240
 
 
 def test_validator_finds_faults(spark, root):

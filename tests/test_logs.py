@@ -124,3 +124,37 @@ def test_automaton_gives_the_labels_of_the_ordered_rules(spark):
         shared = "milvus-etcd" in blob and any(re.search(rf"\b{re.escape(p)}\b", blob) for p in X.COMPONENTS["data_platform"]["milvus-core"])
         assert found[i] == (hint, "milvus-core" if shared else named(actor) or named(t) or "unknown_component"), (i, message, actor, t[:200])
     assert len({h for h, _ in found.values()}) == len({h for _, h in X.HINTS}) + 1 and len({c for _, c in found.values()}) > 30
+
+
+def test_triage_writes_slices_and_a_manifest(spark, tmp_path):
+    from rootline.operators import triage
+
+    logs_, out = tmp_path / "logs", str(tmp_path / "out")
+    logs_.mkdir()
+    bad, ok = ["x"] * 10, ["fine"] * 30
+    for i in (3, 4, 8):
+        bad[i] = f"error {i} forbidden"
+    (logs_ / "bad one.log").write_text("\n".join(bad) + "\n")
+    (logs_ / "ok.txt").write_text("\n".join(ok))
+    (logs_ / "some.JSONL").write_text('{"code": 503}\n\n{"code": 200}\n' + "timeout\n" * 3)
+    chosen = triage.write_triage(spark, str(logs_), out, 40, 10)
+    assert [c.rsplit("/", 1)[1].replace("%20", " ") for c in chosen] == ["bad one.log", "some.JSONL"]
+    got = {}
+    for r in spark.read.parquet(f"{out}/slices").orderBy("line_no").collect():
+        got.setdefault(r.source_file.rsplit("/", 1)[1].replace("%20", " "), []).append((r.line_no, r.line, r.matched))
+    assert got["bad one.log"] == [(i + 1, bad[i], i in (3, 4, 8)) for i in range(1, 10)]
+    assert got["some.JSONL"] == [(1, '{"code": 503}', True), (2, "", False), (3, '{"code": 200}', False), (4, "timeout", True), (5, "timeout", True), (6, "timeout", True)]
+    manifest = json.loads(spark.read.text(f"{out}/manifest").first().value)
+    assert (manifest["files_scanned"], manifest["files_meeting_threshold"], manifest["files_selected"]) == (3, 2, 2)
+    first = manifest["selected_files"][0]
+    assert (first["lines"], first["matched_lines"], first["weighted_score"], first["density"]) == (10, 3, 30, 0.3) and first["top_signals"][0]["count"] == 3
+    before = {p.name for p in (tmp_path / "out" / "slices").glob("file=*")}
+    # a later run over other files leaves the slices that are there
+    more = tmp_path / "more"
+    more.mkdir()
+    (more / "new.log").write_text("panic\npanic\npanic\n")
+    triage.write_triage(spark, str(more), out, 40, 10, max_lines=2)
+    after = {p.name for p in (tmp_path / "out" / "slices").glob("file=*")}
+    assert before < after and len(after) == 3
+    manifest = json.loads(spark.read.text(f"{out}/manifest").first().value)
+    assert [(f["lines"], f["matched_lines"], f["weighted_score"]) for f in manifest["selected_files"]] == [(3, 2, 10)]
