@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .operators import bundles, causal, clusters, evidence, incidents, quality, reports, triage, trigger, validate, vectors
 from .plans import layout
-from .sources import logs
+from .sources import artifacts, logs
 from .sources.events import micros
 from .storage import store
 
@@ -34,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--causal-gap-seconds", type=int, default=30)
     p.add_argument("--incident-gap-seconds", type=int, default=30)
     p.add_argument("--max-seeds", type=int, default=3)
+    p.add_argument("--raw-log", nargs="*", default=[], help="validate: log files or folders that the events must hold exactly")
+    p.add_argument("--compat-v142", action="store_true", help="validate: status and timeline may be missing")
     p.add_argument("--timeline-minutes", type=int, default=60)
     return p
 
@@ -110,7 +112,9 @@ def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]
         return {"diagnostics": quality.diagnostics(e())}
     if step == "timeline":
         return {"timeline": evidence.timeline(e(), args.timeline_minutes)}
-    return {"checks": validate.validate(spark, t)}
+    if args.raw_log:
+        t = t | {"raw_records": store(logs.file_records(logs.file_lines(spark, args.raw_log)), "raw-records")}
+    return {"checks": validate.validate(spark, t, optional=("status", "timeline", "diagnostics") if args.compat_v142 else ())}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -123,7 +127,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         layout.write_tables(step_tables(spark, step, args, have), args.outputs_root, args.pipeline_profile, args.clean)
     if args.step not in ("validate", "all"):
         return 0
-    failed = layout.read_tables(spark, args.outputs_root, args.pipeline_profile, ("checks",))["checks"].where("not passed").orderBy("step", "name").collect()
+    checks = layout.read_tables(spark, args.outputs_root, args.pipeline_profile, ("checks",))["checks"]
+    artifacts.write(checks.orderBy("step", "name").coalesce(1), f"{layout.path_of(args.outputs_root, 'checks', args.pipeline_profile).removesuffix('.parquet')}.json", "overwrite")
+    failed = checks.where("not passed").orderBy("step", "name").collect()
     for r in failed:
         print(f"step {r['step']}: {r['name']}: {r['details']}", file=sys.stderr)
     return 1 if failed else 0

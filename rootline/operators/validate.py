@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import causal
+from . import causal, reconcile
 
 # The steps in order and the tables that each must leave.
 STEPS = {
@@ -38,8 +38,9 @@ def _content(t: dict[str, DataFrame]) -> dict[str, list]:
     out: dict[str, list] = {s: [] for s in STEPS}
     if has("events"):
         out["ingest"] += [_counted(t["events"], "n > 0", "events"), _none_of(t["events"], F.col("event_id").isNull(), "events without id"), _counted(t["events"].groupBy("event_id").count().where("count > 1"), "n = 0", "repeated event ids")]
-    if has("raw_lines", "events"):
-        out["ingest"].append(_counted(t["raw_lines"], "n > 0", "raw lines"))
+    if has("raw_records", "events"):
+        told = t["events"].select(F.get_json_object("structured_fields", "$.source_file").alias("source_file"), F.col("raw_text").alias("raw"))
+        out["ingest"] += [_counted(t["raw_records"], "n > 0", "raw records"), _none_of(reconcile.compared(t["raw_records"], told), ~F.col("same"), "files whose events are not their records")]
     if has("events", "index"):
         out["embed"] += [_absent(t["events"], t["index"], "event_id", "events without index row"), _absent(t["index"], t["events"], "event_id", "index rows without event")]
         both = [c for c in COMPARED if c in t["events"].columns and c in t["index"].columns]
@@ -79,8 +80,11 @@ def _content(t: dict[str, DataFrame]) -> dict[str, list]:
     return out
 
 
-def validate(spark: SparkSession, tables: dict[str, DataFrame], steps: tuple[str, ...] = tuple(STEPS)) -> DataFrame:
-    """(step, name, passed, details) for each check of the steps, in their order."""
+def validate(spark: SparkSession, tables: dict[str, DataFrame], steps: tuple[str, ...] = tuple(STEPS), optional: tuple[str, ...] = ()) -> DataFrame:
+    """(step, name, passed, details) for each check of the steps, in their order.
+
+    optional: tables that may be missing.  With a table raw_records (logs.file_records), events are held against it.
+    """
     content, rows = _content(tables), []
     last = {"timeline_or_diagnostics": any}  # one of the two tables is enough there
     for number, step in enumerate(STEPS, 1):
@@ -88,7 +92,7 @@ def validate(spark: SparkSession, tables: dict[str, DataFrame], steps: tuple[str
             continue
         there = [name in tables for name in STEPS[step]]
         for name, found in zip(STEPS[step], there):
-            passed = found or (step in last and last[step](there))
+            passed = found or name in optional or (step in last and last[step](there))
             rows.append(spark.range(1).select(F.lit(number).alias("step"), F.lit(f"{name} exists").alias("name"), F.lit(passed).alias("passed"), F.lit("present" if found else "missing").alias("details")))
         rows += [df.select(F.lit(number).alias("step"), F.lit(what).alias("name"), "passed", "details") for df, what in content[step]]
     return reduce(DataFrame.unionByName, rows)

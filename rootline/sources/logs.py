@@ -265,6 +265,8 @@ def events(recs: DataFrame) -> DataFrame:
     e = e.withColumn("status_family", F.when(wrapped, own).otherwise(P.family_of(F.col("response_code"), F.col("severity"))))
     where = F.when(F.col("target").isNotNull(), "dependency_target").when(F.col("status_family") == "failure", "source_service")
     e = e.withColumn("failure_location", F.when(wrapped, where)).withColumn("causal_confidence_tier", F.when(F.col("failure_location") == "dependency_target", "observed").when(F.col("failure_location").isNotNull(), "likely"))
+    told = ("source_file", "record_no", "source_subtype", "inner_type", "collector_ts", "target_fqdn", "failure_location", "causal_confidence_tier")
+    e = e.withColumn("structured_fields", F.struct(*told, F.col("told").alias("severity_hint"), F.col("target").alias("target_dependency_service")))
     e = e.withColumn("normalized_text", X.normalized("raw_text")).withColumn("redactions", X.redactions("raw_text"))
     e = e.withColumn("embedding_text", X.embedding_text("service", "severity", "verb", "resource", "http_class"))
     return enrich(e.drop("told"))

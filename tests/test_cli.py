@@ -57,6 +57,19 @@ def test_steps_again(spark, root):
     assert len(picked) == 1 and 0 < layout.read_tables(spark, f"{root}/picked", names=("events",))["events"].count() < 240
 
 
+def test_validator_holds_events_against_the_raw_log(spark, root):
+    out = ["--outputs-root", f"{root}/out", "--clean"]
+    assert main(["validate", *out, "--raw-log", f"{root}/logs"], spark) == 0
+    (root / "logs" / "more.log").write_text("2024-01-01 00:00:00 not ingested\n")
+    try:
+        assert main(["validate", *out, "--raw-log", f"{root}/logs"], spark) == 1
+    finally:
+        (root / "logs" / "more.log").unlink()
+    report = [json.loads(r.value) for r in spark.read.text(layout.path_of(f"{root}/out", "checks").replace(".parquet", ".json")).collect()]
+    assert [r["name"] for r in report if not r["passed"]] == ["files whose events are not their records"]
+    assert main(["validate", *out, "--compat-v142"], spark) == 0
+
+
 def test_validator_finds_faults(spark, root):
     t = layout.read_tables(spark, f"{root}/out")
     broken = dict(t)
