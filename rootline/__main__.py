@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import bundles, causal, clusters, evidence, incidents, quality, reports, triage, trigger, validate, vectors
+from .operators import bundles, causal, clusters, density, evidence, incidents, quality, reports, textvec, triage, trigger, validate, vectors
 from .plans import layout
 from .sources import artifacts, logs
 from .sources.events import micros
@@ -30,10 +30,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--triage-top-n", type=int, default=40)
     p.add_argument("--triage-min-weighted-score", type=int, default=10)
     p.add_argument("--triage-max-lines-per-file", type=int, default=0, help="0: whole files")
+    p.add_argument("--embed-method", choices=("hashed", "words"), default="hashed", help="hashed words, or words weighed and reduced")
     p.add_argument("--min-cluster-size", type=int, default=15)
+    p.add_argument("--cluster-mode", choices=("signature", "standard", "fast", "auto"), default="signature", help="equal texts, density of vectors, k-means, or density up to a size")
+    p.add_argument("--pca-dims", type=int, default=0, help="principal components to cluster by (0: vectors as they are)")
+    p.add_argument("--max-cluster-events", type=int, default=density.MOST)
+    p.add_argument("--cluster-overflow-mode", choices=("fail", "downsample"), default="downsample")
     p.add_argument("--causal-gap-seconds", type=int, default=30)
     p.add_argument("--incident-gap-seconds", type=int, default=30)
     p.add_argument("--max-seeds", type=int, default=3)
+    p.add_argument("--semantic-jaccard-threshold", type=float, default=0.3)
+    p.add_argument("--cluster-window-cap-seconds", type=int, default=900)
+    p.add_argument("--episode-gap-seconds", type=int, default=120)
+    p.add_argument("--max-episode-duration-seconds", type=int, default=1200)
+    p.add_argument("--max-incident-duration-seconds", type=int, default=14_400)
     p.add_argument("--raw-log", nargs="*", default=[], help="validate: log files or folders that the events must hold exactly")
     p.add_argument("--compat-v142", action="store_true", help="validate: status and timeline may be missing")
     p.add_argument("--timeline-minutes", type=int, default=60)
@@ -65,6 +75,15 @@ def triaged(spark: SparkSession, args) -> list[str]:
     return chosen
 
 
+def by_vectors(found: DataFrame, args) -> DataFrame:
+    """(event_id, cluster_id) by the density of vectors or k-means; -1 is noise."""
+    v = clusters.numbered(found.select("event_id", "embedding", F.lit(0).alias("_g")), ["_g"], ["event_id"]).select("event_id", F.col("_r").alias("vec_id"), "embedding")
+    v = store(vectors.reduced(v, args.pca_dims) if args.pca_dims else v, "clustered")
+    number = density.density_clusters(v.select("vec_id", "embedding"), args.min_cluster_size, args.max_cluster_events, args.cluster_overflow_mode, args.cluster_mode)
+    name = F.when(F.col("cluster") >= 0, F.concat(F.lit("C"), F.col("cluster").cast("string"))).otherwise("-1")
+    return v.join(number, "vec_id").select("event_id", name.alias("cluster_id"))
+
+
 def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables that a step makes of those that are there."""
     t = have
@@ -80,17 +99,18 @@ def step_tables(spark: SparkSession, step: str, args, have: dict[str, DataFrame]
         return {"triage": picked}
     if step == "embed":
         index = clusters.event_index(t["events"])
-        by_text = vectors.hashed_vectors(index)
+        by_text = textvec.text_vectors(index) if args.embed_method == "words" else vectors.hashed_vectors(index)
         return {"index": index, "vectors": index.select("event_id", "embedding_text").join(by_text, "embedding_text").select("event_id", "embedding")}
     if step == "cluster":
-        members = vectors.signature_clusters(t["events"], min_size=args.min_cluster_size).select("event_id", "cluster_id")
+        members = by_vectors(t["vectors"], args) if args.cluster_mode != "signature" else vectors.signature_clusters(t["events"], min_size=args.min_cluster_size).select("event_id", "cluster_id")
         members = store(members, "members")
         return {"members": members, "clusters": members.groupBy("cluster_id").agg(F.count("*").alias("size"))}
     if step == "trigger_analysis":
         return {"trigger_stats": trigger.trigger_stats(e())}
     if step == "incident_detection":
-        found = store(incidents.incidents(e(), args.incident_gap_seconds, args.max_seeds), "incidents")
-        return {"incidents": found, "status": incidents.detection_status(found, incidents.cluster_windows(t["trigger_stats"]))}
+        cap, episode = args.cluster_window_cap_seconds, (args.episode_gap_seconds, args.max_episode_duration_seconds)
+        found = store(incidents.incidents(e(), args.incident_gap_seconds, args.max_seeds, cap, *episode, args.max_incident_duration_seconds, args.semantic_jaccard_threshold), "incidents")
+        return {"incidents": found, "status": incidents.detection_status(found, incidents.cluster_windows(t["trigger_stats"], cap))}
     if step == "causal_analysis":
         nodes = store(causal.profiles(e()), "nodes")
         edges = store(causal.causal_graph(nodes, args.causal_gap_seconds), "edges")

@@ -108,3 +108,15 @@ def test_small_text_columns(spark):
     df = spark.createDataFrame([("1.5", "2024-01-01T00:00:05Z", None), ("x", None, "1704067205"), (None, "bad", "bad")], "a string, b string, c string")
     got = df.select(X.float_or("a", -1.0).alias("a"), X.time_of("b", "c").cast("long").alias("t"), *X.normalized_fields(["b"])).collect()
     assert [(r.a, r.t) for r in got] == [(1.5, 1704067205), (-1.0, 1704067205), (-1.0, None)] and got[2].b == "bad"
+
+
+def test_clusters_of_vectors(spark, root):
+    out = ["--outputs-root", f"{root}/dense"]
+    assert main(["ingest", *out, "--logfile", f"{root}/logs"], spark) == 0
+    assert main(["embed", *out, "--embed-method", "words"], spark) == 0
+    assert main(["cluster", *out, "--cluster-mode", "auto", "--pca-dims", "8", "--min-cluster-size", "5", "--max-cluster-events", "100"], spark) == 0
+    t = layout.read_tables(spark, f"{root}/dense")
+    assert t["members"].count() == 240 and t["members"].select("event_id").distinct().count() == 240
+    assert t["clusters"].agg(F.sum("size")).first()[0] == 240 and t["clusters"].where("cluster_id like 'C%'").count() >= 2
+    with pytest.raises(ValueError):
+        main(["cluster", *out, "--clean", "--cluster-mode", "standard", "--max-cluster-events", "100", "--cluster-overflow-mode", "fail"], spark)
