@@ -41,7 +41,7 @@ class Reader:
         s = self.spec
         if s.unit == "word":
             starts, ends, self.bounds = units.words(data, offsets, self.mask)
-            self.prefix = self.seq.prefix(self.roll.words(data, starts, ends))
+            self.prefix = self.seq.prefix(self.roll.sound_words(data, starts, ends))
         else:
             self.bounds = offsets
             self.prefix = self.roll.prefix(self.roll.bytes[data])

@@ -40,7 +40,7 @@ MARK_BITS, MARK_ROWS = 512, 512
 def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int, mask: np.ndarray, lower: np.ndarray, roll: units.Rolling, seq: units.Rolling):
     """Row and hash of every word n-gram, repeats included; a text of fewer words than n has one gram of them all."""
     starts, ends, bounds = units.words(data, offsets, mask)
-    prefix = seq.prefix(roll.words(data, starts, ends, lower))
+    prefix = seq.prefix(roll.sound_words(data, starts, ends, lower))
     number = np.diff(bounds)
     grams = seq.grams(prefix, n)
     whole = np.flatnonzero((units.ends_of(bounds) - np.arange(len(starts)) >= n)[: len(grams)])

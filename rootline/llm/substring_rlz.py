@@ -60,7 +60,7 @@ def boundary_windows(docs: DataFrame, seeds: DataFrame, spec: Spec) -> DataFrame
                 if not len(s):
                     continue
                 starts, ends, _ = units.words(data, offsets, reader.mask)
-                other = reader.seq.prefix(second.words(data, starts, ends))
+                other = reader.seq.prefix(second.sound_words(data, starts, ends))
                 k1, k2 = reader.hash.span(reader.prefix, s, s + spec.window), reader.seq.span(other, s, s + spec.window)
                 new = np.concatenate([[True], (np.diff(s) > 1) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
                 last = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])]

@@ -4,6 +4,8 @@ A batch's texts lie one after the other in one byte array; every function here w
 unit, gram or window ever spans two texts.
 """
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +14,7 @@ ODD = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 SALT = np.uint64(0xD6E8FEB86659FD93)
 PIECE = 1 << 18
+LONG_WORD = 1 << 12
 
 # The separators of the two word rules, as byte values.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -89,6 +92,7 @@ class Rolling:
     def __init__(self, base: int = BASE, seed: int = 7):
         self.base, self.inverse = base | 1, pow(base | 1, -1, 1 << 64)
         self.bytes = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.key = (self.base ^ seed).to_bytes(8, "little")
         self.up = self.down = np.ones(1, np.uint64)
 
     def room(self, n: int) -> None:
@@ -126,6 +130,35 @@ class Rolling:
             out[lo:hi] = self.span(self.prefix(values[data[first : ends[hi - 1]]]), starts[lo:hi] - first, ends[lo:hi] - first)
         return out
 
+    def sound_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+        """One hash a word, for users that compare no bytes behind it: sums modulo 2**64 collide for words that anybody can
+        write.  Words of up to 7 bytes keep bytes and length in their 64 bits, so these never collide among themselves;
+        longer ones take a keyed BLAKE2b hash, computed once for each distinct word of a piece."""
+        out, key = np.empty(len(starts), np.uint64), np.uint64(int.from_bytes(self.key, "little"))
+        for lo, hi in pieces(starts, ends):
+            first = starts[lo]
+            piece = data[first : ends[hi - 1]] if table is None else table[data[first : ends[hi - 1]]]
+            at, size = starts[lo:hi] - first, ends[lo:hi] - starts[lo:hi]
+            lanes = np.ndarray(len(piece), np.dtype("<u8"), buffer=np.concatenate([piece, np.zeros(8, np.uint8)]), strides=(1,))
+            held = np.minimum(size, 7).astype(np.uint64)
+            h = lanes[at] & ((np.uint64(1) << (held * np.uint64(8))) - np.uint64(1))
+            h |= held << np.uint64(56)
+            h ^= key
+            out[lo:hi] = mix(h)
+            for i in np.flatnonzero(size > LONG_WORD):
+                out[lo + i] = self._digest(piece[at[i] : at[i] + size[i]].data)
+            long = np.flatnonzero((size > 7) & (size <= LONG_WORD))
+            if len(long):
+                edge = np.concatenate([[0], np.cumsum(size[long])]).astype(np.int32)
+                held = piece[np.repeat(at[long], size[long]) + ragged(size[long])]
+                coded = pa.Array.from_buffers(pa.binary(), len(long), [None, pa.py_buffer(edge), pa.py_buffer(held)]).dictionary_encode()
+                each = np.array([self._digest(x) for x in coded.dictionary.to_pylist()], np.uint64)
+                out[lo + long] = each[coded.indices.to_numpy()]
+        return out
+
+    def _digest(self, word) -> int:
+        return int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little")
+
 
 def sliding(fn, a: np.ndarray, width: int) -> np.ndarray:
     """fn (minimum or maximum) over every window of ``width`` items, by doubling."""

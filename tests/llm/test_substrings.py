@@ -316,6 +316,49 @@ def test_word_hashes_hold_sums_of_a_piece_only():
     assert len(roll.words(data, starts[:0], ends[:0])) == 0
 
 
+def twins(size):
+    """Two words of ``size`` bytes (a power of two) whose sums modulo 2**64 are equal for every base."""
+    one, two = b"a", b"b"
+    while len(one) < size:
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_word_hashes_tell_all_bytes_apart():
+    r, lower = np.random.default_rng(3), units.lower_table()
+    words = [b"a", b"a\x00", b"aaaaaaa", b"aaaaaaaa", b"AAAAAAAA", b"aaaaaaa\x00", b"\xc3\xa9t\xc3\xa9", b"x" * 300_000, b"x" * 300_001]
+    words += [w for size in (512, 1024, 2048, 4096, 8192) for w in twins(size)]
+    words += [bytes(r.choice(np.frombuffer(b"abAB", np.uint8), int(n))) for n in r.integers(1, 14, 20_000)]
+    words += words[:9]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends, _ = units.words(data, np.array([0, len(data)]), units.word_mask(units.SPACES))
+    assert len(starts) == len(words)
+    for roll in units.Rolling(), units.Rolling(base=0x165667B19E3779F9, seed=11):
+        for table, want in (None, words), (lower, [w.lower() for w in words]):
+            got = roll.sound_words(data, starts, ends, table)
+            pairs = set(zip(want, got.tolist()))
+            assert len(pairs) == len(set(want)) == len(set(got.tolist()))
+    again = units.Rolling().sound_words(data, starts[5:], ends[5:])
+    assert np.array_equal(again, units.Rolling().sound_words(data, starts, ends)[5:])  # pieces cut elsewhere
+    assert len(units.Rolling().sound_words(data, starts[:0], ends[:0])) == 0
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_sums_confuse_are_told_apart(spark, size):
+    one, two = (x.decode() for x in twins(size))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:30] + [one] + words[31:])), (3, " ".join(words[:30] + [two] + words[31:])), (4, " ".join(words[:30] + [two] + words[31:]))]
+    long = [f"v{i}" for i in range(3000)]
+    rows += [(5, " ".join(long + rows[1][1].split() + long[::-1])), (6, " ".join(long[::2] + rows[2][1].split()))]
+    got = by_id(substring_rlz.remove_copied(frame(spark, rows)), "n_words", "n_removed", "kept_sha256")
+    assert got == brute_words(rows, 50)
+    assert got[2][1] == got[3][1] == 0 and got[4][1] == 60 and got[5][1] == got[6][1] == 60
+    short = [f"w{i}" for i in range(11)]
+    rows = [(i, " ".join(short[:6] + [x] + short[6:])) for i, x in enumerate((one, two, "w", one.upper()))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.duplicate_groups(frame(spark, rows)).collect()}
+    assert got == {d: tuple(x) for d, x in brute_components(rows).items()} == {0: (8, 0), 1: (8, 1), 2: (8, 2), 3: (8, 0)}
+
+
 def test_words_removed_with_one_worker_a_task(spark):
     """Two steps with no exchange between them take two workers for each task."""
     docs = spark.createDataFrame([(d, " ".join(f"{d % 7}-{i}" for i in range(60 + d % 3))) for d in range(40)], "doc_id long, text string").repartition(3)
