@@ -58,6 +58,14 @@ def report_confidence(score, gap, rank, out_degree, in_degree, events) -> Column
     return F.round(0.35 * F.least(F.lit(1.0), c(score)) + 0.20 * F.least(F.lit(1.0), c(gap) / 0.25) + 0.20 / (1 + c(rank)) + 0.15 * graph + 0.10 * F.least(F.lit(1.0), c(events) / 5), 6)
 
 
+def packet_confidence(score, trigger, errors, out, into, proximity) -> Column:
+    """How far a ranked cause explains itself, 0 to 1; it does not change the ranking."""
+    capped = lambda x: F.least(F.lit(1.0), x)
+    lead = F.greatest(F.lit(0.0), c(out) - 0.5 * c(into))
+    raw = 0.40 * capped(c(score) / 100) + 0.20 * capped(c(trigger) / 5) + 0.15 * capped(F.log1p(c(errors)) / 5) + 0.15 * capped(lead / 10) + 0.10 * capped(c(proximity))
+    return F.round(clamp(raw), 3)
+
+
 def level(score, high: float, medium: float) -> Column:
     return F.when(c(score) >= high, "high").when(c(score) >= medium, "medium").otherwise("low")
 

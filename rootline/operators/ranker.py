@@ -66,8 +66,8 @@ def member_weights(members: DataFrame, edges: DataFrame) -> DataFrame:
     return own.join(out, key, "left").join(into, key, "left").na.fill(0.0, ["out_weight", "in_weight"])
 
 
-def ranked_causes(incidents: DataFrame, members: DataFrame, events: DataFrame, edges: DataFrame, stats: DataFrame, types: DataFrame, top: int = 5) -> DataFrame:
-    """The ``top`` clusters of each incident with score, its parts and rank.
+def ranked_causes(incidents: DataFrame, members: DataFrame, events: DataFrame, edges: DataFrame, stats: DataFrame, types: DataFrame, top: int | None = 5) -> DataFrame:
+    """The ``top`` clusters (None: all) of each incident with score, its parts and rank.
 
     incidents: run_id, incident_id, start_us, end_us; members: run_id, incident_id, cluster_id; edges: run_id, source,
     target, score; stats: trigger_score and error_count a cluster; types: cluster_type a cluster.
@@ -100,4 +100,5 @@ def ranked_causes(incidents: DataFrame, members: DataFrame, events: DataFrame, e
     f = f.withColumn("score", F.round(score, 6))
     rank = F.row_number().over(whole.orderBy(F.desc("score"), "cluster_id")).alias("rank")
     rounded = [F.round(x, 6).alias(x) for x in ("change", "proximity", "reach", "factor", "out_weight", "in_weight", "share")]
-    return f.select(*key, "start_us", "onset_us", "first_us", "size", *rounded, "bonus", "score", rank).where(F.col("rank") <= top)
+    f = f.select(*key, "start_us", "onset_us", "first_us", "size", *rounded, "bonus", "score", rank)
+    return f if top is None else f.where(F.col("rank") <= top)

@@ -151,7 +151,30 @@ sk AS (SELECT *, round((sr * greatest(0.25, least(2.0, 1 + ch)) * greatest(0.5,
 rk AS (SELECT run_id, 'I1' AS incident_id, cluster_id, start_us, onset_us, first_us, size, round(ch, 6) AS change, round(px, 6) AS proximity, round(rc_, 6) AS reach, round(fc, 6)::DOUBLE AS factor, round(wo, 6) AS out_weight, round(wi, 6) AS in_weight, round(sh, 6) AS share, bn AS bonus, score,
   CAST(row_number() OVER (PARTITION BY run_id ORDER BY score DESC, cluster_id) AS INTEGER) AS rank FROM sk)"""
 
+PACKETS = RANKED + """,
+tx AS (SELECT run_id, cluster_id, event_id, us, service, response_code AS code, concat_ws(' ', verb, resource, failure_hint) AS text, row_number() OVER (PARTITION BY run_id, cluster_id ORDER BY event_id) AS place FROM ev),
+fr AS (SELECT * FROM tx WHERE place <= 100),
+sv AS (SELECT run_id, cluster_id, service, count(*) AS n, min(place) AS at, row_number() OVER (PARTITION BY run_id, cluster_id ORDER BY count(*) DESC, min(place)) AS k FROM fr GROUP BY run_id, cluster_id, service),
+sl AS (SELECT run_id, cluster_id, string_agg(service || ':' || n, ',' ORDER BY k) FILTER (k <= 5) AS services FROM sv GROUP BY ALL),
+xt AS (SELECT run_id, cluster_id, text, row_number() OVER (PARTITION BY run_id, cluster_id ORDER BY min(place)) AS k FROM fr GROUP BY run_id, cluster_id, text),
+xl AS (SELECT run_id, cluster_id, string_agg(text, '|' ORDER BY k) FILTER (k <= 3) AS examples FROM xt GROUP BY ALL),
+hc AS (SELECT run_id, cluster_id, '2xx:' || count(*) FILTER (code // 100 = 2) || ',3xx:' || count(*) FILTER (code // 100 = 3) || ',4xx:' || count(*) FILTER (code // 100 = 4) || ',5xx:' || count(*) FILTER (code // 100 = 5)
+  || ',other:' || count(*) FILTER (code // 100 NOT BETWEEN 2 AND 5) || ',unknown:' || count(*) FILTER (code IS NULL) AS classes FROM fr GROUP BY ALL),
+ea AS (SELECT run_id, cluster_id, arg_min(tx, struct_pack(a := us, b := event_id)) AS e, count(*) AS size, min(us) AS first_us, max(us) AS last_us FROM tx GROUP BY ALL),
+ty AS (SELECT run_id, cluster_id, CASE WHEN size / sum(size) OVER (PARTITION BY run_id) >= 0.20 THEN 'baseline' WHEN size / sum(size) OVER (PARTITION BY run_id) <= 0.05 THEN 'minor_pattern' ELSE 'contextual' END AS cluster_type FROM ea),
+nr AS (SELECT r.run_id, r.cluster_id, way, o.cluster_id AS other, row_number() OVER (PARTITION BY r.run_id, way ORDER BY g.score DESC, o.cluster_id) AS k FROM rk AS r
+  JOIN (SELECT run_id, source AS a, target AS b, score, 'out' AS way FROM cs UNION ALL SELECT run_id, target, source, score, 'in' FROM cs) AS g ON g.run_id = r.run_id AND g.a = r.cluster_id JOIN rk AS o ON o.run_id = r.run_id AND o.cluster_id = g.b WHERE r.rank = 1),
+gc AS (SELECT run_id, cluster_id, count(*) FILTER (way = 'in') AS in_degree, count(*) FILTER (way = 'out') AS out_degree, string_agg(other, ',' ORDER BY k) FILTER (way = 'in' AND k <= 10) AS in_edges, string_agg(other, ',' ORDER BY k) FILTER (way = 'out' AND k <= 10) AS out_edges FROM nr GROUP BY ALL),
+pk AS (SELECT rk.*, round(greatest(0, least(1, 0.40 * least(1, score / 100) + 0.20 * least(1, trigger_score / 5) + 0.15 * least(1, ln(1 + error_count) / 5) + 0.15 * least(1, greatest(0, out_weight - 0.5 * in_weight) / 10) + 0.10 * least(1, proximity))), 3) AS confidence
+  FROM rk JOIN st USING (run_id, cluster_id) WHERE rank <= 6)"""
+
 ORACLE = {
+    "evidence_packets": DAILY.replace("WITH ", "WITH RECURSIVE ", 1) + NODES + INCIDENT + PACKETS + """ SELECT pk.run_id, pk.cluster_id, rank, CASE rank WHEN 1 THEN 'root_cause' ELSE 'candidate' END AS role, score, confidence, CASE WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.55 THEN 'medium' ELSE 'low' END AS label,
+  ea.size, cluster_type, ea.first_us, last_us, services, classes, examples, e.event_id AS first_event, e.event_id AS representative, e.text AS first_text, coalesce(in_edges, '') AS in_edges, coalesce(out_edges, '') AS out_edges, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree
+  FROM pk JOIN ea USING (run_id, cluster_id) JOIN ty USING (run_id, cluster_id) JOIN sl USING (run_id, cluster_id) JOIN xl USING (run_id, cluster_id) JOIN hc USING (run_id, cluster_id) LEFT JOIN gc USING (run_id, cluster_id)""",
+    "packet_timeline": DAILY.replace("WITH ", "WITH RECURSIVE ", 1) + NODES + INCIDENT + PACKETS + """ SELECT pk.run_id, incident_id, CAST(row_number() OVER (PARTITION BY pk.run_id ORDER BY e.us, score DESC, rank) AS INTEGER) AS place, e.us, pk.cluster_id, score, e.event_id, e.service, e.code AS response_code, e.text AS summary
+  FROM pk JOIN ea USING (run_id, cluster_id) WHERE rank <= 5""",
+    "packet_stats": DAILY.replace("WITH ", "WITH RECURSIVE ", 1) + NODES + INCIDENT + PACKETS + " SELECT run_id, 'I1' AS incident_id, inc.start_us, inc.end_us, count(rk.cluster_id) AS candidate_count, coalesce(bool_or(rank = 1), false) AS has_root_cause FROM inc LEFT JOIN rk USING (run_id) GROUP BY ALL",
     "canonical_events": EV + " SELECT event_id, us, run_id, service, actor, verb, resource, response_code, failure_hint, target, cluster_id, severity, status_family, status_class, failure_mode FROM ev",
     "status_classes": EV + " SELECT run_id, cluster_id, count(*) FILTER (rc BETWEEN 200 AND 399) AS n_2xx, count(*) FILTER (rc BETWEEN 400 AND 499) AS n_4xx, count(*) FILTER (rc >= 500) AS n_5xx, count(*) FILTER (rc < 200) AS n_unknown FROM ev GROUP BY run_id, cluster_id",
     "run_windows": EV + " SELECT run_id, count(*) AS n, min(us) AS first_us, max(us) AS last_us, greatest(1.0, (max(us) - min(us)) / 1e6) AS seconds, round(count(*) / greatest(1.0, (max(us) - min(us)) / 1e6), 9) AS rate FROM ev GROUP BY run_id",

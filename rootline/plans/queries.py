@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import text as X
-from ..operators import bundles, causal, clusters, density, evidence, incidents, quality, ranker, registry, reports, temporal, textvec, triage, trigger, vectors
+from ..operators import bundles, causal, clusters, density, evidence, incidents, packets, quality, ranker, registry, reports, temporal, textvec, triage, trigger, vectors
 from ..sources import logs
 from ..sources.events import daily_type_clusters, stream_events, table
 from ..storage import store
@@ -520,13 +520,47 @@ def _run_incidents(stats):
     return incidents.cluster_windows(stats).groupBy("run_id").agg(F.lit("I1").alias("incident_id"), F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"))
 
 
-@query
-def ranked_causes(spark, d):
+def _ranked(spark, d, top):
+    """Ranked causes, and the events, edges, trigger statistics and cluster table that they come from."""
     e = daily_type_clusters(spark, d)
     stats = store(trigger.trigger_stats(e), "stats")
     members = stats.where("is_candidate").select("run_id", F.lit("I1").alias("incident_id"), "cluster_id")
-    edges = store(causal.causal_edges(_nodes(spark, d), EDGE_GAP), "edges")
-    return ranker.ranked_causes(_run_incidents(stats), members, e, edges, stats, vectors.cluster_table(e))
+    edges, types = store(causal.causal_edges(_nodes(spark, d), EDGE_GAP), "edges"), vectors.cluster_table(e)
+    return ranker.ranked_causes(_run_incidents(stats), members, e, edges, stats, types, top), e, edges, stats, types
+
+
+def _packets(spark, d):
+    ranked, *rest = _ranked(spark, d, None)
+    ranked = store(ranked, "ranked")
+    return ranked, store(packets.evidence_packets(ranked, *rest), "packets"), rest[2]
+
+
+@query
+def ranked_causes(spark, d):
+    return _ranked(spark, d, 5)[0]
+
+
+@query
+def evidence_packets(spark, d):
+    """The first cause of each run's incident and five more; lists as text."""
+    p = _packets(spark, d)[1]
+    services = F.expr("array_join(transform(top_services, x -> concat(x.service, ':', x.count)), ',')").alias("services")
+    classes = F.concat_ws(",", *[F.concat(F.lit(f"{x}:"), F.col(f"classes.n_{x}")) for x in packets.CLASSES]).alias("classes")
+    edges = [F.coalesce(F.expr(f"array_join(transform({w}_edges, x -> x.cluster_id), ',')"), F.lit("")).alias(f"{w}_edges") for w in ("in", "out")]
+    degrees = [F.coalesce(f"{w}_degree", F.lit(0)).alias(f"{w}_degree") for w in ("in", "out")]
+    events = [F.col("earliest.event_id").alias("first_event"), F.col("representative_event.event_id").alias("representative"), F.col("earliest.text").alias("first_text")]
+    return p.select("run_id", "cluster_id", "rank", "role", "score", "confidence", "label", "size", "cluster_type", "first_us", "last_us", services, classes, F.array_join("examples", "|").alias("examples"), *events, *edges, *degrees)
+
+
+@query
+def packet_timeline(spark, d):
+    return packets.packet_timeline(_packets(spark, d)[1])
+
+
+@query
+def packet_stats(spark, d):
+    ranked, p, stats = _packets(spark, d)
+    return packets.packet_stats(_run_incidents(stats), ranked, p)
 
 
 @query
