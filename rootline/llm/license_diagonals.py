@@ -3,12 +3,15 @@
 Templates are the base phrases and the opening words of common licenses.  Every rolling 2-gram of a text's words is
 joined, by a 64-bit hash and a second one, to the places of that 2-gram in the templates.  Each match votes for its
 diagonal, the word of the text at which the template would start.  A phrase stands where all its 2-grams vote for one
-diagonal, which verifies the span word by word.  For the longer templates neighbouring diagonals (at most ``slack``
-words apart, for words put in or left out) are merged, and the share of the template's 2-grams that the merged diagonal
-covers is its score; from ``least`` on the template's label is added.
+diagonal, which verifies the span word by word.  For the longer templates all diagonals from one to ``reach`` words after it
+are merged (for words put in or left out), so the shifts of a span add up to ``reach`` at most.  A merged span is verified by
+order: the template's 2-grams that it covers are read in the template's order, each at its first place in the span, and one
+counts if it stands after the 2-gram read before it.  The share of the template's 2-grams that count is the span's score; from
+``least`` on the template's label is added, and spans of which a better one lies within ``reach`` are left out.
 
 The template table has a fixed size and is broadcast.  Each text also sends one row with its word count through the same
-grouping, so no text is read twice.  Defined results: null and blank texts have no words and no labels; a doc_id that
+grouping, so no text is read twice.  Defined results: null and blank texts have no words and no labels, an empty table gives no rows; very long texts are scanned
+whole, all their 2-grams in one array; words are compared by both hashes of a 2-gram; a doc_id that
 repeats counts once (its least text), a row without doc_id is not returned; extra columns are ignored.
 """
 
@@ -36,6 +39,7 @@ NOTICES = (
     ("released under the mit license", "mit-release"),
 )
 TEMPLATES = tuple((text.split(), label, i < len(PHRASES)) for i, (text, label) in enumerate(PHRASES + NOTICES))
+REACH = 8
 SEPARATORS = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -46,7 +50,7 @@ def template_grams(spark: SparkSession) -> DataFrame:
     return grams.unionAll(spark.sql("select -1, 0, 0, false, '', 0L, cast(null as int)"))
 
 
-def scan(docs: DataFrame, least: float = 0.7, slack: int = 3) -> DataFrame:
+def scan(docs: DataFrame, least: float = 0.7, reach: int = REACH) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the spans found."""
     docs = one_per_id(docs)
     words = docs.select("doc_id", F.expr(f"array_remove(split(lower(coalesce(text, '')), '{SEPARATORS}'), '')").alias("w"))  # A-Z apart, lower() maps no letter across the separators
@@ -56,10 +60,14 @@ def scan(docs: DataFrame, least: float = 0.7, slack: int = 3) -> DataFrame:
     diagonals = hits.groupBy("doc_id", "t", "tlen", "base", "label", (F.col("pos") - F.col("tpos")).alias("d")).agg(F.count("*").alias("votes"), F.max("g").alias("g"), F.collect_set("tpos").alias("seen"))
     diagonals = diagonals.where("t = -1 or not base or votes = tlen - 1")
     near = Window.partitionBy("doc_id", "t").orderBy("d")
-    step = F.when(F.col("base") | (F.col("d") - F.lag("d").over(near) > slack) | F.lag("d").over(near).isNull(), 1).otherwise(0)
-    runs = diagonals.withColumn("step", step).withColumn("run", F.sum("step").over(near.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = runs.groupBy("doc_id", "t", "tlen", "base", "label", "run").agg(F.min("d").alias("d"), F.max("d").alias("d_last"), F.max("g").alias("g"), F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("covered"))
-    merged = merged.withColumn("share", F.expr("if(t = -1, 0D, covered / (tlen - 1))")).where(f"t = -1 or base or share >= {least}")
+    part = F.collect_list(F.when((F.col("t") >= 0) & ~F.col("base"), F.struct("d", "seen"))).over(near.rangeBetween(0, reach))
+    spans = diagonals.withColumn("part", part).withColumn("places", F.array_sort(F.array_distinct(F.flatten("part.seen"))))
+    spans = spans.where(f"t = -1 or base or size(places) >= {least} * (tlen - 1)")
+    spans = spans.withColumn("at", F.expr("transform(places, p -> p + array_min(transform(filter(part, x -> array_contains(x.seen, p)), x -> x.d)))"))
+    spans = spans.withColumn("share", F.expr("case when t = -1 then 0D when base then 1D else (1 + size(filter(at, (x, i) -> x > get(at, i - 1)))) / (tlen - 1) end"))
+    spans = spans.withColumn("d_last", F.coalesce(F.array_max("part.d"), "d")).drop("part", "places", "at", "seen").where(f"t = -1 or base or share >= {least}")
+    better = (F.max("share").over(near.rangeBetween(-reach, -1)) >= F.col("share")) | (F.max("share").over(near.rangeBetween(1, reach)) > F.col("share"))
+    merged = spans.withColumn("better", F.coalesce(better, F.lit(False))).where("t = -1 or base or not better")
     found = merged.groupBy("doc_id").agg(
         F.max(F.expr("if(t = -1, g, null)")).cast("long").alias("n_words"),
         F.count(F.expr("if(base, 1, null)")).alias("n_base"),
@@ -83,9 +91,10 @@ WITH k(t, tpos, tlen, base, label, gram) AS (VALUES {_GRAMS}),
 d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM d WHERE len(w) > 1)),
 v AS (SELECT doc_id, t, tlen, base, label, pos - tpos AS d, count(*) AS votes, list(DISTINCT tpos) AS seen FROM g JOIN k USING (gram) GROUP BY ALL HAVING NOT base OR count(*) = tlen - 1),
-s AS (SELECT *, CASE WHEN base OR lag(d) OVER n IS NULL OR d - lag(d) OVER n > 3 THEN 1 ELSE 0 END AS step FROM v WINDOW n AS (PARTITION BY doc_id, t ORDER BY d)),
-r AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, t ORDER BY d ROWS UNBOUNDED PRECEDING) AS run FROM s),
-m AS (SELECT doc_id, t, base, label, run, min(d) AS d, len(list_distinct(flatten(list(seen)))) / (tlen - 1) AS share FROM r GROUP BY doc_id, t, tlen, base, label, run),
+s AS (SELECT *, unnest(seen) AS tpos FROM v),
+a AS (SELECT v.doc_id, v.t, v.tlen, v.base, v.label, v.d, s.tpos, min(s.d) + s.tpos AS pos FROM v JOIN s ON s.doc_id = v.doc_id AND s.t = v.t AND s.d BETWEEN v.d AND v.d + CASE WHEN v.base THEN 0 ELSE {REACH} END GROUP BY v.doc_id, v.t, v.tlen, v.base, v.label, v.d, s.tpos),
+r AS (SELECT *, pos > lag(pos) OVER (PARTITION BY doc_id, t, d ORDER BY tpos) AS later FROM a),
+m AS (SELECT doc_id, t, base, label, d, (1 + count(*) FILTER (later)) / (tlen - 1) AS share FROM r GROUP BY doc_id, t, tlen, base, label, d),
 o AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(d) FILTER (base) AS first_word, max(d) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
       string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m WHERE base OR share >= 0.7 GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,

@@ -266,6 +266,56 @@ def test_licenses(spark):
     assert license_diagonals.scan(df.limit(0)).count() == 0
 
 
+def shares(words, template, reach):
+    """Share of the template's 2-grams that stand in order, for each diagonal that a 2-gram of the text votes for."""
+    grams = list(zip(template, template[1:]))
+    hits = [(i - p, p) for i, g in enumerate(zip(words, words[1:])) for p, h in enumerate(grams) if g == h]
+    out = {}
+    for d in {d for d, _ in hits}:
+        places = {}
+        for e, p in sorted(hits):
+            if d <= e <= d + reach:
+                places.setdefault(p, e + p)
+        at = [places[p] for p in sorted(places)]
+        out[d] = (1 + sum(y > x for x, y in zip(at, at[1:]))) / len(grams)
+    return out
+
+
+def test_licenses_stand_in_order(spark):
+    r, texts, firsts = np.random.default_rng(5), [], []
+    for t, (words, _, base) in enumerate(license_diagonals.TEMPLATES):
+        firsts.append(len(texts))
+        grams = [" ".join(g) for g in zip(words, words[1:])]
+        texts += ["x " * t + " ".join(words), " and ".join(grams[::-1]), " and ".join(r.permutation(grams)), " ".join(words[::-1])]
+        for _ in range(6 * (not base)):
+            w = list(words) * int(r.integers(1, 3))
+            for _ in range(int(r.integers(1, 9))):
+                at = int(r.integers(0, len(w)))
+                if r.random() < 0.5:
+                    w.insert(at, str(r.choice(words)))
+                else:
+                    del w[at]
+            texts.append(" ".join(w))
+    got = {x.doc_id: x for x in license_diagonals.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    kept = 0
+    for d, text in enumerate(texts):
+        best, labels = 0.0, set()
+        for words, label, base in license_diagonals.TEMPLATES:
+            found = max(shares(text.split(), words, 0 if base else license_diagonals.REACH).values(), default=0)
+            if found >= (1 if base else 0.7):
+                best, labels = max(best, found), labels | {label}
+        assert got[d].labels == ",".join(sorted(labels)) and abs(got[d].score - best) < 1e-9
+        for x in got[d].spans:
+            kept += 1
+            assert 0 <= x.stop - x.start and x.label in labels
+    assert kept > 60
+    for first, (words, label, _) in zip(firsts, license_diagonals.TEMPLATES):
+        whole, backward, mixed, reverse = (got[first + i] for i in range(4))
+        assert label in whole.labels.split(",") and whole.score == 1.0
+        if len(words) > 7:
+            assert all(label not in x.labels.split(",") for x in (backward, mixed, reverse))
+
+
 @pytest.mark.parametrize("segments", [4, 8])
 def test_nearest_codes(spark, segments):
     r = np.random.default_rng(segments)
