@@ -9,7 +9,7 @@ stands, then in the lower-case text.
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +24,10 @@ def labels(message: Column, actor: Column, text: Column, hints=X.HINTS, componen
     ranked = [(c, p) for found in components.values() for c, words in found.items() for p in words]
 
     # everything a worker runs is defined in here, so that it needs no copy of this package
-    @F.pandas_udf("hint string, component string")
-    def found(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("hint string, component string")
+    def found(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         import ahocorasick
+        import pyarrow as pa
 
         # letters that match i, s and k when case is ignored, but are not lower-cased to them
         like = {0x130: "i", 0x131: "i", 0x17F: "s", 0x212A: "k"}
@@ -45,26 +46,29 @@ def labels(message: Column, actor: Column, text: Column, hints=X.HINTS, componen
 
         def whole(a, t):
             """Ranks of the patterns that stand in the text as whole words."""
+            out, n = [], len(t)
             for end, (rank, size) in a.iter(t):
                 first = end - size
-                if (first < 0 or not inside(t[first])) and (end + 1 == len(t) or not inside(t[end + 1])):
-                    yield rank
+                if (first < 0 or not inside(t[first])) and (end + 1 == n or not inside(t[end + 1])):
+                    out.append(rank)
+            return out
+
+        def hint(m):
+            ranks = whole(by_hint, " ".join((m if m.isascii() else m.translate(like)).lower().split()))
+            return hints[min(ranks)][1] if ranks else None
 
         def component(who, told):
             if shared[1] in told or shared[1] in who.lower():
                 if any(ranked[r][0] == shared[0] for t in (who.lower(), told) for r in whole(by_component, t)):
                     return shared[0]
             for t in (who, told):
-                rank = min(whole(by_component, t), default=None)
-                if rank is not None:
-                    return ranked[rank][0]
+                if t and (ranks := whole(by_component, t)):
+                    return ranked[min(ranks)][0]
             return "unknown_component"
 
         for messages, actors, texts in parts:
-            made = []
-            for m, who, told in zip(messages, actors, texts):
-                rank = min(whole(by_hint, " ".join(m.translate(like).lower().split())), default=None) if m else None
-                made.append((None if rank is None else hints[rank][1], component(who or "", (told or "").lower())))
-            yield pd.DataFrame(made, columns=["hint", "component"])
+            said = [hint(m) if m else None for m in messages.to_pylist()]
+            named = [component(who or "", (told or "").lower()) for who, told in zip(actors.to_pylist(), texts.to_pylist())]
+            yield pa.StructArray.from_arrays([pa.array(said, pa.string()), pa.array(named, pa.string())], ["hint", "component"])
 
     return found(message, actor, text)

@@ -62,7 +62,8 @@ def text(col) -> Column:
 
 def found(col: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match; null without one."""
-    return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
+    # nullif would match twice
+    return F.get(F.array_remove(F.array(F.regexp_extract(col, pattern, group)), ""), F.lit(0))
 
 
 def failure_hint(col) -> Column:
@@ -185,12 +186,13 @@ def signature(component_, operation, resource, mode) -> Column:
     return F.concat_ws(":", *[F.nullif(text(x), F.lit("")) for x in (component_, operation, resource, mode)])
 
 
-def payload_type(payload) -> Column:
-    """Which of five shapes a JSON payload has, by the keys it holds."""
-    has = lambda key: F.array_contains(F.json_object_keys(text(payload)), key)
+def payload_type(payload, keys=None) -> Column:
+    """Which of five shapes a JSON payload has, by the keys it holds; keys: a column that has them already."""
+    keys = F.json_object_keys(text(payload)) if keys is None else text(keys)
+    has = lambda key: F.array_contains(keys, key)
     dated = F.get_json_object(text(payload), "$.t['$date']").isNotNull()
     return (
-        F.when(F.json_object_keys(text(payload)).isNull(), F.lit(None))
+        F.when(keys.isNull(), F.lit(None))
         .when(has("statusCode") & has("method"), "http_probe_or_access")
         .when(has("caller") & has("msg"), "caller_msg_structured")
         .when(dated, "mongodb_structured")

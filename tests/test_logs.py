@@ -158,3 +158,54 @@ def test_triage_writes_slices_and_a_manifest(spark, tmp_path):
     assert before < after and len(after) == 3
     manifest = json.loads(spark.read.text(f"{out}/manifest").first().value)
     assert [(f["lines"], f["matched_lines"], f["weighted_score"]) for f in manifest["selected_files"]] == [(3, 2, 10)]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    tasks, setting = 4 * spark.sparkContext.defaultParallelism, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for i in range(5 * tasks):
+        (tmp_path / f"file={i}.log").mkdir()
+        (tmp_path / f"file={i}.log" / "part.txt").write_text(f"{i}\n")
+    before = spark.conf.get(setting)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        lines = logs.file_lines(spark, str(tmp_path))
+        tracker = spark.sparkContext.statusTracker()
+        found = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found and max(found) <= tasks
+    assert spark.conf.get(setting) == before
+    assert sorted(int(r.line) for r in lines.collect()) == list(range(5 * tasks))
+
+
+@pytest.mark.parametrize("name", ["log_events", "document_events"])
+def test_events_are_planned_once_and_compiled(spark, small, name):
+    from rootline.plans.queries import REGISTRY
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shown = REGISTRY[name](spark, small)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", shown)]
+        plan = REGISTRY[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # a method that fails to compile has size -1, and the JVM interprets those above 8,000 bytes for ever
+    assert sizes and all(0 < n <= 8000 for n in sizes), sizes
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_records_of_many_batches(spark, tmp_path):
+    """Records that go on over batches and ranges, one of them over all ranges of its file."""
+    (tmp_path / "a.log").write_text(made(11, 3000))
+    (tmp_path / "b.log").write_text("2024-01-01 00:00:00 z\n" + "plain\n" * 700)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    for size, batch in (("700", "7"), ("128m", "1"), ("128m", "64")):
+        try:
+            for c, v in zip(kept, (size, "0", batch)):
+                spark.conf.set(c, v)
+            found = logs.file_records(logs.file_lines(spark, str(tmp_path))).orderBy("source_file", "record_no").collect()
+        finally:
+            for c, v in kept.items():
+                spark.conf.set(c, v)
+        got = {n: [(r.record_no, r.raw) for r in found if r.source_file.endswith(n)] for n in ("a.log", "b.log")}
+        assert got == {n: list(enumerate(records_of((tmp_path / n).read_bytes().decode()), 1)) for n in got}
